@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from kinweave.llm import bpe
+from kinweave.llm import bpe, langid, licences, secrets
 
-QUERIES = {"op2_byte_bpe": bpe.op2_byte_bpe}
+QUERIES = {
+    "op2_byte_bpe": bpe.op2_byte_bpe,
+    "op5_licences": licences.op5_licences,
+    "op7_language_id": langid.op7_language_id,
+    "op9_secrets": secrets.op9_secrets,
+}
 SQL: dict[str, str] = {}
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from kinweave.llm import bpe, chat, langid, licences, secrets
+from kinweave.llm import bpe, chat, langid, licences, secrets, simhash
 
 QUERIES = {
     "op2_byte_bpe": bpe.op2_byte_bpe,
+    "op3_simhash": simhash.op3_simhash,
     "op4_chat_format": chat.op4_chat_format,
     "op5_licences": licences.op5_licences,
     "op7_language_id": langid.op7_language_id,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinweave.llm import bpe, chat, langid, licences, secrets, simhash
+from kinweave.llm import bpe, chat, html, langid, licences, secrets, simhash
 
 QUERIES = {
     "op2_byte_bpe": bpe.op2_byte_bpe,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_chat_format": chat.op4_chat_format,
     "op5_licences": licences.op5_licences,
     "op7_language_id": langid.op7_language_id,
+    "op8_html": html.op8_html,
     "op9_secrets": secrets.op9_secrets,
 }
 SQL: dict[str, str] = {}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinweave.llm import bpe, chat, html, langid, licences, secrets, simhash
+from kinweave.llm import bpe, chat, html, langid, licences, secrets, simhash, substrings
 
 QUERIES = {
     "op2_byte_bpe": bpe.op2_byte_bpe,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_language_id": langid.op7_language_id,
     "op8_html": html.op8_html,
     "op9_secrets": secrets.op9_secrets,
+    "op10_substring_dedup": substrings.op10_substring_dedup,
 }
 SQL: dict[str, str] = {}
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from kinweave.llm import bpe, chat, html, langid, licences, secrets, simhash, substrings
+from kinweave.llm import bpe, chat, contamination, html, langid, licences, secrets, simhash, substrings
 
 QUERIES = {
+    "op1_decontaminate": contamination.op1_decontaminate,
     "op2_byte_bpe": bpe.op2_byte_bpe,
     "op3_simhash": simhash.op3_simhash,
     "op4_chat_format": chat.op4_chat_format,

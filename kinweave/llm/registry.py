@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinweave.llm import bpe, chat, contamination, html, langid, licences, secrets, simhash, substrings
+from kinweave.llm import bpe, chat, contamination, html, langid, licences, media, secrets, simhash, substrings
 
 QUERIES = {
     "op1_decontaminate": contamination.op1_decontaminate,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_simhash": simhash.op3_simhash,
     "op4_chat_format": chat.op4_chat_format,
     "op5_licences": licences.op5_licences,
+    "op6_media": media.op6_media,
     "op7_language_id": langid.op7_language_id,
     "op8_html": html.op8_html,
     "op9_secrets": secrets.op9_secrets,

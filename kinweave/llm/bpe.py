@@ -261,11 +261,11 @@ def decode(df: DataFrame, lines: bytes, pattern: str, ids: str = "ids", out: str
     return df.withColumn(out, joined(df[ids]))
 
 
-def digests(df: DataFrame, lines: bytes, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encodes and decodes each text; gives key, n_tokens, ids_sha256 and decoded_sha256.
+def digests(df: DataFrame, lines: bytes, pattern: str, key: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
+    """Encodes and decodes each text; gives key, n_tokens, ids_sha256, decoded_sha256, and the ids themselves if asked for.
 
-    One pass in which neither ids nor decoded bytes leave the worker, so nothing
-    is shuffled and a row's memory is a few times its text. A null text is empty
+    One pass in which no decoded bytes leave the worker; nothing is shuffled and a
+    row's memory is a few times its text. A null text is empty
     (no tokens, digests of no bytes); repeated rows and null keys pass through;
     other columns are left out.
     """
@@ -274,16 +274,22 @@ def digests(df: DataFrame, lines: bytes, pattern: str, key: str = "doc_id", text
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, sha = _encoder(shared.value, pattern), hashlib.sha256
         for batch in batches:
-            n, ids, decoded = [], [], []
+            n, hashes, decoded, arrays = [], [], [], []
             for text in batch.column(1).to_pylist():
                 packed = enc.encode(text or "")
                 n.append(len(packed) // 4)
-                ids.append(sha(packed).hexdigest())
+                hashes.append(sha(packed).hexdigest())
+                if ids:
+                    arrays.append(np.frombuffer(packed, "<i4"))
                 decoded.append(sha(enc.decode(packed)).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())], ["key", "n_tokens", "ids_sha256", "decoded_sha256"])
+            columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(hashes, pa.string()), pa.array(decoded, pa.string())]
+            names = ["key", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if ids:
+                columns, names = [*columns, pa.array(arrays, pa.list_(pa.int32()))], [*names, "ids"]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(key, text).mapInArrow(work, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)
+    return df.select(key, text).mapInArrow(work, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids).withColumnRenamed("key", key)
 
 
 def public_vocabulary(name: str = "byte_bpe_50k.tiktoken") -> tuple[bytes, str]:

@@ -266,16 +266,11 @@ def find_items(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     pass through; other columns are left out. Items come to the driver in blocks
     of a measured size and each block is one pass over the texts, without a shuffle.
     """
-    spark = df.sparkSession
-    size = items.agg(F.sum(F.coalesce(F.octet_length(item_text), F.lit(0)) + 64)).head()[0] or 0
-    blocks = max(1, -(-int(size) // BLOCK_BYTES))
     kind, item_kind = df.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     schema = f"key {kind}, item {item_kind}, edits int, similarity double, first_word long, last_word long"
     item_type = items.select(item_key).limit(0).toArrow().schema.field(0).type
     out = None
-    for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64(item_text), F.lit(blocks)) == b).select(item_key, item_text).collect()
-        shared = spark.sparkContext.broadcast(build(sorted(map(tuple, rows), key=str), similarity, recall))
+    for shared in indexes(items, item_key, item_text, similarity, recall):
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             ix = shared.value
@@ -293,6 +288,37 @@ def find_items(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     return out.withColumnsRenamed({"key": key, "item": item_key})
 
 
+def indexes(items: DataFrame, item_key: str, item_text: str, similarity: float, recall: float) -> list:
+    """One broadcast index for each block of items; a block's size is measured before it comes to the driver."""
+    size = items.agg(F.sum(F.coalesce(F.octet_length(item_text), F.lit(0)) + 64)).head()[0] or 0
+    blocks, out = max(1, -(-int(size) // BLOCK_BYTES)), []
+    for b in range(blocks):
+        rows = items.where(F.pmod(F.xxhash64(item_text), F.lit(blocks)) == b).select(item_key, item_text).collect()
+        out.append(items.sparkSession.sparkContext.broadcast(build(sorted(map(tuple, rows), key=str), similarity, recall)))
+    return out
+
+
+def drop_contaminated(df: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
+    """The rows whose text holds no item, with all their columns; null texts stay. See find_items."""
+    for shared in indexes(items, item_key, item_text, similarity, recall):
+        df = df.where(_clean(shared)(df[text]))
+    return df
+
+
+def _clean(shared):
+    """A column function: whether a text holds none of the items of one block."""
+
+    @F.arrow_udf("boolean")
+    def clean(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            ok = np.ones(len(column), bool)
+            for lo, _, data, offsets in B.chunks(column):
+                ok[[lo + h[0] for h in hits_in(shared.value, B.LOWER[data], offsets)]] = False
+            yield pa.array(ok)
+
+    return clean
+
+
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items in the whole texts of all documents; clean documents give no row."""
     return find_items(tables.read(spark, sf_dir, "documents", "doc_id", "text"), tables.read(spark, sf_dir, "benchmark", "item_id", "text"))

@@ -162,21 +162,21 @@ def train(df: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc
     return freeze([tuple(r) for r in count_grams(rows.where(draw < share), lang, text).collect()])
 
 
-def predict(df: DataFrame, model: Model | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Adds lang_pred and score to the kept columns.
+def prediction(model: Model | None, spark: SparkSession):
+    """A column function: struct (lang_pred, score) of a text column.
 
     lang_pred is the language that codes the whole text in fewest bits (the first
     by name on ties), or ``und`` where the text is null or has no letter, or
     nothing was learned. score is its share of 2**-bits among the languages, 0 for
-    ``und``. Repeated rows, null keys and other kept columns pass through.
+    ``und``. Each row stands for itself: repeated rows and nulls in other columns
+    change nothing.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    names = list(keep)
+    shared = spark.sparkContext.broadcast(model)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<lang_pred:string,score:double>")
+    def predicted(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        for batch in batches:
-            column = batch.column(0)
+        for column in columns:
             pred, score = ["und"] * len(column), [0.0] * len(column)
             for lo, hi, data, offsets in B.chunks(column) if m else ():
                 letters = np.concatenate([[0], np.cumsum(_ASCII_LETTER[data])])[offsets]
@@ -186,11 +186,9 @@ def predict(df: DataFrame, model: Model | None, text: str = "text", keep: tuple[
                 for i in range(hi - lo):
                     if letters[i + 1] > letters[i] or _LETTER.search(column[lo + i].as_py() or ""):
                         pred[lo + i], score[lo + i] = m.languages[best[i]], float(share[i])
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(pred, pa.string()), pa.array(score, pa.float64())], [*(f"c{i}" for i in range(len(names))), "lang_pred", "score"])
+            yield pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
 
-    kinds = ", ".join(f"c{i} {df.schema[c].dataType.simpleString()}" for i, c in enumerate(names))
-    out = df.select(df[text].alias("_t"), *(df[c].alias(f"c{i}") for i, c in enumerate(names))).mapInArrow(work, f"{kinds}, lang_pred string, score double")
-    return out.toDF(*names, "lang_pred", "score")
+    return predicted
 
 
 def fold(key: str = "doc_id"):
@@ -202,4 +200,5 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicts the language of every document; learned from labelled documents outside the held-out third."""
     docs = tables.read(spark, sf_dir, "documents", "doc_id", "text", "lang")
     model = train(docs.where(fold() != 1))
-    return predict(docs.select("doc_id", "text"), model).select("doc_id", (fold() == 1).alias("held_out"), "lang_pred", "score")
+    told = docs.select("doc_id", prediction(model, spark)("text").alias("p"))
+    return told.select("doc_id", (fold() == 1).alias("held_out"), "p.lang_pred", "p.score")

@@ -14,6 +14,7 @@ made of two bands. This is exact, and a key has about 21 bits.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,8 @@ from kinweave.llm.components import components
 SHINGLE, RADIUS, BANDS, HASH_SEED = 4, 4, 6, 42
 #: Fingerprints under one key beyond which the key is split into blocks, each pair of which is a task of its own.
 BLOCK = 16_384
+#: Bits of a band for similar_texts: about the logarithm of the number of distinct texts, less a few.
+BAND_BITS = 16
 #: Groups up to this size are compared pair by pair in one go, larger ones block by block.
 SMALL = 32
 _TO_WORDS = bytes(0x20 if B._WHITE[i] else B.LOWER[i] for i in range(256))
@@ -92,55 +95,74 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", k: int
 
 
 def planes_of(x: np.ndarray) -> np.ndarray:
-    """Bit planes (64, ceil(n / 64)) of n fingerprints; the last word is filled up with zeros."""
-    wide = np.zeros(-(-len(x) // 64) * 64, np.uint64)
+    """Bit planes (bits, ceil(n / 64)) of n fingerprints of one or more words; the last word is filled up with zeros."""
+    x = x.reshape(len(x), -1)
+    wide = np.zeros((-(-len(x) // 64) * 64, x.shape[1]), np.uint64)
     wide[: len(x)] = x
-    bits = np.unpackbits(wide.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    bits = np.unpackbits(wide.view(np.uint8).reshape(len(wide), -1), axis=1, bitorder="little")
     return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view(np.uint64)
 
 
+def near_at_lag(planes: np.ndarray, lag: int, radius: int, n: int) -> np.ndarray:
+    """Which of n fingerprints are within radius of the one ``lag`` places after: planes against themselves, shifted."""
+    word, bit = divmod(lag, 64)
+    counters = [np.zeros(planes.shape[1], np.uint64) for _ in range(radius.bit_length())]
+    over = np.zeros(planes.shape[1], np.uint64)
+    later = np.zeros((2, planes.shape[1]), np.uint64)
+    for i, p in enumerate(planes):
+        later[0, : len(p) - word] = p[word:]
+        if bit:
+            later[1, : len(p) - word - 1] = p[word + 1 :]
+            over |= _add(counters, p ^ (later[0] >> np.uint64(bit) | later[1] << np.uint64(64 - bit)))
+        else:
+            over |= _add(counters, p ^ later[0])
+        if i % 32 == 31 and i >= radius and (_beyond(counters, radius) | over == _FULL).all():
+            return np.zeros(0, np.int64)
+    hit = np.unpackbits((~(_beyond(counters, radius) | over)).view(np.uint8), bitorder="little")
+    at = np.flatnonzero(hit)
+    return at[at < n - lag]
+
+
 def near(planes: np.ndarray, queries: np.ndarray, radius: int, order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(query, fingerprint) indices at a distance of at most radius (under 8). order: which bits to look at, first those that differ most."""
-    order = np.arange(64) if order is None else order
+    """(query, fingerprint) indices at a distance of at most radius. order: which bits to look at, first those that differ most."""
+    order = np.arange(len(planes)) if order is None else order
     live = np.arange(len(queries))
+    queries = queries.reshape(len(queries), -1)
     shape = (len(queries), planes.shape[1])
-    ones, twos, fours, over = (np.zeros(shape, np.uint64) for _ in range(4))
+    counters = [np.zeros(shape, np.uint64) for _ in range(radius.bit_length())]
+    over = np.zeros(shape, np.uint64)
     for i, b in enumerate(order):
-        flip = np.where(queries[live] >> np.uint64(b) & np.uint64(1), _FULL, np.uint64(0))[:, None]
-        carry = planes[b][None] ^ flip
-        for counter in (ones, twos, fours):
-            carry, counter[...] = counter & carry, counter ^ carry
-        over |= carry
-        if i % 8 == 7 and i < len(order) - 1:
-            keep = ~(_beyond(ones, twos, fours, radius) | over == _FULL).all(1)
+        flip = np.where(queries[live, b // 64] >> np.uint64(b % 64) & np.uint64(1), _FULL, np.uint64(0))[:, None]
+        over |= _add(counters, planes[b][None] ^ flip)
+        if i % 8 == 7 and radius <= i < len(order) - 1:
+            keep = ~(_beyond(counters, radius) | over == _FULL).all(1)
             if not keep.all():
                 if not keep.any():
                     return np.zeros(0, np.int64), np.zeros(0, np.int64)
-                live, ones, twos, fours, over = live[keep], ones[keep], twos[keep], fours[keep], over[keep]
-    hit = ~(_beyond(ones, twos, fours, radius) | over)
+                live, over, counters = live[keep], over[keep], [c[keep] for c in counters]
+    hit = ~(_beyond(counters, radius) | over)
     rows, words = np.nonzero(hit)
     bits = np.unpackbits(hit[rows, words][:, None].view(np.uint8), axis=1, bitorder="little")
     at, bit = np.nonzero(bits)
     return live[rows[at]], words[at] * 64 + bit
 
 
-def _beyond(ones: np.ndarray, twos: np.ndarray, fours: np.ndarray, radius: int) -> np.ndarray:
-    """Bit plane of the counters that exceed radius."""
-    out = np.zeros_like(ones)
-    for r in range(radius + 1, 8):
-        plane = np.full_like(ones, _FULL)
-        for j, c in enumerate((ones, twos, fours)):
-            plane &= c if r >> j & 1 else ~c
-        out |= plane
-    return out
+def _beyond(counters: list[np.ndarray], radius: int) -> np.ndarray:
+    """Bit plane of the counts, given as planes from the lowest bit on, that exceed radius."""
+    over, same = np.zeros_like(counters[0]), np.full_like(counters[0], _FULL)
+    for j in range(len(counters) - 1, -1, -1):
+        if radius >> j & 1:
+            same = same & counters[j]
+        else:
+            over, same = over | same & counters[j], same & ~counters[j]
+    return over
 
 
-def pair_distances_within(x: np.ndarray, y: np.ndarray, radius: int) -> np.ndarray:
-    """Indices of the pairs (x[i], y[i]) within radius, by the same counters."""
-    if not len(x):
-        return np.zeros(0, np.int64)
-    at = near(planes_of(x ^ y), np.zeros(1, np.uint64), radius)[1]
-    return at[at < len(x)]
+def _add(counters: list[np.ndarray], carry: np.ndarray) -> np.ndarray:
+    """Adds a bit plane to the counters, carry by carry; returns what overflows."""
+    for j, c in enumerate(counters):
+        counters[j], carry = c ^ carry, c & carry
+    return carry
 
 
 class Forest:
@@ -167,32 +189,37 @@ class Forest:
         return [(v, r) for v in list(self.up) if (r := self.root(v)) != v]
 
 
-def links_of_groups(key: np.ndarray, fp: np.ndarray, radius: int, forest: Forest) -> None:
-    """Links fingerprints within radius under the same key; rows come sorted by key."""
-    cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]]) if len(key) else np.zeros(1, np.int64)
+def links_of_groups(key: np.ndarray, prints: np.ndarray, names: np.ndarray, radius: int, forest: Forest) -> None:
+    """Links the names of fingerprints within radius under the same key; rows come sorted by key."""
+    if not len(key):
+        return
+    prints = prints.reshape(len(prints), -1)
+    cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
     sizes = np.diff(cuts)
-    small = np.repeat(sizes <= SMALL, sizes)
-    for lag in range(1, min(SMALL, int(sizes.max(initial=0)))):
-        at = np.flatnonzero((key[lag:] == key[:-lag]) & small[lag:])
-        if not len(at):
-            break
-        for i in at[pair_distances_within(fp[at], fp[at + lag], radius)].tolist():
-            forest.link(int(fp[i]), int(fp[i + lag]))
+    own = np.repeat(sizes, sizes)
+    rows = np.flatnonzero((own > 1) & (own <= SMALL))
+    if len(rows):
+        x, k, planes = names[rows], key[rows], planes_of(prints[rows])
+        for lag in range(1, int(own[rows].max())):
+            for i in near_at_lag(planes, lag, radius, len(rows)):
+                if k[i] == k[i + lag]:
+                    forest.link(int(x[i]), int(x[i + lag]))
     for g in np.flatnonzero(sizes > SMALL):
-        x = fp[cuts[g] : cuts[g + 1]]
-        # Bits on which the group is split evenly come first: they tell apart soonest.
-        share = np.array([(x >> np.uint64(b) & np.uint64(1)).mean() for b in range(64)])
+        x, name = prints[cuts[g] : cuts[g + 1]], names[cuts[g] : cuts[g + 1]]
+        # Bits on which the group is split evenly come first: they tell apart soonest. A bit that all share never differs.
+        share = np.array([(x[:, b // 64] >> np.uint64(b % 64) & np.uint64(1)).mean() for b in range(64 * x.shape[1])])
         order = np.argsort(np.abs(share - 0.5), kind="stable")
-        order = order[: max(1, int(((share > 0) & (share < 1))[order].sum()))]  # a bit that all share never differs
-        blocks = [x[i : i + 4096] for i in range(0, len(x), 4096)]
-        planes = [planes_of(b) for b in blocks]
-        for i, b in enumerate(blocks):
+        order = order[: max(1, int(((share > 0) & (share < 1)).sum()))]
+        blocks = [(x[i : i + 4096], name[i : i + 4096]) for i in range(0, len(x), 4096)]
+        planes = [planes_of(b) for b, _ in blocks]
+        for i, (b, from_name) in enumerate(blocks):
             for lo in range(0, len(b), 64):
                 q = b[lo : lo + 64]
                 for j in range(i, len(blocks)):
+                    to_name = blocks[j][1]
                     for p, r in zip(*near(planes[j], q, radius, order), strict=True):
-                        if r < len(blocks[j]) and not (i == j and r <= lo + p):
-                            forest.link(int(q[p]), int(blocks[j][r]))
+                        if r < len(to_name) and not (i == j and r <= lo + p):
+                            forest.link(int(from_name[lo + p]), int(to_name[r]))
 
 
 def band_keys(fp, radius: int = RADIUS, bands: int = BANDS):
@@ -208,22 +235,21 @@ def band_keys(fp, radius: int = RADIUS, bands: int = BANDS):
     return F.array(*keys)
 
 
-def link_edges(fps: DataFrame, radius: int = RADIUS, bands: int = BANDS, block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) that connect what lies within radius, from distinct fingerprints (column fp).
+def link_edges(keyed: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) that connect what lies within radius under a common key, from rows (k, v, p): key, name, fingerprint (long or binary).
 
     Each task gives a spanning forest of the links that it finds, not the links.
     A key with more than ``block`` fingerprints is split into blocks by a hash,
     and every pair of blocks is compared in a group of its own.
     """
-    keyed = fps.select(F.explode(band_keys(F.col("fp"), radius, bands)).alias("k"), "fp")
     large = tables.cut(keyed.groupBy("k").count().where(F.col("count") > block))
     if large.isEmpty():
-        keyed = keyed.select("k", F.lit(0).cast("long").alias("part"), "fp")
+        keyed = keyed.select("k", F.lit(0).cast("long").alias("part"), "v", "p")
     else:
         n = F.coalesce(F.ceil(F.col("count") / block), F.lit(1)).cast("long")
-        own = F.pmod(F.xxhash64("fp"), F.col("n"))
-        keyed = keyed.join(large, "k", "left").select("k", "fp", n.alias("n")).select("k", "fp", "n", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other"))
-        keyed = keyed.select("k", (F.least("own", "other") * F.col("n") + F.greatest("own", "other")).alias("part"), "fp")
+        own = F.pmod(F.xxhash64("v"), F.col("n"))
+        keyed = keyed.join(large, "k", "left").select("k", "v", "p", n.alias("n")).select("k", "v", "p", "n", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other"))
+        keyed = keyed.select("k", (F.least("own", "other") * F.col("n") + F.greatest("own", "other")).alias("part"), "v", "p")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def give(forest: Forest) -> pa.RecordBatch:
@@ -232,35 +258,48 @@ def link_edges(fps: DataFrame, radius: int = RADIUS, bands: int = BANDS, block:
 
         forest, held = Forest(), None
         for batch in batches:
-            k, part, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
-            rows = np.stack([k, part, fp])
-            rows = rows if held is None else np.concatenate([held, rows], 1)
-            last = (rows[0] == rows[0, -1]) & (rows[1] == rows[1, -1]) if rows.shape[1] else np.zeros(0, bool)
-            held, rows = rows[:, last], rows[:, ~last]
-            links_of_groups(B.mix(rows[0].view(np.uint64)) + rows[1].view(np.uint64), rows[2].view(np.uint64), radius, forest)
+            if not len(batch):
+                continue
+            k, part, v = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(3))
+            p = batch.column(3)
+            prints = np.frombuffer(b"".join(p.to_pylist()), np.uint64) if pa.types.is_binary(p.type) else p.to_numpy(zero_copy_only=False).view(np.uint64)
+            prints = prints.reshape(len(v), -1)
+            rows = B.mix(k.copy()) + part, v, prints
+            if held is not None:
+                rows = tuple(np.concatenate(x) for x in zip(held, rows, strict=True))
+            # The last group may go on in the next batch.
+            end = int(np.flatnonzero(rows[0] != rows[0][-1]).max(initial=-1)) + 1
+            held, rows = tuple(x[end:] for x in rows), tuple(x[:end] for x in rows)
+            links_of_groups(rows[0], rows[2], rows[1], radius, forest)
             if len(forest.up) > 200_000:
                 yield give(forest)
                 forest = Forest()
         if held is not None:
-            links_of_groups(held[0].view(np.uint64), held[2].view(np.uint64), radius, forest)
+            links_of_groups(held[0], held[2], held[1], radius, forest)
         yield give(forest)
 
     return keyed.repartition("k", "part").sortWithinPartitions("k", "part").mapInArrow(work, "a long, b long")
 
 
+def _named(prints: DataFrame, least: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """(key, v, component_id): rows (_key, v) with the least key of their component; least: (v, least)."""
+    roots = components(edges).withColumnRenamed("root", "_root")
+    owned = tables.cut(least.join(roots, "v", "left").select("v", "least", F.coalesce("_root", "v").alias("root")))
+    ids = tables.cut(owned.groupBy("root").agg(F.min("least").alias("component_id")))
+    named = tables.cut(owned.join(ids, "root").select("v", "component_id"))
+    return prints.join(named, "v").select(F.col("_key").alias(key), "v", "component_id")
+
+
 def classes(prints: DataFrame, key: str = "doc_id", radius: int = RADIUS, bands: int = BANDS) -> DataFrame:
     """(key, fp, component_id) from (key, fp): component_id is the smallest key that links reach.
 
     Equal fingerprints collapse into one before anything is compared, so exact
     copies cost one row; what is linked are distinct fingerprints.
     """
-    prints = tables.cut(prints.select(F.col(key).alias("_key"), "fp"))
-    distinct = tables.cut(prints.groupBy("fp").agg(F.min("_key").alias("least")))
-    roots = components(link_edges(distinct, radius, bands)).withColumnsRenamed({"v": "fp"})
-    owned = tables.cut(distinct.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    least = tables.cut(owned.groupBy("root").agg(F.min("least").alias("component_id")))
-    named = tables.cut(owned.join(least, "root").select("fp", "component_id"))
-    return prints.join(named, "fp").select(F.col("_key").alias(key), "fp", "component_id")
+    prints = tables.cut(prints.select(F.col(key).alias("_key"), F.col("fp").alias("v")))
+    least = tables.cut(prints.groupBy("v").agg(F.min("_key").alias("least")))
+    keyed = least.select(F.explode(band_keys(F.col("v"), radius, bands)).alias("k"), "v", F.col("v").alias("p"))
+    return _named(prints, least, link_edges(keyed, radius), key).withColumnRenamed("v", "fp")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -275,6 +314,63 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     return out.select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def bands_needed(bits: int, similarity: float, recall: float) -> int:
+    """Bands of so many bits, one of which texts of at least this similarity share with probability ``recall``.
+
+    Sets with a Jaccard similarity J have a cosine near 2J / (1 + J), and a bit of
+    the fingerprints differs with the probability of their angle over pi.
+    """
+    same = 1 - math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.ceil(math.log(1 - recall) / math.log(1 - same**bits))
+
+
+def similar_texts(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, recall: float = 0.99, words: int = 8, bits: int = BAND_BITS) -> DataFrame:
+    """(key, component_id): classes of texts whose sets of k-word shingles have about this Jaccard similarity or more.
+
+    The same fingerprints with ``words`` times 64 bits: their distance tells the
+    similarity (with a deviation of 0.04 at 512 bits), and bands of it, as many as
+    the wanted recall needs, tell which are compared. Equal fingerprints collapse
+    first. Texts without words are one class. Repeated rows stay, a null key counts
+    in no minimum, other columns are left out.
+    """
+    bands = bands_needed(bits, similarity, recall)
+    total = max(words, -(-bits * bands // 64))
+    radius = int(64 * words * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = wide_fingerprints(batch.column(1), k, total)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], ["_key", "p"])
+
+    kind = df.schema[key].dataType.simpleString()
+    prints = tables.cut(df.select(key, text).mapInArrow(work, f"_key {kind}, p binary").select("_key", F.xxhash64("p").alias("v"), "p"))
+    once = tables.cut(prints.groupBy("v").agg(F.min("_key").alias("least"), F.first("p").alias("p")))
+
+    def bands_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                p = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(batch), -1)
+                b = np.unpackbits(p, axis=1, bitorder="little")[:, : bits * bands].reshape(len(batch), bands, bits)
+                keys = (b.astype(np.int64) << np.arange(bits)).sum(2) | np.arange(bands)[None] << 48
+                for at in range(bands):
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[:, at]), batch.column(0), pa.array([r.tobytes() for r in p[:, : 8 * words]], pa.binary())], ["k", "v", "p"])
+
+    keyed = once.select("v", "p").mapInArrow(bands_of, "k long, v long, p binary")
+    return _named(prints.select("_key", "v"), once.select("v", "least"), link_edges(keyed, radius), key).select(key, "component_id")
+
+
+def wide_fingerprints(column: pa.Array, k: int, words: int) -> np.ndarray:
+    """Fingerprints of so many words; each word from a hash of its own of the shingles' hashes."""
+    out = []
+    for _, _, data, offsets in B.chunks(column):
+        raw, cuts = data.tobytes(), offsets.tolist()
+        runs = [shingle_hashes(raw[a:b], k) for a, b in itertools.pairwise(cuts)]
+        sizes = np.array([len(r) for r in runs])
+        h = np.fromiter(itertools.chain.from_iterable(runs), np.uint64, int(sizes.sum()))
+        out.append(np.stack([bit_majorities(B.mix(h + np.uint64(j * B.BASE & 0xFFFFFFFFFFFFFFFF)), sizes) for j in range(words)], 1))
+    return np.concatenate(out) if out else np.zeros((0, words), np.uint64)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all documents."""
     return near_duplicates(tables.read(spark, sf_dir, "documents", "doc_id", "text"))

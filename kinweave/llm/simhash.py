@@ -210,16 +210,19 @@ def links_of_groups(key: np.ndarray, prints: np.ndarray, names: np.ndarray, radi
         share = np.array([(x[:, b // 64] >> np.uint64(b % 64) & np.uint64(1)).mean() for b in range(64 * x.shape[1])])
         order = np.argsort(np.abs(share - 0.5), kind="stable")
         order = order[: max(1, int(((share > 0) & (share < 1)).sum()))]
-        blocks = [(x[i : i + 4096], name[i : i + 4096]) for i in range(0, len(x), 4096)]
-        planes = [planes_of(b) for b, _ in blocks]
-        for i, (b, from_name) in enumerate(blocks):
-            for lo in range(0, len(b), 64):
-                q = b[lo : lo + 64]
-                for j in range(i, len(blocks)):
-                    to_name = blocks[j][1]
-                    for p, r in zip(*near(planes[j], q, radius, order), strict=True):
-                        if r < len(to_name) and not (i == j and r <= lo + p):
-                            forest.link(int(from_name[lo + p]), int(to_name[r]))
+        # label: which rows are known to hang together; only links between different labels are new.
+        label, starts = np.arange(len(x)), range(0, len(x), 4096)
+        planes = [planes_of(x[i : i + 4096]) for i in starts]
+        for at in range(0, len(x), 64):
+            for j in range(at // 4096, len(planes)):
+                p, r = near(planes[j], x[at : at + 64], radius, order)
+                p, r = p + at, r + starts[j]
+                p, r = p[(r > p) & (r < len(x))], r[(r > p) & (r < len(x))]
+                for u, v in {tuple(e) for e in np.unique(np.stack([label[p], label[r]], 1), axis=0).tolist()}:
+                    u, v = label[u], label[v]
+                    if u != v:
+                        forest.link(int(name[u]), int(name[v]))
+                        label[label == max(u, v)] = min(u, v)
 
 
 def band_keys(fp, radius: int = RADIUS, bands: int = BANDS):

@@ -1,11 +1,54 @@
-"""Queries over the star-schema and document tables, each with its SQL twin."""
+"""Queries over the document tables, each with its SQL twin where one exists."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-def queries():
-    return {}
+from kinweave.functions import text as X
+from kinweave.operators import lexical
+from kinweave.plans import oracle as O
+from kinweave.sources import records as R
 
+SEED, TOP_K, CAP = 2026, 20, 2048
 
-def oracle_sql():
-    return {}
+
+def normalize_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.from_documents(spark, sf_dir).select("split", "id", "source", "country", "name", "address", "latin_name", "latin_address")
+
+
+def lexical_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.record_keys(R.from_documents(spark, sf_dir), True)
+
+
+def posting_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.posting_stats(R.from_documents(spark, sf_dir).where("source in (2, 3)"), True, CAP)
+
+
+def lexical_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.candidates(R.from_documents(spark, sf_dir), TOP_K, True, CAP)
+
+
+flagship = lexical_candidates
+
+#: name: (query, SQL or None)
+QUERIES = {
+    "normalize_records": (normalize_records, O.with_records(select="SELECT split, id, source, country, name, address, latin_name, latin_address FROM rec")),
+    "lexical_keys": (lexical_keys, O.with_records(O.record_keys(True), select="SELECT id, view, key FROM rk")),
+    "posting_stats": (
+        posting_stats,
+        O.with_records(
+            O.record_keys(True),
+            select=f"SELECT view, count(*) AS keys, count(*) FILTER (n <= {CAP}) AS kept, count(*) FILTER (n > {CAP}) AS omitted, coalesce(sum(n) FILTER (n <= {CAP}), 0)::BIGINT AS postings FROM (SELECT view, key, count(*) AS n FROM rk WHERE source IN (2, 3) GROUP BY view, key) GROUP BY view",
+        ),
+    ),
+    "lexical_candidates": (lexical_candidates, O.with_records(O.candidates(TOP_K, CAP), select="SELECT * FROM cand")),
+}
+
+
+def queries() -> dict:
+    return {k: q for k, (q, _) in QUERIES.items()}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {k: s for k, (_, s) in QUERIES.items() if s}

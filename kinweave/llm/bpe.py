@@ -27,7 +27,7 @@ from kinweave.llm import tables
 
 #: A worker keeps the ids of up to twice so many distinct pieces: when a generation is full, the one before it
 #: goes, so that frequent pieces stay.
-CACHE_PIECES = 200_000
+CACHE_PIECES = 120_000
 #: Longer pieces are encoded each time: they hardly come again and would fill the cache.
 CACHED_CHARS = 64
 
@@ -110,7 +110,7 @@ class Vocabulary:
                 i += 1
             else:
                 j += 1
-        if len(self._pairs) > 500_000:
+        if len(self._pairs) > 200_000:
             self._pairs.clear()
         self._pairs[left, right] = known
         return known
@@ -212,6 +212,11 @@ class TextEncoder:
         get, piece = self.cache.get, self._piece
         return b"".join([get(p) or piece(p) for p in self.find(text)])
 
+    def forget(self) -> None:
+        """Gives the memory of the caches back, at the end of a task."""
+        self.cache, self.older = {}, {}
+        self.vocabulary._pairs.clear()
+
     def decode(self, packed: bytes) -> bytes:
         return b"".join(self.table[np.frombuffer(packed, "<u4")].tolist())
 
@@ -287,6 +292,7 @@ def digests(df: DataFrame, lines: bytes, pattern: str, key: str = "doc_id", text
             if ids:
                 columns, names = [*columns, pa.array(arrays, pa.list_(pa.int32()))], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names)
+        enc.forget()
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, text).mapInArrow(work, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids).withColumnRenamed("key", key)

@@ -14,7 +14,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Bytes of text that are looked at together; one longer text makes a chunk of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 #: Odd bases of the polynomial hashes modulo 2**64, and their inverses.
 BASE = 0x9E3779B97F4A7C15
 BASE_INV = pow(BASE, -1, 1 << 64)

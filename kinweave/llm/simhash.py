@@ -25,11 +25,11 @@ from pyspark.sql import functions as F
 
 from kinweave.llm import bytesops as B
 from kinweave.llm import tables
-from kinweave.llm.components import components
+from kinweave.llm.components import Forest, components
 
 SHINGLE, RADIUS, BANDS, HASH_SEED = 4, 4, 6, 42
 #: Fingerprints under one key beyond which the key is split into blocks, each pair of which is a task of its own.
-BLOCK = 16_384
+BLOCK = 65_536
 #: Bits of a band for similar_texts: about the logarithm of the number of distinct texts, less a few.
 BAND_BITS = 16
 #: Groups up to this size are compared pair by pair in one go, larger ones block by block.
@@ -165,30 +165,6 @@ def _add(counters: list[np.ndarray], carry: np.ndarray) -> np.ndarray:
     return carry
 
 
-class Forest:
-    """Union-find over fingerprints."""
-
-    def __init__(self):
-        self.up: dict[int, int] = {}
-
-    def root(self, v: int) -> int:
-        up, path = self.up, []
-        while (w := up.setdefault(v, v)) != v:
-            path.append(v)
-            v = w
-        for p in path:
-            up[p] = v
-        return v
-
-    def link(self, v: int, w: int) -> None:
-        v, w = self.root(v), self.root(w)
-        if v != w:
-            self.up[max(v, w)] = min(v, w)
-
-    def edges(self) -> list[tuple[int, int]]:
-        return [(v, r) for v in list(self.up) if (r := self.root(v)) != v]
-
-
 def links_of_groups(key: np.ndarray, prints: np.ndarray, names: np.ndarray, radius: int, forest: Forest) -> None:
     """Links the names of fingerprints within radius under the same key; rows come sorted by key."""
     if not len(key):
@@ -238,20 +214,21 @@ def band_keys(fp, radius: int = RADIUS, bands: int = BANDS):
     return F.array(*keys)
 
 
-def link_edges(keyed: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
+def link_edges(keyed: DataFrame, radius: int, n: int, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) that connect what lies within radius under a common key, from rows (k, v, p): key, name, fingerprint (long or binary).
 
     Each task gives a spanning forest of the links that it finds, not the links.
     A key with more than ``block`` fingerprints is split into blocks by a hash,
-    and every pair of blocks is compared in a group of its own.
+    and every pair of blocks is compared in a group of its own. n: how many
+    fingerprints there are; keys needn't be counted if that is at most ``block``.
     """
-    large = tables.cut(keyed.groupBy("k").count().where(F.col("count") > block))
-    if large.isEmpty():
+    large = tables.cut(keyed.groupBy("k").count().where(F.col("count") > block)) if n > block else None
+    if large is None or large.isEmpty():
         keyed = keyed.select("k", F.lit(0).cast("long").alias("part"), "v", "p")
     else:
-        n = F.coalesce(F.ceil(F.col("count") / block), F.lit(1)).cast("long")
+        parts = F.coalesce(F.ceil(F.col("count") / block), F.lit(1)).cast("long")
         own = F.pmod(F.xxhash64("v"), F.col("n"))
-        keyed = keyed.join(large, "k", "left").select("k", "v", "p", n.alias("n")).select("k", "v", "p", "n", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other"))
+        keyed = keyed.join(large, "k", "left").select("k", "v", "p", parts.alias("n")).select("k", "v", "p", "n", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other"))
         keyed = keyed.select("k", (F.least("own", "other") * F.col("n") + F.greatest("own", "other")).alias("part"), "v", "p")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,12 +262,15 @@ def link_edges(keyed: DataFrame, radius: int, block: int = BLOCK) -> DataFrame:
 
 
 def _named(prints: DataFrame, least: DataFrame, edges: DataFrame, key: str) -> DataFrame:
-    """(key, v, component_id): rows (_key, v) with the least key of their component; least: (v, least)."""
-    roots = components(edges).withColumnRenamed("root", "_root")
-    owned = tables.cut(least.join(roots, "v", "left").select("v", "least", F.coalesce("_root", "v").alias("root")))
-    ids = tables.cut(owned.groupBy("root").agg(F.min("least").alias("component_id")))
-    named = tables.cut(owned.join(ids, "root").select("v", "component_id"))
-    return prints.join(named, "v").select(F.col("_key").alias(key), "v", "component_id")
+    """(key, v, component_id): rows (_key, v) with the least key of their component; least: (v, least).
+
+    Only fingerprints with links go through the components; all others are named by their own least key.
+    """
+    linked = tables.cut(components(edges).join(least, "v"))
+    ids = linked.groupBy("root").agg(F.min("least").alias("id"))
+    named = tables.cut(linked.join(ids, "root").select("v", F.col("id").alias("component_id"), F.lit(True).alias("linked")))
+    told = least.join(named, "v", "left").select("v", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least")).alias("component_id"))
+    return prints.join(tables.cut(told), "v").select(F.col("_key").alias(key), "v", "component_id")
 
 
 def classes(prints: DataFrame, key: str = "doc_id", radius: int = RADIUS, bands: int = BANDS) -> DataFrame:
@@ -302,7 +282,7 @@ def classes(prints: DataFrame, key: str = "doc_id", radius: int = RADIUS, bands:
     prints = tables.cut(prints.select(F.col(key).alias("_key"), F.col("fp").alias("v")))
     least = tables.cut(prints.groupBy("v").agg(F.min("_key").alias("least")))
     keyed = least.select(F.explode(band_keys(F.col("v"), radius, bands)).alias("k"), "v", F.col("v").alias("p"))
-    return _named(prints, least, link_edges(keyed, radius), key).withColumnRenamed("v", "fp")
+    return _named(prints, least, link_edges(keyed, radius, least.count()), key).withColumnRenamed("v", "fp")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -350,16 +330,18 @@ def similar_texts(df: DataFrame, key: str = "doc_id", text: str = "text", k: int
     once = tables.cut(prints.groupBy("v").agg(F.min("_key").alias("least"), F.first("p").alias("p")))
 
     def bands_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if len(batch):
+        for whole in batches:
+            for lo in range(0, len(whole), 1024):
+                batch = whole.slice(lo, 1024)
                 p = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(batch), -1)
                 b = np.unpackbits(p, axis=1, bitorder="little")[:, : bits * bands].reshape(len(batch), bands, bits)
-                keys = (b.astype(np.int64) << np.arange(bits)).sum(2) | np.arange(bands)[None] << 48
+                short = pa.array([r.tobytes() for r in p[:, : 8 * words]], pa.binary())
                 for at in range(bands):
-                    yield pa.RecordBatch.from_arrays([pa.array(keys[:, at]), batch.column(0), pa.array([r.tobytes() for r in p[:, : 8 * words]], pa.binary())], ["k", "v", "p"])
+                    key = np.packbits(b[:, at], axis=1, bitorder="little").astype(np.int64) @ (1 << 8 * np.arange(-(-bits // 8)))
+                    yield pa.RecordBatch.from_arrays([pa.array(key | at << 48), batch.column(0), short], ["k", "v", "p"])
 
     keyed = once.select("v", "p").mapInArrow(bands_of, "k long, v long, p binary")
-    return _named(prints.select("_key", "v"), once.select("v", "least"), link_edges(keyed, radius), key).select(key, "component_id")
+    return _named(prints.select("_key", "v"), once.select("v", "least"), link_edges(keyed, radius, once.count()), key).select(key, "component_id")
 
 
 def wide_fingerprints(column: pa.Array, k: int, words: int) -> np.ndarray:

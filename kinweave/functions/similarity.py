@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def lcs(a: str, b: str) -> int:
@@ -47,7 +48,7 @@ def token_set_ratio(a: str, b: str) -> float:
 
 
 def _column(f):
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def similarity(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for a, b in parts:
             yield pd.Series([f(x, y) if x and y else 0.0 for x, y in zip(a, b, strict=True)], dtype=float)

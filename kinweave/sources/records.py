@@ -52,7 +52,7 @@ def load_records(spark: SparkSession, root: str, seed: int = 2026, exact: bool =
 def load_truth(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """(q, t) pairs and the labelled entities (q), which keep those without a match. A repeated id in a list fails."""
     rows = read_tsv(spark, f"{root}/train/train_ground_truth.tsv", TRUTH_COLUMNS)
-    ids = F.filter(F.transform(F.split("matched_entity_ids", ","), F.trim), lambda x: x != "")
+    ids = F.filter(F.transform(F.split("matched_entity_ids", ","), lambda x: F.trim(x)), lambda x: x != "")
     rows = rows.select(F.col("source1_entity_id").alias("q"), ids.alias("ids"))
     rows = rows.withColumn("ids", F.when(F.size("ids") == F.size(F.array_distinct("ids")), F.col("ids")).otherwise(F.raise_error(F.concat(F.lit("repeated match of "), F.col("q")))))
     return rows.select("q", F.explode("ids").alias("t")), rows.select("q").distinct()

@@ -12,6 +12,7 @@ Images are portable graymaps or pixmaps (P5, P6), read and written here.
 
 from __future__ import annotations
 
+import functools
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -26,16 +27,14 @@ from kinweave.llm import tables
 
 #: Scales, and how many of the strongest corners are described at each.
 SCALES, CORNERS = (1.0, 0.7071, 0.5), (26, 14, 8)
-PATCH, BITS, KEY_BITS, N_TABLES = 7, 128, 25, 5
+PATCH, BITS, KEY_BITS, N_TABLES = 9, 128, 25, 5
 #: Largest distance of matching descriptors, and agreeing corners of the query that make a copy.
-RADIUS, INLIERS = 26, 5
+RADIUS, INLIERS = 32, 5
 #: Steps of rotation in degrees, of shift in pixels.
 TURN, SHIFT = 15, 8
 IMAGES_AT_ONCE = 64
 _HEADER = re.compile(rb"^(P[56])(?:\s+|#[^\n]*\n)+(\d+)(?:\s+|#[^\n]*\n)+(\d+)(?:\s+|#[^\n]*\n)+(\d+)\s")
 
-_r = np.random.default_rng(128)
-_PAIRS = np.clip(np.round(_r.normal(0, PATCH / 2.2, (BITS, 2, 2))), -PATCH + 2, PATCH - 2)
 _GRID = np.mgrid[-PATCH : PATCH + 1, -PATCH : PATCH + 1]
 _DISC = (_GRID**2).sum(0) <= PATCH**2
 
@@ -111,16 +110,51 @@ def corners(x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return image, order[good] // w, order[good] % w
 
 
-def describe(x: np.ndarray, image: np.ndarray, row: np.ndarray, col: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Angles in degrees and descriptors (two words) of patches turned upright."""
+def _values(x: np.ndarray, image: np.ndarray, row: np.ndarray, col: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Angles of patches (radians), and the softened values at points of them that turn with the patch."""
     soft = _box(x, 1)
     patch = soft[image[:, None, None], row[:, None, None] + _GRID[0], col[:, None, None] + _GRID[1]] * _DISC
     angle = np.arctan2((patch * _GRID[0]).sum((1, 2)), (patch * _GRID[1]).sum((1, 2)))
-    cos, sin = np.cos(angle)[:, None, None], np.sin(angle)[:, None, None]
-    dy, dx = _PAIRS[None, :, :, 0], _PAIRS[None, :, :, 1]
-    y = np.round(row[:, None, None] + sin * dx + cos * dy).astype(int)
-    z = np.round(col[:, None, None] + cos * dx - sin * dy).astype(int)
-    value = soft[image[:, None, None], y, z]
+    cos, sin = np.cos(angle)[:, None], np.sin(angle)[:, None]
+    dy, dx = points[None, :, 0], points[None, :, 1]
+    y = np.round(row[:, None] + sin * dx + cos * dy).astype(int)
+    z = np.round(col[:, None] + cos * dx - sin * dy).astype(int)
+    return angle, soft[image[:, None], y, z]
+
+
+@functools.cache
+def comparisons(count: int = BITS, most_alike: float = 0.25) -> np.ndarray:
+    """The pairs of points to compare: (count, 2, 2).
+
+    An upright patch is brighter on one side, so most comparisons nearly always
+    come out alike. Of many random ones those are taken, the most even first, that
+    split patches of sample pictures evenly and hardly correlate with those taken
+    before; the bound on the correlation is raised until there are enough.
+    """
+    r = np.random.default_rng(128)
+    points = np.round(r.uniform(-1, 1, (9000, 2)) * (PATCH - 1))
+    points = points[(points**2).sum(1) <= (PATCH - 1) ** 2]
+    points = points[: len(points) // 2 * 2]
+    stack = np.stack([picture(int(s)) for s in r.integers(0, 1 << 62, 50)]).astype(np.float32)
+    _, value = _values(stack, *corners(stack, CORNERS[0]), points)
+    bits = (value[:, 0::2] < value[:, 1::2]).astype(np.float32)
+    z = (bits - bits.mean(0)) / (bits.std(0) + 1e-6)
+    alike = np.abs(z.T @ z) / len(z)
+    order = np.argsort(np.abs(bits.mean(0) - 0.5), kind="stable")
+    order = order[: max(count, int((np.abs(bits.mean(0) - 0.5) < 0.15).sum()))].tolist()
+    taken: list[int] = []
+    while len(taken) < count:
+        for i in order:
+            if len(taken) < count and i not in taken and (not taken or alike[i, taken].max() < most_alike):
+                taken.append(i)
+        most_alike += 0.05
+    return points.reshape(-1, 2, 2)[np.random.default_rng(5).permutation(taken)]
+
+
+def describe(x: np.ndarray, image: np.ndarray, row: np.ndarray, col: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Angles in degrees and descriptors (two words) of patches turned upright."""
+    angle, value = _values(x, image, row, col, comparisons().reshape(-1, 2))
+    value = value.reshape(len(value), -1, 2)
     bits = np.packbits(value[:, :, 0] < value[:, :, 1], axis=1, bitorder="little")
     return np.degrees(angle), bits.view(np.int64)
 
@@ -223,7 +257,7 @@ def picture(seed: int) -> np.ndarray:
     """A cloudy picture that depends on the seed alone."""
     r = np.random.default_rng(seed)
     out = np.zeros((1, SIZE, SIZE), np.float32)
-    for cells, weight in ((8, 1.0), (16, 0.8), (32, 0.6)):
+    for cells, weight in ((8, 1.0), (16, 0.8), (32, 0.7), (48, 0.7)):
         grid = r.random((1, cells, cells), np.float32)
         at = np.clip((np.arange(SIZE) + 0.5) * cells / SIZE - 0.5, 0, cells - 1)
         lo = np.floor(at).astype(int)

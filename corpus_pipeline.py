@@ -18,6 +18,7 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no language (null texts, texts without a letter); lang becomes the predicted language."""
+    tables.modest_batches(spark)
     model = langid.train(docs.where(langid.fold() != 1))
     told = docs.select(*COLUMNS, langid.prediction(model, spark)("text").alias("_p"))
     kept = told.where("_p.lang_pred != 'und'")
@@ -26,6 +27,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each class of texts with five-word similarity of 0.8 or more."""
+    tables.modest_batches(spark)
     classes = simhash.similar_texts(docs.select("doc_id", "text"))
     first = tables.cut(classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct())
     kept = docs.select(*COLUMNS).join(first, F.col("doc_id").eqNullSafe(F.col("_id"))).select(*COLUMNS)
@@ -34,16 +36,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in which a benchmark item stands."""
+    tables.modest_batches(spark)
     return contamination.drop_contaminated(docs.select(*COLUMNS), tables.read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks secrets in the texts; keeps every document."""
+    tables.modest_batches(spark)
     return secrets.redact(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of what they decode to."""
+    tables.modest_batches(spark)
     return bpe.digests(docs, *bpe.public_vocabulary(), ids=True)
 
 

@@ -27,7 +27,7 @@ from kinweave.llm import tables
 
 #: A worker keeps the ids of up to twice so many distinct pieces: when a generation is full, the one before it
 #: goes, so that frequent pieces stay.
-CACHE_PIECES = 120_000
+CACHE_PIECES = 80_000
 #: Longer pieces are encoded each time: they hardly come again and would fill the cache.
 CACHED_CHARS = 64
 
@@ -278,7 +278,7 @@ def digests(df: DataFrame, lines: bytes, pattern: str, key: str = "doc_id", text
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, sha = _encoder(shared.value, pattern), hashlib.sha256
-        for batch in batches:
+        for batch in (whole.slice(lo, 256) for whole in batches for lo in range(0, len(whole), 256)):
             n, hashes, decoded, arrays = [], [], [], []
             for text in batch.column(1).to_pylist():
                 packed = enc.encode(text or "")

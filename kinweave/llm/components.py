@@ -79,5 +79,5 @@ def components(edges: DataFrame, local: int = LOCAL_EDGES) -> DataFrame:
     last = cut(_local(left))
     if found is None:
         return last
-    moved = found.join(last.withColumnsRenamed({"v": "root", "root": "on"}), "root", "left")
+    moved = found.join(last.select(F.col("v").alias("root"), F.col("root").alias("on")), "root", "left")
     return cut(moved.select("v", F.coalesce("on", "root").alias("root")))

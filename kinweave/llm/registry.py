@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinweave.llm import bpe, chat, contamination, html, langid, licences, media, secrets, simhash, substrings
+from kinweave.llm import bpe, chat, contamination, html, langid, licences, media, secrets, simhash, substrings, tables
 
 QUERIES = {
     "op1_decontaminate": contamination.op1_decontaminate,
@@ -19,8 +19,16 @@ QUERIES = {
 SQL: dict[str, str] = {}
 
 
+def _modest(f):
+    def query(spark, sf_dir):
+        tables.modest_batches(spark)
+        return f(spark, sf_dir)
+
+    return query
+
+
 def queries() -> dict:
-    return dict(QUERIES)
+    return {name: _modest(f) for name, f in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -34,6 +34,7 @@ BLOCK = 65_536
 BAND_BITS = 16
 #: Groups up to this size are compared pair by pair in one go, larger ones block by block.
 SMALL = 32
+ROWS_AT_ONCE = 32_768
 _TO_WORDS = bytes(0x20 if B._WHITE[i] else B.LOWER[i] for i in range(256))
 #: Spreads the bits of a byte over the eight bytes of a word, to count up to 255 of them at once.
 _SPREAD = (np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.uint8)[:, ::-1]).copy().view(np.uint64).ravel()
@@ -106,7 +107,7 @@ def planes_of(x: np.ndarray) -> np.ndarray:
 def near_at_lag(planes: np.ndarray, lag: int, radius: int, n: int) -> np.ndarray:
     """Which of n fingerprints are within radius of the one ``lag`` places after: planes against themselves, shifted."""
     word, bit = divmod(lag, 64)
-    counters = [np.zeros(planes.shape[1], np.uint64) for _ in range(radius.bit_length())]
+    counters = [np.zeros(planes.shape[1], np.uint64) for _ in range(max(1, radius.bit_length()))]
     over = np.zeros(planes.shape[1], np.uint64)
     later = np.zeros((2, planes.shape[1]), np.uint64)
     for i, p in enumerate(planes):
@@ -129,7 +130,7 @@ def near(planes: np.ndarray, queries: np.ndarray, radius: int, order: np.ndarray
     live = np.arange(len(queries))
     queries = queries.reshape(len(queries), -1)
     shape = (len(queries), planes.shape[1])
-    counters = [np.zeros(shape, np.uint64) for _ in range(radius.bit_length())]
+    counters = [np.zeros(shape, np.uint64) for _ in range(max(1, radius.bit_length()))]
     over = np.zeros(shape, np.uint64)
     for i, b in enumerate(order):
         flip = np.where(queries[live, b // 64] >> np.uint64(b % 64) & np.uint64(1), _FULL, np.uint64(0))[:, None]
@@ -236,8 +237,13 @@ def link_edges(keyed: DataFrame, radius: int, n: int, block: int = BLOCK) -> Dat
             a, b = np.array(forest.edges(), np.uint64).reshape(-1, 2).T
             return pa.RecordBatch.from_arrays([pa.array(a.copy().view(np.int64)), pa.array(b.copy().view(np.int64))], ["a", "b"])
 
-        forest, held = Forest(), None
-        for batch in batches:
+        forest, held, waiting = Forest(), None, []
+        for batch in itertools.chain(batches, [None]):
+            # Planes are worth making for many rows at a time.
+            waiting += [batch] * (batch is not None)
+            if not waiting or batch is not None and sum(map(len, waiting)) < ROWS_AT_ONCE:
+                continue
+            batch, waiting = pa.concat_batches(waiting), []
             if not len(batch):
                 continue
             k, part, v = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(3))

@@ -23,3 +23,14 @@ def cut(df: DataFrame) -> DataFrame:
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kinweave-"))
     return df.checkpoint()
+
+
+def modest_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Sends texts to Python in batches of at most so many rows, unless the session asks for fewer.
+
+    Spark counts 10,000 rows whatever their size; of long texts that is tens of
+    megabytes, held by the executor and by each of its workers.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))

@@ -132,9 +132,9 @@ def single_windows(found: DataFrame, window: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            k, d = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            marks = _lists(batch.column(3))
-            for lo, hi, data, offsets in B.chunks(batch.column(2)):
+            k, d = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
+            marks = _lists(batch.column(4))
+            for lo, hi, data, offsets in B.chunks(batch.column(3)):
                 runs = [(i, m["s"], m["n"], m["check"]) for i in range(lo, hi) for m in marks[i] or () if m["check"]]
                 if not runs:
                     continue
@@ -147,7 +147,8 @@ def single_windows(found: DataFrame, window: int) -> DataFrame:
                 columns += [k[row], _owner(d[row], at), check]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["x", "y", "k", "o", "n"])
 
-    rows = found.select("k", "d", "text", "marks").mapInArrow(work, "x long, y long, k long, o long, n long")
+    # With the key, which isn't used, the texts are dealt out by the same exchange as for the result, so only once.
+    rows = found.select("key", "k", "d", "text", "marks").mapInArrow(work, "x long, y long, k long, o long, n long")
     once = rows.groupBy("x", "y").agg(F.sum("n").alias("n"), F.first("k").alias("k"), F.first("o").alias("o")).where("n = 1")
     owned = once.select("k", F.shiftright("o", 32).alias("d"), F.col("o").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("s"))
     return owned.repartition("k", "d").groupBy("k", "d").agg(F.collect_list("s").alias("singles"))

@@ -133,3 +133,22 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", own), (-7, 1, "assistant", own)], "conv_id long, turn long, role string, text string")
     turns = tables.read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text").unionByName(extra)
     return digests(format_chats(turns))
+
+
+#: The same in SQL. Of an escaped text only the length is needed: one backslash for each backslash, for each # after
+#: another, and for each end of a turn.
+SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (
+  SELECT *, length(text) - length(replace(text, '\', '')) + length(text) - length(regexp_replace(text, '#+', '#', 'g'))
+           + (length(text) - length(replace(text, '</turn>', ''))) // 7 AS more,
+         CASE WHEN regexp_matches(role, '[\\#<>/:]') OR regexp_matches(role, '^\s|\s$') THEN length(role) - length(regexp_replace(role, '[\\#<>/:]', '', 'g')) ELSE 0 END AS role_more
+  FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(role) + role_more + length(text) + more + 14)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""

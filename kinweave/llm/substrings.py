@@ -208,3 +208,15 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that passages of 35 words found elsewhere cover, and what is kept."""
     out = remove_duplicate_passages(tables.read(spark, sf_dir, "documents", "doc_id", "text"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+#: The same in SQL, by comparing the words of all windows.
+SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+x AS (SELECT r, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word, w FROM d),
+s AS (SELECT r, i, word, CASE WHEN i + {WINDOW - 1} <= len(w) THEN array_to_string(w[i:i + {WINDOW - 1}], ' ') END AS seq FROM x),
+c AS (SELECT r, i, word, seq IS NOT NULL AND count(*) OVER (PARTITION BY seq) > 1 AS twice FROM s),
+g AS (SELECT r, i, word, max(twice::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN {WINDOW - 1} PRECEDING AND CURRENT ROW) = 1 AS gone FROM c),
+k AS (SELECT r, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept FROM g GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN k USING (r)
+"""

@@ -2,7 +2,7 @@
 
 Corners are found at several scales. The patch around a corner is turned by the
 direction of its centre of mass, and pairs of its points are compared; the results
-are the bits of its descriptor. Tables of 25 of these bits each join descriptors,
+are the bits of its descriptor. Tables of 32 of these bits each join descriptors,
 those within a Hamming radius are matches, and a copy is an image many of whose
 matches agree on one rotation, scale and shift. So crops, turned and retouched
 copies are found, while single look-alike patches count for nothing.
@@ -27,9 +27,9 @@ from kinweave.llm import tables
 
 #: Scales, and how many of the strongest corners are described at each.
 SCALES, CORNERS = (1.0, 0.7071, 0.5), (26, 14, 8)
-PATCH, BITS, KEY_BITS, N_TABLES = 9, 128, 25, 5
+PATCH, BITS, KEY_BITS, N_TABLES = 9, 128, 32, 4
 #: Largest distance of matching descriptors, and agreeing corners of the query that make a copy.
-RADIUS, INLIERS = 32, 5
+RADIUS, INLIERS = 30, 5
 #: Steps of rotation in degrees, of shift in pixels.
 TURN, SHIFT = 15, 8
 IMAGES_AT_ONCE = 64

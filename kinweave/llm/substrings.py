@@ -123,17 +123,13 @@ def phrase_index(docs: DataFrame, window: int, gram: int) -> DataFrame:
     return out.select("k", F.shiftright("o", 32).alias("d"), F.col("o").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("s"), F.col("size").cast("int").alias("n"), F.when(F.col("checked"), F.when(F.col("n") > 1, 2).otherwise(1)).otherwise(0).alias("check"))
 
 
-def _lists(column: pa.Array) -> list:
-    return column.to_pylist()
-
-
 def single_windows(found: DataFrame, window: int) -> DataFrame:
     """(k, d, singles): of the windows of checked phrases, those that stand once, by their first words."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k, d = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
-            marks = _lists(batch.column(4))
+            marks = batch.column(4).to_pylist()
             for lo, hi, data, offsets in B.chunks(batch.column(3)):
                 runs = [(i, m["s"], m["n"], m["check"]) for i in range(lo, hi) for m in marks[i] or () if m["check"]]
                 if not runs:
@@ -196,7 +192,7 @@ def remove_duplicate_passages(df: DataFrame, key: str = "doc_id", text: str = "t
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [kept_words(t, m, s, window) for t, m, s in zip(batch.column(1).cast(pa.binary()).to_pylist(), _lists(batch.column(2)), _lists(batch.column(3)), strict=True)]
+            rows = [kept_words(t, m, s, window) for t, m, s in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             n, removed, kept = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(removed, pa.int64())], ["key", "text", "n_words", "n_removed"])
 

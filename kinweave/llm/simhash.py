@@ -32,9 +32,13 @@ SHINGLE, RADIUS, BANDS, HASH_SEED = 4, 4, 6, 42
 BLOCK = 65_536
 #: Bits of a band for similar_texts: about the logarithm of the number of distinct texts, less a few.
 BAND_BITS = 16
+#: Texts of so few shingles meet by their least shingles, not by bands: bits of so small sets differ more often.
+SHORT = 32
+#: Texts of a candidate class in a block of the exact comparison, and blocks of a class unless a block would hold more than MOST_TEXTS.
+TEXTS, TEXT_BLOCKS, MOST_TEXTS = 512, 16, 16_384
 #: Groups up to this size are compared pair by pair in one go, larger ones block by block.
 SMALL = 32
-ROWS_AT_ONCE = 32_768
+ROWS_AT_ONCE, BYTES_AT_ONCE = 32_768, 1 << 24
 _TO_WORDS = bytes(0x20 if B._WHITE[i] else B.LOWER[i] for i in range(256))
 #: Spreads the bits of a byte over the eight bytes of a word, to count up to 255 of them at once.
 _SPREAD = (np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.uint8)[:, ::-1]).copy().view(np.uint64).ravel()
@@ -166,8 +170,21 @@ def _add(counters: list[np.ndarray], carry: np.ndarray) -> np.ndarray:
     return carry
 
 
-def links_of_groups(key: np.ndarray, prints: np.ndarray, names: np.ndarray, radius: int, forest: Forest) -> None:
-    """Links the names of fingerprints within radius under the same key; rows come sorted by key."""
+def alike(one: bytes, others: list[bytes], similarity: float) -> np.ndarray:
+    """Which of several sets (sorted 64-bit words) have at least this Jaccard similarity with one."""
+    a, sizes = np.frombuffer(one, np.uint64), np.array([len(x) // 8 for x in others])
+    out = np.zeros(len(others), bool)
+    may = np.flatnonzero(np.minimum(sizes, len(a)) >= similarity * np.maximum(sizes, len(a)) - 1e-9)
+    may = may[sizes[may] > 0]
+    if len(may) and len(a):
+        b, n = np.frombuffer(b"".join([others[i] for i in may]), np.uint64), sizes[may]
+        both = np.add.reduceat((a[np.minimum(np.searchsorted(a, b), len(a) - 1)] == b).astype(np.int64), np.cumsum(n) - n)
+        out[may] = both / (n + len(a) - both) >= similarity
+    return out
+
+
+def links_of_groups(key: np.ndarray, prints: np.ndarray, names: np.ndarray, radius: int, forest: Forest, sets: list[bytes] | None = None, similarity: float = 0) -> None:
+    """Links the names of fingerprints within radius under the same key; rows come sorted by key. With sets, only those that are alike."""
     if not len(key):
         return
     prints = prints.reshape(len(prints), -1)
@@ -179,7 +196,7 @@ def links_of_groups(key: np.ndarray, prints: np.ndarray, names: np.ndarray, radi
         x, k, planes = names[rows], key[rows], planes_of(prints[rows])
         for lag in range(1, int(own[rows].max())):
             for i in near_at_lag(planes, lag, radius, len(rows)):
-                if k[i] == k[i + lag]:
+                if k[i] == k[i + lag] and (sets is None or forest.root(int(x[i])) != forest.root(int(x[i + lag])) and alike(sets[rows[i]], [sets[rows[i + lag]]], similarity)[0]):
                     forest.link(int(x[i]), int(x[i + lag]))
     for g in np.flatnonzero(sizes > SMALL):
         x, name = prints[cuts[g] : cuts[g + 1]], names[cuts[g] : cuts[g + 1]]
@@ -195,6 +212,14 @@ def links_of_groups(key: np.ndarray, prints: np.ndarray, names: np.ndarray, radi
                 p, r = near(planes[j], x[at : at + 64], radius, order)
                 p, r = p + at, r + starts[j]
                 p, r = p[(r > p) & (r < len(x))], r[(r > p) & (r < len(x))]
+                if sets is not None:
+                    for u in np.unique(p):
+                        own = r[(p == u) & (label[r] != label[u])]
+                        for v in own[alike(sets[cuts[g] + u], [sets[cuts[g] + i] for i in own], similarity)]:
+                            if label[u] != label[v]:
+                                forest.link(int(name[u]), int(name[v]))
+                                label[label == max(label[u], label[v])] = min(label[u], label[v])
+                    continue
                 for u, v in {tuple(e) for e in np.unique(np.stack([label[p], label[r]], 1), axis=0).tolist()}:
                     u, v = label[u], label[v]
                     if u != v:
@@ -215,33 +240,39 @@ def band_keys(fp, radius: int = RADIUS, bands: int = BANDS):
     return F.array(*keys)
 
 
-def link_edges(keyed: DataFrame, radius: int, n: int, block: int = BLOCK) -> DataFrame:
+def link_edges(keyed: DataFrame, radius: int, n: int, block: int = BLOCK, similarity: float = 0) -> DataFrame:
     """Edges (a, b) that connect what lies within radius under a common key, from rows (k, v, p): key, name, fingerprint (long or binary).
 
     Each task gives a spanning forest of the links that it finds, not the links.
     A key with more than ``block`` fingerprints is split into blocks by a hash,
     and every pair of blocks is compared in a group of its own. n: how many
     fingerprints there are; keys needn't be counted if that is at most ``block``.
+    With a similarity, rows have a set too (s, sorted 64-bit words), and a link
+    counts only if the sets of both have at least this Jaccard similarity.
     """
+    own_set = ["s"] if similarity else []
     large = tables.cut(keyed.groupBy("k").count().where(F.col("count") > block)) if n > block else None
     if large is None or large.isEmpty():
-        keyed = keyed.select("k", F.lit(0).cast("long").alias("part"), "v", "p")
+        keyed = keyed.select("k", F.lit(0).cast("long").alias("part"), "v", "p", *own_set)
     else:
-        parts = F.coalesce(F.ceil(F.col("count") / block), F.lit(1)).cast("long")
+        parts = F.ceil(F.col("count") / block)
+        if similarity:
+            parts = F.greatest(F.least(parts, F.lit(TEXT_BLOCKS)), F.ceil(F.col("count") / MOST_TEXTS))
+        parts = F.coalesce(parts, F.lit(1)).cast("long")
         own = F.pmod(F.xxhash64("v"), F.col("n"))
-        keyed = keyed.join(large, "k", "left").select("k", "v", "p", parts.alias("n")).select("k", "v", "p", "n", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other"))
-        keyed = keyed.select("k", (F.least("own", "other") * F.col("n") + F.greatest("own", "other")).alias("part"), "v", "p")
+        keyed = keyed.join(large, "k", "left").select("k", "v", "p", *own_set, parts.alias("n")).select("k", "v", "p", *own_set, "n", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other"))
+        keyed = keyed.select("k", (F.least("own", "other") * F.col("n") + F.greatest("own", "other")).alias("part"), "v", "p", *own_set)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def give(forest: Forest) -> pa.RecordBatch:
             a, b = np.array(forest.edges(), np.uint64).reshape(-1, 2).T
             return pa.RecordBatch.from_arrays([pa.array(a.copy().view(np.int64)), pa.array(b.copy().view(np.int64))], ["a", "b"])
 
-        forest, held, waiting = Forest(), None, []
+        forest, held, waiting, sets = Forest(), None, [], []
         for batch in itertools.chain(batches, [None]):
             # Planes are worth making for many rows at a time.
             waiting += [batch] * (batch is not None)
-            if not waiting or batch is not None and sum(map(len, waiting)) < ROWS_AT_ONCE:
+            if not waiting or batch is not None and sum(map(len, waiting)) < ROWS_AT_ONCE and sum(x.nbytes for x in waiting) < BYTES_AT_ONCE:
                 continue
             batch, waiting = pa.concat_batches(waiting), []
             if not len(batch):
@@ -251,17 +282,19 @@ def link_edges(keyed: DataFrame, radius: int, n: int, block: int = BLOCK) -> Dat
             prints = np.frombuffer(b"".join(p.to_pylist()), np.uint64) if pa.types.is_binary(p.type) else p.to_numpy(zero_copy_only=False).view(np.uint64)
             prints = prints.reshape(len(v), -1)
             rows = B.mix(k.copy()) + part, v, prints
+            sets = sets + batch.column(4).to_pylist() if similarity else None
             if held is not None:
                 rows = tuple(np.concatenate(x) for x in zip(held, rows, strict=True))
             # The last group may go on in the next batch.
             end = int(np.flatnonzero(rows[0] != rows[0][-1]).max(initial=-1)) + 1
             held, rows = tuple(x[end:] for x in rows), tuple(x[:end] for x in rows)
-            links_of_groups(rows[0], rows[2], rows[1], radius, forest)
+            links_of_groups(rows[0], rows[2], rows[1], radius, forest, sets, similarity)
+            sets = sets[end:] if similarity else None
             if len(forest.up) > 200_000:
                 yield give(forest)
                 forest = Forest()
         if held is not None:
-            links_of_groups(held[0], held[2], held[1], radius, forest)
+            links_of_groups(held[0], held[2], held[1], radius, forest, sets, similarity)
         yield give(forest)
 
     return keyed.repartition("k", "part").sortWithinPartitions("k", "part").mapInArrow(work, "a long, b long")
@@ -313,51 +346,112 @@ def bands_needed(bits: int, similarity: float, recall: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - same**bits))
 
 
-def similar_texts(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, recall: float = 0.99, words: int = 8, bits: int = BAND_BITS) -> DataFrame:
-    """(key, component_id): classes of texts whose sets of k-word shingles have about this Jaccard similarity or more.
+def text_digest(text):
+    """The column by which rows of the same text are told; null is empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def _text_classes(df: DataFrame, key: str, text: str, k: int, similarity: float, recall: float, words: int, bits: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (_key, v), v naming a set of shingles, and (v, class, first): first is the least (no key, key, digest of the text) of a set.
 
-    The same fingerprints with ``words`` times 64 bits: their distance tells the
-    similarity (with a deviation of 0.04 at 512 bits), and bands of it, as many as
-    the wanted recall needs, tell which are compared. Equal fingerprints collapse
-    first. Texts without words are one class. Repeated rows stay, a null key counts
-    in no minimum, other columns are left out.
+    Texts of more than SHORT shingles meet by bands, as many as the wanted recall
+    needs. Shorter ones, and those up to what can be similar to them, meet by their
+    least shingles, of which similar sets always share one. What meets and lies
+    within the radius (the mean distance at this similarity, of small sets, where
+    it is largest, and three deviations) makes candidate classes; in these, all
+    pairs within the radius are compared by their sets, and only similar ones count.
     """
     bands = bands_needed(bits, similarity, recall)
     total = max(words, -(-bits * bands // 64))
-    radius = int(64 * words * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    differ = max(3 / 16, math.acos(2 * similarity / (1 + similarity)) / math.pi)
+    radius = int(64 * words * differ + 3 * math.sqrt(64 * words * differ * (1 - differ)))
+    upto = math.floor(SHORT / similarity)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = wide_fingerprints(batch.column(1), k, total)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in rows], pa.binary())], ["_key", "p"])
+            sets = shingle_sets(batch.column(1), k)
+            v = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
+            few = [s[: len(s) - math.ceil(similarity * len(s) - 1e-9) + 1].tobytes() if 0 < len(s) <= upto else b"" for s in sets]
+            columns = [pa.array(v), pa.array([r.tobytes() for r in wide_fingerprints(sets, total)], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array(few, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], ["_key", "t", "v", "p", "n", "few"])
 
     kind = df.schema[key].dataType.simpleString()
-    prints = tables.cut(df.select(key, text).mapInArrow(work, f"_key {kind}, p binary").select("_key", F.xxhash64("p").alias("v"), "p"))
-    once = tables.cut(prints.groupBy("v").agg(F.min("_key").alias("least"), F.first("p").alias("p")))
+    rows = df.select(F.col(key).alias("_key"), F.col(text).alias("text"), text_digest(F.col(text)).alias("t"))
+    prints = tables.cut(rows.mapInArrow(work, f"_key {kind}, t long, v long, p binary, n long, few binary"))
+    first = F.min(F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("id"), "t")).alias("first")
+    once = tables.cut(prints.groupBy("v").agg(first, F.first("p").alias("p"), F.first("n").alias("n"), F.first("few").alias("few")))
 
-    def bands_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for lo in range(0, len(whole), 1024):
                 batch = whole.slice(lo, 1024)
                 p = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(batch), -1)
-                b = np.unpackbits(p, axis=1, bitorder="little")[:, : bits * bands].reshape(len(batch), bands, bits)
-                short = pa.array([r.tobytes() for r in p[:, : 8 * words]], pa.binary())
-                for at in range(bands):
-                    key = np.packbits(b[:, at], axis=1, bitorder="little").astype(np.int64) @ (1 << 8 * np.arange(-(-bits // 8)))
-                    yield pa.RecordBatch.from_arrays([pa.array(key | at << 48), batch.column(0), short], ["k", "v", "p"])
+                v, short = batch.column(0).to_numpy(), np.array([r.tobytes() for r in p[:, : 8 * words]], object)
+                few = [np.frombuffer(x, np.int64) for x in batch.column(3).to_pylist()]
+                own = np.repeat(np.arange(len(few)), [len(x) for x in few])
+                if len(own):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(few) | np.int64(-1 << 63)), pa.array(v[own]), pa.array(short[own], pa.binary())], ["k", "v", "p"])
+                long = np.flatnonzero(batch.column(2).to_numpy() > SHORT)
+                if len(long):
+                    b = np.unpackbits(p[long], axis=1, bitorder="little")[:, : bits * bands].reshape(len(long), bands, bits)
+                    names, prints_ = pa.array(v[long]), pa.array(short[long], pa.binary())
+                    for at in range(bands):
+                        key = np.packbits(b[:, at], axis=1, bitorder="little").astype(np.int64) @ (1 << 8 * np.arange(-(-bits // 8)))
+                        yield pa.RecordBatch.from_arrays([pa.array(key | at << 48), names, prints_], ["k", "v", "p"])
+
+    keyed = once.select("v", "p", "n", "few").mapInArrow(keys_of, "k long, v long, p binary")
+    near_by = components(link_edges(keyed, radius, once.count()))
+    candidates = tables.cut(near_by.join(once, "v").select(F.col("root").alias("k"), "v", F.substring("p", 1, 8 * words).alias("p"), F.col("first.t").alias("t")))
+
+    def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = pa.array([s.tobytes() for s in shingle_sets(batch.column(3), k)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], sets], ["k", "v", "p", "s"])
 
-    keyed = once.select("v", "p").mapInArrow(bands_of, "k long, v long, p binary")
-    return _named(prints.select("_key", "v"), once.select("v", "least"), link_edges(keyed, radius, once.count()), key).select(key, "component_id")
+    # Equal texts are added up before anything is sent, so a text with very many copies is one row a task.
+    texts = rows.groupBy("t").agg(F.first("text").alias("text"))
+    full = candidates.join(texts, "t").select("k", "v", "p", "text").mapInArrow(with_sets, "k long, v long, p binary, s binary")
+    sure = components(link_edges(tables.cut(full), radius, candidates.count(), TEXTS, similarity))
+    told = once.select("v", "first").join(sure, "v", "left").select("v", F.coalesce("root", "v").alias("class"), "first")
+    return prints.select("_key", "v"), tables.cut(told)
 
 
-def wide_fingerprints(column: pa.Array, k: int, words: int) -> np.ndarray:
-    """Fingerprints of so many words; each word from a hash of its own of the shingles' hashes."""
+def similar_texts(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, recall: float = 0.99, words: int = 8, bits: int = BAND_BITS) -> DataFrame:
+    """(key, component_id): classes of texts whose sets of k-word shingles have this Jaccard similarity or more.
+
+    The same fingerprints, of the distinct shingles and with ``words`` times 64
+    bits, tell which texts are compared; a link counts only after the exact
+    similarity of the two sets. Equal sets collapse first. Texts without words are
+    one class. Repeated rows stay, a null key counts in no minimum, other columns
+    are left out.
+    """
+    prints, told = _text_classes(df, key, text, k, similarity, recall, words, bits)
+    ids = told.groupBy("class").agg(F.min("first.id").alias("component_id"))
+    named = tables.cut(told.join(ids, "class").select("v", "component_id"))
+    return prints.join(named, "v").select(F.col("_key").alias(key), "component_id")
+
+
+def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, recall: float = 0.99, words: int = 8, bits: int = BAND_BITS) -> DataFrame:
+    """(id, t): one text of each class of similar_texts, by least key (null last), then text_digest."""
+    told = _text_classes(df, key, text, k, similarity, recall, words, bits)[1]
+    return told.groupBy("class").agg(F.min("first").alias("first")).select("first.id", "first.t")
+
+
+def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:
+    """The sorted distinct hashes of the shingles of each text."""
     out = []
     for _, _, data, offsets in B.chunks(column):
         raw, cuts = data.tobytes(), offsets.tolist()
-        runs = [shingle_hashes(raw[a:b], k) for a, b in itertools.pairwise(cuts)]
-        sizes = np.array([len(r) for r in runs])
-        h = np.fromiter(itertools.chain.from_iterable(runs), np.uint64, int(sizes.sum()))
+        out += [np.unique(np.array(shingle_hashes(raw[a:b], k), np.uint64)) for a, b in itertools.pairwise(cuts)]
+    return out
+
+
+def wide_fingerprints(sets: list[np.ndarray], words: int) -> np.ndarray:
+    """Fingerprints of so many words; each word from a hash of its own of the shingles' hashes."""
+    out = []
+    for lo in range(0, len(sets), 256):
+        part = sets[lo : lo + 256]
+        h, sizes = np.concatenate(part), np.array([len(s) for s in part])
         out.append(np.stack([bit_majorities(B.mix(h + np.uint64(j * B.BASE & 0xFFFFFFFFFFFFFFFF)), sizes) for j in range(words)], 1))
     return np.concatenate(out) if out else np.zeros((0, words), np.uint64)
 

@@ -183,3 +183,38 @@ def test_passages_of_odd_rows(spark, odd):
 
 def test_fingerprint_of_nulls_in_a_batch():
     assert simhash.fingerprint_batch(pa.array([None, "", "a b c d e"])).tolist() == [0, 0, plain_print("a b c d e")]
+
+
+def exact_classes(rows):
+    sets = {d: {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for d, t in rows if (w := t.lower().split())}
+    ids = sorted(sets)
+    links = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    return joined(ids, links)
+
+
+def test_similar_texts_by_exact_similarity(spark):
+    """Pairs just above and below 0.8, long and short, and a chain; the estimate alone decides half of them wrongly."""
+    r = random.Random(9)
+    rows = []
+    for g in range(60):
+        n = (204, 104, 9, 40)[g % 4]
+        words = [f"w{r.randrange(10**6)}" for _ in range(n)]
+        # Words put at the end: n - 4 shingles are shared, of n - 4 + extra.
+        extra = int((n - 4) / 0.8 + 1e-9) - (n - 4) + (g // 4 % 2)
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join([*words, *(f"x{r.randrange(10**6)}" for _ in range(extra))]))]
+    got = {x["doc_id"]: x["component_id"] for x in simhash.similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == exact_classes(rows)
+
+
+def test_large_classes_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TEXTS", 20)
+    r = random.Random(10)
+    words = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(150):
+        w = list(words)
+        for _ in range(r.randrange(5)):
+            w[r.randrange(120)] = f"y{r.randrange(10**6)}"
+        rows.append((i, " ".join(w)))
+    got = {x["doc_id"]: x["component_id"] for x in simhash.similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == exact_classes(rows)

@@ -26,12 +26,17 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each class of texts with five-word similarity of 0.8 or more."""
+    """Keeps one document of each class of texts with five-word similarity of 0.8 or more: smallest id, null last, then text hash.
+
+    Classes are of texts, so a shared or null id merges nothing; of rows with the
+    same id and text the least by the other columns stays.
+    """
     tables.modest_batches(spark)
-    classes = simhash.similar_texts(docs.select("doc_id", "text"))
-    first = tables.cut(classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct())
-    kept = docs.select(*COLUMNS).join(first, F.col("doc_id").eqNullSafe(F.col("_id"))).select(*COLUMNS)
-    return kept.dropDuplicates(["doc_id"])
+    first = tables.cut(simhash.representatives(docs.select("doc_id", "text")))
+    rows = docs.select(*COLUMNS, simhash.text_digest(F.col("text")).alias("_t"))
+    kept = rows.join(first, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_t") == F.col("t")))
+    least = kept.groupBy("doc_id", "_t").agg(F.min(F.struct("source", "lang", "n_chars", "text")).alias("_r"))
+    return least.select("doc_id", *(F.col(f"_r.{c}").alias(c) for c in COLUMNS[1:]))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

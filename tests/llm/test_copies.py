@@ -218,3 +218,13 @@ def test_large_classes_are_compared_in_blocks(spark, monkeypatch):
         rows.append((i, " ".join(w)))
     got = {x["doc_id"]: x["component_id"] for x in simhash.similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == exact_classes(rows)
+
+
+def test_shared_and_null_ids_merge_no_texts(spark):
+    import corpus_pipeline
+
+    text = lambda i: " ".join(f"t{i}w{j}" for j in range(60))
+    rows = [(None, text(1), "en", "a", 1), (None, text(2), "en", "a", 1), (7, text(3), "en", "b", 1), (7, text(4), "en", "a", 1), (7, text(4), "en", "a", 1), (8, text(4), "en", "a", 1), (None, text(3), "en", "a", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((x["doc_id"], x["text"]) for x in corpus_pipeline.near_duplicates(spark, df, "").collect()), key=str)
+    assert got == sorted([(None, text(1)), (None, text(2)), (7, text(3)), (7, text(4))], key=str)

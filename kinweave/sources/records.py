@@ -58,13 +58,19 @@ def load_truth(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     return rows.select("q", F.explode("ids").alias("t")), rows.select("q").distinct()
 
 
+def six_digits(number):
+    """A number with zeros before it up to six digits; unlike lpad alone, longer numbers stay whole."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.lit(6), F.length(digits)), "0")
+
+
 def from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as records of three sources: the first 60 characters are the name, the next 80 the address."""
     d = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang").where("doc_id is not null")
     body, source = F.coalesce("text", F.lit("")), (F.col("doc_id") % 3 + 1).cast("int")
     raw = d.select(
         F.lit("train").alias("split"),
-        F.concat(F.lit("S"), source.cast("string"), F.lit("-"), F.lpad(F.col("doc_id").cast("string"), 6, "0")).alias("id"),
+        F.concat(F.lit("S"), source.cast("string"), F.lit("-"), six_digits(F.col("doc_id"))).alias("id"),
         source.alias("source"),
         F.coalesce("lang", F.lit("")).alias("country"),
         F.substring(body, 1, 60).alias("raw_name"),
@@ -83,7 +89,7 @@ def document_truth(records: DataFrame) -> DataFrame:
 def synthetic(spark: SparkSession, n: int, split: str) -> DataFrame:
     """The generated set of records: matches in both target sources, one distractor each, some entities without a match."""
     i = F.col("id").cast("int")
-    six = F.lpad(i.cast("string"), 6, "0")
+    six = six_digits(i)
     name = F.concat(F.lit("Lotus "), (i % 13).cast("string"), F.lit(" Systems"))
     road = lambda kind: F.concat((100 + i).cast("string"), F.lit(f" Cedar {kind} Sector "), (i % 7).cast("string"))
     places = ["India", "US"] if split == "train" else ["India", "US", "France"]
@@ -103,4 +109,4 @@ def synthetic(spark: SparkSession, n: int, split: str) -> DataFrame:
 def synthetic_truth(records: DataFrame) -> DataFrame:
     """(q, t) of the generated set: targets with the number of a query."""
     own = records.where("source != 1 and id not like '%D%'")
-    return own.select(F.concat(F.lit("S1-"), F.substring("id", 4, 6)).alias("q"), F.col("id").alias("t"))
+    return own.select(F.concat(F.lit("S1-"), F.expr("substring(id, 4)")).alias("q"), F.col("id").alias("t"))

@@ -107,3 +107,10 @@ def test_files(spark, tmp_path):
     (tmp_path / "train/train_ground_truth.tsv").write_text("\t".join(R.TRUTH_COLUMNS) + "\nS1-1\tS2-1,S2-1\n")
     with pytest.raises(Exception):  # noqa: B017
         R.load_truth(spark, str(tmp_path))[0].collect()
+
+
+def test_long_ids_stay_whole(spark, tmp_path):
+    ids = [7, 999_999, 1_000_001, 1_000_004, 1_000_007, 12_345_678]
+    spark.createDataFrame([(i, f"text {i}", "en") for i in ids], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["id"] for r in R.from_documents(spark, str(tmp_path)).collect()}
+    assert got == {f"S{i % 3 + 1}-{i:06d}" for i in ids}

@@ -31,10 +31,8 @@ _HEX = np.zeros(256, bool)
 _HEX[[*range(0x30, 0x3A), *range(0x61, 0x67)]] = True
 _KEYISH = np.zeros(256, bool)
 _KEYISH[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *b"+/_.=-"]] = True
-_DIGIT = np.zeros(256, bool)
-_DIGIT[0x30:0x3A] = True
-#: A candidate of the method is a run of key characters at least so long with at least so many digits.
-CANDIDATE_CHARS, CANDIDATE_DIGITS = 16, 3
+#: A candidate of the method is a run of key characters at least so long; shorter secrets are left to the base rules.
+CANDIDATE_CHARS = 16
 
 #: Characters that the network sees: before a candidate, of it, and after it.
 BEFORE, INSIDE, AFTER = 24, 48, 16
@@ -62,6 +60,13 @@ def view(data: bytes, start: int, end: int) -> np.ndarray:
     return _GROUPS[np.frombuffer(before + cand.ljust(INSIDE, b"\0") + data[end : end + AFTER].ljust(AFTER, b"\0"), np.uint8)]
 
 
+def windows(start: int, end: int) -> list[tuple[int, int]]:
+    """The parts of a candidate that the network sees one by one; any INSIDE / 2 characters in a row are whole in one."""
+    if end - start <= INSIDE:
+        return [(start, end)]
+    return [(s, s + INSIDE) for s in [*range(start, end - INSIDE, INSIDE // 2), end - INSIDE]]
+
+
 class Network:
     """Convolution over character groups, the largest value of each filter before, inside and after, and one hidden layer."""
 
@@ -148,6 +153,13 @@ def labelled_findings(n: int, seed: int) -> list[tuple[bytes, int, int, int]]:
                     lambda: "=" * 12 + chars(dig, 3) + "-" * 8,
                     lambda: f"{r.integers(1, 99)}.{r.integers(0, 99)}.{r.integers(0, 99)}-{word()}.{word()}",
                     lambda: "/".join(chars(dig, 3) for _ in range(5)),
+                    lambda: word() * 5,
+                    lambda: "-".join(word() for _ in range(5)),
+                    lambda: "/".join(pick([word, lambda: word().title()])() for _ in range(6)),
+                    lambda: "".join(word().title() for _ in range(5)) + chars(dig, int(r.integers(0, 3))),
+                    lambda: "_".join(word().upper() for _ in range(4)),
+                    lambda: ".".join(word() for _ in range(5)) + pick(["", "..."]),
+                    lambda: pick("=-_./+") * size,
                     lambda: "+" + chars(dig, 3) + "-" + chars(dig, 3) + "-" + chars(dig, 8),
                 ]
             )()
@@ -157,14 +169,52 @@ def labelled_findings(n: int, seed: int) -> list[tuple[bytes, int, int, int]]:
     return out
 
 
+def long_findings(n: int, seed: int) -> list[tuple[bytes, int, int, int, int]]:
+    """(text, start, end, start of the secret, end of it): runs longer than the network sees, every other with a secret in it (else 0, 0)."""
+    r = np.random.default_rng(seed)
+    found = labelled_findings(4 * n, seed + 1)
+    # Secrets of at most half a window in one part of a longer path or query; the rest of it is made of ordinary words.
+    keys = [d[s:e] for d, s, e, y in found if y and e - s <= INSIDE // 2]
+    plain = re.findall(rb"[a-z]+", b" ".join(d[:s] for d, s, _, y in found if not y))
+    out = []
+    for i in range(n):
+        part = lambda: b"/".join(plain[int(j)] for j in r.integers(0, len(plain), int(r.integers(4, 9))))
+        a, b = part() + b"/" + part() + b"/", b"/" + part() + b"/" + part()
+        key = keys[int(r.integers(len(keys)))] if i % 2 == 0 else b""
+        before = b" ".join(plain[int(j)] for j in r.integers(0, len(plain), 5)) + b" "
+        start = len(before)
+        at = start + len(a)
+        out.append((before + a + key + b + b" " + part().replace(b"/", b" "), start, at + len(key) + len(b), at if key else 0, at + len(key) if key else 0))
+    return out
+
+
+def seen(f: tuple) -> list[tuple[int, int, int, int]]:
+    """(start, end, is a secret, whether to learn from it) of the windows of a finding; a secret cut by a window teaches nothing."""
+    start, end = f[1:3]
+    a, b = (start, end) if len(f) == 4 and f[3] else f[3:] if len(f) == 5 else (0, 0)
+    out = []
+    for s, e in windows(start, end):
+        shared = min(e, b) - max(s, a)
+        whole = shared >= min(b - a, CANDIDATE_CHARS)
+        out.append((s, e, int(b > a and whole), int(b == a or shared <= 0 or whole)))
+    return out
+
+
 @functools.cache
 def train(n: int = 2400, epochs: int = 6, seed: int = SEED) -> Network:
-    """Fits the network on three quarters of the findings; the rest sets calibration and threshold."""
-    found = labelled_findings(n, seed)
-    x, y = np.stack([view(*f[:3]) for f in found]), np.array([f[3] for f in found], float)
+    """Fits the network on three quarters of the findings; the rest sets calibration and threshold.
+
+    The threshold is set end to end: a finding goes through the candidates and
+    windows of the scan, and one that makes no candidate counts as missed.
+    """
+    found = [*labelled_findings(n, seed), *long_findings(n // 4, seed)]
     r = np.random.default_rng(seed)
-    order = r.permutation(n)
-    fit, rest = order[: n * 3 // 4], order[n * 3 // 4 :]
+    order = r.permutation(len(found))
+    learnt = [found[i] for i in order[: len(found) * 3 // 4]]
+    kept = [found[i] for i in order[len(found) * 3 // 4 :]]
+    parts = [(f[0], *w) for f in learnt for w in seen(f) if w[3]]
+    x, y = np.stack([view(*w[:3]) for w in parts]), np.array([w[3] for w in parts], float)
+    fit = np.arange(len(x))
     net = Network(seed)
     mean, var, t = {k: np.zeros_like(v) for k, v in net.p.items()}, {k: np.zeros_like(v) for k, v in net.p.items()}, 0
     for _ in range(epochs):
@@ -175,16 +225,34 @@ def train(n: int = 2400, epochs: int = 6, seed: int = SEED) -> Network:
                 mean[k] = 0.9 * mean[k] + 0.1 * g
                 var[k] = 0.999 * var[k] + 0.001 * g * g
                 net.p[k] -= 0.01 * (mean[k] / (1 - 0.9**t)) / (np.sqrt(var[k] / (1 - 0.999**t)) + 1e-8)
-    out, label = net.forward(x[rest])[0], y[rest]
+    label = np.array([f[3] > 0 for f in kept], float)
+    out = np.array([_best(net, f) for f in kept])
     a, b = 1.0, 0.0
+    raw, told, out, label = out, label, out[np.isfinite(out)], label[np.isfinite(out)]
     for _ in range(200):  # logistic regression on the output
         p = 1 / (1 + np.exp(-(a * out + b)))
         a, b = a - 0.05 * ((p - label) * out).mean(), b - 0.05 * (p - label).mean()
     net.slope, net.offset = float(a), float(b)
-    net.threshold = float(min(0.9, np.quantile(net.score(x[rest])[label == 1], 1 - RECALL)))
+    reached = 1 / (1 + np.exp(-(net.slope * raw[told == 1] + net.offset)))
+    net.threshold = float(min(0.9, np.quantile(reached, 1 - RECALL, method="lower")))
     return net
 
 
+def candidates(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(start, end) of the runs that the network judges."""
+    starts, ends, _ = B.words(data, offsets, _KEYISH)
+    may = ends - starts >= CANDIDATE_CHARS
+    return np.stack([starts[may], ends[may]], 1)
+
+
+def _best(net: Network, finding: tuple) -> float:
+    """The largest output over the windows of the candidates that hold the finding; minus infinity without any."""
+    data, start, end = finding[:3]
+    runs = candidates(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
+    views = [view(data, *w) for s, e in runs.tolist() if s < end and start < e for w in windows(s, e)]
+    return float(net.forward(np.stack(views))[0].max()) if views else -np.inf
+
+
 def base_spans(data: bytes, text: str, hex_runs: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
     """(start, end, kind) of the base rules, in code points."""
     out = []
@@ -203,12 +271,9 @@ def scan_batch(column: pa.Array, net: Network) -> list[list[tuple[int, int, int]
         starts, ends, _ = B.words(data, offsets, _HEX)
         long = ends - starts >= LEAST["hex"]
         hexes = np.stack([starts[long], ends[long]], 1)
-        starts, ends, _ = B.words(data, offsets, _KEYISH)
-        digits = np.concatenate([[0], np.cumsum(_DIGIT[data])])
-        may = (ends - starts >= CANDIDATE_CHARS) & (digits[ends] - digits[starts] >= CANDIDATE_DIGITS)
-        cands = np.stack([starts[may], ends[may]], 1)
+        cands = candidates(data, offsets)
         hex_at, cand_at = np.searchsorted(hexes[:, 0], offsets), np.searchsorted(cands[:, 0], offsets)
-        seen, owner = [], []
+        views, owner = [], []
         for i in range(hi - lo):
             a, b = int(offsets[i]), int(offsets[i + 1])
             doc = raw[a:b]
@@ -218,11 +283,16 @@ def scan_batch(column: pa.Array, net: Network) -> list[list[tuple[int, int, int]
             text = doc.decode()
             out.append(base_spans(doc, text, runs))
             for s, e in cands[cand_at[i] : cand_at[i + 1]]:
-                seen.append(view(doc, int(s) - a, int(e) - a))
-                owner.append((lo + i, place(int(s) - a), place(int(e) - a)))
-        if seen:
-            for (i, s, e), p in zip(owner, net.score(np.stack(seen)), strict=True):
-                if p >= net.threshold and not any(s < y and x < e for x, y, _ in out[i]):
+                parts = windows(int(s) - a, int(e) - a)
+                views += [view(doc, *w) for w in parts]
+                owner.append((lo + i, doc, int(s) - a, int(e) - a, len(views) - len(parts)))
+        if views:
+            p = np.concatenate([net.score(np.stack(views[k : k + 4096])) for k in range(0, len(views), 4096)])
+            top = np.maximum.reduceat(p, [x[4] for x in owner])
+            for k in np.flatnonzero(top >= net.threshold):
+                i, doc, s, e, _ = owner[k]
+                s, e = len(doc[:s].decode()), len(doc[:e].decode())
+                if not any(s < y and x < e for x, y, _ in out[i]):
                     out[i].append((s, e, 3))
     for spans in out:
         spans.sort(key=lambda x: (x[0], x[2], x[1]))

@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kinweave.llm import contamination, langid, licences, secrets
@@ -190,3 +191,13 @@ def test_items_in_odd_rows(spark, odd):
     assert contamination.drop_contaminated(odd, items).count() == 6
     assert contamination.find_items(odd.limit(0), items).count() == 0
     assert contamination.find_items(odd, items.limit(0)).count() == 0
+
+
+def test_secrets_with_few_digits_and_within_long_runs():
+    """The whole scan, candidates included, finds what the threshold promises."""
+    net = secrets.train()
+    for found, low in ((secrets.labelled_findings(1000, 77), 0.95), (secrets.long_findings(400, 78), 0.9)):
+        spans = secrets.scan_batch(pa.array([f[0].decode() for f in found]), net)
+        hit = np.array([any(s < f[2] and f[1] < e for s, e, _ in x) for f, x in zip(found, spans, strict=True)])
+        secret = np.array([f[3] > 0 for f in found])
+        assert hit[secret].mean() > low and hit[~secret].mean() < 0.1

@@ -34,8 +34,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     tables.modest_batches(spark)
     first = tables.cut(simhash.representatives(docs.select("doc_id", "text")))
     rows = docs.select(*COLUMNS, simhash.text_digest(F.col("text")).alias("_t"))
-    kept = rows.join(first, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_t") == F.col("t")))
-    least = kept.groupBy("doc_id", "_t").agg(F.min(F.struct("source", "lang", "n_chars", "text")).alias("_r"))
+    # One hash of both parts of the key, by which texts are sent once for the join and for the aggregate.
+    kept = rows.withColumn("_h", F.xxhash64("doc_id", "_t")).join(first.withColumn("_h", F.xxhash64("id", "t")), "_h")
+    kept = kept.where(F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_t") == F.col("t")))
+    least = kept.groupBy("_h", "doc_id", "_t").agg(F.min(F.struct("source", "lang", "n_chars", "text")).alias("_r"))
     return least.select("doc_id", *(F.col(f"_r.{c}").alias(c) for c in COLUMNS[1:]))
 
 

@@ -36,6 +36,8 @@ BAND_BITS = 16
 SHORT = 32
 #: Texts of a candidate class in a block of the exact comparison, and blocks of a class unless a block would hold more than MOST_TEXTS.
 TEXTS, TEXT_BLOCKS, MOST_TEXTS = 512, 16, 16_384
+#: The table of candidate texts has at most 2 ** MOST_BITS bits (8 MB).
+MOST_BITS = 26
 #: Groups up to this size are compared pair by pair in one go, larger ones block by block.
 SMALL = 32
 ROWS_AT_ONCE, BYTES_AT_ONCE = 32_768, 1 << 24
@@ -408,10 +410,24 @@ def _text_classes(df: DataFrame, key: str, text: str, k: int, similarity: float,
             sets = pa.array([s.tobytes() for s in shingle_sets(batch.column(3), k)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], sets], ["k", "v", "p", "s"])
 
+    # Few texts are candidates; a bit table by digest, which lets some others through, keeps most from being sent. The join is exact.
+    n = candidates.count()
+    size = 1 << min(MOST_BITS, max(10, (16 * n).bit_length()))
+    marks = np.zeros(size >> 3, np.uint8)
+    for part in candidates.select(F.pmod("t", F.lit(size)).alias("at")).toArrow().column("at").chunks:
+        at = part.to_numpy()
+        np.bitwise_or.at(marks, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    shared = df.sparkSession.sparkContext.broadcast(marks)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(0).to_numpy() & size - 1
+            yield batch.filter(pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+
     # Equal texts are added up before anything is sent, so a text with very many copies is one row a task.
-    texts = rows.groupBy("t").agg(F.first("text").alias("text"))
+    texts = rows.select("t", "text").mapInArrow(marked, "t long, text string").groupBy("t").agg(F.first("text").alias("text"))
     full = candidates.join(texts, "t").select("k", "v", "p", "text").mapInArrow(with_sets, "k long, v long, p binary, s binary")
-    sure = components(link_edges(tables.cut(full), radius, candidates.count(), TEXTS, similarity))
+    sure = components(link_edges(tables.cut(full), radius, n, TEXTS, similarity))
     told = once.select("v", "first").join(sure, "v", "left").select("v", F.coalesce("root", "v").alias("class"), "first")
     return prints.select("_key", "v"), tables.cut(told)
 

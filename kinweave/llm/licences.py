@@ -40,10 +40,14 @@ BASE_SURE = 0.9
 TAG = "spdx license identifier"
 TAG_SURE = 0.99
 _TAG_LINE = re.compile(r"spdx-license-identifier\s*:[ \t]*([^\r\n]*)", re.IGNORECASE | re.ASCII)
-_EXPRESSION = re.compile(r"\(|\)|[A-Za-z0-9.+:-]+")
+_EXPRESSION = re.compile(r"\s*(\(|\)|[A-Za-z0-9.+:-]+)")
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 #: Licences that don't ask for the same licence on derived works; a family is what stands before the version.
 PERMISSIVE = {"mit", "apache", "bsd", "isc", "cc0", "cc", "unlicense", "zlib", "0bsd", "bsl"}
+#: Families of licence identifiers: a word after a tag is a licence only if what stands before its first sign or version is one.
+FAMILIES = PERMISSIVE | set(
+    "afl agpl apl apsl artistic beerware blueoak boost cal catosl cddl cecill cpal cpl curl ecl efl epl eupl fdl ftl gfdl gpl hpnd ijg intel ipl json lgpl libpng licenseref lppl mpl ms mulanpsl naist ncsa nist none noassertion npl oclc odbl odc ofl ogl openssl osl pddl php postgresql psf python qpl rpl ruby sgi sissl sleepycat spl sspl tcl unicode upl vim w3c watcom wtfpl x11 xnet zpl".split()
+)
 
 _TO_WORDS = bytes(B.LOWER[i] if B.WORD_ALNUM[i] else 0x20 for i in range(256))
 
@@ -57,17 +61,25 @@ def automaton() -> ahocorasick.Automaton:
 
 
 def parse(text: str) -> tuple | None:
-    """The tree of a licence expression: a name, or (operator, left, right). Reads as far as the text is an expression."""
+    """The tree of a licence expression: a name, or (operator, left, right), or None where no name stands.
+
+    Reads as far as the text is an expression: up to the first character or token
+    that can't go on with it. Operators without a right side and open parentheses
+    are left out.
+    """
     out: list = []
     held: list[str] = []
 
     def reduce() -> None:
         op = held.pop()
-        right, left = out.pop(), out.pop()
-        out.append((op, left, right))
-
-    operand = True
-    for token in _EXPRESSION.findall(text):
+        if op != "(":
+            right, left = out.pop(), out.pop()
+            out.append((op, left, right))
+
+    operand, at = True, 0
+    while m := _EXPRESSION.match(text, at):
+        at = m.end()
+        token = m[1]
         word = token.lower()
         if token == "(":
             if not operand:
@@ -91,13 +103,11 @@ def parse(text: str) -> tuple | None:
                 break
             out.append(word)
             operand = False
-    if operand and held and held[-1] != "(":
-        held.pop()
+    # What waits for an operand that never came goes: open parentheses at the end, up to an operator, whose left side stands.
+    while operand and held:
+        operand = held.pop() == "("
     while held:
-        if held[-1] == "(":
-            held.pop()
-        else:
-            reduce()
+        reduce()
     return out[-1] if out else None
 
 
@@ -113,6 +123,12 @@ def names(tree) -> list[str]:
     return names(left) + names(right)
 
 
+def known(name: str) -> bool:
+    """Whether a name is that of a licence: one of FAMILIES, with or without version and variant."""
+    name = name.partition(" with ")[0]
+    return re.split(r"[-+.:]|(?<=[a-z])v?(?=[0-9])", name, maxsplit=1)[0] in FAMILIES or name in FAMILIES
+
+
 def permissive(tree) -> bool:
     """Whether the expression can be met by permissive licences alone: any side of ``or``, both sides of ``and``."""
     if tree is None:
@@ -145,9 +161,9 @@ def scan(data: bytes, find: ahocorasick.Automaton) -> tuple:
             tagged = True
     free = None
     if tagged:
-        trees = [t for t in map(parse, _TAG_LINE.findall(data.decode("utf-8", "replace"))) if t is not None]
+        trees = [t for t in map(parse, _TAG_LINE.findall(data.decode("utf-8", "replace"))) if t is not None and all(map(known, names(t)))]
         for tree in trees:
-            more.update(x.replace(",", " ") for x in names(tree))
+            more.update(names(tree))
             miss *= 1 - TAG_SURE
         free = all(map(permissive, trees)) if trees else None
     word = lambda p: flat.count(b" ", 0, p)

@@ -3,13 +3,13 @@
 For each language a tree of byte contexts up to three bytes is counted. A symbol
 unseen in a context is coded by an escape and then in the next shorter context,
 without the symbols that the longer one would have coded. The statistics are
-frozen, so every code length is worked out once: a text costs one table entry for
-each byte and language, and goes to the language that codes it in fewest bits.
+frozen, and hold what was seen only. A text goes to the language that codes it in
+fewest bits.
 """
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,31 +24,62 @@ from kinweave.llm import tables
 ORDER = 3
 #: Labelled documents for each language from which the trees are counted; the rest of the labelled ones aren't used.
 TRAIN_DOCS = 600
-#: Three-byte contexts that were seen fewer times in all languages together are left to their shorter ones.
-LEAST_SEEN = 4
 #: What stands before the first byte.
 PAD = 0x0A
-_LETTER = re.compile(r"[^\W\d_]")
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
 
+#: A slot of the table without an entry.
+EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+
 @dataclass(frozen=True)
 class Model:
-    """Frozen statistics: symbols[byte], context[three symbols], bits[language, context * n_symbols + symbol]."""
+    """Frozen statistics, of which only what was seen is stored.
+
+    symbols[byte] and zero[language, symbol] (code lengths without context) are
+    plain arrays. All else stands in one table with open addressing, keys in slots:
+    the code length of each symbol seen in a context, and of each context what a
+    symbol unseen in it costs on top of its code length in the next shorter one.
+    """
 
     languages: list[str]
     symbols: np.ndarray
     n_symbols: int
-    context: np.ndarray
-    bits: np.ndarray
+    zero: np.ndarray
+    slots: np.ndarray
+    values: np.ndarray
+
+    def look_up(self, keys: np.ndarray) -> np.ndarray:
+        """The entry of each key; NaN where there is none."""
+        out, some = np.full(len(keys), np.nan, np.float32), np.arange(len(keys))
+        mask = np.uint64(len(self.slots) - 1)
+        at = B.mix(keys) & mask
+        while len(some):
+            found = self.slots[at[some]]
+            hit = found == keys[some]
+            out[some[hit]] = self.values[at[some[hit]]]
+            some = some[~hit & (found != EMPTY)]
+            at[some] = at[some] + np.uint64(1) & mask
+        return out
+
+
+def _key(language: np.ndarray | int, order: int, kind: int, code: np.ndarray) -> np.ndarray:
+    """kind 0: a context and a symbol, 1: a context."""
+    return (np.asarray(language, np.uint64) * np.uint64(2 * (ORDER + 1)) + np.uint64(2 * order + kind)) << np.uint64(36) | code.astype(np.uint64)
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character of Unicode category L stands in the text; numerals such as fractions and Roman numbers are none."""
+    return any(c.isalpha() and unicodedata.category(c)[0] == "L" for c in text)
 
 
 def padded(data: np.ndarray, offsets: np.ndarray, pad: int = PAD) -> tuple[np.ndarray, np.ndarray]:
     """Texts with ORDER pad bytes before each, and where each byte of a text stands there."""
     n = len(offsets) - 1
     at = np.arange(len(data)) + ORDER * (np.repeat(np.arange(n), np.diff(offsets)) + 1)
-    out = np.full(len(data) + ORDER * n, pad, np.uint8)
+    out = np.full(len(data) + ORDER * n, pad, data.dtype)
     out[at] = data
     return out, at
 
@@ -78,11 +109,12 @@ def count_grams(df: DataFrame, lang: str, text: str) -> DataFrame:
 
 
 def freeze(rows: list[tuple[str, int, int]]) -> Model | None:
-    """Code lengths from counted four-byte sequences."""
+    """Code lengths from counted four-byte sequences; in memory as many entries as distinct contexts and symbols in them."""
     if not rows:
         return None
     languages = sorted({r[0] for r in rows})
-    which = np.array([languages.index(r[0]) for r in rows])
+    number = {name: i for i, name in enumerate(languages)}
+    which = np.array([number[r[0]] for r in rows])
     grams = np.array([r[1] for r in rows], np.int64)
     n = np.array([r[2] for r in rows], np.float64)
     raw = np.stack([grams >> 24 & 255, grams >> 16 & 255, grams >> 8 & 255, grams & 255])
@@ -90,59 +122,73 @@ def freeze(rows: list[tuple[str, int, int]]) -> Model | None:
     symbols = np.zeros(256, np.int64)  # symbol 0: any byte that wasn't seen
     symbols[used] = np.arange(1, len(used) + 1)
     a, sym = len(used) + 1, symbols[raw]
-    # The contexts of each order by the symbols in them; order 0 has one.
-    lower_prob = np.full((len(languages), 1, a), 1 / a)
-    lower_ids = np.zeros(1, np.int64)  # context of order k-1, by its symbols
-    parts, base = [lower_prob], 0
-    chosen = np.zeros(1, np.int64)
+    seen_before, prob_before, zero = None, None, np.zeros((len(languages), a))
+    keys, bits = [], []
     for k in range(ORDER + 1):
         code = np.zeros(len(grams), np.int64)
-        for j in range(ORDER - k, ORDER):
+        for j in range(ORDER - k, ORDER + 1):
             code = code * a + sym[j]
-        seen, inverse = np.unique(code, return_inverse=True)
-        if k == ORDER:
-            often = np.bincount(inverse, n) >= LEAST_SEEN
-            keep = often[inverse]
-            kept, inverse = np.unique(code[keep], return_inverse=True)
-            seen, w, m, s = kept, which[keep], n[keep], sym[ORDER][keep]
+        size = a ** (k + 1)
+        seen, back = np.unique(which * size + code, return_inverse=True)
+        count = np.bincount(back, n)
+        contexts, own = np.unique(seen // a, return_inverse=True)
+        total, kinds = np.bincount(own, count), np.bincount(own)
+        # What is seen in a context is seen in the shorter one, too: the share of the shorter one that is left for the rest.
+        if k:
+            shorter = seen // size * (size // a) + seen % (size // a)
+            lower = prob_before[np.searchsorted(seen_before, shorter)]
         else:
-            w, m, s = which, n, sym[ORDER]
-        count = np.zeros((len(languages), len(seen), a))
-        np.add.at(count, (w, inverse, s), m)
-        shorter = lower_prob[:, lower_ids[seen % a ** max(k - 1, 0)] if k else np.zeros(len(seen), np.int64)]
-        total, kinds = count.sum(2, keepdims=True), (count > 0).sum(2, keepdims=True)
-        rest = np.where(count > 0, 0, shorter)
-        left = rest.sum(2, keepdims=True)
-        escape = np.where(left > 0, kinds / np.maximum(total + kinds, 1), 0)
-        prob = np.where(count > 0, count / np.maximum(total + np.where(left > 0, kinds, 0), 1), escape * rest / np.maximum(left, 1e-300))
-        prob = np.where(total > 0, prob, shorter)
-        ids = np.zeros(a**k, np.int64)
+            lower = np.full(len(seen), 1 / a)
+        left = np.where(kinds < a, np.maximum(1 - np.bincount(own, lower), 1e-300), 0)
+        total = total + np.where(left > 0, kinds, 0)
+        prob = count / total[own]
+        rest = np.where(left > 0, kinds / total / np.maximum(left, 1e-300), 1)
         if k:
-            ids[:] = -1
-            ids[seen] = np.arange(len(seen))
-            base += parts[-1].shape[1]
-            chosen = np.where(ids >= 0, ids + base, np.tile(chosen, a))
-        parts.append(prob)
-        if k == 0:
-            parts = [prob]
-        lower_prob, lower_ids = prob, np.maximum(ids, 0)
-    bits = -np.log2(np.maximum(np.concatenate(parts, 1), 1e-30))
-    return Model(languages, symbols.astype(np.uint8), a, chosen.astype(np.int32), np.ascontiguousarray(bits.reshape(len(languages), -1).astype(np.float32)))
+            keys += [_key(seen // size, k, 0, seen % size), _key(contexts // (size // a), k, 1, contexts % (size // a))]
+            bits += [-np.log2(prob), -np.log2(rest)]
+        else:
+            zero[:] = -np.log2(1 / a)
+            zero[contexts] -= np.log2(rest)[:, None]
+            zero.ravel()[seen] = -np.log2(prob)
+        seen_before, prob_before = seen, prob
+    return Model(languages, symbols.astype(np.uint16), a, zero.astype(np.float32), *_table(np.concatenate(keys), np.concatenate(bits).astype(np.float32)))
+
+
+def _table(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and values with linear probing, at most half full."""
+    size = 1 << max(4, (2 * len(keys) - 1).bit_length())
+    slots, out, some = np.full(size, EMPTY), np.zeros(size, np.float32), np.arange(len(keys))
+    at = B.mix(keys) & np.uint64(size - 1)
+    while len(some):
+        free = some[slots[at[some]] == EMPTY]
+        place, first = np.unique(at[free], return_index=True)
+        slots[place], out[place] = keys[free[first]], values[free[first]]
+        some = some[slots[at[some]] != keys[some]]
+        at[some] = at[some] + np.uint64(1) & np.uint64(size - 1)
+    return slots, out
 
 
 def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Bits of each text in each language."""
+    """Bits of each text in each language; each distinct byte with its context is worked out once for all its places."""
     out = np.zeros((len(offsets) - 1, len(model.languages)))
     if not len(data):
         return out
     s, at = padded(model.symbols[data], offsets, int(model.symbols[PAD]))
-    s = s.astype(np.int32)
-    a = model.n_symbols
-    key = (s[:-3] * a + s[1:-2]) * a + s[2:-1]
-    entry = model.context[key[at - 3]] * np.int32(a) + s[at]
+    s, a = s.astype(np.int64), model.n_symbols
+    code = (((s[:-3] * a + s[1:-2]) * a + s[2:-1]) * a + s[3:])[at - 3]
+    code, back = np.unique(code, return_inverse=True)
     full = np.flatnonzero(np.diff(offsets))
-    for k in range(len(model.languages)):
-        out[full, k] = np.add.reduceat(model.bits[k][entry], offsets[full], dtype=np.float64)
+    for language in range(len(model.languages)):
+        bits, rest = np.zeros(len(code), np.float32), np.arange(len(code))
+        for k in range(ORDER, 0, -1):
+            here = code[rest] % a ** (k + 1)
+            found = model.look_up(_key(language, k, 0, here))
+            seen = ~np.isnan(found)
+            bits[rest[seen]] += found[seen]
+            rest, here = rest[~seen], here[~seen]
+            bits[rest] += np.nan_to_num(model.look_up(_key(language, k, 1, here // a)))
+        bits[rest] += model.zero[language, code[rest] % a]
+        out[full, language] = np.add.reduceat(bits[back], offsets[full], dtype=np.float64)
     return out
 
 
@@ -151,7 +197,9 @@ def train(df: DataFrame, lang: str = "lang", text: str = "text", key: str = "doc
 
     Rows without language, text or key don't count. Only the number of rows of
     each language and the counts of byte sequences come to the driver; both are
-    bounded by the sample, whatever the table holds. None if no row has a label.
+    bounded by the bytes of the sample, whatever the table holds, and so is the
+    model, with 24 bytes for each distinct context and byte in it. None if no row
+    has a label.
     """
     rows = df.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
     sizes = {r[0]: r[1] for r in rows.groupBy(lang).count().collect()}
@@ -184,7 +232,7 @@ def prediction(model: Model | None, spark: SparkSession):
                 best = bits.argmin(1)
                 share = 1 / np.exp2(np.minimum(0, bits[np.arange(len(best)), best][:, None] - bits)).sum(1)
                 for i in range(hi - lo):
-                    if letters[i + 1] > letters[i] or _LETTER.search(column[lo + i].as_py() or ""):
+                    if letters[i + 1] > letters[i] or has_letter(column[lo + i].as_py() or ""):
                         pred[lo + i], score[lo + i] = m.languages[best[i]], float(share[i])
             yield pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
 

@@ -45,7 +45,7 @@ def text_words(text: str | None) -> np.ndarray:
     """Hashes of the lower-cased words of letters and digits of one text."""
     data = B.LOWER[np.frombuffer((text or "").encode(), np.uint8)]
     starts, ends, _ = B.words(data, np.array([0, len(data)]), B.WORD_ALNUM)
-    return B.span_hashes(data, starts, ends)
+    return B.word_hashes(data, starts, ends)
 
 
 def edits_allowed(length: int, similarity: float) -> int:
@@ -197,7 +197,7 @@ def best_match(masks: dict[int, int], size: int, text: list[int], most: int) ->
 def hits_in(ix: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(row, item, edits, first word, word after the last) of the items found in a chunk of texts."""
     starts, ends, first = B.words(data, offsets, B.WORD_ALNUM)
-    words = B.span_hashes(data, starts, ends)
+    words = B.word_hashes(data, starts, ends)
     rows, begin, length = [], [], []
     for q, (h, item, offset) in ix.runs.items():
         if len(words) < q:

@@ -7,21 +7,36 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Rows of a few longs in a file of a cut table whose size is known.
+ROWS_A_FILE = 1 << 20
+
+
 def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """A table by the path that the session's readers understand, with the named columns only."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*columns) if columns else df
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, rows: int | None = None) -> DataFrame:
     """Writes df into the cluster's checkpoint folder and goes on from there.
 
-    The folder is the one in spark.checkpoint.dir. Only where that is unset, as in
-    tests on one machine, a temporary folder is taken.
+    The folder is the one in spark.checkpoint.dir. Only where that is unset and
+    Spark runs on this machine alone, as in tests, a temporary folder is taken.
+    rows: an upper bound of the rows where it is known (a count, say); then no
+    more files are written than one for each ROWS_A_FILE of them, or one for each
+    core of the cluster. Every file costs the executor a fork of itself.
     """
-    sc = df.sparkSession.sparkContext
+    spark = df.sparkSession
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kinweave-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="kinweave-")
+        sc.setCheckpointDir(folder)
+    if rows is not None:
+        df = df.coalesce(max(sc.defaultParallelism, -(-rows // ROWS_A_FILE)))
     return df.checkpoint()
 
 

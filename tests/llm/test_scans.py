@@ -36,6 +36,13 @@ def test_licence_expressions():
     assert not licences.permissive(tree)
     assert licences.permissive(licences.parse("GPL-3.0 OR MIT AND BSD-3-Clause"))
     assert licences.parse("MIT AND") == "mit" and licences.parse(")") is None and licences.parse("") is None
+    for text in ("MIT OR (", "MIT AND ( OR", "MIT ((", "(MIT OR", "MIT \u00e9 OR GPL"):
+        assert licences.parse(text) == "mit"
+    assert licences.scan(b"SPDX-License-Identifier: whatever", licences.automaton())[5] == ""
+    r = random.Random(1)
+    bits = ["(", ")", "or", "AND", "with", "MIT", "gpl-2.0", "+", "\u00e9", ",", "a:b"]
+    for _ in range(10_000):
+        licences.names(licences.parse(r.choice(["", " "]).join(r.choice(bits) for _ in range(r.randrange(14)))))
     row = licences.scan(b"// SPDX-License-Identifier: GPL-2.0+ OR MIT\nx", licences.automaton())
     assert row[5] == "gpl-2.0+,mit" and row[7] is True and 0 < row[6] <= 1
 
@@ -122,15 +129,18 @@ def test_code_lengths_by_definition():
         b = g.to_bytes(4, "big")
         for k in range(4):
             grams[b[3 - k : 3], b[3]] = grams.get((b[3 - k : 3], b[3]), 0) + n
-    least, langid.LEAST_SEEN = langid.LEAST_SEEN, 1
-    try:
-        model = langid.freeze([("x", g, n) for g, n in rows.items()])
-    finally:
-        langid.LEAST_SEEN = least
-    new = b"abracad bra"
-    got = langid.code_lengths(model, np.frombuffer(new, np.uint8), np.array([0, len(new)]))[0, 0]
-    alphabet = sorted({*text, 10}) + [None]
-    assert got == pytest.approx(plain_bits(grams, new, alphabet), abs=1e-3)
+    # A second language with other symbols shares the alphabet and the table.
+    model = langid.freeze([("x", g, n) for g, n in rows.items()] + [("y", 0x0A0A0A7A, 3)])
+    alphabet = sorted({*text, 10, ord("z")}) + [None]
+    for new in (b"abracad bra", b"zz", b"", b"abrazabra abra"):
+        got = langid.code_lengths(model, np.frombuffer(new, np.uint8), np.array([0, len(new)]))[0, 0]
+        assert got == pytest.approx(plain_bits(grams, new, alphabet), abs=1e-3)
+
+
+def test_numerals_are_no_letters(spark, docs):
+    model = langid.train(docs)
+    df = spark.createDataFrame([(1, "½ ² 123 Ⅷ ٣"), (2, "ª"), (3, "日")], "doc_id long, text string")
+    assert [r[0] == "und" for r in df.orderBy("doc_id").select(langid.prediction(model, spark)("text").alias("p")).select("p.lang_pred").collect()] == [True, False, False]
 
 
 def test_languages_of_odd_rows(spark, odd):

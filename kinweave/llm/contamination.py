@@ -6,12 +6,19 @@ sequences under the same bits that differ by few edits fall into step again soon
 so their edit distance turns into few differing places of the embeddings. A table
 of the LSH looks at some places only and finds the items that agree there. Walks
 are repeated, with new bits, until a simulation with as many edits as are allowed
-finds the wanted share. What collides is verified by exact edit distance.
-
-Windows have an item's size and are placed where at least one run of words that
-the allowed edits can't break occurs in the text, at its place in the item: an
-item of L words with at most d edits keeps an unbroken run of (L - d) / (d + 1)
-words. No window that could hold the item is lost by this.
+finds the wanted share of every class of lengths. What collides is verified by
+exact edit distance.
+
+The more edits are allowed, the more walks it takes, so long items are cut into
+pieces of at most PIECE words. If all pieces had more than their share of edits,
+the item had more than it is allowed, so one piece at least keeps to its share,
+and that finds the item. Should a class of lengths still miss the wanted share
+after MOST_WALKS walks, all windows that are placed for it are verified.
+
+Windows have a piece's size and are placed where at least one run of words that
+the allowed edits can't break occurs in the text, at its place in the piece: of L
+words with at most d edits a run of (L - d) / (d + 1) words stays unbroken. No
+window that could hold the piece is lost by this.
 """
 
 from __future__ import annotations
@@ -31,11 +38,16 @@ from kinweave.llm import bytesops as B
 from kinweave.llm import tables
 
 SIMILARITY = 0.8
-RECALL = 0.97
+RECALL = 0.99
 #: Places that a table samples, tables for each walk, most walks, longest run of words for placing windows.
-PLACES, TABLES, MOST_WALKS, LONGEST_RUN = 5, 4, 48, 4
-#: Items are taken in blocks of about this many bytes, each a pass over the corpus.
-BLOCK_BYTES = 16 << 20
+PLACES, TABLES, MOST_WALKS, LONGEST_RUN = 5, 4, 64, 4
+#: Items of more than PIECE words are cut into pieces as long as each other; lengths up to these are classes of the simulation.
+PIECE = 40
+CLASSES = (4, 8, 12, 16, 24, 32, PIECE)
+#: Edited pieces of each class in the simulation.
+SIMULATED = 500
+#: Items are taken in blocks of about this many bytes, each a pass over the corpus. An index takes about 12 times that.
+BLOCK_BYTES = 4 << 20
 WINDOWS_AT_ONCE = 8192
 SEED = 7
 _U = np.uint64
@@ -67,21 +79,35 @@ def embed(rows: np.ndarray, steps: int, bits: np.ndarray) -> np.ndarray:
     return out
 
 
+def pieces_of(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, first word, number of words) of the pieces of all items."""
+    sizes = np.array([len(w) for w in words], np.int64)
+    parts = -(-sizes // PIECE)
+    item = np.repeat(np.arange(len(words)), parts)
+    nth = np.arange(len(item)) - np.repeat(np.cumsum(parts) - parts, parts)
+    begin = sizes[item] * nth // parts[item]
+    return item, begin, sizes[item] * (nth + 1) // parts[item] - begin
+
+
 @dataclass
 class Index:
-    """Items of one block: their words, the runs that place windows, and the tables of each walk."""
+    """Items of one block: their words, the pieces and the runs that place windows of them, and the tables of each walk."""
 
     ids: list
     words: list[np.ndarray]
     similarity: float
+    item: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    begin: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    size: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     walks: int = 0
+    #: For each class of lengths whether its windows are verified without tables.
+    direct: np.ndarray = field(default_factory=lambda: np.zeros(len(CLASSES), bool))
     longest: int = 0
     bits: np.ndarray = field(default_factory=lambda: np.zeros((0, 0), _U))
-    #: By run length: sorted hashes, and item and offset of each.
+    #: By run length: sorted hashes, and piece and offset of each.
     runs: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=dict)
-    #: By walk and table: sorted keys, and the item of each.
+    #: By walk and table: sorted keys, and the piece of each.
     tables: list[list[tuple[np.ndarray, np.ndarray]]] = field(default_factory=list)
-    masks: list[dict[int, int]] = field(default_factory=list)
 
     def places(self, walk: int, table: int, lengths: np.ndarray) -> np.ndarray:
         """The steps that a table looks at, for items of the given lengths."""
@@ -107,29 +133,34 @@ def build(items: list[tuple[object, str | None]], similarity: float = SIMILARITY
     ix = Index([i for i, _ in kept], [w for _, w in kept], similarity)
     if not kept:
         return ix
-    ix.longest = max(map(len, ix.words))
-    ix.masks = [_masks(w) for w in ix.words]
+    ix.item, ix.begin, ix.size = pieces_of(ix.words)
+    parts_of = [ix.words[j][b : b + n] for j, b, n in zip(ix.item, ix.begin, ix.size, strict=True)]
+    ix.longest = int(ix.size.max())
     runs = defaultdict(list)
-    for j, w in enumerate(ix.words):
+    for j, w in enumerate(parts_of):
         q = run_length(len(w), edits_allowed(len(w), similarity))
         at = np.arange(len(w) - q + 1)
-        runs[q].append((B.span_hashes(w, at, at + q), np.full(len(at), j), at))
+        runs[q].append((B.span_hashes(w, at, at + q), np.full(len(at), j, np.int32), at.astype(np.int32)))
     for q, parts in runs.items():
         h, j, at = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.argsort(h, kind="stable")
         ix.runs[q] = h[order], j[order], at[order]
     ix.bits = np.random.default_rng(SEED).integers(0, 1 << 63, (MOST_WALKS, 2 * ix.longest), np.int64).astype(_U) << _U(1) | _U(1)
-    rows, lengths = _rows(ix.words, ix.longest), np.array([len(w) for w in ix.words])
-    ix.walks = _walks_needed(ix, recall)
+    ix.walks, ix.direct = _walks_needed(ix, parts_of, recall)
+    rows = _rows(parts_of, ix.longest)
     for walk in range(ix.walks):
         found = []
-        for key in ix.keys(walk, rows, lengths):
-            order = np.argsort(key, kind="stable")
+        for key in ix.keys(walk, rows, ix.size):
+            order = np.argsort(key, kind="stable").astype(np.int32)
             found.append((key[order], order))
         ix.tables.append(found)
     return ix
 
 
+def class_of(lengths: np.ndarray) -> np.ndarray:
+    return np.searchsorted(CLASSES, lengths)
+
+
 def _rows(words: list[np.ndarray], longest: int) -> np.ndarray:
     out = np.zeros((len(words), longest + 1), _U)
     for i, w in enumerate(words):
@@ -137,13 +168,17 @@ def _rows(words: list[np.ndarray], longest: int) -> np.ndarray:
     return out
 
 
-def _walks_needed(ix: Index, recall: float) -> int:
-    """Walks until a simulation, in which up to 200 items get as many random edits as allowed, finds the wanted share."""
+def _walks_needed(ix: Index, parts: list[np.ndarray], recall: float) -> tuple[int, np.ndarray]:
+    """Walks until a simulation, in which pieces of each class of lengths get as many random edits as allowed, finds the wanted share of each class, and the classes that miss it."""
     r = random.Random(SEED)
-    pool = [w for w in ix.words if len(w) > 1]
-    if not pool:
-        return 1
-    words = [pool[r.randrange(len(pool))] for _ in range(200)]
+    pool = defaultdict(list)
+    for w in parts:
+        if edits_allowed(len(w), ix.similarity):
+            pool[int(class_of(len(w)))].append(w)
+    words = [some[r.randrange(len(some))] for _, some in sorted(pool.items()) for _ in range(SIMULATED)]
+    missed = np.zeros(len(CLASSES), bool)
+    if not words:
+        return 1, missed  # only unchanged pieces count, and they collide in every table
     edited = []
     for w in words:
         x = [int(v) for v in w]
@@ -157,13 +192,16 @@ def _walks_needed(ix: Index, recall: float) -> int:
                 del x[i]
         edited.append(np.array(x[: len(w)], _U))
     lengths = np.array([len(w) for w in words])
+    kind = class_of(lengths)
     a, b, found = _rows(words, ix.longest), _rows(edited, ix.longest), np.zeros(len(words), bool)
     for walk in range(MOST_WALKS):
         for x, y in zip(ix.keys(walk, a, lengths), ix.keys(walk, b, lengths), strict=True):
             found |= x == y
-        if found.mean() >= recall:
-            return walk + 1
-    return MOST_WALKS
+        share = np.bincount(kind, found, len(CLASSES)) / np.maximum(np.bincount(kind, minlength=len(CLASSES)), 1)
+        missed = (share < recall) & (np.bincount(kind, minlength=len(CLASSES)) > 0)
+        if not missed.any():
+            return walk + 1, missed
+    return MOST_WALKS, missed
 
 
 def _masks(words: np.ndarray) -> dict[int, int]:
@@ -198,7 +236,7 @@ def hits_in(ix: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int,
     """(row, item, edits, first word, word after the last) of the items found in a chunk of texts."""
     starts, ends, first = B.words(data, offsets, B.WORD_ALNUM)
     words = B.word_hashes(data, starts, ends)
-    rows, begin, length = [], [], []
+    rows, begin, piece = [], [], []
     for q, (h, item, offset) in ix.runs.items():
         if len(words) < q:
             continue
@@ -215,11 +253,16 @@ def hits_in(ix: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int,
         entry = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n - lo, n)
         rows.append(np.repeat(row, n))
         begin.append(np.repeat(at, n) - offset[entry])
-        length.append(np.array([len(w) for w in ix.words])[item[entry]])
+        piece.append(item[entry])
     if not rows:
         return []
-    place = np.unique(np.stack([np.concatenate(rows), np.concatenate(begin), np.concatenate(length)]), axis=1)
+    rows, begin, piece = np.concatenate(rows), np.concatenate(begin), np.concatenate(piece)
+    size = ix.size[piece]
     found: dict[tuple[int, int], list[int]] = defaultdict(list)
+    open_ = ix.direct[class_of(size)]
+    for row, s, j in set(zip(rows[open_].tolist(), begin[open_].tolist(), piece[open_].tolist(), strict=True)):
+        found[row, int(ix.item[j])].append(s - int(ix.begin[j]))
+    place = np.unique(np.stack([rows[~open_], begin[~open_], size[~open_]]), axis=1)
     for lo in range(0, place.shape[1], WINDOWS_AT_ONCE):
         row, s, n = place[:, lo : lo + WINDOWS_AT_ONCE]
         at = s[:, None] + np.arange(ix.longest + 1)[None]
@@ -227,12 +270,13 @@ def hits_in(ix: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int,
         window = np.where(inside, words[np.clip(at, 0, len(words) - 1)], _U(0))
         pairs = set()
         for walk, by_table in enumerate(ix.tables):
-            for (keys, item), key in zip(by_table, ix.keys(walk, window, n), strict=True):
+            for (keys, own), key in zip(by_table, ix.keys(walk, window, n), strict=True):
                 left, right = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
                 for i in np.flatnonzero(right > left):
-                    pairs.update((int(i), int(j)) for j in item[left[i] : right[i]])
+                    pairs.update((int(i), int(j)) for j in own[left[i] : right[i]])
         for i, j in pairs:
-            found[int(row[i]), j].append(int(s[i]))
+            found[int(row[i]), int(ix.item[j])].append(int(s[i]) - int(ix.begin[j]))
+    masks: dict[int, dict[int, int]] = {}
     out = []
     for (row, j), begins in sorted(found.items()):
         size = len(ix.words[j])
@@ -247,7 +291,9 @@ def hits_in(ix: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int,
                 regions.append([a, b])
         for a, b in regions:
             text = words[a:b].tolist()
-            m = best_match(ix.masks[j], size, text, most)
+            if j not in masks:
+                masks[j] = _masks(ix.words[j])
+            m = best_match(masks[j], size, text, most)
             if m and (best is None or m[0] < best[0]):
                 back = best_match(_masks(ix.words[j][::-1]), size, text[: m[1]][::-1], m[0])
                 best = m[0], a - low + m[1] - back[1], a - low + m[1]
@@ -262,8 +308,8 @@ def find_items(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     An item stands in a text if some stretch of it is at most (1 - similarity)
     times the item's words away, counted in edits of lower-cased words of letters
     and digits; the best place is given, the first of equals. Null or wordless
-    texts and items find nothing; repeated rows give their rows again; null keys
-    pass through; other columns are left out. Items come to the driver in blocks
+    texts and items find nothing; of equal items each gives its rows; repeated rows
+    give their rows again; null keys pass through; other columns are left out. Items come to the driver in blocks
     of a measured size and each block is one pass over the texts, without a shuffle.
     """
     kind, item_kind = df.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
@@ -299,7 +345,11 @@ def indexes(items: DataFrame, item_key: str, item_text: str, similarity: float,
 
 
 def drop_contaminated(df: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """The rows whose text holds no item, with all their columns; null texts stay. See find_items."""
+    """The rows whose text holds no item, with all their columns.
+
+    Null and empty texts stay, repeated rows are kept or dropped alike, and keys
+    don't matter. See find_items for what counts.
+    """
     for shared in indexes(items, item_key, item_text, similarity, recall):
         df = df.where(_clean(shared)(df[text]))
     return df

@@ -168,13 +168,33 @@ def test_items_by_brute_force(spark, sf, docs):
     for d, t in rows:
         words = contamination.text_words(t).tolist()
         for j, item in enumerate(ix.ids):
-            m = contamination.best_match(ix.masks[j], len(ix.words[j]), words, contamination.edits_allowed(len(ix.words[j]), 0.8))
+            m = contamination.best_match(contamination._masks(ix.words[j]), len(ix.words[j]), words, contamination.edits_allowed(len(ix.words[j]), 0.8))
             if m:
                 want[d, item] = m[0]
     assert set(got) <= set(want) and all(got[k] == want[k] for k in got)
     assert len(got) >= 0.97 * len(want)
 
 
+def test_items_of_all_lengths_at_the_most_edits():
+    """Recall of each class of lengths, with as many edits as are allowed; truth by exact edit distance."""
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    for size in (5, 12, 25, 60, 150, 300, 600):
+        items = [(i, " ".join(word() for _ in range(size))) for i in range(60)]
+        ix = contamination.build(items)
+        texts = []
+        for _, t in items:
+            words = t.split()
+            for _ in range(contamination.edits_allowed(size, 0.8)):
+                i = r.randrange(len(words))
+                words[i : i + 1] = r.choice([[word()], [], [words[i], word()]])
+            texts.append(" ".join([word(), word(), *words, word()]))
+        data, offsets = contamination.B.texts(pa.array(texts))
+        got = {(h[0], h[1]) for h in contamination.hits_in(ix, data, offsets)}
+        want = {i for i, t in enumerate(texts) if contamination.best_match(contamination._masks(ix.words[i]), size, contamination.text_words(t).tolist(), contamination.edits_allowed(size, 0.8))}
+        assert len(want) > 50 and len([i for i in want if (i, i) in got]) >= 0.97 * len(want), size
+
+
 def test_edit_distance_by_definition():
     r = random.Random(3)
     for _ in range(300):

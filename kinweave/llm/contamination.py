@@ -200,7 +200,8 @@ def _walks_needed(ix: Index, parts: list[np.ndarray], recall: float) -> tuple[in
         share = np.bincount(kind, found, len(CLASSES)) / np.maximum(np.bincount(kind, minlength=len(CLASSES)), 1)
         missed = (share < recall) & (np.bincount(kind, minlength=len(CLASSES)) > 0)
         if not missed.any():
-            return walk + 1, missed
+            # Half as many again, since the simulation stops at its first lucky walk and places no windows.
+            return min(MOST_WALKS, walk + 1 + (walk + 2) // 2), missed
     return MOST_WALKS, missed
 
 

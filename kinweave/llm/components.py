@@ -53,7 +53,7 @@ def _local(edges: DataFrame) -> DataFrame:
     return edges.select("a", "b").coalesce(1).mapInArrow(work, "v long, root long")
 
 
-def components(edges: DataFrame, local: int = LOCAL_EDGES) -> DataFrame:
+def components(edges: DataFrame, local: int = LOCAL_EDGES, most: int | None = None) -> DataFrame:
     """(v, root) for every vertex of the edges (a, b), both long; root is the same for all vertices of a component.
 
     Each round sends every vertex to the least of itself and its neighbours, then
@@ -62,22 +62,23 @@ def components(edges: DataFrame, local: int = LOCAL_EDGES) -> DataFrame:
     is an aggregate (combined map-side, so a vertex with very many edges costs one
     row per task); the joins read two plain tables, which Spark can split where a
     key is hot. Vertices should be spread like hashes: then a constant share
-    disappears in each round. Every round is cut into the checkpoint folder.
+    disappears in each round. Every round is cut into the checkpoint folder. most:
+    an upper bound of the edges where it is known, for the number of files.
     """
-    left = cut(edges.where("a != b").select("a", "b"))
+    left = cut(edges.where("a != b").select("a", "b"), most)
     found = None
-    while left.count() > local:
+    while (n := left.count()) > local:
         both = left.select(F.col("a").alias("v"), F.col("b").alias("w")).unionByName(left.select(F.col("b").alias("v"), F.col("a").alias("w")))
-        step = cut(both.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least("v", "w").alias("to")))
+        step = cut(both.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least("v", "w").alias("to")), 2 * n)
         if found is None:
             found = step.select("v", F.col("to").alias("root"))
         else:
             moved = found.join(step.withColumnsRenamed({"v": "root", "to": "on"}), "root", "left")
-            found = cut(moved.select("v", F.coalesce("on", "root").alias("root")))
+            found = cut(moved.select("v", F.coalesce("on", "root").alias("root")), most)
         sent = left.join(step.withColumnsRenamed({"v": "a", "to": "x"}), "a").join(step.withColumnsRenamed({"v": "b", "to": "y"}), "b")
-        left = cut(sent.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    last = cut(_local(left))
+        left = cut(sent.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), n)
+    last = cut(_local(left), 2 * local)
     if found is None:
         return last
     moved = found.join(last.select(F.col("v").alias("root"), F.col("root").alias("on")), "root", "left")
-    return cut(moved.select("v", F.coalesce("on", "root").alias("root")))
+    return cut(moved.select("v", F.coalesce("on", "root").alias("root")), most)

@@ -30,14 +30,14 @@ from kinweave.llm.components import Forest, components
 SHINGLE, RADIUS, BANDS, HASH_SEED = 4, 4, 6, 42
 #: Fingerprints under one key beyond which the key is split into blocks, each pair of which is a task of its own.
 BLOCK = 65_536
-#: Bits of a band for similar_texts: about the logarithm of the number of distinct texts, less a few.
-BAND_BITS = 16
-#: Texts of so few shingles meet by their least shingles, not by bands: bits of so small sets differ more often.
+#: similar_texts: least hashes that make a key, words of 64 bits of a fingerprint.
+LEAST_HASHES, FINGERPRINT_WORDS = 5, 2
+#: Texts of so few shingles meet by their least shingles, of which similar sets always share one.
 SHORT = 32
 #: Texts of a candidate class in a block of the exact comparison, and blocks of a class unless a block would hold more than MOST_TEXTS.
 TEXTS, TEXT_BLOCKS, MOST_TEXTS = 512, 16, 16_384
-#: The table of candidate texts has at most 2 ** MOST_BITS bits (8 MB).
-MOST_BITS = 26
+#: A table of texts (a few longs each, 40 bytes or so) is broadcast up to this many rows, which are counted; beyond it is joined by a shuffle.
+BROADCAST_ROWS = 1 << 19
 #: Groups up to this size are compared pair by pair in one go, larger ones block by block.
 SMALL = 32
 ROWS_AT_ONCE, BYTES_AT_ONCE = 32_768, 1 << 24
@@ -253,7 +253,7 @@ def link_edges(keyed: DataFrame, radius: int, n: int, block: int = BLOCK, simila
     counts only if the sets of both have at least this Jaccard similarity.
     """
     own_set = ["s"] if similarity else []
-    large = tables.cut(keyed.groupBy("k").count().where(F.col("count") > block)) if n > block else None
+    large = tables.cut(keyed.groupBy("k").count().where(F.col("count") > block), n) if n > block else None
     if large is None or large.isEmpty():
         keyed = keyed.select("k", F.lit(0).cast("long").alias("part"), "v", "p", *own_set)
     else:
@@ -302,28 +302,30 @@ def link_edges(keyed: DataFrame, radius: int, n: int, block: int = BLOCK, simila
     return keyed.repartition("k", "part").sortWithinPartitions("k", "part").mapInArrow(work, "a long, b long")
 
 
-def _named(prints: DataFrame, least: DataFrame, edges: DataFrame, key: str) -> DataFrame:
-    """(key, v, component_id): rows (_key, v) with the least key of their component; least: (v, least).
+def _named(prints: DataFrame, least: DataFrame, edges: DataFrame, key: str, n: int, most: int) -> DataFrame:
+    """(key, v, component_id): rows (_key, v) with the least key of their component; least: (v, least), n rows; at most ``most`` edges.
 
     Only fingerprints with links go through the components; all others are named by their own least key.
     """
-    linked = tables.cut(components(edges).join(least, "v"))
+    linked = tables.cut(components(edges, most=most).join(least, "v"), n)
     ids = linked.groupBy("root").agg(F.min("least").alias("id"))
-    named = tables.cut(linked.join(ids, "root").select("v", F.col("id").alias("component_id"), F.lit(True).alias("linked")))
+    named = linked.join(ids, "root").select("v", F.col("id").alias("component_id"), F.lit(True).alias("linked"))
     told = least.join(named, "v", "left").select("v", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least")).alias("component_id"))
-    return prints.join(tables.cut(told), "v").select(F.col("_key").alias(key), "v", "component_id")
+    return prints.join(tables.cut(told, n), "v").select(F.col("_key").alias(key), "v", "component_id")
 
 
 def classes(prints: DataFrame, key: str = "doc_id", radius: int = RADIUS, bands: int = BANDS) -> DataFrame:
     """(key, fp, component_id) from (key, fp): component_id is the smallest key that links reach.
 
     Equal fingerprints collapse into one before anything is compared, so exact
-    copies cost one row; what is linked are distinct fingerprints.
+    copies cost one row; what is linked are distinct fingerprints. Null keys and
+    repeated rows as in near_duplicates.
     """
     prints = tables.cut(prints.select(F.col(key).alias("_key"), F.col("fp").alias("v")))
-    least = tables.cut(prints.groupBy("v").agg(F.min("_key").alias("least")))
+    least = tables.cut(prints.groupBy("v").agg(F.min("_key").alias("least")), prints.count())
+    n, chosen = least.count(), math.comb(bands, radius)
     keyed = least.select(F.explode(band_keys(F.col("v"), radius, bands)).alias("k"), "v", F.col("v").alias("p"))
-    return _named(prints, least, link_edges(keyed, radius, least.count()), key).withColumnRenamed("v", "fp")
+    return _named(prints, least, link_edges(keyed, radius, n), key, n, n * chosen).withColumnRenamed("v", "fp")
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -338,14 +340,29 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     return out.select(key, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def bands_needed(bits: int, similarity: float, recall: float) -> int:
-    """Bands of so many bits, one of which texts of at least this similarity share with probability ``recall``.
+def bands_needed(similarity: float, recall: float, least: int = LEAST_HASHES) -> int:
+    """Keys of so many least hashes each, one of which sets of at least this similarity share with probability ``recall``."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - similarity**least))
 
-    Sets with a Jaccard similarity J have a cosine near 2J / (1 + J), and a bit of
-    the fingerprints differs with the probability of their angle over pi.
-    """
-    same = 1 - math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.ceil(math.log(1 - recall) / math.log(1 - same**bits))
+
+def meeting_keys(sets: list[np.ndarray], similarity: float, bands: int, least: int = LEAST_HASHES) -> list[np.ndarray]:
+    """The keys by which each set meets others: of its least hashes under several orders, or its least shingles if it is short."""
+    upto = math.floor(SHORT / similarity)
+    out = [[s[: len(s) - math.ceil(similarity * len(s) - 1e-9) + 1].view(np.int64) | np.int64(-1 << 63)] if 0 < len(s) <= upto else [] for s in sets]
+    long = [i for i, s in enumerate(sets) if len(s) > SHORT]
+    if long:
+        h, sizes = np.concatenate([sets[i] for i in long]), np.array([len(sets[i]) for i in long])
+        starts = np.cumsum(sizes) - sizes
+        orders = np.random.default_rng(HASH_SEED).integers(0, 1 << 63, (bands, least), np.int64).astype(np.uint64) << np.uint64(1) | np.uint64(1)
+        keys = np.empty((bands, len(long)), np.uint64)
+        for b in range(bands):
+            key = np.full(len(long), b + 1, np.uint64)
+            for order in orders[b]:
+                key = B.mix(key * np.uint64(B.BASE) ^ np.minimum.reduceat(h * order, starts))
+            keys[b] = key >> np.uint64(1)
+        for i, row in zip(long, keys.T, strict=True):
+            out[i].append(row.view(np.int64) if row.flags.c_contiguous else np.ascontiguousarray(row).view(np.int64))
+    return [np.concatenate(k) if k else np.zeros(0, np.int64) for k in out]
 
 
 def text_digest(text):
@@ -353,104 +370,93 @@ def text_digest(text):
     return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
-def _text_classes(df: DataFrame, key: str, text: str, k: int, similarity: float, recall: float, words: int, bits: int) -> tuple[DataFrame, DataFrame]:
-    """Rows (_key, v), v naming a set of shingles, and (v, class, first): first is the least (no key, key, digest of the text) of a set.
+def _known(rows: DataFrame, few: DataFrame, n: int, how: str) -> DataFrame:
+    """rows joined with n rows of another table by t, broadcast if these are few."""
+    return rows.join(F.broadcast(few) if n <= BROADCAST_ROWS else few, "t", how)
 
-    Texts of more than SHORT shingles meet by bands, as many as the wanted recall
-    needs. Shorter ones, and those up to what can be similar to them, meet by their
-    least shingles, of which similar sets always share one. What meets and lies
-    within the radius (the mean distance at this similarity, of small sets, where
-    it is largest, and three deviations) makes candidate classes; in these, all
-    pairs within the radius are compared by their sets, and only similar ones count.
+
+def _text_classes(df: DataFrame, key: str, text: str, k: int, similarity: float, recall: float) -> tuple[DataFrame, DataFrame, int]:
+    """Rows (_key, t, v), v naming a set of shingles and t a text; (v, class, first, rows), first being the least (no key, key, t) of a set; the number of sets.
+
+    Texts of more than SHORT shingles meet by keys of least hashes, as many as the
+    wanted recall needs. Shorter ones, and those up to what can be similar to them,
+    meet by their least shingles, of which similar sets always share one. What
+    meets and lies within the radius (the mean distance at this similarity, of
+    small sets, where it is largest, and four deviations) makes candidate classes;
+    in these, all pairs within the radius are compared by their sets, and only
+    similar ones count.
     """
-    bands = bands_needed(bits, similarity, recall)
-    total = max(words, -(-bits * bands // 64))
+    bands, bits = bands_needed(similarity, recall), 64 * FINGERPRINT_WORDS
     differ = max(3 / 16, math.acos(2 * similarity / (1 + similarity)) / math.pi)
-    radius = int(64 * words * differ + 3 * math.sqrt(64 * words * differ * (1 - differ)))
-    upto = math.floor(SHORT / similarity)
+    radius = int(bits * differ + 4 * math.sqrt(bits * differ * (1 - differ)))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = shingle_sets(batch.column(1), k)
             v = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
-            few = [s[: len(s) - math.ceil(similarity * len(s) - 1e-9) + 1].tobytes() if 0 < len(s) <= upto else b"" for s in sets]
-            columns = [pa.array(v), pa.array([r.tobytes() for r in wide_fingerprints(sets, total)], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), pa.array(few, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], ["_key", "t", "v", "p", "n", "few"])
+            keys = meeting_keys(sets, similarity, bands)
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *keys])))
+            p = pa.array([r.tobytes() for r in wide_fingerprints(sets, FINGERPRINT_WORDS)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(v), p, lists], ["_key", "t", "v", "p", "ks"])
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("_key"), F.col(text).alias("text"), text_digest(F.col(text)).alias("t"))
-    prints = tables.cut(rows.mapInArrow(work, f"_key {kind}, t long, v long, p binary, n long, few binary"))
+    prints = tables.cut(rows.mapInArrow(work, f"_key {kind}, t long, v long, p binary, ks array<long>"))
     first = F.min(F.struct(F.col("_key").isNull().alias("none"), F.col("_key").alias("id"), "t")).alias("first")
-    once = tables.cut(prints.groupBy("v").agg(first, F.first("p").alias("p"), F.first("n").alias("n"), F.first("few").alias("few")))
-
-    def keys_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for lo in range(0, len(whole), 1024):
-                batch = whole.slice(lo, 1024)
-                p = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(batch), -1)
-                v, short = batch.column(0).to_numpy(), np.array([r.tobytes() for r in p[:, : 8 * words]], object)
-                few = [np.frombuffer(x, np.int64) for x in batch.column(3).to_pylist()]
-                own = np.repeat(np.arange(len(few)), [len(x) for x in few])
-                if len(own):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(few) | np.int64(-1 << 63)), pa.array(v[own]), pa.array(short[own], pa.binary())], ["k", "v", "p"])
-                long = np.flatnonzero(batch.column(2).to_numpy() > SHORT)
-                if len(long):
-                    b = np.unpackbits(p[long], axis=1, bitorder="little")[:, : bits * bands].reshape(len(long), bands, bits)
-                    names, prints_ = pa.array(v[long]), pa.array(short[long], pa.binary())
-                    for at in range(bands):
-                        key = np.packbits(b[:, at], axis=1, bitorder="little").astype(np.int64) @ (1 << 8 * np.arange(-(-bits // 8)))
-                        yield pa.RecordBatch.from_arrays([pa.array(key | at << 48), names, prints_], ["k", "v", "p"])
-
-    keyed = once.select("v", "p", "n", "few").mapInArrow(keys_of, "k long, v long, p binary")
-    near_by = components(link_edges(keyed, radius, once.count()))
-    candidates = tables.cut(near_by.join(once, "v").select(F.col("root").alias("k"), "v", F.substring("p", 1, 8 * words).alias("p"), F.col("first.t").alias("t")))
+    once = tables.cut(prints.groupBy("v").agg(first, F.count("*").alias("rows"), F.first("p").alias("p"), F.first("ks").alias("ks")), 8 * prints.count())
+    n = once.count()
+    keyed = once.select(F.explode("ks").alias("k"), "v", "p")
+    near_by = components(link_edges(keyed, radius, n), most=n * bands)
+    candidates = tables.cut(near_by.join(once, "v").select(F.col("root").alias("k"), "v", "p", F.col("first.t").alias("t")), n)
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = pa.array([s.tobytes() for s in shingle_sets(batch.column(3), k)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], sets], ["k", "v", "p", "s"])
 
-    # Few texts are candidates; a bit table by digest, which lets some others through, keeps most from being sent. The join is exact.
-    n = candidates.count()
-    size = 1 << min(MOST_BITS, max(10, (16 * n).bit_length()))
-    marks = np.zeros(size >> 3, np.uint8)
-    for part in candidates.select(F.pmod("t", F.lit(size)).alias("at")).toArrow().column("at").chunks:
-        at = part.to_numpy()
-        np.bitwise_or.at(marks, at >> 3, (1 << (at & 7)).astype(np.uint8))
-    shared = df.sparkSession.sparkContext.broadcast(marks)
-
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column(0).to_numpy() & size - 1
-            yield batch.filter(pa.array((shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
-
-    # Equal texts are added up before anything is sent, so a text with very many copies is one row a task.
-    texts = rows.select("t", "text").mapInArrow(marked, "t long, text string").groupBy("t").agg(F.first("text").alias("text"))
+    # Only texts of candidates are sent, and equal ones are added up first, so a text with very many copies is one row a task.
+    many = candidates.count()
+    texts = _known(rows.select("t", "text"), candidates.select("t").distinct(), many, "left_semi").groupBy("t").agg(F.first("text").alias("text"))
     full = candidates.join(texts, "t").select("k", "v", "p", "text").mapInArrow(with_sets, "k long, v long, p binary, s binary")
-    sure = components(link_edges(tables.cut(full), radius, n, TEXTS, similarity))
-    told = once.select("v", "first").join(sure, "v", "left").select("v", F.coalesce("root", "v").alias("class"), "first")
-    return prints.select("_key", "v"), tables.cut(told)
+    sure = components(link_edges(tables.cut(full), radius, many, TEXTS, similarity), most=many * TEXT_BLOCKS)
+    told = once.select("v", "first", "rows").join(sure, "v", "left").select("v", F.coalesce("root", "v").alias("class"), "first", "rows")
+    return prints.select("_key", "t", "v"), tables.cut(told, n), n
 
 
-def similar_texts(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, recall: float = 0.99, words: int = 8, bits: int = BAND_BITS) -> DataFrame:
+def similar_texts(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, recall: float = 0.999) -> DataFrame:
     """(key, component_id): classes of texts whose sets of k-word shingles have this Jaccard similarity or more.
 
-    The same fingerprints, of the distinct shingles and with ``words`` times 64
-    bits, tell which texts are compared; a link counts only after the exact
-    similarity of the two sets. Equal sets collapse first. Texts without words are
-    one class. Repeated rows stay, a null key counts in no minimum, other columns
-    are left out.
+    Fingerprints of the distinct shingles tell which texts are compared; a link
+    counts only after the exact similarity of the two sets. recall: the share of
+    pairs just at the similarity that are found; more similar ones are found more
+    often, and pairs of short texts always. Equal sets collapse first. Texts
+    without words are one class. Repeated rows stay, a null key counts in no
+    minimum, other columns are left out.
     """
-    prints, told = _text_classes(df, key, text, k, similarity, recall, words, bits)
+    prints, told, n = _text_classes(df, key, text, k, similarity, recall)
     ids = told.groupBy("class").agg(F.min("first.id").alias("component_id"))
-    named = tables.cut(told.join(ids, "class").select("v", "component_id"))
+    named = tables.cut(told.join(ids, "class").select("v", "component_id"), n)
     return prints.join(named, "v").select(F.col("_key").alias(key), "component_id")
 
 
-def representatives(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, recall: float = 0.99, words: int = 8, bits: int = BAND_BITS) -> DataFrame:
-    """(id, t): one text of each class of similar_texts, by least key (null last), then text_digest."""
-    told = _text_classes(df, key, text, k, similarity, recall, words, bits)[1]
-    return told.groupBy("class").agg(F.min("first").alias("first")).select("first.id", "first.t")
+def one_of_each_class(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = 5, similarity: float = 0.8, recall: float = 0.999) -> DataFrame:
+    """The rows of df, with all their columns, but one for each class of similar_texts: least key, null last, then digest of the text.
+
+    Classes are of texts, so a shared or null key merges nothing. Of repeated rows
+    with that key and text the least by the other columns stays, nulls first. Rows
+    whose text is alone in the table pass through without a shuffle; only texts of
+    classes with several rows are looked up. An empty table stays empty.
+    """
+    prints, told, n = _text_classes(df, key, text, k, similarity, recall)
+    large = told.groupBy("class").agg(F.sum("rows").alias("rows"), F.min("first").alias("first")).where("rows > 1")
+    several = tables.cut(told.select("v", "class").join(large.select("class", F.col("first.id").alias("_first"), F.col("first.t").alias("_first_t")), "class").drop("class"), n)
+    texts = tables.cut(prints.join(several, "v").select("t", "_first", "_first_t", F.lit(True).alias("_several")).distinct(), n)
+    rows = df.select(F.struct(*df.columns).alias("_row"), F.col(key).alias("_key"), text_digest(F.col(text)).alias("t"))
+    found = _known(rows, texts, texts.count(), "left")
+    alone = found.where("_several is null").select("_row.*")
+    chosen = found.where("_several and t = _first_t and _key <=> _first")
+    rest = F.min(F.struct(*(F.col("_row").getField(c).alias(c) for c in df.columns))).alias("_row")
+    return alone.unionByName(chosen.groupBy("_key", "t").agg(rest).select("_row.*"))
 
 
 def shingle_sets(column: pa.Array, k: int) -> list[np.ndarray]:

@@ -1,77 +1,5 @@
-"""The corpus pipeline over ``documents``: five stages, each with one operator of ``kinweave.llm``.
+"""The corpus pipeline: see kinweave.llm.pipeline."""
 
-A stage takes (spark, docs, sf_dir) and gives documents again, the last one token
-ids. Every stage works on all rows that the one before it kept. No stage of these
-can be put as SQL, so ORACLE_SQL is None and the tests hold the stages against
-brute force.
-"""
+from kinweave.llm.pipeline import COLUMNS, ORACLE_SQL, STAGES, decontaminate, language, near_duplicates, redact_secrets, run, tokenize
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from kinweave.llm import bpe, contamination, langid, secrets, simhash, tables
-
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
-
-def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in no language (null texts, texts without a letter); lang becomes the predicted language."""
-    tables.modest_batches(spark)
-    model = langid.train(docs.where(langid.fold() != 1))
-    told = docs.select(*COLUMNS, langid.prediction(model, spark)("text").alias("_p"))
-    kept = told.where("_p.lang_pred != 'und'")
-    return kept.select("doc_id", "text", F.col("_p.lang_pred").alias("lang"), "source", "n_chars")
-
-
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of texts with five-word similarity of 0.8 or more: smallest id, null last, then text hash.
-
-    Classes are of texts, so a shared or null id merges nothing; of rows with the
-    same id and text the least by the other columns stays.
-    """
-    tables.modest_batches(spark)
-    first = tables.cut(simhash.representatives(docs.select("doc_id", "text")))
-    rows = docs.select(*COLUMNS, simhash.text_digest(F.col("text")).alias("_t"))
-    # One hash of both parts of the key, by which texts are sent once for the join and for the aggregate.
-    kept = rows.withColumn("_h", F.xxhash64("doc_id", "_t")).join(first.withColumn("_h", F.xxhash64("id", "t")), "_h")
-    kept = kept.where(F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_t") == F.col("t")))
-    least = kept.groupBy("_h", "doc_id", "_t").agg(F.min(F.struct("source", "lang", "n_chars", "text")).alias("_r"))
-    return least.select("doc_id", *(F.col(f"_r.{c}").alias(c) for c in COLUMNS[1:]))
-
-
-def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents in which a benchmark item stands."""
-    tables.modest_batches(spark)
-    return contamination.drop_contaminated(docs.select(*COLUMNS), tables.read(spark, sf_dir, "benchmark", "item_id", "text"))
-
-
-def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Masks secrets in the texts; keeps every document."""
-    tables.modest_batches(spark)
-    return secrets.redact(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
-
-
-def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with digests of the ids and of what they decode to."""
-    tables.modest_batches(spark)
-    return bpe.digests(docs, *bpe.public_vocabulary(), ids=True)
-
-
-STAGES = [
-    ("language_id", language),
-    ("near_dedup", near_duplicates),
-    ("decontaminate", decontaminate),
-    ("secrets", redact_secrets),
-    ("tokenize", tokenize),
-]
-ORACLE_SQL = None
-
-
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents table."""
-    docs = tables.read(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+__all__ = ["COLUMNS", "ORACLE_SQL", "STAGES", "decontaminate", "language", "near_duplicates", "redact_secrets", "run", "tokenize"]

@@ -3,6 +3,7 @@ import hashlib
 import html as references
 import random
 import re
+import time
 
 import numpy as np
 
@@ -53,26 +54,81 @@ def test_chat_is_native(spark, sf):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
-def test_articles_of_pages(spark, sf):
-    pages = spark.read.parquet(f"{sf}/pages.parquet")
-    source = {r["page_id"]: r["html"] for r in pages.collect()}
-    rows = html.extract(pages).collect()
-    assert len(rows) == len(source)
-    for r in rows:
-        article = re.search(r"<article>(.*?)</article>", source[r["page_id"]], re.S)[1]
+def articles(source):
+    """Text of each page's article, read from the markup of the test pages."""
+    out = {}
+    for page, text in source.items():
+        article = re.search(r"<article>(.*?)</article>", text, re.S)[1]
         blocks = [" ".join(references.unescape(re.sub("<[^>]*>", "", b)).split()) for b in re.split(r"</?p>|</?h1>", article)]
-        assert r["text"] == "\n".join(b for b in blocks if b) and r["n_chars"] == len(r["text"])
+        out[page] = "\n".join(b for b in blocks if b)
+    return out
+
+
+def without_names(page):
+    """A page whose class, id and role attributes and article elements are gone."""
+    page = re.sub(r"""\s(class|id|role)="[^"]*\"""", "", page)
+    return page.replace("<article>", "<div>").replace("</article>", "</div>")
+
+
+def without_meaning(page):
+    """The same, and no element says what it is for."""
+    return re.sub(r"<(/?)(?:nav|footer|header|aside|main)\b", r"<\1div", without_names(page))
+
+
+def test_articles_of_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    rows = [tuple(r) for r in pages.select("page_id", "url", "html").collect()]
+    want = articles({i: h for i, _, h in rows})
+    for change in (lambda x: x, without_names, without_meaning):
+        df = spark.createDataFrame([(i, u, change(h)) for i, u, h in rows], "page_id long, url string, html string")
+        got = html.extract(df).collect()
+        assert len(got) == len(rows) and all(r["n_chars"] == len(r["text"]) for r in got)
+        assert {r["page_id"]: r["text"] for r in got} == want
+
+
+def test_classes_by_brute_force():
+    """Tokens are in one class if and only if they occur equally often on every page."""
+    r = random.Random(3)
+    for _ in range(20):
+        pages = ["<body>" + "".join(r.choice(["<div>a</div>", "<div class=x><p>b", "<ul><li>c<li>d</ul>", "</div>", "e <section>"]) for _ in range(r.randrange(1, 8))) for _ in range(4)]
+        counts = collections.defaultdict(lambda: [0] * 2 * len(pages))
+        sums = collections.defaultdict(lambda: [0, 0, 0])
+        for i, page in enumerate(pages):
+            for token, _, _, _, n, closed, *_ in html.page_tokens(page):
+                counts[token][2 * i : 2 * i + 2] = [n, closed]
+                one, two = html._hash(i, n), html._hash(i, closed)
+                for j, x in enumerate((one & 0xFFFFFFFF, one >> 32, (two & 0xFFFFFFFF) - (one & 0xFFFFFFFF) if n != closed else 0)):
+                    sums[token][j] += x
+        rows = [{"token": t, "line": False, "first": a, "second": b, "closed": c} for t, (a, b, c) in sums.items()]
+        got = {frozenset(x["token"] for x in found) for found in html.classes(rows).values()}
+        want = collections.defaultdict(set)
+        for token, v in counts.items():
+            if v[::2] == v[1::2]:
+                want[tuple(v)].add(token)
+        assert got == {frozenset(x) for x in want.values()}
+
+
+def test_hostile_pages_take_linear_time():
+    for page in ("<a " * 350_000, '<a "' * 250_000, "<div>" * 100_000, "<!--" * 250_000, "<" * 1_000_000, '<a ="' * 200_000, "<div>" * 50_000 + "</p>" * 50_000):
+        began = time.process_time()
+        html.main_text(page, None)
+        sum(1 for _ in html.page_tokens(page))
+        assert time.process_time() - began < 5
 
 
 def test_other_templates_and_odd_pages(spark):
-    frame = '<html><body><header>Site</header><div id="menu1">Menu</div><main><h2>{t}</h2><p>One &amp; two<br>three</p><section class="comments">Nice!</section></main><aside>x</aside><form>f</form><div class="cookie-notice">ok</div></body>'
-    rows = [(i, f"http://a.example/{i}", frame.format(t=f"Title {i}")) for i in range(5)]
-    rows += [(10, None, None), (11, "http://b.example/", ""), (12, "http://c.example/", "just <b>text</b> &copy"), (13, "http://d.example", "<article>a<script>var x='<p>';</script>b<!-- c --></article> tail <p"), (0, "http://a.example/0", frame.format(t="Title 0"))]
+    frame = '<html><body><header>Site</header><div id="menu1">Menu</div><main><header><h2>{t}</h2></header><p>One &amp; two<br>{t} three</p><p>Read more</p><section class="comments">{c}</section></main><aside>x {t}</aside><form>f</form><div class="cookie-notice">ok</div></body>'
+    made = lambda i: frame.format(t=f"Title {i}", c="".join(f"<div>Nice {j}!</div>" for j in range(1, i % 3 + 2)))
+    rows = [(i, f"http://a.example/{i}", made(i)) for i in range(6)]
+    rows += [(10, None, None), (11, "http://b.example/", ""), (12, "http://c.example/", "just <b>text</b> &copy"), (13, "http://d.example", "<article>a<script>var x='<p>';</script>b<!-- c --></article> tail <p"), (0, "http://a.example/0", made(0))]
+    # Forty copies of a page don't make its text a part of the template.
+    rows += [(20 + i, "http://a.example/20", frame.format(t="Copied", c="")) for i in range(40)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "'x' as host", "'y' as text", "1 as key")
     got = {r["page_id"]: r["text"] for r in html.extract(df).collect()}
-    assert all(got[i] == f"Title {i}\nOne & two three" for i in range(5))
+    assert all(got[i] == f"Title {i}\nOne & two Title {i} three" for i in range(6))
+    assert {got[20 + i] for i in range(40)} == {"Copied\nOne & two Copied three"}
     assert (got[10], got[11], got[12], got[13]) == ("", "", "just text ©", "a\nb")
-    assert html.extract(df).count() == 10 and html.extract(df.limit(0)).count() == 0
+    assert html.extract(df).count() == 51 and html.extract(df.limit(0)).count() == 0
     limit, html.BROADCAST_BYTES = html.BROADCAST_BYTES, -1
     try:
         assert {r["page_id"]: r["text"] for r in html.extract(df).collect()} == got

@@ -176,6 +176,50 @@ def test_passages_made_up(spark):
     assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def test_words_that_fool_linear_hashes(spark):
+    """Words of 1,024 letters in the order of Thue and Morse, which every polynomial modulo 2**64 takes for equal."""
+    one = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"r{i}" for i in range(34))
+    rows = [(1, f"{one} {rest}"), (2, f"{other} {rest}")]
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+
+
+def test_longest_matches_and_factors_by_definition():
+    r = random.Random(8)
+    for _ in range(200):
+        parts = [[r.randrange(r.choice([2, 3, 30])) for _ in range(r.randrange(1, 90))] for _ in range(r.randrange(1, 6))]
+        parts += [parts[0][3:40]] if len(parts[0]) > 3 else []
+        flat, sizes = np.array(sum(parts, []), np.uint64), np.array([len(x) for x in parts])
+        suffixes = [(i, j) for i, x in enumerate(parts) for j in range(len(x))]
+
+        def common(a, b):
+            n = 0
+            while a[1] + n < len(parts[a[0]]) and b[1] + n < len(parts[b[0]]) and parts[a[0]][a[1] + n] == parts[b[0]][b[1] + n]:
+                n += 1
+            return n
+
+        want = [min(64, max((common(a, b) for b in suffixes if b != a), default=0)) for a in suffixes]
+        assert substrings.longest_matches(flat, sizes).tolist() == want
+        for window in (1, 5, 35):
+            windows = collections.Counter(tuple(x[j : j + window]) for x in parts for j in range(len(x) - window + 1))
+            assert substrings.repeated_windows(flat, sizes, window).tolist() == [j + window <= len(parts[i]) and windows[tuple(parts[i][j : j + window])] > 1 for i, j in suffixes]
+
+
+def test_passages_around_hot_grams(spark, monkeypatch):
+    """Grams with many surroundings are counted by windows; small blocks hold few grams each."""
+    r = random.Random(11)
+    line = " ".join(f"c{i}" for i in range(25))
+    rows = [(i, " ".join([*(f"w{r.randrange(3000)}" for _ in range(r.randrange(60))), line, *(f"w{r.randrange(3000)}" for _ in range(60))])) for i in range(60)]
+    rows += [(i + 100, t.split(" ", 5)[5]) for i, t in rows[:20]] + [(200 + i, t) for i, t in rows[:10]]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute(rows)
+    for hot, block in ((100, 1 << 18), (1 << 16, 200), (100, 200)):
+        monkeypatch.setattr(substrings, "HOT_WINDOWS", hot)
+        monkeypatch.setattr(substrings, "BLOCK_WORDS", block)
+        assert found(df) == want
+
+
 def test_passages_of_odd_rows(spark, odd):
     assert found(odd) == brute([(r["doc_id"], r["text"]) for r in odd.collect()])
     assert substrings.remove_duplicate_passages(odd.limit(0)).count() == 0

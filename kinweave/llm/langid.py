@@ -30,11 +30,13 @@ _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
 
+#: Code lengths that were worked out are kept up to so many bytes.
+MET_BYTES = 12 << 20
 #: A slot of the table without an entry.
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-@dataclass(frozen=True)
+@dataclass
 class Model:
     """Frozen statistics, of which only what was seen is stored.
 
@@ -51,6 +53,13 @@ class Model:
     slots: np.ndarray
     values: np.ndarray
 
+    def __post_init__(self):
+        # The bytes in context that were met last, one for each slot, and their code lengths in all languages.
+        self.met, self.lengths = np.zeros(0, np.uint64), np.zeros((0, 0), np.float32)
+
+    def __getstate__(self):
+        return self.__dict__ | {"met": self.met[:0], "lengths": self.lengths[:0, :0]}
+
     def look_up(self, keys: np.ndarray) -> np.ndarray:
         """The entry of each key; NaN where there is none."""
         out, some = np.full(len(keys), np.nan, np.float32), np.arange(len(keys))
@@ -169,26 +178,49 @@ def _table(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Bits of each text in each language; each distinct byte with its context is worked out once for all its places."""
+    """Bits of each text in each language.
+
+    A byte with its context is worked out once for all its places in the data, and
+    not again while it is among those met last.
+    """
     out = np.zeros((len(offsets) - 1, len(model.languages)))
     if not len(data):
         return out
+    if not len(model.met):
+        size = 1 << max(8, (MET_BYTES // (8 + 4 * len(model.languages))).bit_length() - 1)
+        model.met, model.lengths = np.full(size, EMPTY), np.zeros((size, len(model.languages)), np.float32)
     s, at = padded(model.symbols[data], offsets, int(model.symbols[PAD]))
-    s, a = s.astype(np.int64), model.n_symbols
+    s, a = s.astype(np.uint64), np.uint64(model.n_symbols)
     code = (((s[:-3] * a + s[1:-2]) * a + s[2:-1]) * a + s[3:])[at - 3]
-    code, back = np.unique(code, return_inverse=True)
+    slot = (code * np.uint64(B.BASE) >> np.uint64(65 - len(model.met).bit_length())).astype(np.int64)
+    new = np.unique(code[model.met[slot] != code])
+    place = (new * np.uint64(B.BASE) >> np.uint64(65 - len(model.met).bit_length())).astype(np.int64)
+    model.met[place], model.lengths[place] = new, _lengths(model, new)
+    bits = model.lengths[slot]
+    # Of two that share a slot the later stays; the other is worked out for this data alone.
+    lost = np.flatnonzero(model.met[slot] != code)
+    if len(lost):
+        again, back = np.unique(code[lost], return_inverse=True)
+        bits[lost] = _lengths(model, again)[back]
     full = np.flatnonzero(np.diff(offsets))
+    out[full] = np.add.reduceat(bits, offsets[full], axis=0, dtype=np.float64)
+    return out
+
+
+def _lengths(model: Model, code: np.ndarray) -> np.ndarray:
+    """Bits of the last symbol of each four in each language."""
+    out, a = np.zeros((len(code), len(model.languages)), np.float32), model.n_symbols
+    code = code.astype(np.int64)
     for language in range(len(model.languages)):
-        bits, rest = np.zeros(len(code), np.float32), np.arange(len(code))
+        rest = np.arange(len(code))
         for k in range(ORDER, 0, -1):
             here = code[rest] % a ** (k + 1)
             found = model.look_up(_key(language, k, 0, here))
             seen = ~np.isnan(found)
-            bits[rest[seen]] += found[seen]
+            out[rest[seen], language] += found[seen]
             rest, here = rest[~seen], here[~seen]
-            bits[rest] += np.nan_to_num(model.look_up(_key(language, k, 1, here // a)))
-        bits[rest] += model.zero[language, code[rest] % a]
-        out[full, language] = np.add.reduceat(bits[back], offsets[full], dtype=np.float64)
+            out[rest, language] += np.nan_to_num(model.look_up(_key(language, k, 1, here // a)))
+        out[rest, language] += model.zero[language, code[rest] % a]
     return out
 
 
@@ -235,6 +267,7 @@ def prediction(model: Model | None, spark: SparkSession):
                     if letters[i + 1] > letters[i] or has_letter(column[lo + i].as_py() or ""):
                         pred[lo + i], score[lo + i] = m.languages[best[i]], float(share[i])
             yield pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
+        tables.release()
 
     return predicted
 

@@ -293,6 +293,7 @@ def digests(df: DataFrame, lines: bytes, pattern: str, key: str = "doc_id", text
                 columns, names = [*columns, pa.array(arrays, pa.list_(pa.int32()))], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(columns, names)
         enc.forget()
+        tables.release()
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, text).mapInArrow(work, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids).withColumnRenamed("key", key)

@@ -329,6 +329,7 @@ def find_items(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
                 near = [1 - e / len(ix.words[j]) for e, j in zip(edits, item, strict=True)]
                 columns = [batch.column(0).take(pa.array(row, pa.int64())), pa.array([ix.ids[j] for j in item], item_type), pa.array(edits, pa.int32()), pa.array(near, pa.float64()), pa.array(start, pa.int64()), pa.array([e - 1 for e in end], pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "item", "edits", "similarity", "first_word", "last_word"])
+            tables.release()
 
         part = df.select(key, text).mapInArrow(work, schema)
         out = part if out is None else out.unionByName(part)
@@ -366,6 +367,7 @@ def _clean(shared):
             for lo, _, data, offsets in B.chunks(column):
                 ok[[lo + h[0] for h in hits_in(shared.value, B.LOWER[data], offsets)]] = False
             yield pa.array(ok)
+        tables.release()
 
     return clean
 

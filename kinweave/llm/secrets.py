@@ -320,6 +320,7 @@ def secrets(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
             base = [[x for x in spans if x[2] < 3] for spans in found]
             counts = [pa.array([sum(x[2] == k for x in spans) for spans in base], pa.int64()) for k in range(3)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *counts, pa.array([hashlib.sha256(joined(x).encode()).hexdigest() for x in base], pa.string()), pa.array([joined(x) for x in found], pa.string())], ["key", *(x.split()[0] for x in SCHEMA.split(", "))])
+        tables.release()
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(key, text).mapInArrow(work, f"key {kind}, {SCHEMA}").withColumnRenamed("key", key)
@@ -344,6 +345,7 @@ def redact(df: DataFrame, text: str = "text", mask: str = "[redacted]") -> DataF
                     value = "".join([*parts, value[at:]])
                 done.append(value)
             yield pa.array(done, pa.string())
+        tables.release()
 
     return df.withColumn(text, masked(df[text]))
 

@@ -34,8 +34,8 @@ BLOCK = 65_536
 LEAST_HASHES, FINGERPRINT_WORDS = 5, 2
 #: Texts of so few shingles meet by their least shingles, of which similar sets always share one.
 SHORT = 32
-#: Texts of a candidate class in a block of the exact comparison, and blocks of a class unless a block would hold more than MOST_TEXTS.
-TEXTS, TEXT_BLOCKS, MOST_TEXTS = 512, 16, 16_384
+#: Texts of a candidate class, and bytes of their sets, that a block of the exact comparison holds at most (a larger set makes a block of its own).
+TEXTS, SET_BYTES = 16_384, 32 << 20
 #: A table of texts (a few longs each, 40 bytes or so) is broadcast up to this many rows, which are counted; beyond it is joined by a shuffle.
 BROADCAST_ROWS = 1 << 19
 #: Groups up to this size are compared pair by pair in one go, larger ones block by block.
@@ -97,6 +97,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", k: int
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fingerprint_batch(batch.column(1), k).view(np.int64))], ["key", "fp"])
+        tables.release()
 
     return df.select(key, text).mapInArrow(work, f"key {df.schema[key].dataType.simpleString()}, fp long").withColumnRenamed("key", key)
 
@@ -250,19 +251,20 @@ def link_edges(keyed: DataFrame, radius: int, n: int, block: int = BLOCK, simila
     and every pair of blocks is compared in a group of its own. n: how many
     fingerprints there are; keys needn't be counted if that is at most ``block``.
     With a similarity, rows have a set too (s, sorted 64-bit words), and a link
-    counts only if the sets of both have at least this Jaccard similarity.
+    counts only if the sets of both have at least this Jaccard similarity; blocks
+    hold at most SET_BYTES of sets, too.
     """
     own_set = ["s"] if similarity else []
-    large = tables.cut(keyed.groupBy("k").count().where(F.col("count") > block), n) if n > block else None
+    parts = F.ceil(F.count("*") / block)
+    if similarity:
+        parts = F.greatest(parts, F.ceil(F.sum(F.octet_length("s")) / SET_BYTES))
+    large = tables.cut(keyed.groupBy("k").agg(parts.cast("long").alias("n")).where("n > 1"), n) if similarity or n > block else None
     if large is None or large.isEmpty():
         keyed = keyed.select("k", F.lit(0).cast("long").alias("part"), "v", "p", *own_set)
     else:
-        parts = F.ceil(F.col("count") / block)
-        if similarity:
-            parts = F.greatest(F.least(parts, F.lit(TEXT_BLOCKS)), F.ceil(F.col("count") / MOST_TEXTS))
-        parts = F.coalesce(parts, F.lit(1)).cast("long")
         own = F.pmod(F.xxhash64("v"), F.col("n"))
-        keyed = keyed.join(large, "k", "left").select("k", "v", "p", *own_set, parts.alias("n")).select("k", "v", "p", *own_set, "n", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other"))
+        keyed = keyed.join(large, "k", "left").withColumn("n", F.coalesce("n", F.lit(1).cast("long")))
+        keyed = keyed.select("k", "v", "p", *own_set, "n", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other"))
         keyed = keyed.select("k", (F.least("own", "other") * F.col("n") + F.greatest("own", "other")).alias("part"), "v", "p", *own_set)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,6 +300,7 @@ def link_edges(keyed: DataFrame, radius: int, n: int, block: int = BLOCK, simila
         if held is not None:
             links_of_groups(held[0], held[2], held[1], radius, forest, sets, similarity)
         yield give(forest)
+        tables.release()
 
     return keyed.repartition("k", "part").sortWithinPartitions("k", "part").mapInArrow(work, "a long, b long")
 
@@ -398,6 +401,7 @@ def _text_classes(df: DataFrame, key: str, text: str, k: int, similarity: float,
             lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, keys)]), pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *keys])))
             p = pa.array([r.tobytes() for r in wide_fingerprints(sets, FINGERPRINT_WORDS)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(v), p, lists], ["_key", "t", "v", "p", "ks"])
+        tables.release()
 
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key).alias("_key"), F.col(text).alias("text"), text_digest(F.col(text)).alias("t"))
@@ -413,12 +417,13 @@ def _text_classes(df: DataFrame, key: str, text: str, k: int, similarity: float,
         for batch in batches:
             sets = pa.array([s.tobytes() for s in shingle_sets(batch.column(3), k)], pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], sets], ["k", "v", "p", "s"])
+        tables.release()
 
     # Only texts of candidates are sent, and equal ones are added up first, so a text with very many copies is one row a task.
     many = candidates.count()
     texts = _known(rows.select("t", "text"), candidates.select("t").distinct(), many, "left_semi").groupBy("t").agg(F.first("text").alias("text"))
     full = candidates.join(texts, "t").select("k", "v", "p", "text").mapInArrow(with_sets, "k long, v long, p binary, s binary")
-    sure = components(link_edges(tables.cut(full), radius, many, TEXTS, similarity), most=many * TEXT_BLOCKS)
+    sure = components(link_edges(tables.cut(full), radius, many, TEXTS, similarity), most=many)
     told = once.select("v", "first", "rows").join(sure, "v", "left").select("v", F.coalesce("root", "v").alias("class"), "first", "rows")
     return prints.select("_key", "t", "v"), tables.cut(told, n), n
 

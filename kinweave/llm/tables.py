@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -49,3 +51,11 @@ def modest_batches(spark: SparkSession, rows: int = 1000) -> None:
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= rows:
         spark.conf.set(name, str(rows))
+
+
+def release() -> None:
+    """Gives memory that a Python worker no longer uses back to the system, at the end of a task: workers are used again."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

@@ -1,18 +1,26 @@
 """Copies of images in a binary column, found by local descriptors.
 
-Corners are found at several scales. The patch around a corner is turned by the
-direction of its centre of mass, and pairs of its points are compared; the results
-are the bits of its descriptor. Tables of 32 of these bits each join descriptors,
-those within a Hamming radius are matches, and a copy is an image many of whose
-matches agree on one rotation, scale and shift. So crops, turned and retouched
-copies are found, while single look-alike patches count for nothing.
+Corners are found at several scales: every place that is stronger than all others
+around it, so their number follows the area, and a crop keeps those of the whole.
+The patch around a corner is turned by the direction of its centre of mass, and
+pairs of its points are compared; the results are the bits of its descriptor.
+
+Descriptors meet in tables, one for each of PARTS parts of their bits. The query's
+side also looks under keys with one of the bits turned that were least sure, those
+whose points differed least. What meets within a Hamming radius is a match. Two
+matches of a pair of images fix a turn, a scale and a shift; the copy is an image
+for which many matches agree on one. So crops, turned, resized and retouched copies
+are found, while single look-alike patches count for nothing.
 
 Images are portable graymaps or pixmaps (P5, P6), read and written here.
 """
 
 from __future__ import annotations
 
+import cmath
 import functools
+import itertools
+import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -25,14 +33,19 @@ from pyspark.sql import functions as F
 
 from kinweave.llm import tables
 
-#: Scales, and how many of the strongest corners are described at each.
-SCALES, CORNERS = (1.0, 0.7071, 0.5), (26, 14, 8)
-PATCH, BITS, KEY_BITS, N_TABLES = 9, 128, 32, 4
-#: Largest distance of matching descriptors, and agreeing corners of the query that make a copy.
-RADIUS, INLIERS = 30, 5
-#: Steps of rotation in degrees, of shift in pixels.
-TURN, SHIFT = 15, 8
-IMAGES_AT_ONCE = 64
+#: Scales of an image, and those of a query, half a step apart.
+SCALES, ASKED_SCALES = (1.0, 0.7071, 0.5), (1.0, 0.8409, 0.7071, 0.5946, 0.5)
+#: The distance within which a corner is the strongest.
+APART = 5
+#: Descriptors of BITS bits, of which PARTS times KEY_BITS are keys of tables; the least sure bits of a key that a query turns one at a time, and two at a time.
+PATCH, BITS, KEY_BITS, PARTS, TURNED, PAIRED = 9, 128, 20, 6, 8, 4
+#: Largest distance of matching descriptors, and distinct places of the query that agree in a copy.
+RADIUS, INLIERS = 18, 4
+#: Pixels that a corner may be off, and pairs of matches that are tried for a pair of images; with fewer matches all pairs are.
+OFF, TRIED = 3.0, 600
+#: Points are compared by the mean of a square of this many pixels around them, and as many more on each side.
+SOFT = 1
+IMAGES_AT_ONCE, PIXELS_AT_ONCE, CORNERS_AT_ONCE = 64, 1 << 21, 4096
 _HEADER = re.compile(rb"^(P[56])(?:\s+|#[^\n]*\n)+(\d+)(?:\s+|#[^\n]*\n)+(\d+)(?:\s+|#[^\n]*\n)+(\d+)\s")
 
 _GRID = np.mgrid[-PATCH : PATCH + 1, -PATCH : PATCH + 1]
@@ -82,8 +95,8 @@ def _resize(x: np.ndarray, scale: float) -> np.ndarray:
     return out
 
 
-def corners(x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(image, row, column) of the strongest corners of each image, away from the border."""
+def corners(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(image, row, column) of the places of each image that are the strongest within APART pixels, away from the border."""
     n, h, w = x.shape
     edge = PATCH + 1
     if h <= 2 * edge or w <= 2 * edge:
@@ -96,23 +109,18 @@ def corners(x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     top = strength
     for axis in (1, 2):
         pad = [(0, 0)] * 3
-        pad[axis] = (2, 2)
+        pad[axis] = (APART, APART)
         p = np.pad(top, pad, constant_values=-np.inf)
         size = top.shape[axis]
-        top = np.maximum.reduce([np.take(p, np.arange(i, i + size), axis) for i in range(5)])
+        top = np.maximum.reduce([np.take(p, np.arange(i, i + size), axis) for i in range(2 * APART + 1)])
     inner = np.zeros((h, w), bool)
     inner[edge:-edge, edge:-edge] = True
-    score = np.where((strength == top) & (strength > 1) & inner, strength, -np.inf).reshape(n, -1)
-    k = min(most, score.shape[1])
-    order = np.argpartition(-score, k - 1, axis=1)[:, :k]
-    good = np.take_along_axis(score, order, 1) > 0
-    image = np.nonzero(good)[0]
-    return image, order[good] // w, order[good] % w
+    return np.nonzero((strength == top) & (strength > 1) & inner)
 
 
 def _values(x: np.ndarray, image: np.ndarray, row: np.ndarray, col: np.ndarray, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Angles of patches (radians), and the softened values at points of them that turn with the patch."""
-    soft = _box(x, 1)
+    soft = _box(x, SOFT)
     patch = soft[image[:, None, None], row[:, None, None] + _GRID[0], col[:, None, None] + _GRID[1]] * _DISC
     angle = np.arctan2((patch * _GRID[0]).sum((1, 2)), (patch * _GRID[1]).sum((1, 2)))
     cos, sin = np.cos(angle)[:, None], np.sin(angle)[:, None]
@@ -122,6 +130,17 @@ def _values(x: np.ndarray, image: np.ndarray, row: np.ndarray, col: np.ndarray,
     return angle, soft[image[:, None], y, z]
 
 
+def leaves(seed: int, size: int = 96) -> np.ndarray:
+    """A picture of discs of grey that lie on each other, as objects do: what the points to compare are chosen on."""
+    r = np.random.default_rng(seed)
+    y, x = np.mgrid[:size, :size]
+    out = np.zeros((size, size), np.float32)
+    for _ in range(150):
+        cy, cx, radius = r.uniform(0, size), r.uniform(0, size), 2 / r.uniform(0.05, 1)
+        out[(y - cy) ** 2 + (x - cx) ** 2 < radius**2] = r.uniform(0, 255)
+    return out
+
+
 @functools.cache
 def comparisons(count: int = BITS, most_alike: float = 0.25) -> np.ndarray:
     """The pairs of points to compare: (count, 2, 2).
@@ -135,8 +154,8 @@ def comparisons(count: int = BITS, most_alike: float = 0.25) -> np.ndarray:
     points = np.round(r.uniform(-1, 1, (9000, 2)) * (PATCH - 1))
     points = points[(points**2).sum(1) <= (PATCH - 1) ** 2]
     points = points[: len(points) // 2 * 2]
-    stack = np.stack([picture(int(s)) for s in r.integers(0, 1 << 62, 50)]).astype(np.float32)
-    _, value = _values(stack, *corners(stack, CORNERS[0]), points)
+    stack = np.stack([leaves(int(s)) for s in r.integers(0, 1 << 62, 50)])
+    _, value = _values(stack, *corners(stack), points)
     bits = (value[:, 0::2] < value[:, 1::2]).astype(np.float32)
     z = (bits - bits.mean(0)) / (bits.std(0) + 1e-6)
     alike = np.abs(z.T @ z) / len(z)
@@ -151,66 +170,107 @@ def comparisons(count: int = BITS, most_alike: float = 0.25) -> np.ndarray:
     return points.reshape(-1, 2, 2)[np.random.default_rng(5).permutation(taken)]
 
 
-def describe(x: np.ndarray, image: np.ndarray, row: np.ndarray, col: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Angles in degrees and descriptors (two words) of patches turned upright."""
+def describe(x: np.ndarray, image: np.ndarray, row: np.ndarray, col: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Angles of patches turned upright, their bits (rows of BITS zeros and ones), and how sure each bit is."""
     angle, value = _values(x, image, row, col, comparisons().reshape(-1, 2))
     value = value.reshape(len(value), -1, 2)
-    bits = np.packbits(value[:, :, 0] < value[:, :, 1], axis=1, bitorder="little")
-    return np.degrees(angle), bits.view(np.int64)
+    differ = value[:, :, 1] - value[:, :, 0]
+    return angle, (differ > 0).astype(np.uint8), np.abs(differ)
 
 
-FEATURES = "array<struct<x:float,y:float,scale:float,angle:float,d0:long,d1:long>>"
+def asked_keys(bits: np.ndarray, sure: np.ndarray) -> np.ndarray:
+    """Keys under which a query's descriptors look: of each table their own, and those with unsure bits turned."""
+    out = []
+    for t in range(PARTS):
+        part = bits[:, t * KEY_BITS : (t + 1) * KEY_BITS].astype(np.int64)
+        key = part @ (np.int64(1) << np.arange(KEY_BITS)) | np.int64(t) << np.int64(KEY_BITS)
+        turned = np.int64(1) << np.argsort(sure[:, t * KEY_BITS : (t + 1) * KEY_BITS], axis=1, kind="stable")[:, :TURNED]
+        out += [key] + [key ^ turned[:, j] for j in range(TURNED)] + [key ^ turned[:, i] ^ turned[:, j] for i, j in itertools.combinations(range(PAIRED), 2)]
+    return np.stack(out, 1)
+
+
+def own_keys() -> Column:
+    """The keys under which a descriptor (columns d0, d1, ...) stands in the tables."""
+    keys = []
+    for t in range(PARTS):
+        word, at = divmod(t * KEY_BITS, 64)
+        key = F.shiftrightunsigned(F.col(_WORDS[word]), at)
+        if at + KEY_BITS > 64:
+            key = key.bitwiseOR(F.shiftleft(F.col(_WORDS[word + 1]), 64 - at))
+        keys.append(key.bitwiseAND(F.lit((1 << KEY_BITS) - 1)).bitwiseOR(F.lit(t << KEY_BITS)))
+    return F.array(*keys)
 
 
-def features_of(images: list[np.ndarray | None]) -> list[list[dict]]:
-    """Described corners of each image; none of what is no image, or too small."""
+_WORDS = [f"d{i}" for i in range(BITS // 64)]
+#: Of each corner: place in the image in pixels, descriptor, and the keys of a query.
+FEATURES = f"array<struct<x:float,y:float,{','.join(f'{d}:long' for d in _WORDS)},keys:array<long>>>"
+_POINT = pa.struct([("x", pa.float32()), ("y", pa.float32()), *((d, pa.int64()) for d in _WORDS), ("keys", pa.list_(pa.int64()))])
+
+
+def features_of(images: list[np.ndarray | None], asked: bool = False) -> list[list[dict]]:
+    """Described corners of each image; none of what is no image, or too small. asked: with the keys of a query."""
     out: list[list[dict]] = [[] for _ in images]
     shapes = defaultdict(list)
     for i, im in enumerate(images):
         if im is not None:
             shapes[im.shape].append(i)
-    for ids in shapes.values():
-        for lo in range(0, len(ids), IMAGES_AT_ONCE):
-            part = ids[lo : lo + IMAGES_AT_ONCE]
+    for shape, ids in shapes.items():
+        at_once = max(1, min(IMAGES_AT_ONCE, PIXELS_AT_ONCE // (shape[0] * shape[1])))
+        for lo in range(0, len(ids), at_once):
+            part = ids[lo : lo + at_once]
             stack = np.stack([images[i] for i in part])
-            for scale, most in zip(SCALES, CORNERS, strict=True):
+            for scale in ASKED_SCALES if asked else SCALES:
                 x = _resize(stack, scale)
-                im, row, col = corners(x, most)
-                if not len(im):
-                    continue
-                angle, bits = describe(x, im, row, col)
-                for i, r, c, a, (d0, d1) in zip(im.tolist(), row.tolist(), col.tolist(), angle.tolist(), bits.tolist(), strict=True):
-                    out[part[i]].append({"x": (c + 0.5) / scale, "y": (r + 0.5) / scale, "scale": scale, "angle": a, "d0": d0, "d1": d1})
+                im, row, col = corners(x)
+                for c in range(0, len(im), CORNERS_AT_ONCE):
+                    i, r, k = (v[c : c + CORNERS_AT_ONCE] for v in (im, row, col))
+                    _, bits, sure = describe(x, i, r, k)
+                    words = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+                    keys = asked_keys(bits, sure).tolist() if asked else [None] * len(i)
+                    for j, y, z, d, own in zip(i.tolist(), r.tolist(), k.tolist(), words.tolist(), keys, strict=True):
+                        out[part[j]].append({"x": (z + 0.5) / scale, "y": (y + 0.5) / scale, "keys": own} | dict(zip(_WORDS, d, strict=True)))
     return out
 
 
-def features(df: DataFrame, key: str, image: str) -> DataFrame:
+def features(df: DataFrame, key: str, image: str, asked: bool = False) -> DataFrame:
     """(key, features) for each row of a binary image column."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([(n, pa.float32()) for n in ("x", "y", "scale", "angle")] + [("d0", pa.int64()), ("d1", pa.int64())]))
         for batch in batches:
             for lo in range(0, len(batch), 512):
                 part = batch.slice(lo, 512)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(features_of([decode(x) for x in part.column(1).to_pylist()]), kind)], ["key", "features"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(features_of([decode(x) for x in part.column(1).to_pylist()], asked), pa.list_(_POINT))], ["key", "features"])
 
     return df.select(key, image).mapInArrow(work, f"key {df.schema[key].dataType.simpleString()}, features {FEATURES}").withColumnRenamed("key", key)
 
 
-def _tables(f: Column) -> Column:
-    """The keys of a descriptor: KEY_BITS of its bits for each table, with the table's number above."""
-    mask = F.lit((1 << KEY_BITS) - 1)
-    keys = []
-    for t in range(N_TABLES):
-        at = t * KEY_BITS
-        if at + KEY_BITS <= 64:
-            bits = F.shiftrightunsigned(f["d0"], at)
-        elif at >= 64:
-            bits = F.shiftrightunsigned(f["d1"], at - 64)
-        else:
-            bits = F.shiftrightunsigned(f["d0"], at).bitwiseOR(F.shiftleft(f["d1"], 64 - at))
-        keys.append(bits.bitwiseAND(mask).bitwiseOR(F.lit(t << KEY_BITS)))
-    return F.array(*keys)
+def consensus(pairs: np.ndarray) -> tuple[int, float, float, float, float] | None:
+    """(distinct places that agree, scale, turn in degrees, shift x and y) of the best placing of a query in an image.
+
+    pairs: rows (x, y in the query, x, y in the image). A placing turns, scales and
+    shifts; each pair of matches gives one, those that most matches follow within
+    OFF pixels win, the first of equals. Corners within about 2 OFF of each other,
+    as of one place at several scales, count as one place.
+    """
+    pairs = pairs[np.lexsort(pairs.T[::-1])]
+    q, p = pairs[:, 0] + 1j * pairs[:, 1], pairs[:, 2] + 1j * pairs[:, 3]
+    place = np.unique(np.round(pairs[:, :2] / (2 * OFF)), axis=0, return_inverse=True)[1].ravel()
+    i, j = np.triu_indices(len(pairs), 1) if len(pairs) ** 2 <= 2 * TRIED else np.random.default_rng(1).integers(0, len(pairs), (2, TRIED))
+    far = np.abs(q[i] - q[j]) > 4 * OFF
+    i, j = i[far], j[far]
+    turn = (p[i] - p[j]) / (q[i] - q[j])
+    ok = (np.abs(turn) > 0.2) & (np.abs(turn) < 5)
+    i, turn = i[ok], turn[ok]
+    best = None
+    for lo in range(0, len(i), 64):
+        t = turn[lo : lo + 64, None]
+        shift = p[i[lo : lo + 64], None] - t * q[i[lo : lo + 64], None]
+        fits = np.abs(t * q[None] + shift - p[None]) <= OFF * np.maximum(1, np.abs(t))
+        for k in np.flatnonzero(fits.sum(1) > (best[0] if best else INLIERS - 1)):
+            n = len(np.unique(place[fits[k]]))
+            if n > (best[0] if best else INLIERS - 1):
+                best = n, complex(t[k, 0]), complex(shift[k, 0])
+    return best and (best[0], abs(best[1]), math.degrees(cmath.phase(best[1])), best[2].real, best[2].imag)
 
 
 def find_copies(queries: DataFrame, images: DataFrame, key: str, image: str = "image") -> DataFrame:
@@ -219,35 +279,39 @@ def find_copies(queries: DataFrame, images: DataFrame, key: str, image: str = "i
     Equal images are one class, named by its smallest key (match_id) and counted
     in copies; only one of them is indexed, so a group of exact copies adds one
     image to the search. A class without a key has a null id. What isn't an image
-    finds nothing and isn't found. Repeated query rows count as one query by key;
-    null keys of queries are left out. Other columns are left out.
+    finds nothing and isn't found. Repeated query rows, and queries with the same
+    key, count as one query; null keys of queries are left out. Other columns are
+    left out. A pair of images is judged in one task, from its matches alone.
     """
-    told = images.select(images[key].alias("id"), F.xxhash64(images[image]).alias("h"), F.sha2(images[image], 256).alias("sha"), images[image].alias("image"))
-    classes = told.where("image is not null").groupBy("h", "sha").agg(F.min("id").alias("match_id"), F.count("*").alias("copies"))
+    told = images.select(F.struct(images[key].alias("id"), F.xxhash64(images[image]).alias("h"), F.sha2(images[image], 256).alias("sha")).alias("k"), images[image].alias("image")).where("image is not null")
     # Of equal images the features are equal: the aggregate keeps one of them.
-    indexed = features(told.where("image is not null").select(F.struct("h", "sha").alias("k"), "image"), "k", "image")
-    indexed = indexed.select("k.*", "features").groupBy("h", "sha").agg(F.first("features").alias("features")).join(classes, ["h", "sha"])
-    asked = features(queries.where(queries[key].isNotNull()).select(key, image), key, image)
-
-    def by_key(df: DataFrame, *names: str) -> DataFrame:
-        one = df.select(*names, F.posexplode("features").alias("n", "f"))
-        return one.select(*names, "n", "f", F.explode(_tables(F.col("f"))).alias("k"))
-
-    q = by_key(asked.withColumnRenamed(key, "query_id"), "query_id").withColumnsRenamed({"f": "qf", "n": "qn"})
-    found = q.join(by_key(indexed, "match_id", "copies"), "k")
-    distance = F.bit_count(F.col("qf.d0").bitwiseXOR(F.col("f.d0"))) + F.bit_count(F.col("qf.d1").bitwiseXOR(F.col("f.d1")))
-    turn = F.pmod(F.round((F.col("f.angle") - F.col("qf.angle")) / TURN), F.lit(360 / TURN)) * TURN
-    rate = F.col("qf.scale") / F.col("f.scale")
-    votes = found.where(distance <= RADIUS).withColumns({"turn": turn, "rate": F.round(rate, 2)})
-    c, s = F.cos(F.radians("turn")), F.sin(F.radians("turn"))
-    votes = votes.withColumns({"dx": F.col("f.x") - F.col("rate") * (c * F.col("qf.x") - s * F.col("qf.y")), "dy": F.col("f.y") - F.col("rate") * (s * F.col("qf.x") + c * F.col("qf.y"))})
-    # Each vote goes to the grid and to grids shifted by half a step, so that no cluster is cut by all of them.
-    half = F.explode(F.array(*(F.struct(F.lit(i / 2).alias("i"), F.lit(j / 2).alias("j")) for i in (0, 1) for j in (0, 1)))).alias("g")
-    cell = votes.select("query_id", "match_id", "copies", "qn", "turn", "rate", "dx", "dy", half)
-    cell = cell.select("query_id", "match_id", "copies", "qn", "turn", "rate", ((F.floor(F.col("dx") / SHIFT + F.col("g.i")) - F.col("g.i") + 0.5) * SHIFT).alias("bx"), ((F.floor(F.col("dy") / SHIFT + F.col("g.j")) - F.col("g.j") + 0.5) * SHIFT).alias("by"))
-    agree = cell.groupBy("query_id", "match_id", "copies", "turn", "rate", "bx", "by").agg(F.expr("bit_count(bit_or(shiftleft(1L, qn)))").alias("inliers")).where(F.col("inliers") >= INLIERS)
-    best = agree.groupBy("query_id", "match_id", "copies").agg(F.max(F.struct("inliers", "rate", "turn", "bx", "by")).alias("b"))
-    return best.select("query_id", "match_id", "copies", F.col("b.inliers").cast("long").alias("inliers"), F.col("b.rate").alias("scale"), F.col("b.turn").alias("rotation"), F.col("b.bx").alias("shift_x"), F.col("b.by").alias("shift_y"))
+    indexed = features(told, "k", "image").groupBy("k.h", "k.sha").agg(F.min("k.id").alias("match_id"), F.count("*").alias("copies"), F.first("features").alias("features"))
+    asked = features(queries.where(queries[key].isNotNull()).select(F.col(key).alias("query_id"), image), "query_id", image, True)
+
+    def by_key(df: DataFrame, keys: Column, *names: str) -> DataFrame:
+        one = df.select(*names, F.posexplode("features").alias("n", "f")).select(*names, "n", "f.*")
+        return one.select(*names, "n", "x", "y", *_WORDS, F.explode(keys).alias("k"))
+
+    q = by_key(asked, F.col("keys"), "query_id").withColumnsRenamed({c: f"q{c}" for c in ("n", "x", "y", *_WORDS)})
+    # Images are told by their hash; their ids follow only to what matches.
+    found = q.join(by_key(indexed.select(F.xxhash64("h", "sha").alias("image"), "features"), own_keys(), "image"), "k")
+    distance = functools.reduce(lambda a, b: a + b, (F.bit_count(F.col(f"q{d}").bitwiseXOR(F.col(d))) for d in _WORDS))
+    # A match that several tables find counts once.
+    votes = found.where(distance <= RADIUS).groupBy("query_id", "image", "qn", "n").agg(*(F.first(c).alias(c) for c in ("qx", "qy", "x", "y")))
+    gathered = votes.groupBy("query_id", "image").agg(F.collect_list(F.array(*(F.col(c).cast("double") for c in ("qx", "qy", "x", "y")))).alias("m"))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            best = [consensus(np.array(m)) for m in batch.column(2).to_pylist()]
+            kept = [i for i, b in enumerate(best) if b]
+            columns = list(zip(*(best[i] for i in kept), strict=True)) or [()] * 5
+            kinds = [pa.int64()] + [pa.float64()] * 4
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(pa.array(kept, pa.int64())) for i in range(2)), *map(pa.array, columns, kinds)], ["query_id", "image", "inliers", "scale", "rotation", "shift_x", "shift_y"])
+
+    kind = queries.schema[key].dataType.simpleString()
+    agreed = gathered.where(F.size("m") >= INLIERS).mapInArrow(judge, f"query_id {kind}, image long, inliers long, scale double, rotation double, shift_x double, shift_y double")
+    named = indexed.select(F.xxhash64("h", "sha").alias("image"), "match_id", "copies")
+    return agreed.join(named, "image").select("query_id", "match_id", "copies", "inliers", "scale", "rotation", "shift_x", "shift_y")
 
 
 SIZE, CROP = 96, 72

@@ -144,6 +144,51 @@ def test_image_search_recall(spark, sf):
     assert len([p for p in found if p[0] != p[1]]) <= 0.02 * len(asked)
 
 
+def edited(image, degrees, scale, border):
+    """An image turned about its middle and resized, without its border, darker and with noise."""
+    h, w = image.shape
+    t, (y, x) = np.radians(degrees), np.mgrid[: int(h * scale), : int(w * scale)]
+    y, x = y - (int(h * scale) - 1) / 2, x - (int(w * scale) - 1) / 2
+    u = (x * np.cos(t) + y * np.sin(t)) / scale + (w - 1) / 2
+    v = (y * np.cos(t) - x * np.sin(t)) / scale + (h - 1) / 2
+    i, j = np.clip(v.astype(int), 0, h - 2), np.clip(u.astype(int), 0, w - 2)
+    a, b, f = np.clip(v - i, 0, 1), np.clip(u - j, 0, 1), image.astype(float)
+    out = f[i, j] * (1 - a) * (1 - b) + f[i, j + 1] * (1 - a) * b + f[i + 1, j] * a * (1 - b) + f[i + 1, j + 1] * a * b
+    out = out[border : out.shape[0] - border, border : out.shape[1] - border]
+    return np.clip(0.85 * out + 8 + np.random.default_rng(len(out)).normal(0, 2, out.shape), 0, 255).astype(np.uint8)
+
+
+def test_matching_descriptors_are_found_by_the_tables(spark):
+    """At least nine in ten of all pairs of corners within the radius, against every pair."""
+    found = every = 0
+    for i in range(12):
+        image = media.picture(i)
+        stored = spark.createDataFrame([(f["d0"], f["d1"]) for f in media.features_of([image.astype(np.float32)])[0]], "d0 long, d1 long")
+        own = [(r["d0"], r["d1"], set(r["k"])) for r in stored.select("d0", "d1", media.own_keys().alias("k")).collect()]
+        for degrees, scale in ((0, 1), (7, 1), (90, 1), (33, 1), (0, 0.85), (0, 0.7)):
+            asked = media.features_of([edited(image, degrees, scale, 8).astype(np.float32)], True)[0]
+            for q in asked:
+                for d0, d1, keys in own:
+                    if ((q["d0"] ^ d0) & (2**64 - 1)).bit_count() + ((q["d1"] ^ d1) & (2**64 - 1)).bit_count() <= media.RADIUS:
+                        every += 1
+                        found += bool(keys & set(q["keys"]))
+    assert every > 500 and found >= 0.9 * every
+
+
+def test_turned_resized_and_cropped_copies(spark):
+    images = [(i, media.encode(media.picture(i))) for i in range(30)]
+    large = np.block([[media.picture(100 + 6 * y + x) for x in range(6)] for y in range(6)])
+    images.append((100, media.encode(large)))
+    asked = [(1000 + 100 * n + i, media.encode(edited(media.picture(i), d, s, 8))) for n, (d, s) in enumerate(((7, 1), (90, 1), (0, 0.85))) for i in range(10)]
+    asked += [(2000 + i, media.encode(edited(large[70 * i : 70 * i + 110, 200:310], 0, 1, 4))) for i in range(5)]
+    frame = lambda rows: spark.createDataFrame(rows, "id long, image binary")
+    got = {(r["query_id"], r["match_id"]): r for r in media.find_copies(frame(asked), frame(images), "id").collect()}
+    want = {(q, 100 if q >= 2000 else q % 100) for q, _ in asked}
+    assert len(want & set(got)) >= 0.9 * len(want) and len(set(got) - want) <= 1, (want - set(got), set(got) - want)
+    assert all(abs(abs(r["rotation"]) - 90) < 3 and abs(r["scale"] - 1) < 0.05 for (q, m), r in got.items() if 1100 <= q < 1200 and m == q - 1100)
+    assert media.find_copies(frame(asked + asked), frame(images), "id").count() == len(got)
+
+
 def test_image_classes_and_odd_images(spark):
     a, b = media.picture(1), media.picture(2)
     images = [(1, media.encode(a)), (2, media.encode(a)), (2, media.encode(a)), (3, media.encode(b)), (4, None), (5, b""), (6, b"P5\n9 9\n255\n"), (7, media.encode(np.zeros((96, 96)))), (None, media.encode(b)), (8, media.encode(a[:5, :5]))]

@@ -9,8 +9,10 @@ which the wanted share of its secrets is found.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -253,21 +255,25 @@ def _best(net: Network, finding: tuple) -> float:
     return float(net.forward(np.stack(views))[0].max()) if views else -np.inf
 
 
-def base_spans(data: bytes, text: str, hex_runs: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """(start, end, kind) of the base rules, in code points."""
-    out = []
-    if any(k in (lower := data.lower()) for k in _KEYWORDS[:3]) or (b"api" in lower and (b"apikey" in lower or b"api_key" in lower)):
-        out += [(m.start(), m.end(), 0) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST["assign"]]
-    if b"AKIA" in data:
+def base_spans(data: bytes, hex_runs: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, kind) of the base rules, in code points; hex_runs are told already."""
+    out, lower = [], data.lower()
+    assign = any(k in lower for k in _KEYWORDS[:3]) or (b"api" in lower and (b"apikey" in lower or b"api_key" in lower))
+    if assign or b"AKIA" in data:
+        text = data.decode()
+        if assign:
+            out += [(m.start(), m.end(), 0) for m in ASSIGN.finditer(text) if len(m[2]) >= LEAST["assign"]]
         out += [(m.start(), m.end(), 1) for m in ACCESS.finditer(text) if m.end() - m.start() >= LEAST["access"]]
     return out + [(s, e, 2) for s, e in hex_runs]
 
 
 def scan_batch(column: pa.Array, net: Network) -> list[list[tuple[int, int, int]]]:
-    """All spans of each text of a column, in code points, by start and kind."""
+    """All spans of each text of a column, in code points, by start and kind; takes time in proportion to the text."""
     out: list[list[tuple[int, int, int]]] = []
     for lo, hi, data, offsets in B.chunks(column):
         raw = data.tobytes()
+        # How many code points begin before each byte.
+        points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         starts, ends, _ = B.words(data, offsets, _HEX)
         long = ends - starts >= LEAST["hex"]
         hexes = np.stack([starts[long], ends[long]], 1)
@@ -277,22 +283,23 @@ def scan_batch(column: pa.Array, net: Network) -> list[list[tuple[int, int, int]
         for i in range(hi - lo):
             a, b = int(offsets[i]), int(offsets[i + 1])
             doc = raw[a:b]
-            text = None
-            place = lambda p: len(doc[:p].decode())  # noqa: B023, E731
-            runs = [(place(int(s) - a), place(int(e) - a)) for s, e in hexes[hex_at[i] : hex_at[i + 1]]]
-            text = doc.decode()
-            out.append(base_spans(doc, text, runs))
-            for s, e in cands[cand_at[i] : cand_at[i + 1]]:
-                parts = windows(int(s) - a, int(e) - a)
+            out.append(base_spans(doc, (points[hexes[hex_at[i] : hex_at[i + 1]]] - points[a]).tolist()))
+            for s, e in cands[cand_at[i] : cand_at[i + 1]].tolist():
+                parts = windows(s - a, e - a)
                 views += [view(doc, *w) for w in parts]
-                owner.append((lo + i, doc, int(s) - a, int(e) - a, len(views) - len(parts)))
+                owner.append((lo + i, int(points[s] - points[a]), int(points[e] - points[a]), len(views) - len(parts)))
         if views:
             p = np.concatenate([net.score(np.stack(views[k : k + 4096])) for k in range(0, len(views), 4096)])
-            top = np.maximum.reduceat(p, [x[4] for x in owner])
+            top = np.maximum.reduceat(p, [x[3] for x in owner])
+            base: dict[int, list] = {}
             for k in np.flatnonzero(top >= net.threshold):
-                i, doc, s, e, _ = owner[k]
-                s, e = len(doc[:s].decode()), len(doc[:e].decode())
-                if not any(s < y and x < e for x, y, _ in out[i]):
+                i, s, e, _ = owner[k]
+                # Base spans by start; they may overlap each other, so the largest end so far tells whether one reaches here.
+                if i not in base:
+                    told = sorted(out[i])
+                    base[i] = [x[0] for x in told], list(itertools.accumulate((x[1] for x in told), max))
+                before = bisect.bisect_left(base[i][0], e)
+                if not before or base[i][1][before - 1] <= s:
                     out[i].append((s, e, 3))
     for spans in out:
         spans.sort(key=lambda x: (x[0], x[2], x[1]))

@@ -1,6 +1,8 @@
 import hashlib
+import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -231,3 +233,12 @@ def test_secrets_with_few_digits_and_within_long_runs():
         hit = np.array([any(s < f[2] and f[1] < e for s, e, _ in x) for f, x in zip(found, spans, strict=True)])
         secret = np.array([f[3] > 0 for f in found])
         assert hit[secret].mean() > low and hit[~secret].mean() < 0.1
+
+
+def test_long_texts_with_many_secrets_take_linear_time():
+    text = "é password=abcdef " + ("é " + "0123456789abcdef" * 2 + " x/y/z0123456789abcdefABC ") * 20_000
+    began = time.process_time()
+    spans = secrets.scan_batch(pa.array([text]), secrets.train())[0]
+    assert time.process_time() - began < 20 and len(spans) >= 20_001
+    assert [sum(k == j for _, _, k in spans) for j in range(3)] == plain_secrets(text)[0]
+    assert all(e <= s2 or 2 in (k, k2) for (_, e, k), (s2, _, k2) in itertools.pairwise(spans))

@@ -269,7 +269,8 @@ def prediction(model: Model | None, spark: SparkSession):
             yield pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
         tables.release()
 
-    return predicted
+    # Else Spark would work it out again for every condition on it.
+    return predicted.asNondeterministic()
 
 
 def fold(key: str = "doc_id"):

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 
 def lcs(a: str, b: str) -> int:
@@ -24,7 +24,13 @@ def lcs(a: str, b: str) -> int:
 def ratio(a: str, b: str) -> float:
     """Twice the common subsequence over both lengths; of two empty texts 1."""
     n = len(a) + len(b)
-    return 2 * lcs(a, b) / n if n else 1.0
+    if a == b:
+        return 1.0
+    # What both begin or end with is common anyway.
+    head = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    x, y = a[head:], b[head:]
+    tail = next((i for i, (c, d) in enumerate(zip(reversed(x), reversed(y), strict=False)) if c != d), min(len(x), len(y)))
+    return 2 * (head + tail + lcs(x[: len(x) - tail], y[: len(y) - tail])) / n
 
 
 def token_sort_ratio(a: str, b: str) -> float:
@@ -47,14 +53,40 @@ def token_set_ratio(a: str, b: str) -> float:
     return max(found)
 
 
-def _column(f):
-    @F.pandas_udf(DoubleType())
-    def similarity(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        for a, b in parts:
-            yield pd.Series([f(x, y) if x and y else 0.0 for x, y in zip(a, b, strict=True)], dtype=float)
-
-    return similarity
-
-
-#: Column functions of two texts; 0 if either is empty or null.
-ratio_of, token_sort_of, token_set_of = _column(ratio), _column(token_sort_ratio), _column(token_set_ratio)
+_KINDS = {"ratio": ratio, "token_sort": token_sort_ratio, "token_set": token_set_ratio}
+
+
+def similarity_columns(wanted: dict[str, tuple[str, Column, Column]]) -> Column:
+    """A struct of similarities, name: (ratio, token_sort or token_set; two texts); 0 if either text is empty or null.
+
+    All of them are worked out in one crossing to Python, and each distinct pair of
+    texts of a batch once.
+    """
+    texts: list[Column] = []
+    places: dict[str, tuple[str, int, int]] = {}
+    for name, (kind, a, b) in wanted.items():
+        at = []
+        for c in (a, b):
+            known = next((i for i, t in enumerate(texts) if t is c), None)
+            at.append(len(texts) if known is None else known)
+            if known is None:
+                texts.append(c)
+        places[name] = (kind, *at)
+
+    @F.arrow_udf("struct<" + ",".join(f"{n}:double" for n in places) + ">")
+    def made(parts: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for columns in parts:
+            columns = [c.to_pylist() for c in columns]
+            known: dict[tuple, float] = {}
+            out = []
+            for kind, i, j in places.values():
+                values = []
+                for pair in zip(columns[i], columns[j], strict=True):
+                    value = known.get((kind, *pair))
+                    if value is None:
+                        value = known[(kind, *pair)] = _KINDS[kind](*pair) if pair[0] and pair[1] else 0.0
+                    values.append(value)
+                out.append(pa.array(values, pa.float64()))
+            yield pa.StructArray.from_arrays(out, list(places))
+
+    return made(*texts)

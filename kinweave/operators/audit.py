@@ -6,15 +6,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: A text of white space only, in the syntax of both Spark and the SQL twin; what Python strips.
+BLANK = r"^[\t-\r\x1c-\x20\x85\p{Z}]*$"
+
+
 def profile(records: DataFrame) -> DataFrame:
     """Rows, empty names and empty addresses of each split, source and country."""
     return records.groupBy("split", "source", "country").agg(F.count("*").alias("n"), F.count_if(F.col("name") == "").alias("empty_name"), F.count_if(F.col("address") == "").alias("empty_address"))
 
 
 def raw_profile(records: DataFrame) -> DataFrame:
-    """Of each source: rows, ids with a wrong prefix, blank raw fields, and the longest of them."""
+    """Of each split, source and country: rows, ids with a wrong prefix, blank raw fields, the longest of them, and their bytes."""
     wrong = ~F.col("id").startswith(F.concat(F.lit("S"), F.col("source").cast("string"), F.lit("-")))
-    return records.groupBy("split", "source").agg(F.count("*").alias("n"), F.count_if(wrong).alias("wrong_prefix"), F.count_if(F.trim("raw_name") == "").alias("blank_name"), F.count_if(F.trim("raw_address") == "").alias("blank_address"), F.max(F.length("raw_name")).alias("max_name"), F.max(F.length("raw_address")).alias("max_address"))
+    blank = lambda c: F.count_if(F.col(c).rlike(BLANK))
+    size = F.sum(F.octet_length("raw_name") + F.octet_length("raw_address")).cast("long")
+    return records.groupBy("split", "source", "country").agg(
+        F.count("*").alias("n"),
+        F.count_if(wrong).alias("wrong_prefix"),
+        blank("raw_name").alias("blank_name"),
+        blank("raw_address").alias("blank_address"),
+        F.max(F.length("raw_name")).alias("max_name"),
+        F.max(F.length("raw_address")).alias("max_address"),
+        size.alias("bytes"),
+    )
+
+
+def repeated_lists(lists: DataFrame) -> DataFrame:
+    """One row: labelled rows, and those whose list (ids) names a target twice."""
+    return lists.agg(F.count("*").alias("rows"), F.count_if(F.size("ids") != F.size(F.array_distinct("ids"))).alias("repeated_lists"))
 
 
 def checks(records: DataFrame, truth: DataFrame, labelled: DataFrame) -> DataFrame:

@@ -37,27 +37,29 @@ def best(swept: DataFrame) -> DataFrame:
 
 
 def expected_best(p: np.ndarray) -> tuple[int, float]:
-    """How many of the probabilities, sorted falling, to predict for the highest expected F0.5, and its value.
+    """How many of the probabilities, sorted falling, to predict for the highest expected F0.5, and its value; the fewest of equals.
 
-    The truth is a set of independent members. For each cut the hits before it
-    and the misses after it are counts with Poisson binomial distributions.
+    The truth is a set of independent members. later[k] is the distribution of how
+    many of those from k on are true; hits, kept up to date in one array, that of
+    the predicted ones. Predicting none is worth the chance that none is true.
     """
-    n = len(p)
-    if ((p < 0) | (p > 1)).any() or np.isnan(p).any():
+    p = np.asarray(p, float)
+    if not ((p >= 0) & (p <= 1)).all():
         raise ValueError("probabilities must be from 0 to 1")
-    before, after = [np.ones(1)], [np.ones(1)]
-    for x in p:
-        before.append(np.convolve(before[-1], [1 - x, x]))
-    for x in p[::-1]:
-        after.append(np.convolve(after[-1], [1 - x, x]))
-    choice, value = 0, float(after[n][0])
+    n = len(p)
+    later = np.zeros((n + 1, n + 1))
+    later[n, 0] = 1
+    for k in range(n - 1, -1, -1):
+        later[k] = later[k + 1] * (1 - p[k])
+        later[k, 1:] += later[k + 1, :-1] * p[k]
+    hits, values, number = np.eye(1, n + 1)[0], [later[0, 0]], np.arange(n + 1)
     for k in range(1, n + 1):
-        hits, rest = np.arange(k + 1)[:, None], np.arange(n - k + 1)[None]
-        score = 1.25 * hits / (0.25 * (hits + rest) + k)
-        found = float((before[k][:, None] * after[n - k][None] * score).sum())
-        if found > value:
-            choice, value = k, found
-    return choice, value
+        hits[1:] = hits[1:] * (1 - p[k - 1]) + hits[:-1] * p[k - 1]
+        hits[0] *= 1 - p[k - 1]
+        worth = 1.25 * number[:, None] / (k + 0.25 * (number[:, None] + number))
+        values.append(hits @ worth @ later[k])
+    best = int(np.argmax(values))
+    return best, float(values[best])
 
 
 def expected_select(scored: DataFrame) -> DataFrame:

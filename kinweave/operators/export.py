@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -13,9 +13,36 @@ def id_lists(universe: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
 
 
 def write_tsv(rows: DataFrame, path: str) -> None:
+    """A folder of tab-separated parts, in the order of the ids within and across parts."""
     rows.orderBy("source1_entity_id").write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").option("lineSep", "\n").csv(path)
 
 
+def out_of_order(spark: SparkSession, path: str) -> int:
+    """How many rows of such a folder don't come after the row before them, by the order of parts and of rows in them."""
+    rows = spark.read.option("sep", "\t").option("header", True).schema("id string, ids string").csv(path)
+    rows = rows.select("id", F.col("_metadata.file_name").alias("part"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("n"))
+    before = F.lag("id").over(Window.partitionBy("part").orderBy("block", "n"))
+    own = rows.withColumn("before", before).groupBy("part").agg(F.count_if(F.col("before") >= F.col("id")).alias("wrong"), F.min("id").alias("low"), F.max("id").alias("high"))
+    # One row for each part is left.
+    over = F.lag("high").over(Window.orderBy("part"))
+    return own.withColumn("over", over).agg(F.sum(F.col("wrong") + F.coalesce((F.col("over") >= F.col("low")).cast("int"), F.lit(0)))).head()[0] or 0
+
+
+def joined_file(spark: SparkSession, path: str, target: str, header: tuple[str, ...]) -> str:
+    """The parts of a folder of write_tsv as one file with one header; its lines pass through one by one."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    parts = sorted(str(x.getPath()) for x in fs.listStatus(root) if x.getPath().getName().startswith("part-"))
+    with open(target, "w", encoding="utf-8", newline="") as out:
+        out.write("\t".join(header) + "\n")
+        for part in parts:
+            lines = spark.read.text(part).rdd.toLocalIterator()
+            next(lines, None)
+            out.writelines(f"{r[0]}\n" for r in lines)
+    return target
+
+
 def _exploded(rows: DataFrame, column: str) -> DataFrame:
     ids = F.filter(F.transform(F.split(column, ","), lambda x: F.trim(x)), lambda x: x != "")
     return rows.select(F.col("source1_entity_id").alias("q"), ids.alias("ids"))
@@ -33,10 +60,10 @@ def violations(universe: DataFrame, matching: DataFrame, candidate: DataFrame, t
         "missing_queries": universe.select("q").join(m, "q", "left_anti").agg(F.count("*")),
         "unknown_queries": m.join(universe.select("q"), "q", "left_anti").agg(F.count("*")),
         "one_sided_queries": both.agg(F.count_if(F.col("m").isNull() | F.col("c").isNull())),
-        "repeated_queries": m.groupBy("q").count().where("count > 1").agg(F.count("*")),
+        "repeated_queries": m.groupBy("q").count().where("count > 1").select("q").union(c.groupBy("q").count().where("count > 1").select("q")).distinct().agg(F.count("*")),
         "repeated_ids": m.unionByName(c).agg(F.count_if(repeated(F.col("ids")))),
         "beyond_candidates": both.agg(F.count_if(beyond)),
-        "unknown_targets": c.select(F.explode("ids").alias("t")).join(known, "t", "left_anti").agg(F.count("*")),
+        "unknown_targets": c.unionByName(m).select(F.explode("ids").alias("t")).distinct().join(known, "t", "left_anti").agg(F.count("*")),
     }
     out = None
     for name, one in parts.items():

@@ -3,7 +3,7 @@
 A record has up to 24 keys of three views: name, address, and both joined. A
 query's score for a target is the share of its key weights that the target has.
 Keys with more targets than a cap are dropped as a whole and counted; this also
-bounds the rows that the join of queries and postings can make.
+bounds the rows that a query can make in the join with the postings.
 """
 
 from __future__ import annotations
@@ -56,10 +56,14 @@ def record_keys(records: DataFrame, country_block: bool) -> DataFrame:
 
 
 def postings(targets: DataFrame, country_block: bool, cap: int) -> DataFrame:
-    """(view, key, t, n): the targets of every key, with their number, for keys with at most ``cap``."""
-    rows = record_keys(targets, country_block)
+    """The index: (key, t, n, total), the targets of every key with at most ``cap`` of them, their number, and that of all targets.
+
+    Written as a table, it is read by any number of retrievals.
+    """
+    rows = record_keys(targets, country_block).select("key", F.col("id").alias("t"))
     sizes = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") <= cap)
-    return rows.withColumnRenamed("id", "t").join(sizes, "key")
+    total = targets.agg(F.count("*").alias("total"))  # a single row
+    return rows.join(sizes, "key").crossJoin(F.broadcast(total))
 
 
 def posting_stats(targets: DataFrame, country_block: bool, cap: int) -> DataFrame:
@@ -69,15 +73,22 @@ def posting_stats(targets: DataFrame, country_block: bool, cap: int) -> DataFram
     return sizes.groupBy("view").agg(F.count("*").alias("keys"), F.count_if(kept).alias("kept"), F.count_if(~kept).alias("omitted"), F.sum(F.when(kept, F.col("n")).otherwise(0)).alias("postings"))
 
 
-def view_scores(queries: DataFrame, targets: DataFrame, country_block: bool, cap: int) -> DataFrame:
-    """(q, t, s0, s1, s2): evidence of each view, and 0.4, 0.3, 0.3 of name, address and joint for the combined one."""
-    total = targets.agg(F.count("*").alias("total"))
-    found = record_keys(queries, country_block).withColumnRenamed("id", "q").join(postings(targets, country_block, cap).drop("view"), "key")
-    found = found.crossJoin(F.broadcast(total)).withColumn("w", F.log(1 + F.col("total") / F.col("n")))
-    # A query's own keys are few: its denominator is summed from one row of each.
-    own = found.groupBy("q", "view", "key").agg(F.first("w").alias("w")).groupBy("q", "view").agg(F.sum("w").alias("all_w"))
-    got = found.groupBy("q", "view", "t").agg(F.sum("w").alias("w")).join(own, ["q", "view"])
-    part = got.select("q", "t", "view", F.round(F.col("w") / F.greatest("all_w", F.lit(1e-9)), 6).alias("s"))
+def view_scores(queries: DataFrame, index: DataFrame, country_block: bool) -> DataFrame:
+    """(q, t, s0, s1, s2): evidence of each view, and 0.4, 0.3, 0.3 of name, address and joint for the combined one.
+
+    A query has up to 24 keys, each with at most the index's cap of targets, so the
+    rows of the join grow with the queries alone. Where many queries share a key,
+    the join is on plain tables, which Spark splits at a hot key. A query's own sum
+    of weights comes from its keys and the sizes of the index, before targets join.
+    """
+    asked = record_keys(queries, country_block).withColumnRenamed("id", "q")
+    sizes = index.groupBy("key").agg(F.first("n").alias("n"), F.first("total").alias("total"))
+    weighed = asked.join(sizes, "key").withColumn("w", F.log(1 + F.col("total") / F.col("n"))).select("q", "view", "key", "w")
+    own = weighed.groupBy("q", "view").agg(F.sum("w").alias("all_w"), F.collect_list(F.struct("key", "w")).alias("keys"))
+    told = own.select("q", "view", F.greatest("all_w", F.lit(1e-9)).alias("all_w"), F.explode("keys").alias("k")).select("q", "view", "all_w", "k.key", "k.w")
+    got = told.join(index.select("key", "t"), "key").groupBy("q", "t", "view").agg(F.sum("w").alias("w"), F.first("all_w").alias("all_w"))
+    # Pairs stay where they are: the next aggregate is by query and target, too.
+    part = got.select("q", "t", "view", F.round(F.col("w") / F.col("all_w"), 6).alias("s"))
     wide = part.groupBy("q", "t").agg(*(F.coalesce(F.max(F.when(F.col("view") == v, F.col("s"))), F.lit(0.0)).alias(f"e{v}") for v in range(3)))
     mixed = F.round(sum((F.col(f"e{v}") * SHARES[v] for v in range(1, 3)), F.col("e0") * SHARES[0]), 6)
     return wide.select("q", "t", F.col("e0").alias("s0"), F.col("e1").alias("s1"), mixed.alias("s2"))
@@ -97,6 +108,8 @@ def merge_views(long: DataFrame, k: int) -> DataFrame:
     return hits.groupBy("q", "t").agg(*picks)
 
 
-def candidates(records: DataFrame, k: int, country_block: bool = True, cap: int = 2048) -> DataFrame:
-    """Candidates of all queries (source 1) among all targets (sources 2 and 3)."""
-    return top_k(view_scores(records.where("source = 1"), records.where("source in (2, 3)"), country_block, cap), k)
+def candidates(records: DataFrame, k: int, country_block: bool = True, cap: int = 2048, index: DataFrame | None = None) -> DataFrame:
+    """Candidates of all queries (source 1) among all targets (sources 2 and 3), or those of a stored index."""
+    if index is None:
+        index = postings(records.where("source in (2, 3)"), country_block, cap)
+    return top_k(view_scores(records.where("source = 1"), index, country_block), k)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinweave.functions import text as X
+from kinweave.operators import decide, metrics
 from kinweave.operators import pairs as P
 
 CONTEXT = ("p", "p_max", "p_gap", "p_rank", "p_sum")
@@ -70,20 +71,43 @@ def score_stack(df: DataFrame, models: list, second: GBTClassificationModel) ->
     return score(P.context(df.withColumn("p", mean)), second, P.FEATURES + CONTEXT, "p2").drop(*(f"_p{i}" for i in range(len(models))))
 
 
-def transfer(features: DataFrame, countries: list[str], s: Settings) -> DataFrame:
-    """(source_country, target_country, pairs, true_pairs, found): models of one country on the pairs of another, at 0.5.
+def save(models: list[GBTClassificationModel], second: GBTClassificationModel | None, path: str) -> None:
+    """Writes the models of one or two stages below a folder."""
+    for i, m in enumerate(models):
+        m.write().overwrite().save(f"{path}/first_{i}")
+    if second is not None:
+        second.write().overwrite().save(f"{path}/second")
+
+
+def load(path: str, first: int, two_stage: bool) -> tuple[list[GBTClassificationModel], GBTClassificationModel | None]:
+    """What save has written; first: how many models the first stage has."""
+    return [GBTClassificationModel.load(f"{path}/first_{i}") for i in range(first)], GBTClassificationModel.load(f"{path}/second") if two_stage else None
+
+
+def transfer(features: dict[str, DataFrame], universes: dict[str, DataFrame], truth: DataFrame, s: Settings) -> DataFrame | None:
+    """How models of one country fare in another: one row for each ordered pair of countries.
 
-    features: rows with y and country. Ordered pairs of countries; a source with
-    one class only is left out.
+    features and universes have the parts fit, tune and dev, with y or q and
+    country. A model is trained on the fit part of the source country, its threshold
+    is the best of the source's tune part, and macro F0.5 and counts are those of
+    the target's dev part. The target's labels are read for that alone, the holdout
+    never. Pairs with an empty side, and sources with one class, are left out.
     """
+    columns = ("q", "t", "y", *P.FEATURES)
+    there = {part: {r[0] for r in u.select("country").distinct().collect()} for part, u in universes.items()}
     out = None
-    for a in countries:
-        rows = features.where(F.col("country") == a)
-        if {r[0] for r in rows.select("y").distinct().collect()} != {0, 1}:
+    for a in sorted(there["fit"] & there["tune"]):
+        of = lambda part, c: features[part].where(F.col("country") == c).select(*columns)
+        uni = lambda part, c: universes[part].where(F.col("country") == c)
+        if {r[0] for r in of("fit", a).select("y").distinct().collect()} != {0, 1}:
             continue
-        model = train(rows, P.FEATURES, s)
-        scored = score(features.where((F.col("country") != a) & F.col("country").isin(countries)), model, P.FEATURES)
-        one = scored.groupBy(F.col("country").alias("target_country")).agg(F.count("*").alias("pairs"), F.sum("y").alias("true_pairs"), F.sum(F.when(F.col("p") >= 0.5, F.col("y")).otherwise(0)).alias("found"))
-        one = one.withColumn("source_country", F.lit(a))
-        out = one if out is None else out.unionByName(one)
+        model = train(of("fit", a), P.FEATURES, s)
+        known = lambda u: truth.join(u.select("q"), "q", "left_semi")
+        tune = score(of("tune", a), model, P.FEATURES)
+        threshold = decide.best(decide.sweep(uni("tune", a), known(uni("tune", a)), tune)).head()["threshold"]
+        for b in sorted(there["dev"] - {a}):
+            chosen = decide.above(score(of("dev", b), model, P.FEATURES), threshold)
+            one = metrics.summary(metrics.per_entity(uni("dev", b), known(uni("dev", b)), chosen))
+            one = one.select(F.lit(a).alias("source_country"), F.lit(b).alias("target_country"), F.lit(threshold).alias("threshold"), "*")
+            out = one if out is None else out.unionByName(one)
     return out

@@ -53,10 +53,11 @@ def plain_features(pairs: DataFrame) -> DataFrame:
 
 def similarities(pairs: DataFrame) -> DataFrame:
     """The eight string similarities and the two mixes of them."""
-    kinds = (("ratio", S.ratio_of), ("token_sort", S.token_sort_of), ("token_set", S.token_set_of))
-    made = {f"{p}_{k}": f(F.col(f"q_latin_{c}"), F.col(f"t_latin_{c}")) for p, c in (("name", "name"), ("addr", "address")) for k, f in kinds}
-    made |= {f"unicode_{p}_ratio": S.ratio_of(F.col(f"q_{c}"), F.col(f"t_{c}")) for p, c in (("name", "name"), ("addr", "address"))}
-    out = pairs.withColumns({k: c.cast("float") for k, c in made.items()})
+    text = {c: F.col(c) for c in (f"{side}_{v}" for side in "qt" for v in ("name", "address", "latin_name", "latin_address"))}
+    wanted = {f"{p}_{k}": (k, text[f"q_latin_{c}"], text[f"t_latin_{c}"]) for p, c in (("name", "name"), ("addr", "address")) for k in ("ratio", "token_sort", "token_set")}
+    wanted |= {f"unicode_{p}_ratio": ("ratio", text[f"q_{c}"], text[f"t_{c}"]) for p, c in (("name", "name"), ("addr", "address"))}
+    out = pairs.withColumn("_s", S.similarity_columns(wanted))
+    out = out.withColumns({k: F.col("_s")[k].cast("float") for k in wanted}).drop("_s")
     return out.withColumns({"name_addr_min": F.least("name_ratio", "addr_ratio"), "name_addr_product": F.col("name_ratio") * F.col("addr_ratio")})
 
 

@@ -1,18 +1,28 @@
-"""Candidate retrieval by cosine of TF-IDF vectors, as an equi-join on terms.
+"""Candidate retrieval by cosine of TF-IDF vectors, as products of blocks of vectors.
 
 Three views: character grams of three and four of name and address, in Unicode and
 Latin spelling, and word grams of one and two of both together. The vocabulary is
 the most frequent terms of the targets, weights are (1 + ln tf) idf with
 idf = ln((1 + n) / (1 + df)) + 1, and vectors have length one.
+
+Queries and targets are cut into blocks of a bounded size. Every pair of blocks of a
+country is a task of its own that gives each query's best targets in the block, by a
+sparse product; the best of the blocks are the best of all. A frequent term is a
+column of a block like any other, so no join is on terms and none of them is hot.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinweave.operators.lexical import VIEWS, merge_views
 
+#: Queries and targets in a block (some 50 MB of vectors each at most), and how much of a pair of blocks is multiplied at once.
+QUERY_BLOCK, TARGET_BLOCK, QUERIES_AT_ONCE, ENTRIES_AT_ONCE = 1 << 15, 1 << 15, 64, 1 << 17
+
 
 def _char_grams(x: Column) -> Column:
     def grams(n: int) -> Column:
@@ -49,36 +59,98 @@ def vocabulary(counts: DataFrame, targets: DataFrame, max_features: int, sample:
     return top.crossJoin(F.broadcast(n)).select("term", "df", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def weights(counts: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(id, country, term, w): vectors of length one over the vocabulary."""
-    raw = counts.join(vocab, "term").select("id", "country", "term", ((1 + F.log("tf")) * F.col("idf")).alias("w"))
-    norm = raw.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return raw.join(norm, "id").select("id", "country", "term", (F.col("w") / F.col("norm")).alias("w"))
-
-
-def view_scores(records: DataFrame, view: int, max_features: int, country_block: bool, sample: int | None = None) -> DataFrame:
-    """(q, t, s): cosine, rounded to six places, of every query and target that share a term of the view."""
-    targets = records.where("source in (2, 3)")
+def vectors(counts: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(id, country, v): vectors of length one over the vocabulary, as lists of (hash of the term, weight)."""
+    raw = counts.join(vocab, "term").select("id", "country", F.xxhash64("term").alias("term"), ((1 + F.log("tf")) * F.col("idf")).alias("w"))
+    rows = raw.groupBy("id", "country").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.collect_list(F.struct("term", "w")).alias("v"))
+    return rows.select("id", "country", F.transform("v", lambda x: F.struct(x["term"].alias("term"), (x["w"] / F.col("norm")).alias("w"))).alias("v"))
+
+
+def _flat(table: pa.Table) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, lengths, terms and weights of a block of vectors, by id."""
+    table = table.sort_by("key").combine_chunks()
+    v = table.column("vector").combine_chunks()
+    inner = v.flatten()
+    return table.column("key").to_pylist(), v.value_lengths().to_numpy(), inner.field("term").to_numpy(), inner.field("w").to_numpy()
+
+
+def _runs(entries: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
+    """Entries, sorted by owner, in runs of about ENTRIES_AT_ONCE; no owner is cut."""
+    cuts = np.unique(np.searchsorted(owner, owner[ENTRIES_AT_ONCE::ENTRIES_AT_ONCE], "left"))
+    return [r for r in np.split(entries, cuts) if len(r)]
+
+
+def _best_of_block(k: int):
+    """A function of a block of queries and one of targets: (q, t, s) of each query's k best, s rounded to six places, ties by t."""
+
+    def best(asked: pa.Table, stored: pa.Table) -> pa.Table:
+        out: list[tuple[str, str, float]] = []
+        if asked.num_rows and stored.num_rows:
+            (qs, q_sizes, q_terms, q_w), (ts, t_sizes, t_terms, t_w) = _flat(asked), _flat(stored)
+            q_ends = np.cumsum(q_sizes)
+            owner = np.repeat(np.arange(len(ts)), t_sizes)
+            for lo in range(0, len(qs), QUERIES_AT_ONCE):
+                hi = min(lo + QUERIES_AT_ONCE, len(qs))
+                part = slice(q_ends[lo] - q_sizes[lo], q_ends[hi - 1])
+                terms, column = np.unique(q_terms[part], return_inverse=True)
+                if not len(terms):
+                    continue
+                dense = np.zeros((len(terms), hi - lo))
+                dense[column, np.repeat(np.arange(hi - lo), q_sizes[lo:hi])] = q_w[part]
+                at = np.minimum(np.searchsorted(terms, t_terms), len(terms) - 1)
+                shared = np.flatnonzero(terms[at] == t_terms)
+                for cut in _runs(shared, owner[shared]):
+                    own = owner[cut]
+                    first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+                    scores = np.round(np.add.reduceat(dense[at[cut]] * t_w[cut, None], first, axis=0), 6)
+                    for j in range(hi - lo):
+                        s = scores[:, j]
+                        limit = max(np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else 0, 1e-9)
+                        found = np.flatnonzero(s >= limit)
+                        # Targets stand by id, so a stable sort breaks ties by it.
+                        for i in found[np.argsort(-s[found], kind="stable")][:k]:
+                            out.append((qs[lo + j], ts[own[first[i]]], float(s[i])))
+        columns = list(zip(*out, strict=True)) or [()] * 3
+        return pa.table({"q": pa.array(columns[0], pa.string()), "t": pa.array(columns[1], pa.string()), "s": pa.array(columns[2], pa.float64())})
+
+    return best
+
+
+def block_hits(records: DataFrame, view: int, k: int, max_features: int, country_block: bool, sample: int | None = None, index: DataFrame | None = None) -> DataFrame:
+    """(q, t, s): of each query the k best targets of every block, with their cosine rounded to six places.
+
+    index: stored target_vectors and their vocabulary, else they are made here.
+    """
+    queries, targets = records.where("source = 1"), records.where("source in (2, 3)")
+    vocab, stored = index or target_vectors(targets, view, max_features, sample)
+    asked = vectors(term_counts(queries, view), vocab)
+    n_q, n_t = (max(1, -(-df.count() // size)) for df, size in ((queries, QUERY_BLOCK), (stored if index else targets, TARGET_BLOCK)))
+    country = F.col("country") if country_block else F.lit("")
+    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = asked.select(F.col("id").alias("key"), F.col("v").alias("vector"), country.alias("c"), block(n_q).alias("a"), every(n_t).alias("b"))
+    right = stored.select(F.col("id").alias("key"), F.col("v").alias("vector"), country.alias("c"), block(n_t).alias("b"), every(n_q).alias("a"))
+    pair = ["c", "a", "b"]
+    return left.groupBy(*pair).cogroup(right.groupBy(*pair)).applyInArrow(_best_of_block(k), "q string, t string, s double")
+
+
+def target_vectors(targets: DataFrame, view: int, max_features: int, sample: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """The index of a view: vocabulary (term, df, idf), and the targets' vectors."""
     counts = term_counts(targets, view)
     vocab = vocabulary(counts, targets, max_features, sample)
-    t = weights(counts, vocab).withColumnsRenamed({"id": "t", "w": "wt"})
-    q = weights(term_counts(records.where("source = 1"), view), vocab).withColumnsRenamed({"id": "q", "w": "wq"})
-    on = ["term", "country"] if country_block else ["term"]
-    pairs = q.join(t if country_block else t.drop("country"), on)
-    return pairs.groupBy("q", "t").agg(F.round(F.sum(F.col("wq") * F.col("wt")), 6).alias("s"))
+    return vocab, vectors(counts, vocab)
 
 
 def top_of_view(records: DataFrame, view: int, k: int, max_features: int, country_block: bool = True, sample: int | None = None) -> DataFrame:
     """(q, t, s, rank) of the best k targets of each query."""
     best = Window.partitionBy("q").orderBy(F.desc("s"), "t")
-    scored = view_scores(records, view, max_features, country_block, sample).where("s > 0")
-    return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return block_hits(records, view, k, max_features, country_block, sample).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def candidates(records: DataFrame, k: int, max_features: int, country_block: bool = True, sample: int | None = None) -> DataFrame:
-    """Union of the best k of each view, as ``lexical.candidates``."""
+def candidates(records: DataFrame, k: int, max_features: int, country_block: bool = True, sample: int | None = None, index: list | None = None) -> DataFrame:
+    """Union of the best k of each view, as ``lexical.candidates``. index: of each view what target_vectors gives."""
     long = None
     for v in range(len(VIEWS)):
-        one = view_scores(records, v, max_features, country_block, sample).where("s > 0").withColumn("view", F.lit(v))
+        one = block_hits(records, v, k, max_features, country_block, sample, index and index[v]).withColumn("view", F.lit(v))
         long = one if long is None else long.unionByName(one)
     return merge_views(long, k)

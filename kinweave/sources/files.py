@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import importlib.metadata
 import json
 import os
 import shutil
@@ -47,6 +48,34 @@ def write_json(path: str, value) -> None:
     os.replace(draft, target)
 
 
+def put_text(spark, path: str, text: str) -> None:
+    """Writes a small text file where Spark's own files are; readers see the old or the new one."""
+    jvm = spark._jvm
+    target, draft = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.draft"))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(target, False)
+    fs.rename(draft, target)
+
+
+def get_text(spark, path: str) -> str | None:
+    """The text of such a file, or None where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+        return None
+    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+
+
+def code_fingerprint() -> str:
+    """Of the versions and the code that results depend on."""
+    root = Path(__file__).resolve().parent.parent
+    own = [p for p in sorted(root.rglob("*.py")) if p.relative_to(root).parts[0] in ("sources", "functions", "operators")]
+    versions = {name: importlib.metadata.version(name) for name in ("pyspark", "numpy", "pyarrow", "pandas")}
+    return fingerprint(versions, [hashlib.sha256(p.read_bytes()).hexdigest() for p in own])
+
+
 def fingerprint(*parts) -> str:
     """Sixteen hexadecimal digits that change with any of the values."""
     return hashlib.sha256(json.dumps(parts, sort_keys=True, default=str).encode()).hexdigest()[:16]

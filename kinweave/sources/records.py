@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,10 +27,47 @@ def read_tsv(spark: SparkSession, path: str, columns: tuple[str, ...]) -> DataFr
 
 
 def manifest(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, bytes, sha256) of files; a missing file fails."""
+    """(path, bytes, sha256) of files, each read in one task in blocks of 4 MiB; a missing file fails.
+
+    Only names go through the table, so a file's size doesn't matter. Files that
+    only Spark's readers open are read through them.
+    """
+    listed = [(p, str(spark._jvm.org.apache.hadoop.fs.Path(p).toUri().getScheme() or "file")) for p in paths]
+    if all(scheme == "file" for _, scheme in listed):
+
+        @F.udf("struct<bytes:long,sha256:string>", useArrow=False)
+        def told(path: str):
+            digest, size = hashlib.sha256(), 0
+            with open(path.removeprefix("file://").removeprefix("file:"), "rb") as f:
+                while block := f.read(4 << 20):
+                    digest.update(block)
+                    size += len(block)
+            return size, digest.hexdigest()
+
+        rows = spark.createDataFrame([(p,) for p in paths], "path string").repartition(len(paths))
+        return rows.select("path", told("path").alias("m")).select("path", "m.bytes", "m.sha256")
     return spark.read.format("binaryFile").load(paths).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
 
 
+def with_positions(rows: DataFrame) -> DataFrame:
+    """Rows of a file scan with their order in it: file, and a number that rises with the place of a row in the file.
+
+    The number is that of the block of the file, then the row's own within its
+    partition; a block is read by one task from its start on.
+    """
+    return rows.withColumns({"file": F.col("_metadata.file_path"), "position": F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))})
+
+
+def compact(records: DataFrame) -> DataFrame:
+    """Latin views that say the same as the plain ones become null; half the text where most names are Latin."""
+    return records.withColumns({f"latin_{c}": F.nullif(F.col(f"latin_{c}"), F.col(c)) for c in ("name", "address")})
+
+
+def restored(records: DataFrame) -> DataFrame:
+    """What compact left out is put back."""
+    return records.withColumns({f"latin_{c}": F.coalesce(f"latin_{c}", c) for c in ("name", "address")})
+
+
 def with_views(raw: DataFrame, exact: bool = False) -> DataFrame:
     """Normalised and Latin views of raw_name and raw_address."""
     norm, lat = (X.normalize_exact, X.latin_exact) if exact else (X.normalize, X.latin)
@@ -49,11 +88,16 @@ def load_records(spark: SparkSession, root: str, seed: int = 2026, exact: bool =
     return with_views(out, exact).withColumn("h", h).withColumn("part", X.part_of(F.col("h")))
 
 
-def load_truth(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """(q, t) pairs and the labelled entities (q), which keep those without a match. A repeated id in a list fails."""
+def truth_lists(spark: SparkSession, root: str) -> DataFrame:
+    """(q, ids) of the label file as it stands: trimmed ids, blank ones left out, repeated ones kept."""
     rows = read_tsv(spark, f"{root}/train/train_ground_truth.tsv", TRUTH_COLUMNS)
     ids = F.filter(F.transform(F.split("matched_entity_ids", ","), lambda x: F.trim(x)), lambda x: x != "")
-    rows = rows.select(F.col("source1_entity_id").alias("q"), ids.alias("ids"))
+    return rows.select(F.col("source1_entity_id").alias("q"), ids.alias("ids"))
+
+
+def load_truth(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """(q, t) pairs and the labelled entities (q), which keep those without a match. A repeated id in a list fails."""
+    rows = truth_lists(spark, root)
     rows = rows.withColumn("ids", F.when(F.size("ids") == F.size(F.array_distinct("ids")), F.col("ids")).otherwise(F.raise_error(F.concat(F.lit("repeated match of "), F.col("q")))))
     return rows.select("q", F.explode("ids").alias("t")), rows.select("q").distinct()
 

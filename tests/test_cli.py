@@ -27,16 +27,59 @@ def data(spark, tmp_path_factory):
     return root
 
 
-def test_stages(spark, data, tmp_path):
+def test_stages(spark, data, tmp_path, monkeypatch):
     settings = tmp_path / "settings.json"
     settings.write_text(json.dumps({"rounds": 4, "depth": 2, "least_rows": 4, "top_k": 5}))
-    call = lambda stage: cli.main([stage, "--data", str(data), "--work", str(tmp_path / "work"), "--settings", str(settings)], spark)
+    work = tmp_path / "work"
+    call = lambda stage: cli.main([stage, "--data", str(data), "--work", str(work), "--settings", str(settings)], spark)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     assert set(call("audit")["checks"].values()) == {0}
-    assert sum(r["entities"] for r in call("profile")["matches"]) == 240
-    assert call("benchmark")["recall"][-1]["entity_recall"] == 1
+    told = call("profile")
+    assert sum(r["entities"] for r in told["matches"]) == 240 and told["labels"] == {"rows": 240, "repeated_lists": 0}
+    assert sum(r["n"] for r in told["sources"]) == 976 + 145 and len(told["files"]) == 7
+    assert {r["view"] for r in call("index")["keys"]} == {0, 1, 2}
+    found = call("benchmark")
+    assert found["recall"][-1]["entity_recall"] == 1 and {r["k"] for r in found["sizes"]} == {5, 10, 20, 30, 50}
+    with pytest.raises(RuntimeError):
+        call("infer")
+    out = call("baseline")
+    assert out["all"]["macro_f05"] > 0.5 and out["recall"]["pair_recall"] == 1
+    log = (work / "experiments.csv").read_text().splitlines()
+    assert len(log) == 2 and log[0].split(",") == cli.EXPERIMENT
+    # Nothing is trained or retrieved again.
+    monkeypatch.setattr(cli.model, "train", lambda *_: pytest.fail("trained again"))
+    monkeypatch.setattr(cli.lexical, "postings", lambda *_: pytest.fail("indexed again"))
+    assert call("holdout")["rule"] == out["rule"] == call("baseline")["rule"]
+    monkeypatch.undo()
+    assert set(call("infer").values()) == {0} == set(call("validate").values())
+    assert json.loads((work / "baseline.json").read_text())["rule"]["rule"] == "threshold"
+    pairs = call("loco")["pairs"]
+    assert {(r["source_country"], r["target_country"]) for r in pairs} == {("India", "US"), ("US", "India")} and all(0 <= r["macro_f05"] <= 1 for r in pairs)
+    assert {"baseline.json", "rule.json", "experiments.csv", "status.json", "manifest.json"} <= set(call("report")["files"])
+    with pytest.raises(FileNotFoundError):
+        call("package")
+    (work / "METHOD.md").write_text("done")
+    call("package")
+    with zipfile.ZipFile(work / "package.zip") as z:
+        lines = z.read("output/matching_results.tsv").decode().splitlines()
+        assert len(lines) == 37 and lines[1:] == sorted(lines[1:]) and "code/kinweave/cli.py" in z.namelist()
+    # Other trees need no other retrieval.
+    settings.write_text(json.dumps({"rounds": 2, "depth": 2, "least_rows": 4, "top_k": 5, "two_stage": True, "folds": 2}))
+    monkeypatch.setattr(cli.lexical, "candidates", lambda *_: pytest.fail("retrieved again"))
     assert call("baseline")["all"]["macro_f05"] > 0.5
-    assert set(call("infer").values()) == {0}
-    assert json.loads((tmp_path / "work/baseline.json").read_text())["rule"]["rule"] == "threshold"
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_other_engine_and_sizes(spark, data, tmp_path):
+    settings = tmp_path / "settings.json"
+    settings.write_text(json.dumps({"engine": "tfidf", "max_features": 1500, "rounds": 2, "depth": 2, "least_rows": 4, "top_k": 5, "fit_entities": 100, "dev_entities": 10}))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    out = cli.main(["baseline", "--data", str(data), "--work", str(tmp_path / "work"), "--settings", str(settings)], spark)
+    assert out["all"]["entities"] == 10 and out["all"]["macro_f05"] > 0.5
+    settings.write_text(json.dumps({"engine": "none"}))
+    with pytest.raises(ValueError):
+        cli.main(["index", "--data", str(data), "--work", str(tmp_path / "work"), "--settings", str(settings)], spark)
+    spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_archives(tmp_path):

@@ -27,7 +27,7 @@ def md5_long(x: str) -> str:
 #: The records adapter over ``documents`` as common table expressions: rec, and truth (q, t).
 RECORDS = f"""
 rec0 AS (
-  SELECT 'train' AS split, 'S' || (doc_id % 3 + 1) || '-' || lpad(doc_id::VARCHAR, 6, '0') AS id, (doc_id % 3 + 1)::INT AS source,
+  SELECT 'train' AS split, 'S' || (doc_id % 3 + 1) || '-' || lpad(doc_id::VARCHAR, greatest(6, length(doc_id::VARCHAR))::INT, '0') AS id, (doc_id % 3 + 1)::INT AS source,
          coalesce(lang, '') AS country, substr(coalesce(text, ''), 1, 60) AS raw_name, substr(coalesce(text, ''), 61, 80) AS raw_address,
          md5(coalesce(text, '')) AS content
   FROM documents WHERE doc_id IS NOT NULL),
@@ -37,7 +37,7 @@ owner AS (SELECT content, min(id) AS q FROM rec WHERE source = 1 GROUP BY conten
 truth AS (SELECT q, id AS t FROM rec JOIN owner USING (content) WHERE source IN (2, 3))
 """
 
-_NUMBERS = "list_distinct(regexp_extract_all({x}, '([0-9]+)', 1))"
+_NUMBERS = "list_distinct(regexp_extract_all({x}, '(\\p{{Nd}}+)', 1))"
 
 
 def numbers(x: str) -> str:
@@ -102,3 +102,32 @@ cand AS (SELECT q, t, {', '.join(picks)} FROM hits GROUP BY q, t)
 
 def with_records(*parts: str, select: str) -> str:
     return "WITH " + ", ".join([RECORDS.strip(), *(p.strip() for p in parts)]) + "\n" + select
+
+
+def _lcs(a: str, b: str) -> str:
+    """Length of the longest common subsequence of two texts of up to 125 characters, by a row of bits that is worked on character by character."""
+    where = f"list_transform(string_split({b}, ''), lambda c: list_sum(list_transform(range(1, length({a}) + 1), lambda i: CASE WHEN {a}[i] = c THEN 1::HUGEINT << (i - 1)::INT ELSE 0::HUGEINT END))::HUGEINT)"
+    full = f"((1::HUGEINT << length({a})::INT) - 1)"
+    step = f"lambda r, h: ((r + (r & h)) | (r - (r & h))) & {full}"
+    return f"(length({a}) - bit_count(list_reduce(list_prepend({full}, {where}), {step})))"
+
+
+def similarities() -> str:
+    """Expressions sims (q, t, k, s): the eight string similarities, after cand."""
+    words = lambda x: f"list_filter(string_split({x}, ' '), lambda w: w != '')"
+    return f"""
+sides AS (
+  SELECT cand.q, cand.t, f.f AS f, f.a AS a, f.b AS b FROM cand JOIN rec x ON x.id = cand.q JOIN rec y ON y.id = cand.t,
+  LATERAL (VALUES ('name', x.latin_name, y.latin_name), ('addr', x.latin_address, y.latin_address), ('unicode_name', x.name, y.name), ('unicode_addr', x.address, y.address)) f(f, a, b)),
+texts AS (SELECT *, list_sort({words("a")}) AS wa, list_sort({words("b")}) AS wb FROM (SELECT DISTINCT f LIKE 'u%' AS plain, a, b FROM sides WHERE a != '' AND b != '')),
+sets AS (SELECT *, list_sort(list_filter(list_distinct(wa), lambda w: list_contains(wb, w))) AS com, list_sort(list_filter(list_distinct(wa), lambda w: NOT list_contains(wb, w))) AS la, list_sort(list_filter(list_distinct(wb), lambda w: NOT list_contains(wa, w))) AS lb FROM texts WHERE NOT plain),
+jobs AS (
+  SELECT plain, a, b, 'ratio' AS k, a AS x, b AS y FROM texts
+  UNION ALL SELECT plain, a, b, 'token_sort', array_to_string(wa, ' '), array_to_string(wb, ' ') FROM texts WHERE NOT plain
+  UNION ALL SELECT plain, a, b, 'token_set', '=', '=' FROM sets WHERE len(com) > 0 AND (len(la) = 0 OR len(lb) = 0)
+  UNION ALL SELECT plain, a, b, 'token_set', array_to_string(list_concat(com, la), ' '), array_to_string(list_concat(com, lb), ' ') FROM sets WHERE len(com) = 0 OR (len(la) > 0 AND len(lb) > 0)
+  UNION ALL SELECT plain, a, b, 'token_set', array_to_string(com, ' '), array_to_string(list_concat(com, u.o), ' ') FROM sets, LATERAL (VALUES (la), (lb)) u(o) WHERE len(com) > 0 AND len(la) > 0 AND len(lb) > 0),
+told AS (SELECT x, y, CASE WHEN x = y THEN 1 ELSE 2.0::DOUBLE * {_lcs("x", "y")} / (length(x) + length(y)) END AS s FROM (SELECT DISTINCT x, y FROM jobs)),
+best AS (SELECT plain, a, b, k, max(s) AS s FROM jobs JOIN told USING (x, y) GROUP BY ALL),
+sims AS (SELECT sides.q, sides.t, sides.f || '_' || best.k AS k, best.s AS s FROM sides JOIN best ON best.a = sides.a AND best.b = sides.b AND best.plain = (sides.f LIKE 'u%'))
+"""

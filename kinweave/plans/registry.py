@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import functools
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.functions import text as X
@@ -12,7 +14,7 @@ from kinweave.operators import pairs as P
 from kinweave.plans import oracle as O
 from kinweave.sources import records as R
 
-SEED, TOP_K, CAP, FEATURES, THRESHOLD = 2026, 20, 2048, 4000, 0.4
+SEED, TOP_K, CAP, FEATURES, THRESHOLD = 2026, 20, 2048, 60_000, 0.4
 KS = [1, 5, 10, 20]
 #: Small trees: the queries are run as checks.
 SMALL = M.Settings(rounds=5, depth=3, least_rows=2, seed=SEED)
@@ -27,19 +29,19 @@ class Data:
         self.targets = self.records.where("source in (2, 3)")
         self.truth = R.document_truth(self.records)
 
-    @property
+    @functools.cached_property
     def candidates(self) -> DataFrame:
         return lexical.candidates(self.records, TOP_K, True, CAP)
 
-    @property
+    @functools.cached_property
     def scored(self) -> DataFrame:
         return self.candidates.withColumn("p", F.round((F.col("s_name") + F.col("s_combined")) / 2, 7))
 
-    @property
+    @functools.cached_property
     def predicted(self) -> DataFrame:
         return decide.above(self.scored, THRESHOLD)
 
-    @property
+    @functools.cached_property
     def features(self) -> DataFrame:
         return P.features(self.candidates, self.records, self.truth)
 
@@ -52,19 +54,59 @@ def _partition(d: Data) -> DataFrame:
     return d.queries.select("q", X.entity_hash(F.col("q"), SEED).alias("h")).withColumn("part", X.part_of(F.col("h")))
 
 
+def _trained(features: DataFrame, train) -> object:
+    """What train makes of the features, which every round reads; they are kept meanwhile only."""
+    kept = features.persist()
+    try:
+        return train(kept)
+    finally:
+        kept.unpersist()
+
+
 def _gbt(d: Data) -> DataFrame:
-    f = d.features.persist()  # read by every round; a lost part is made again
-    return M.score(f, M.train(f, P.FEATURES, SMALL), P.FEATURES).select("q", "t", "y", "p")
+    trees = _trained(d.features, lambda f: M.train(f, P.FEATURES, SMALL))
+    return M.score(d.features, trees, P.FEATURES).select("q", "t", "y", "p")
 
 
 def _stack(d: Data) -> DataFrame:
-    f = d.features.persist()
-    return M.score_stack(f, *M.train_stack(f, SMALL)).select("q", "t", "y", "p", "p2")
+    first, second = _trained(d.features, lambda f: M.train_stack(f, SMALL))
+    return M.score_stack(d.features, first, second).select("q", "t", "y", "p", "p2")
 
 
 def _loco(d: Data) -> DataFrame:
-    rows = d.features.join(d.queries, "q").persist()
-    return M.transfer(rows, sorted(r[0] for r in d.queries.select("country").distinct().collect()), SMALL)
+    """Transfer between countries, each with its own fit, tune and dev entities."""
+    parts = _partition(d).join(d.queries, "q")
+    universes = {p: parts.where(F.col("part") == p).select("q", "country") for p in ("fit", "tune", "dev")}
+
+    def transfer(f: DataFrame) -> list:
+        out = M.transfer({p: f.join(u, "q") for p, u in universes.items()}, universes, d.truth, SMALL)
+        return [] if out is None else out.collect()
+
+    kind = "source_country string, target_country string, threshold double, entities long, macro_f05 double, micro_precision double, micro_recall double, singleton_accuracy double, predicted long, true_pairs long"
+    return d.records.sparkSession.createDataFrame(_trained(d.features, transfer), kind)
+
+
+def _number(c: str) -> Column:
+    return F.substring(c, 4, 20).cast("long")
+
+
+def _faulty_labels(d: Data) -> DataFrame:
+    """The relational checks over truth with planted faults of every kind."""
+    n = _number("q")
+    labelled = d.queries.select("q").where(n % 50 != 0).unionByName(d.records.sparkSession.createDataFrame([("S1-none",)], "q string"))
+    least = d.targets.agg(F.min("id").alias("t"))
+    unknown = d.queries.where(n % 7 == 0).select("q", F.concat(F.lit("S2-x"), "q").alias("t"))
+    shared = d.queries.where(n % 11 == 0).select("q").crossJoin(F.broadcast(least))
+    return audit.checks(d.records, d.truth.unionByName(unknown).unionByName(shared).distinct(), labelled)
+
+
+def _faulty_results(d: Data) -> DataFrame:
+    """The checks of results over lists with planted faults of every kind."""
+    good, n, ids = export.id_lists(d.queries, d.predicted, "matched_entity_ids"), _number("source1_entity_id"), F.col("matched_entity_ids")
+    bad = F.when(n % 10 == 1, F.concat_ws(",", F.nullif(ids, F.lit("")), F.lit("S9-none"))).when((n % 10 == 2) & (ids != ""), F.concat_ws(",", ids, F.substring_index(ids, ",", 1))).otherwise(ids)
+    m = good.where(n % 10 != 0).select("source1_entity_id", bad.alias("matched_entity_ids"))
+    m = m.unionByName(m.where(n % 10 == 3)).unionByName(d.records.sparkSession.createDataFrame([("S1-none", "")], "source1_entity_id string, matched_entity_ids string"))
+    return export.violations(d.queries, m, export.id_lists(d.queries, d.candidates, "candidate_entity_ids"), d.targets)
 
 
 def _synthetic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,6 +191,27 @@ _PAIRS_SQL = f"""SELECT cand.q, cand.t, (truth.t IS NOT NULL)::INT AS y,
   s_name::FLOAT AS retrieval_name, s_address::FLOAT AS retrieval_address, s_combined::FLOAT AS retrieval_combined,
   r_name::FLOAT AS rank_name, r_address::FLOAT AS rank_address, r_combined::FLOAT AS rank_combined
 FROM cand JOIN rec a ON a.id = cand.q JOIN rec b ON b.id = cand.t LEFT JOIN truth ON truth.q = cand.q AND truth.t = cand.t"""
+_SIMILARITY = "SELECT *, least(name_ratio, addr_ratio) AS name_addr_min, name_ratio * addr_ratio AS name_addr_product FROM (SELECT cand.q, cand.t, " + ", ".join(f"coalesce(max(s) FILTER (k = '{k}'), 0)::FLOAT AS {k}" for k in P.SIMILARITIES) + " FROM cand LEFT JOIN sims USING (q, t) GROUP BY ALL)"
+_CHECKS = """SELECT (SELECT count(*) FROM uni WHERE q NOT IN (SELECT q FROM lab)) AS missing_truth_rows, (SELECT count(*) FROM lab WHERE q NOT IN (SELECT q FROM uni)) AS invalid_truth_queries,
+  (SELECT count(*) FROM {truth} WHERE t NOT IN (SELECT id FROM rec WHERE source IN (2, 3))) AS invalid_truth_targets,
+  (SELECT count(*) FROM {truth} JOIN rec a ON a.id = q JOIN rec b ON b.id = t WHERE a.country != b.country OR a.country = '' OR b.country = '') AS cross_country_pairs,
+  (SELECT count(*) FROM (SELECT t FROM {truth} GROUP BY t HAVING count(*) > 1)) AS shared_targets"""
+_NUM = "substr({x}, 4)::BIGINT"
+_FAULTY_LABELS = f"""lab AS (SELECT q FROM uni WHERE {_NUM.format(x="q")} % 50 != 0 UNION ALL SELECT 'S1-none'),
+bad AS (SELECT q, t FROM truth UNION SELECT q, 'S2-x' || q FROM uni WHERE {_NUM.format(x="q")} % 7 = 0 UNION SELECT q, (SELECT min(id) FROM rec WHERE source IN (2, 3)) FROM uni WHERE {_NUM.format(x="q")} % 11 = 0)"""
+_FAULTY_RESULTS = f"""(
+  WITH few AS (SELECT q, CASE WHEN n % 10 = 1 THEN concat_ws(',', nullif(ids, ''), 'S9-none') WHEN n % 10 = 2 AND ids != '' THEN ids || ',' || string_split(ids, ',')[1] ELSE ids END AS ids, n FROM (SELECT *, {_NUM.format(x="q")} AS n FROM good) WHERE n % 10 != 0)
+  SELECT q, ids FROM few UNION ALL SELECT q, ids FROM few WHERE n % 10 = 3 UNION ALL SELECT 'S1-none', '')"""
+#: m and c (q, ids): lists of matches and candidates; {bad} takes the place of the good lists.
+_RESULTS = """good AS (SELECT uni.q, coalesce(string_agg(DISTINCT x.t, ',' ORDER BY x.t), '') AS ids FROM uni LEFT JOIN pred x USING (q) GROUP BY uni.q),
+m AS (SELECT q, list_filter(string_split(ids, ','), lambda x: x != '') AS ids FROM {bad}),
+c AS (SELECT uni.q, coalesce(list(DISTINCT x.t) FILTER (x.t IS NOT NULL), []) AS ids FROM uni LEFT JOIN cand x USING (q) GROUP BY uni.q)"""
+_VIOLATIONS = """SELECT (SELECT count(*) FROM uni WHERE q NOT IN (SELECT q FROM m)) AS missing_queries, (SELECT count(*) FROM m WHERE q NOT IN (SELECT q FROM uni)) AS unknown_queries,
+  (SELECT count(*) FROM m FULL JOIN c USING (q) WHERE m.ids IS NULL OR c.ids IS NULL) AS one_sided_queries,
+  (SELECT count(*) FROM (SELECT q FROM m GROUP BY q HAVING count(*) > 1 UNION SELECT q FROM c GROUP BY q HAVING count(*) > 1)) AS repeated_queries,
+  (SELECT count(*) FROM (SELECT ids FROM m UNION ALL SELECT ids FROM c) WHERE len(ids) != len(list_distinct(ids))) AS repeated_ids,
+  (SELECT count(*) FROM m FULL JOIN c USING (q) WHERE len(list_filter(coalesce(m.ids, []), lambda x: NOT list_contains(coalesce(c.ids, []), x))) > 0) AS beyond_candidates,
+  (SELECT count(DISTINCT t) FROM (SELECT unnest(ids) AS t FROM c UNION ALL SELECT unnest(ids) FROM m) WHERE t NOT IN (SELECT id FROM rec WHERE source IN (2, 3))) AS unknown_targets"""
 _LIST = "SELECT uni.q AS source1_entity_id, coalesce(string_agg(DISTINCT x.t, ',' ORDER BY x.t), '') AS {c} FROM uni LEFT JOIN {x} x USING (q) GROUP BY uni.q"
 
 #: name: (query of Data, SQL or None).
@@ -164,19 +227,12 @@ _BY_DATA = {
     "dataset_profile": (
         lambda d: audit.raw_profile(d.records),
         O.with_records(
-            select="SELECT split, source, count(*) AS n, count(*) FILTER (NOT starts_with(id, 'S' || source || '-')) AS wrong_prefix, count(*) FILTER (trim(raw_name) = '') AS blank_name, count(*) FILTER (trim(raw_address) = '') AS blank_address, max(length(raw_name))::INT AS max_name, max(length(raw_address))::INT AS max_address FROM rec GROUP BY ALL"
+            select=f"SELECT split, source, country, count(*) AS n, count(*) FILTER (NOT starts_with(id, 'S' || source || '-')) AS wrong_prefix, count(*) FILTER (regexp_matches(raw_name, '{audit.BLANK}')) AS blank_name, count(*) FILTER (regexp_matches(raw_address, '{audit.BLANK}')) AS blank_address, max(length(raw_name))::INT AS max_name, max(length(raw_address))::INT AS max_address, sum(strlen(raw_name) + strlen(raw_address))::BIGINT AS bytes FROM rec GROUP BY ALL"
         ),
     ),
     "truth_pairs": (lambda d: d.truth, O.with_records(select="SELECT q, t FROM truth")),
-    "audit_checks": (
-        lambda d: audit.checks(d.records, d.truth, d.queries.select("q")),
-        O.with_records(
-            select="""SELECT 0::BIGINT AS missing_truth_rows, 0::BIGINT AS invalid_truth_queries,
-  (SELECT count(*) FROM truth WHERE t NOT IN (SELECT id FROM rec WHERE source IN (2, 3))) AS invalid_truth_targets,
-  (SELECT count(*) FROM truth JOIN rec a ON a.id = q JOIN rec b ON b.id = t WHERE a.country != b.country OR a.country = '' OR b.country = '') AS cross_country_pairs,
-  (SELECT count(*) FROM (SELECT t FROM truth GROUP BY t HAVING count(*) > 1)) AS shared_targets"""
-        ),
-    ),
+    "audit_checks": (lambda d: audit.checks(d.records, d.truth, d.queries.select("q")), O.with_records(_UNI, "lab AS (SELECT q FROM uni)", select=_CHECKS.format(truth="truth"))),
+    "audit_checks_on_faults": (_faulty_labels, O.with_records(_UNI, _FAULTY_LABELS, select=_CHECKS.format(truth="bad"))),
     "match_histogram": (
         lambda d: audit.matches_per_entity(d.truth, d.queries.select("q")),
         O.with_records(_UNI, select="SELECT m AS matches, count(*) AS entities FROM (SELECT uni.q, count(truth.t) AS m FROM uni LEFT JOIN truth USING (q) GROUP BY uni.q) GROUP BY m"),
@@ -217,11 +273,19 @@ _BY_DATA = {
         lambda d: metrics.size_stats(d.queries.select("q"), d.candidates),
         _after(_UNI, select="SELECT round(avg(n), 9) AS mean, quantile_cont(n, 0.9) AS p90, quantile_cont(n, 0.99) AS p99, max(n) AS max FROM (SELECT uni.q, count(cand.t) AS n FROM uni LEFT JOIN cand USING (q) GROUP BY uni.q)"),
     ),
+    "candidate_sizes_by_k": (
+        lambda d: metrics.sizes_at(d.queries.select("q"), d.candidates, KS).select("k", "mean", "p90", "p99", "max"),
+        _after(_UNI, _RANKED, select=f"SELECT k, round(avg(n), 9) AS mean, quantile_cont(n, 0.9) AS p90, quantile_cont(n, 0.99) AS p99, max(n) AS max FROM (SELECT k::INT AS k, uni.q, count(r.t) AS n FROM uni CROSS JOIN (SELECT unnest({KS}) AS k) LEFT JOIN ranked r ON r.q = uni.q AND r.rank <= k GROUP BY ALL) GROUP BY k"),
+    ),
+    "compact_views": (
+        lambda d: R.compact(d.records).select("id", "latin_name", "latin_address"),
+        O.with_records(select="SELECT id, nullif(latin_name, name) AS latin_name, nullif(latin_address, address) AS latin_address FROM rec"),
+    ),
     "pair_features_native": (
         lambda d: P.plain_features(P.joined(P.labelled(d.candidates, d.truth), d.records)).select("q", "t", "y", *P.PLAIN, *P.RETRIEVAL),
         _after(select=_PAIRS_SQL),
     ),
-    "pair_similarity": (lambda d: P.similarities(P.joined(d.candidates, d.records)).select("q", "t", *P.SIMILARITIES, *P.MIXED), None),
+    "pair_similarity": (lambda d: P.similarities(P.joined(d.candidates, d.records)).select("q", "t", *P.SIMILARITIES, *P.MIXED), _after(O.similarities(), select=_SIMILARITY)),
     "entity_f05": (lambda d: _entities(d), _after(_UNI, _SCORED, _PRED, _ENT, select="SELECT * FROM ent")),
     "evaluate_macro": (lambda d: metrics.summary(_entities(d)), _after(_UNI, _SCORED, _PRED, _ENT, select=f"SELECT {_SUMMARY} FROM ent")),
     "eval_by_country": (lambda d: metrics.summary(_entities(d), "country"), _after(_UNI, _SCORED, _PRED, _ENT, select=f"SELECT country, {_SUMMARY} FROM ent GROUP BY country")),
@@ -237,15 +301,16 @@ UNION ALL SELECT q, t, CASE WHEN (q, t) IN (SELECT (q, t) FROM cand) THEN 'false
         ),
     ),
     "context_features": (
-        lambda d: P.context(d.scored.select("q", "t", "p")),
-        _after(_SCORED, select="SELECT q, t, p, max(p) OVER w AS p_max, max(p) OVER w - p AS p_gap, 1.0::DOUBLE / row_number() OVER (PARTITION BY q ORDER BY p DESC, t) AS p_rank, sum(p) OVER w AS p_sum FROM scored WINDOW w AS (PARTITION BY q)"),
+        lambda d: P.context(d.scored.select("q", "t", "p")).withColumn("p_sum", F.round("p_sum", 9)),
+        _after(_SCORED, select="SELECT q, t, p, max(p) OVER w AS p_max, max(p) OVER w - p AS p_gap, 1.0::DOUBLE / row_number() OVER (PARTITION BY q ORDER BY p DESC, t) AS p_rank, round(sum(p) OVER w, 9) AS p_sum FROM scored WINDOW w AS (PARTITION BY q)"),
     ),
     "matching_results": (lambda d: export.id_lists(d.queries, d.predicted, "matched_entity_ids"), _after(_UNI, _SCORED, _PRED, select=_LIST.format(c="matched_entity_ids", x="pred"))),
     "candidate_pairs": (lambda d: export.id_lists(d.queries, d.candidates, "candidate_entity_ids"), _after(_UNI, select=_LIST.format(c="candidate_entity_ids", x="cand"))),
     "validate_outputs": (
         lambda d: export.violations(d.queries, export.id_lists(d.queries, d.predicted, "matched_entity_ids"), export.id_lists(d.queries, d.candidates, "candidate_entity_ids"), d.targets),
-        "SELECT 0::BIGINT AS missing_queries, 0::BIGINT AS unknown_queries, 0::BIGINT AS one_sided_queries, 0::BIGINT AS repeated_queries, 0::BIGINT AS repeated_ids, 0::BIGINT AS beyond_candidates, 0::BIGINT AS unknown_targets",
+        _after(_UNI, _SCORED, _PRED, _RESULTS.format(bad="good"), select=_VIOLATIONS),
     ),
+    "validate_faulty_outputs": (_faulty_results, _after(_UNI, _SCORED, _PRED, _RESULTS.format(bad=_FAULTY_RESULTS), select=_VIOLATIONS)),
     "expected_f_select": (lambda d: decide.expected_select(d.scored), None),
     "exact_normalize": (lambda d: d.records.select("id", X.normalize_exact("raw_name").alias("name"), X.latin_exact(X.normalize_exact("raw_name")).alias("latin_name")), None),
     "gbt_scores": (_gbt, None),

@@ -35,7 +35,7 @@ WINDOW, GRAM = 35, 6
 #: Longest stretch in windows; only texts that repeat themselves have longer runs, which are cut.
 LONGEST = 256
 #: Words in a block that is indexed at once, unless one gram has more; windows of a gram beyond which they are counted one by one.
-BLOCK_WORDS, HOT_WINDOWS = 1 << 18, 1 << 16
+BLOCK_WORDS, HOT_WINDOWS = 1 << 18, 1 << 13
 #: Ranks of sequences of up to 2 ** LEVELS words; longer matches count as so long.
 LEVELS = 6
 #: What is known of a stretch: stands once and nothing else has its gram; is to be parsed; the same, and stands more than once. Added for hot grams.
@@ -120,6 +120,7 @@ def stretch_index(docs: DataFrame, window: int, gram: int) -> DataFrame:
             one = order[at]
             columns = (a[at].view(np.int64), b[at].view(np.int64), key[one], owner[one], size[one], np.diff(np.append(at, len(a))))
             yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], ["a", "b", "k", "o", "size", "n"])
+        tables.release()
 
     rows = docs.select("k", "d", "text").mapInArrow(work, "a long, b long, k long, o long, size long, n long").repartition("a")
     one = rows.groupBy("a", "b").agg(F.sum("n").alias("n"), *(F.first(c).alias(c) for c in ("k", "o", "size")))
@@ -223,6 +224,7 @@ def single_windows(found: DataFrame, window: int, gram: int) -> DataFrame:
                 raw = words.tobytes()
                 w = pa.array([raw[8 * p : 8 * (p + m + window - 1)] for p, m in zip(place.tolist(), n.tolist(), strict=True)], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), w, pa.array(k), pa.array(_owner(d, s)), pa.array(check)], ["a", "w", "k", "o", "check"])
+        tables.release()
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def give(block: pa.Table) -> pa.RecordBatch:
@@ -251,6 +253,7 @@ def single_windows(found: DataFrame, window: int, gram: int) -> DataFrame:
             held = block.slice(end).combine_chunks().to_batches()
         if held and (block := pa.Table.from_batches(held)).num_rows:
             yield give(block)
+        tables.release()
 
     def count_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -260,6 +263,7 @@ def single_windows(found: DataFrame, window: int, gram: int) -> DataFrame:
                 columns = [B.span_hashes(words, at, at + window, salt).view(np.int64) for salt in (2, 3)]
                 columns += [k[row], _owner(d[row], s[row] + nth), check[row] - HOT]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["x", "y", "k", "o", "n"])
+        tables.release()
 
     # With the key, which isn't used, the texts are dealt out by the same exchange as for the result, so only once.
     rows = found.select("key", "k", "d", "text", "marks")
@@ -316,6 +320,7 @@ def remove_duplicate_passages(df: DataFrame, key: str = "doc_id", text: str = "t
             rows = [kept_words(t, m, s, window) for t, m, s in zip(batch.column(1).cast(pa.binary()).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             n, removed, kept = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(removed, pa.int64())], ["key", "text", "n_words", "n_removed"])
+        tables.release()
 
     kind = df.schema[key].dataType.simpleString()
     return done.select("key", "text", "marks", "singles").mapInArrow(work, f"key {kind}, text string, n_words long, n_removed long").withColumnsRenamed({"key": key, "text": text})

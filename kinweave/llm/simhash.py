@@ -28,8 +28,8 @@ from kinweave.llm import tables
 from kinweave.llm.components import Forest, components
 
 SHINGLE, RADIUS, BANDS, HASH_SEED = 4, 4, 6, 42
-#: Fingerprints under one key beyond which the key is split into blocks, each pair of which is a task of its own.
-BLOCK = 65_536
+#: Fingerprints under one key beyond which the key is split into blocks, and about how many of them all others are compared with first.
+BLOCK, PIVOTS = 65_536, 128
 #: similar_texts: least hashes that make a key, words of 64 bits of a fingerprint.
 LEAST_HASHES, FINGERPRINT_WORDS = 5, 2
 #: Texts of so few shingles meet by their least shingles, of which similar sets always share one.
@@ -186,22 +186,28 @@ def alike(one: bytes, others: list[bytes], similarity: float) -> np.ndarray:
     return out
 
 
-def links_of_groups(key: np.ndarray, prints: np.ndarray, names: np.ndarray, radius: int, forest: Forest, sets: list[bytes] | None = None, similarity: float = 0) -> None:
-    """Links the names of fingerprints within radius under the same key; rows come sorted by key. With sets, only those that are alike."""
+def links_of_groups(key: np.ndarray, prints: np.ndarray, names: np.ndarray, radius: int, forest: Forest, sets: list[bytes] | None = None, similarity: float = 0, asked: np.ndarray | None = None) -> None:
+    """Links the names of fingerprints within radius under the same key; rows come sorted by key. With sets, only those that are alike.
+
+    asked: which rows are compared with all of their key; without it all are.
+    """
     if not len(key):
         return
     prints = prints.reshape(len(prints), -1)
     cuts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1, [len(key)]])
     sizes = np.diff(cuts)
     own = np.repeat(sizes, sizes)
-    rows = np.flatnonzero((own > 1) & (own <= SMALL))
+    rows = np.flatnonzero((own > 1) & (own <= SMALL)) if asked is None else ()
     if len(rows):
         x, k, planes = names[rows], key[rows], planes_of(prints[rows])
         for lag in range(1, int(own[rows].max())):
             for i in near_at_lag(planes, lag, radius, len(rows)):
                 if k[i] == k[i + lag] and (sets is None or forest.root(int(x[i])) != forest.root(int(x[i + lag])) and alike(sets[rows[i]], [sets[rows[i + lag]]], similarity)[0]):
                     forest.link(int(x[i]), int(x[i + lag]))
-    for g in np.flatnonzero(sizes > SMALL):
+    for g in np.flatnonzero(sizes > (SMALL if asked is None else 1)):
+        query = np.arange(sizes[g]) if asked is None else np.flatnonzero(asked[cuts[g] : cuts[g + 1]])
+        if not len(query):
+            continue
         x, name = prints[cuts[g] : cuts[g + 1]], names[cuts[g] : cuts[g + 1]]
         # Bits on which the group is split evenly come first: they tell apart soonest. A bit that all share never differs.
         share = np.array([(x[:, b // 64] >> np.uint64(b % 64) & np.uint64(1)).mean() for b in range(64 * x.shape[1])])
@@ -210,11 +216,14 @@ def links_of_groups(key: np.ndarray, prints: np.ndarray, names: np.ndarray, radi
         # label: which rows are known to hang together; only links between different labels are new.
         label, starts = np.arange(len(x)), range(0, len(x), 4096)
         planes = [planes_of(x[i : i + 4096]) for i in starts]
-        for at in range(0, len(x), 64):
-            for j in range(at // 4096, len(planes)):
-                p, r = near(planes[j], x[at : at + 64], radius, order)
-                p, r = p + at, r + starts[j]
-                p, r = p[(r > p) & (r < len(x))], r[(r > p) & (r < len(x))]
+        for at in range(0, len(query), 64):
+            some = query[at : at + 64]
+            # Where all are asked, a pair is seen from its first row alone.
+            for j in range(at // 4096 if asked is None else 0, len(planes)):
+                p, r = near(planes[j], x[some], radius, order)
+                p, r = some[p], r + starts[j]
+                new = (r < len(x)) & (r > p if asked is None else r != p)
+                p, r = p[new], r[new]
                 if sets is not None:
                     for u in np.unique(p):
                         own = r[(p == u) & (label[r] != label[u])]
@@ -247,31 +256,60 @@ def link_edges(keyed: DataFrame, radius: int, n: int, block: int = BLOCK, simila
     """Edges (a, b) that connect what lies within radius under a common key, from rows (k, v, p): key, name, fingerprint (long or binary).
 
     Each task gives a spanning forest of the links that it finds, not the links.
-    A key with more than ``block`` fingerprints is split into blocks by a hash,
-    and every pair of blocks is compared in a group of its own. n: how many
-    fingerprints there are; keys needn't be counted if that is at most ``block``.
-    With a similarity, rows have a set too (s, sorted 64-bit words), and a link
-    counts only if the sets of both have at least this Jaccard similarity; blocks
-    hold at most SET_BYTES of sets, too.
+    n: how many fingerprints there are; keys needn't be counted if that is at most
+    ``block``. With a similarity, rows have a set too (s, sorted 64-bit words), and a
+    link counts only if the sets of both have at least this Jaccard similarity;
+    blocks hold at most SET_BYTES of sets, too.
+
+    A key with more than ``block`` fingerprints is dealt out in blocks by a hash.
+    First all of them are compared with about PIVOTS of them, in proportion to
+    their number. What hangs together with most pivots' rows needs no more links
+    among itself; the rest, which in a large group of near copies is little, is
+    compared with all of the key, block by block. So no link is lost, and only keys
+    whose fingerprints don't hang together take a square of comparisons.
     """
     own_set = ["s"] if similarity else []
     parts = F.ceil(F.count("*") / block)
     if similarity:
         parts = F.greatest(parts, F.ceil(F.sum(F.octet_length("s")) / SET_BYTES))
-    large = tables.cut(keyed.groupBy("k").agg(parts.cast("long").alias("n")).where("n > 1"), n) if similarity or n > block else None
+    large = tables.cut(keyed.groupBy("k").agg(parts.cast("long").alias("n"), F.count("*").alias("count")).where("n > 1"), n) if similarity or n > block else None
     if large is None or large.isEmpty():
-        keyed = keyed.select("k", F.lit(0).cast("long").alias("part"), "v", "p", *own_set)
-    else:
-        own = F.pmod(F.xxhash64("v"), F.col("n"))
-        keyed = keyed.join(large, "k", "left").withColumn("n", F.coalesce("n", F.lit(1).cast("long")))
-        keyed = keyed.select("k", "v", "p", *own_set, "n", own.alias("own"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("other"))
-        keyed = keyed.select("k", (F.least("own", "other") * F.col("n") + F.greatest("own", "other")).alias("part"), "v", "p", *own_set)
+        return _compared(keyed.select("k", F.lit(0).cast("long").alias("part"), "v", "p", *own_set), radius, similarity)
+    few = keyed.join(large, "k", "left_anti").select("k", F.lit(0).cast("long").alias("part"), "v", "p", *own_set)
+    many = keyed.join(large, "k")
+    cells = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+    own = F.pmod(F.xxhash64("v"), F.col("n"))
+    asked = lambda yes: F.lit(yes).alias("asked")
+    pivot = F.pmod(F.xxhash64("v", F.lit("pivot")), F.greatest(F.lit(1), F.floor(F.col("count") / PIVOTS))) == 0
+    dealt = many.select("k", own.alias("part"), "v", "p", *own_set, asked(False))
+    pivots = many.where(pivot).select("k", cells("n").alias("part"), "v", "p", *own_set, asked(True))
+    first = tables.cut(_compared(dealt.unionByName(pivots), radius, similarity))
+    rooted = many.select("k", "v", "n").join(components(first), "v", "left")
+    main = rooted.where("root is not null").groupBy("k", "root").count().groupBy("k").agg(F.max(F.struct("count", "root"))["root"].alias("main"))
+    rest = tables.cut(rooted.join(main, "k", "left").where("root is null or main is null or root != main").select("k", "v"))
+    found = _compared(few, radius, similarity).unionByName(first)
+    sizes = rest.groupBy("k").agg(F.ceil(F.count("*") / block).cast("long").alias("m"))
+    if rest.isEmpty():
+        return found
+    every = many.join(sizes, "k").select("k", "n", own.alias("own"), cells("m").alias("cell"), "v", "p", *own_set)
+    every = every.select("k", (F.col("own") + F.col("n") * F.col("cell")).alias("part"), "v", "p", *own_set, asked(False))
+    left = many.join(rest, ["k", "v"]).join(sizes, "k").select("k", "n", F.pmod(F.xxhash64("v", F.lit("rest")), F.col("m")).alias("own"), cells("n").alias("cell"), "v", "p", *own_set)
+    left = left.select("k", (F.col("cell") + F.col("n") * F.col("own")).alias("part"), "v", "p", *own_set, asked(True))
+    return found.unionByName(_compared(every.unionByName(left), radius, similarity))
+
+
+def _compared(rows: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """Edges (a, b) from rows (k, part, v, p, s with a similarity, asked if only some are compared with all) that share k and part."""
+    some = "asked" in rows.columns
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def give(forest: Forest) -> pa.RecordBatch:
             a, b = np.array(forest.edges(), np.uint64).reshape(-1, 2).T
             return pa.RecordBatch.from_arrays([pa.array(a.copy().view(np.int64)), pa.array(b.copy().view(np.int64))], ["a", "b"])
 
+        def link(held: tuple, sets: list | None) -> None:
+            links_of_groups(held[0], held[2], held[1], radius, forest, sets, similarity, held[3] if some else None)
+
         forest, held, waiting, sets = Forest(), None, [], []
         for batch in itertools.chain(batches, [None]):
             # Planes are worth making for many rows at a time.
@@ -285,24 +323,25 @@ def link_edges(keyed: DataFrame, radius: int, n: int, block: int = BLOCK, simila
             p = batch.column(3)
             prints = np.frombuffer(b"".join(p.to_pylist()), np.uint64) if pa.types.is_binary(p.type) else p.to_numpy(zero_copy_only=False).view(np.uint64)
             prints = prints.reshape(len(v), -1)
-            rows = B.mix(k.copy()) + part, v, prints
-            sets = sets + batch.column(4).to_pylist() if similarity else None
+            group = B.mix(B.mix(k.copy()) + part) if some else k
+            rows = (group, v, prints, *([batch.column("asked").to_numpy(zero_copy_only=False)] if some else []))
+            sets = sets + batch.column("s").to_pylist() if similarity else None
             if held is not None:
                 rows = tuple(np.concatenate(x) for x in zip(held, rows, strict=True))
             # The last group may go on in the next batch.
             end = int(np.flatnonzero(rows[0] != rows[0][-1]).max(initial=-1)) + 1
             held, rows = tuple(x[end:] for x in rows), tuple(x[:end] for x in rows)
-            links_of_groups(rows[0], rows[2], rows[1], radius, forest, sets, similarity)
+            link(rows, sets)
             sets = sets[end:] if similarity else None
             if len(forest.up) > 200_000:
                 yield give(forest)
                 forest = Forest()
         if held is not None:
-            links_of_groups(held[0], held[2], held[1], radius, forest, sets, similarity)
+            link(held, sets)
         yield give(forest)
         tables.release()
 
-    return keyed.repartition("k", "part").sortWithinPartitions("k", "part").mapInArrow(work, "a long, b long")
+    return rows.repartition("k", "part").sortWithinPartitions("k", "part").mapInArrow(work, "a long, b long")
 
 
 def _named(prints: DataFrame, least: DataFrame, edges: DataFrame, key: str, n: int, most: int) -> DataFrame:

@@ -61,7 +61,7 @@ def test_bit_sliced_distances():
         assert got == [i for i in range(300 - lag) if (int(x[i]) ^ int(x[i + lag])).bit_count() <= 4]
 
 
-def test_large_groups_and_split_keys(spark):
+def test_large_groups_and_split_keys(spark, monkeypatch):
     r = random.Random(4)
     base = r.getrandbits(64)
     prints = {base}
@@ -73,16 +73,18 @@ def test_large_groups_and_split_keys(spark):
     links = [(a, b) for a in ids for b in ids[a + 1 :] if (prints[a] ^ prints[b]).bit_count() <= 4]
     want = joined(ids, links)
     assert {x["doc_id"]: x["component_id"] for x in simhash.classes(df).collect()} == want
-    # The same with keys split into blocks of 20.
+    # The same with keys split into blocks of 20, with few, one or hardly any pivots, and with all under one key.
     from pyspark.sql import functions as F
 
     keyed = df.select(F.explode(simhash.band_keys(F.col("fp"))).alias("k"), F.col("fp").alias("v"), F.col("fp").alias("p"))
-    roots = {x["v"]: x["root"] for x in components.components(simhash.link_edges(keyed, 4, len(ids), 20)).collect()}
-    groups = collections.defaultdict(set)
-    for i, p in enumerate(prints):
-        v = int(np.uint64(p).astype(np.int64))
-        groups[roots.get(v, v)].add(i)
-    assert {i: min(g) for g in groups.values() for i in g} == want
+    for rows, block, pivots in ((keyed, 20, 8), (keyed, 20, 1), (df.select(F.lit(1).cast("long").alias("k"), F.col("fp").alias("v"), F.col("fp").alias("p")), 50, 4)):
+        monkeypatch.setattr(simhash, "PIVOTS", pivots)
+        roots = {x["v"]: x["root"] for x in components.components(simhash.link_edges(rows, 4, len(ids), block)).collect()}
+        groups = collections.defaultdict(set)
+        for i, p in enumerate(prints):
+            v = int(np.uint64(p).astype(np.int64))
+            groups[roots.get(v, v)].add(i)
+        assert {i: min(g) for g in groups.values() for i in g} == want
 
 
 def test_components_by_rounds(spark):
@@ -252,6 +254,7 @@ def test_similar_texts_by_exact_similarity(spark):
 
 def test_large_classes_are_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(simhash, "TEXTS", 20)
+    monkeypatch.setattr(simhash, "PIVOTS", 3)
     r = random.Random(10)
     words = [f"w{i}" for i in range(120)]
     rows = []

@@ -340,27 +340,30 @@ def retouched(image: np.ndarray, seed: int) -> np.ndarray:
     return np.clip(part * 0.85 + 8 + r.normal(0, 2, part.shape), 0, 255).astype(np.uint8)
 
 
-def pictures(df: DataFrame, edited: bool) -> DataFrame:
-    """(vec_id, image): a picture drawn from each vector, or its retouched copy. Null vectors have no image."""
+def pictures(df: DataFrame, edited: bool, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """(key, image): a picture drawn from each vector, or its retouched copy. A null vector has no image; keys may be null."""
+    kind = df.schema[key].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, len(batch), 512):
                 part = batch.slice(lo, 512)
                 made = []
-                for key, v in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                for own, v in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     seed = None if v is None else xxhash.xxh64_intdigest(np.array(v, np.float32).tobytes()) >> 1
                     image = None if seed is None else picture(seed)
-                    made.append(None if image is None else encode(retouched(image, seed + (key or 0)) if edited else image))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.binary())], ["vec_id", "image"])
+                    made.append(None if image is None else encode(retouched(image, seed + xxhash.xxh32_intdigest(str(own))) if edited else image))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(made, pa.binary())], ["key", "image"])
+        tables.release()
 
-    return df.select("vec_id", "embedding").mapInArrow(work, "vec_id long, image binary")
+    return df.select(key, vector).mapInArrow(work, f"key {kind}, image binary").withColumnRenamed("key", key)
 
 
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies found for retouched crops of every twentieth picture among the pictures of all vectors.
 
-    The tables hold no images; each vector of ``embeddings`` is drawn as one.
+    The tables hold no images; each vector of ``embeddings`` is drawn as one. A null
+    vector is no picture: it finds nothing and isn't found.
     """
     rows = tables.read(spark, sf_dir, "embeddings", "vec_id", "embedding")
     return find_copies(pictures(rows.where("vec_id % 20 = 0"), True), pictures(rows, False), "vec_id")

@@ -189,6 +189,13 @@ def test_turned_resized_and_cropped_copies(spark):
     assert media.find_copies(frame(asked + asked), frame(images), "id").count() == len(got)
 
 
+def test_pictures_of_odd_vectors(spark):
+    df = spark.createDataFrame([("a", [1.0, 2.0]), ("b", None), (None, [1.0, 2.0]), ("c", [])], "vec_id string, embedding array<float>").selectExpr("*", "'x' as key", "1 as image")
+    got = {r["vec_id"]: r["image"] for r in media.pictures(df, False).collect()}
+    assert got["b"] is None and got["a"] == got[None] != got["c"]
+    assert media.pictures(df.limit(0), True).count() == 0
+
+
 def test_image_classes_and_odd_images(spark):
     a, b = media.picture(1), media.picture(2)
     images = [(1, media.encode(a)), (2, media.encode(a)), (2, media.encode(a)), (3, media.encode(b)), (4, None), (5, b""), (6, b"P5\n9 9\n255\n"), (7, media.encode(np.zeros((96, 96)))), (None, media.encode(b)), (8, media.encode(a[:5, :5]))]

@@ -40,7 +40,7 @@ APART = 5
 #: Descriptors of BITS bits, of which PARTS times KEY_BITS are keys of tables; the least sure bits of a key that a query turns one at a time, and two at a time.
 PATCH, BITS, KEY_BITS, PARTS, TURNED, PAIRED = 9, 128, 20, 6, 8, 4
 #: Largest distance of matching descriptors, and distinct places of the query that agree in a copy.
-RADIUS, INLIERS = 18, 4
+RADIUS, INLIERS = 15, 4
 #: Pixels that a corner may be off, and pairs of matches that are tried for a pair of images; with fewer matches all pairs are.
 OFF, TRIED = 3.0, 600
 #: Points are compared by the mean of a square of this many pixels around them, and as many more on each side.
@@ -125,9 +125,15 @@ def _values(x: np.ndarray, image: np.ndarray, row: np.ndarray, col: np.ndarray,
     angle = np.arctan2((patch * _GRID[0]).sum((1, 2)), (patch * _GRID[1]).sum((1, 2)))
     cos, sin = np.cos(angle)[:, None], np.sin(angle)[:, None]
     dy, dx = points[None, :, 0], points[None, :, 1]
-    y = np.round(row[:, None] + sin * dx + cos * dy).astype(int)
-    z = np.round(col[:, None] + cos * dx - sin * dy).astype(int)
-    return angle, soft[image[:, None], y, z]
+    y, z = row[:, None] + sin * dx + cos * dy, col[:, None] + cos * dx - sin * dy
+    lo, left = np.floor(y).astype(int), np.floor(z).astype(int)
+    a, b = (y - lo).astype(np.float32), (z - left).astype(np.float32)
+    flat, width = soft.reshape(-1), soft.shape[2]
+    at = (image[:, None] * soft.shape[1] + lo) * width + left
+    # Where a turned point falls on the very last line, its neighbour weighs nothing.
+    down, right = np.where(a > 0, width, 0), (b > 0).astype(int)
+    upper, lower = flat[at] * (1 - b) + flat[at + right] * b, flat[at + down] * (1 - b) + flat[at + down + right] * b
+    return angle, upper * (1 - a) + lower * a
 
 
 def leaves(seed: int, size: int = 96) -> np.ndarray:
@@ -286,6 +292,7 @@ def find_copies(queries: DataFrame, images: DataFrame, key: str, image: str = "i
     told = images.select(F.struct(images[key].alias("id"), F.xxhash64(images[image]).alias("h"), F.sha2(images[image], 256).alias("sha")).alias("k"), images[image].alias("image")).where("image is not null")
     # Of equal images the features are equal: the aggregate keeps one of them.
     indexed = features(told, "k", "image").groupBy("k.h", "k.sha").agg(F.min("k.id").alias("match_id"), F.count("*").alias("copies"), F.first("features").alias("features"))
+    indexed = tables.cut(indexed.select(F.xxhash64("h", "sha").alias("image"), "match_id", "copies", "features"))
     asked = features(queries.where(queries[key].isNotNull()).select(F.col(key).alias("query_id"), image), "query_id", image, True)
 
     def by_key(df: DataFrame, keys: Column, *names: str) -> DataFrame:
@@ -294,7 +301,7 @@ def find_copies(queries: DataFrame, images: DataFrame, key: str, image: str = "i
 
     q = by_key(asked, F.col("keys"), "query_id").withColumnsRenamed({c: f"q{c}" for c in ("n", "x", "y", *_WORDS)})
     # Images are told by their hash; their ids follow only to what matches.
-    found = q.join(by_key(indexed.select(F.xxhash64("h", "sha").alias("image"), "features"), own_keys(), "image"), "k")
+    found = q.join(by_key(indexed.select("image", "features"), own_keys(), "image"), "k")
     distance = functools.reduce(lambda a, b: a + b, (F.bit_count(F.col(f"q{d}").bitwiseXOR(F.col(d))) for d in _WORDS))
     # A match that several tables find counts once.
     votes = found.where(distance <= RADIUS).groupBy("query_id", "image", "qn", "n").agg(*(F.first(c).alias(c) for c in ("qx", "qy", "x", "y")))
@@ -310,8 +317,7 @@ def find_copies(queries: DataFrame, images: DataFrame, key: str, image: str = "i
 
     kind = queries.schema[key].dataType.simpleString()
     agreed = gathered.where(F.size("m") >= INLIERS).mapInArrow(judge, f"query_id {kind}, image long, inliers long, scale double, rotation double, shift_x double, shift_y double")
-    named = indexed.select(F.xxhash64("h", "sha").alias("image"), "match_id", "copies")
-    return agreed.join(named, "image").select("query_id", "match_id", "copies", "inliers", "scale", "rotation", "shift_x", "shift_y")
+    return agreed.join(indexed.drop("features"), "image").select("query_id", "match_id", "copies", "inliers", "scale", "rotation", "shift_x", "shift_y")
 
 
 SIZE, CROP = 96, 72

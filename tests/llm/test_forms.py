@@ -179,7 +179,7 @@ def test_turned_resized_and_cropped_copies(spark):
     images = [(i, media.encode(media.picture(i))) for i in range(30)]
     large = np.block([[media.picture(100 + 6 * y + x) for x in range(6)] for y in range(6)])
     images.append((100, media.encode(large)))
-    asked = [(1000 + 100 * n + i, media.encode(edited(media.picture(i), d, s, 8))) for n, (d, s) in enumerate(((7, 1), (90, 1), (0, 0.85))) for i in range(10)]
+    asked = [(1000 + 100 * n + i, media.encode(edited(media.picture(i), d, s, b))) for n, (d, s, b) in enumerate(((7, 1, 8), (90, 1, 8), (0, 0.85, 0))) for i in range(10)]
     asked += [(2000 + i, media.encode(edited(large[70 * i : 70 * i + 110, 200:310], 0, 1, 4))) for i in range(5)]
     frame = lambda rows: spark.createDataFrame(rows, "id long, image binary")
     got = {(r["query_id"], r["match_id"]): r for r in media.find_copies(frame(asked), frame(images), "id").collect()}

@@ -286,6 +286,10 @@ _BY_DATA = {
         _after(select=_PAIRS_SQL),
     ),
     "pair_similarity": (lambda d: P.similarities(P.joined(d.candidates, d.records)).select("q", "t", *P.SIMILARITIES, *P.MIXED), _after(O.similarities(), select=_SIMILARITY)),
+    "pair_features": (
+        lambda d: d.features,
+        _after(O.similarities(), f"plain AS ({_PAIRS_SQL})", f"alike AS ({_SIMILARITY})", select=f"SELECT plain.q, plain.t, y, {', '.join(P.FEATURES)} FROM plain JOIN alike USING (q, t)"),
+    ),
     "entity_f05": (lambda d: _entities(d), _after(_UNI, _SCORED, _PRED, _ENT, select="SELECT * FROM ent")),
     "evaluate_macro": (lambda d: metrics.summary(_entities(d)), _after(_UNI, _SCORED, _PRED, _ENT, select=f"SELECT {_SUMMARY} FROM ent")),
     "eval_by_country": (lambda d: metrics.summary(_entities(d), "country"), _after(_UNI, _SCORED, _PRED, _ENT, select=f"SELECT country, {_SUMMARY} FROM ent GROUP BY country")),

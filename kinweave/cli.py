@@ -368,10 +368,12 @@ def main(args: list[str] | None = None, spark: SparkSession | None = None) -> di
     parser.add_argument("stage", choices=STAGES)
     parser.add_argument("--data", required=True)
     parser.add_argument("--work", required=True)
+    parser.add_argument("--archive", help="a ZIP of the source files, unpacked into --data first, once")
     parser.add_argument("--settings", help="a JSON file with fields of Settings")
     a = parser.parse_args(args)
     settings = Settings(**(json.loads(Path(a.settings).read_text()) if a.settings else {}))
-    run = Run(spark or SparkSession.builder.getOrCreate(), a.data, a.work, settings)
+    data = str(files.extract(a.archive, a.data)) if a.archive else a.data
+    run = Run(spark or SparkSession.builder.getOrCreate(), data, a.work, settings)
     # Labels and shared targets are checked before anything is trained on them.
     if a.stage in ("benchmark", "fit", "baseline", "holdout", "infer", "loco"):
         audit.gate(audit.checks(run.records, run.truth, run.labelled), settings.country_block)

@@ -82,6 +82,16 @@ def test_other_engine_and_sizes(spark, data, tmp_path):
     spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_stage_from_an_archive(spark, data, tmp_path):
+    with zipfile.ZipFile(tmp_path / "set.zip", "w") as z:
+        for p in data.rglob("*.tsv"):
+            z.write(p, f"set/{p.relative_to(data)}")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    out = cli.main(["audit", "--data", str(tmp_path / "data"), "--work", str(tmp_path / "work"), "--archive", str(tmp_path / "set.zip")], spark)
+    assert set(out["checks"].values()) == {0}
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_archives(tmp_path):
     good, bad = tmp_path / "good.zip", tmp_path / "bad.zip"
     with zipfile.ZipFile(good, "w") as z:

@@ -63,10 +63,11 @@ def components(edges: DataFrame, local: int = LOCAL_EDGES, most: int | None = No
     row per task); the joins read two plain tables, which Spark can split where a
     key is hot. Vertices should be spread like hashes: then a constant share
     disappears in each round. Every round is cut into the checkpoint folder. most:
-    an upper bound of the edges where it is known, for the number of files.
+    an upper bound of the edges, for the number of files, where the edges come from
+    rows of about their size; else they are written by as many tasks as make them.
     """
     left = cut(edges.where("a != b").select("a", "b"), most)
-    found = None
+    found, vertices = None, 2 * left.count()
     while (n := left.count()) > local:
         both = left.select(F.col("a").alias("v"), F.col("b").alias("w")).unionByName(left.select(F.col("b").alias("v"), F.col("a").alias("w")))
         step = cut(both.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least("v", "w").alias("to")), 2 * n)
@@ -74,11 +75,11 @@ def components(edges: DataFrame, local: int = LOCAL_EDGES, most: int | None = No
             found = step.select("v", F.col("to").alias("root"))
         else:
             moved = found.join(step.withColumnsRenamed({"v": "root", "to": "on"}), "root", "left")
-            found = cut(moved.select("v", F.coalesce("on", "root").alias("root")), most)
+            found = cut(moved.select("v", F.coalesce("on", "root").alias("root")), vertices)
         sent = left.join(step.withColumnsRenamed({"v": "a", "to": "x"}), "a").join(step.withColumnsRenamed({"v": "b", "to": "y"}), "b")
         left = cut(sent.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), n)
     last = cut(_local(left), 2 * local)
     if found is None:
         return last
     moved = found.join(last.select(F.col("v").alias("root"), F.col("root").alias("on")), "root", "left")
-    return cut(moved.select("v", F.coalesce("on", "root").alias("root")), most)
+    return cut(moved.select("v", F.coalesce("on", "root").alias("root")), vertices)

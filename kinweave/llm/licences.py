@@ -198,4 +198,26 @@ def licences(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences of every document's whole text."""
-    return licences(tables.read(spark, sf_dir, "documents", "doc_id", "text"))
+    return licences(tables.read(spark, sf_dir, "documents", "doc_id", "text")).drop("permissive")
+
+
+def _sql() -> str:
+    """The same in SQL, by comparing the words at every place; of a tagged expression the names, as it stands, without WITH."""
+    phrases = [(p, label, BASE_SURE, True) for p, label in BASE.items()] + [(p, label, sure, False) for p, (label, sure) in NOTICES.items()]
+    rows = ", ".join(f"('{p}', {len(p.split())}, '{label}', {1 - sure}::DOUBLE, {base})" for p, label, sure, base in phrases)
+    return f"""
+WITH phrases(phrase, size, label, miss, base) AS (VALUES {rows}),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+x AS (SELECT r, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM d),
+placed AS (SELECT r, i, label, miss, base FROM x JOIN phrases ON word = string_split(phrase, ' ')[1] JOIN d USING (r) WHERE array_to_string(w[i:i + size - 1], ' ') = phrase),
+tags AS (SELECT r, unnest(regexp_extract_all(text, '(?i)spdx-license-identifier\\s*:[ \\t]*([^\\r\\n]*)', 1)) AS x FROM d),
+named AS (SELECT r, 0 AS i, unnest(list_filter(regexp_extract_all(lower(x), '[a-z0-9.+:-]+'), lambda t: t NOT IN ('and', 'or'))) AS label, {1 - TAG_SURE}::DOUBLE AS miss, false AS base FROM tags),
+every AS (
+  SELECT r, count(*) FILTER (base) AS n_base, min(i - 1) FILTER (base) AS first_word, max(i - 1) FILTER (base) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, round(1 - product(miss), 6) AS score
+  FROM (SELECT * FROM placed UNION ALL SELECT * FROM named) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM d LEFT JOIN every USING (r)
+"""
+
+
+SQL = _sql()

@@ -16,7 +16,7 @@ QUERIES = {
     "op9_secrets": secrets.op9_secrets,
     "op10_substring_dedup": substrings.op10_substring_dedup,
 }
-SQL: dict[str, str] = {"op4_chat_format": chat.SQL, "op10_substring_dedup": substrings.SQL}
+SQL: dict[str, str] = {"op4_chat_format": chat.SQL, "op5_licences": licences.SQL, "op10_substring_dedup": substrings.SQL}
 
 
 def _modest(f):

@@ -462,7 +462,7 @@ def _text_classes(df: DataFrame, key: str, text: str, k: int, similarity: float,
     many = candidates.count()
     texts = _known(rows.select("t", "text"), candidates.select("t").distinct(), many, "left_semi").groupBy("t").agg(F.first("text").alias("text"))
     full = candidates.join(texts, "t").select("k", "v", "p", "text").mapInArrow(with_sets, "k long, v long, p binary, s binary")
-    sure = components(link_edges(tables.cut(full), radius, many, TEXTS, similarity), most=many)
+    sure = components(link_edges(tables.cut(full), radius, many, TEXTS, similarity))
     told = once.select("v", "first", "rows").join(sure, "v", "left").select("v", F.coalesce("root", "v").alias("class"), "first", "rows")
     return prints.select("_key", "t", "v"), tables.cut(told, n), n
 

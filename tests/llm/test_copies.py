@@ -275,3 +275,28 @@ def test_shared_and_null_ids_merge_no_texts(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted(((x["doc_id"], x["text"]) for x in corpus_pipeline.near_duplicates(spark, df, "").collect()), key=str)
     assert got == sorted([(None, text(1)), (None, text(2)), (7, text(3)), (7, text(4))], key=str)
+
+
+def test_one_document_of_each_class_by_brute_force(spark, docs, odd):
+    low = lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    sets = {}
+    for d, t in rows:
+        w = WORDS.findall(low(t))
+        sets[d] = frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+    ids = sorted(sets)
+    links = [(a, b) for i, a in enumerate(ids) for b in ids[i + 1 :] if sets[a] == sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    out = simhash.one_of_each_class(docs)
+    got = out.collect()
+    assert out.columns == docs.columns and sorted(r["doc_id"] for r in got) == sorted(set(joined(ids, links).values()))
+    source = {tuple(r) for r in docs.collect()}
+    assert {tuple(r) for r in got} <= source
+    # All columns stay, and a text that is broadcast is one that is joined.
+    want = sorted(map(str, simhash.one_of_each_class(odd).collect()))
+    assert len(want) == 6 and simhash.one_of_each_class(odd).columns == odd.columns
+    limit, simhash.BROADCAST_ROWS = simhash.BROADCAST_ROWS, -1
+    try:
+        assert sorted(map(str, simhash.one_of_each_class(odd).collect())) == want
+    finally:
+        simhash.BROADCAST_ROWS = limit
+    assert simhash.one_of_each_class(odd.limit(0)).count() == 0

@@ -1,5 +1,6 @@
 """Retrieval, features, decisions, evaluation and exports on the generated set and on literals."""
 
+import collections
 import itertools
 
 import numpy as np
@@ -143,3 +144,67 @@ def test_models(spark, train, cands, truth):
 
 def test_flagship(spark, sf):
     assert registry.flagship(spark, sf).count() > 0
+
+
+def test_block_products_by_definition(spark, train, monkeypatch):
+    """Cosines of all pairs from plain counts; the same with one block and with many, and from stored vectors."""
+    rows = train.where("cast(substring(id, -3) as int) < 25").cache()
+
+    def grams(r, view):
+        if view == 2:
+            w = [x for x in f"{r['latin_name']} {r['latin_address']}".split() if len(x) > 1]
+            return w + [f"{a} {b}" for a, b in itertools.pairwise(w)]
+        c = ("name", "address")[view]
+        text = f"{r[c]} {r['latin_' + c]}"
+        return [text[i : i + n] for n in (3, 4) for i in range(len(text) - n + 1)]
+
+    records = rows.collect()
+    for view in range(3):
+        counts = {r["id"]: collections.Counter(grams(r, view)) for r in records}
+        targets = [r["id"] for r in records if r["source"] != 1]
+        total, df = collections.Counter(), collections.Counter()
+        for t in targets:
+            total.update(counts[t])
+            df.update(set(counts[t]))
+        vocab = {w: np.log((1 + len(targets)) / (1 + df[w])) + 1 for w in sorted(total, key=lambda w: (-total[w], w))[:300]}
+        weight = {i: {w: (1 + np.log(n)) * vocab[w] for w, n in c.items() if w in vocab} for i, c in counts.items()}
+        unit = {i: {w: x / np.sqrt(sum(y * y for y in v.values())) for w, x in v.items()} for i, v in weight.items()}
+        country = {r["id"]: r["country"] for r in records}
+        want = {}
+        for q in (r["id"] for r in records if r["source"] == 1):
+            scores = [(-round(sum(x * unit[t].get(w, 0) for w, x in unit[q].items()), 6), t) for t in targets if country[t] == country[q]]
+            want |= {(q, t): (-s, k + 1) for k, (s, t) in enumerate(sorted(x for x in scores if x[0] < 0)[:5])}
+        for sizes in ((1 << 15, 1 << 15, 64, 1 << 17), (4, 7, 3, 50)):
+            for name, size in zip(("QUERY_BLOCK", "TARGET_BLOCK", "QUERIES_AT_ONCE", "ENTRIES_AT_ONCE"), sizes, strict=True):
+                monkeypatch.setattr(tfidf, name, size)
+            got = {(r["q"], r["t"]): (r["s"], r["rank"]) for r in tfidf.top_of_view(rows, view, 5, 300).collect()}
+            assert set(got) == set(want) and all(got[k][1] == want[k][1] and got[k][0] == pytest.approx(want[k][0], abs=2e-6) for k in got)
+
+
+def test_evaluation_refuses_faulty_universes(spark):
+    frame = lambda *xs: spark.createDataFrame([(x,) for x in xs], "q string")
+    assert metrics.evaluated(frame("a", "b"), frame("a", "b", "c", "c")).count() == 2
+    for bad in (frame("a", "a"), frame("a", ""), frame("a", None), frame("a", "z")):
+        with pytest.raises(Exception, match="query"):
+            metrics.evaluated(bad, frame("a", "b")).collect()
+    pairs_ = spark.createDataFrame([("a", "1"), ("a", "1")], "q string, t string")
+    row = metrics.per_entity(frame("a"), pairs_, pairs_).head()
+    assert (row["n_truth"], row["n_pred"], row["n_hit"], row["f05"]) == (1, 1, 1, 1)
+
+
+def test_sizes_of_cuts(spark, train, cands):
+    uni = train.where("source = 1").select(F.col("id").alias("q"))
+    got = {r["k"]: r for r in metrics.sizes_at(uni, cands, [1, 3, 10]).collect()}
+    assert got[10]["max"] == metrics.size_stats(uni, cands).head()["max"] and got[1]["mean"] <= got[3]["mean"] <= got[10]["mean"]
+    assert got[10]["feature_gb"] == pytest.approx(cands.count() * 108 / 1e9)
+
+
+def test_order_of_results(spark, tmp_path):
+    rows = spark.createDataFrame([(f"S1-{i:06d}", "x") for i in range(50)], "source1_entity_id string, matched_entity_ids string").repartition(5)
+    export.write_tsv(rows, str(tmp_path / "good"))
+    assert export.out_of_order(spark, str(tmp_path / "good")) == 0
+    rows.repartition(1, "matched_entity_ids").orderBy(F.desc("source1_entity_id")).write.option("sep", "\t").option("header", True).csv(str(tmp_path / "bad"))
+    assert export.out_of_order(spark, str(tmp_path / "bad")) > 0
+    export.joined_file(spark, str(tmp_path / "good"), str(tmp_path / "one.tsv"), ("source1_entity_id", "matched_entity_ids"))
+    lines = (tmp_path / "one.tsv").read_text().splitlines()
+    assert lines[1:] == [f"S1-{i:06d}\tx" for i in range(50)]

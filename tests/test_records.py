@@ -114,3 +114,38 @@ def test_long_ids_stay_whole(spark, tmp_path):
     spark.createDataFrame([(i, f"text {i}", "en") for i in ids], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r["id"] for r in R.from_documents(spark, str(tmp_path)).collect()}
     assert got == {f"S{i % 3 + 1}-{i:06d}" for i in ids}
+
+
+def test_compact_views_come_back(spark, train):
+    mixed = train.withColumn("latin_name", F.when(F.col("source") == 1, F.lit("other")).otherwise(F.col("latin_name")))
+    small = R.compact(mixed)
+    assert small.where("source = 1 and latin_name is null").count() == 0 and small.where("source != 1 and latin_name is not null").count() == 0
+    assert sorted(map(tuple, R.restored(small).collect())) == sorted(map(tuple, mixed.collect()))
+
+
+def test_positions_in_files(spark, tmp_path):
+    path = tmp_path / "rows.tsv"
+    path.write_text("\t".join(R.RECORD_COLUMNS) + "\n" + "".join(f"S1-{i}\tn\ta\tc\n" for i in range(200)))
+    schema = ", ".join(f"{c} string" for c in R.RECORD_COLUMNS)
+    rows = R.with_positions(spark.read.schema(schema).option("sep", "\t").option("header", True).csv(str(path))).orderBy("file", "position").collect()
+    assert [r["entity_id"] for r in rows] == [f"S1-{i}" for i in range(200)]
+
+
+def test_latin_spelling_loses_no_letter():
+    assert X.latin_text(X.normalize_text("Ελλάδα")) != "" and X.latin_text("ಕನ್ನಡ").startswith("ka")
+    one, other = X.latin_text("日本"), X.latin_text("中国")
+    assert one and other and one != other
+    assert X.latin_text("١٢٣") == "123"
+
+
+def test_similarities_in_one_crossing(spark):
+    rows = [("lotus systems", "systems lotus"), ("", "a"), (None, "a"), ("x", "x"), ("ab cd", "ab ce"), ("ab cd", "ab ce")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    a, b = F.col("a"), F.col("b")
+    got = df.select(S.similarity_columns({"r": ("ratio", a, b), "s": ("token_sort", a, b), "t": ("token_set", b, a)}).alias("x")).select("x.*").collect()
+    want = [(S.ratio(x, y), S.token_sort_ratio(x, y), S.token_set_ratio(y, x)) if x and y else (0, 0, 0) for x, y in rows]
+    assert [tuple(r) for r in got] == want
+    r = random.Random(2)
+    for _ in range(300):
+        x, y = ("".join(r.choice("ab ") for _ in range(r.randrange(1, 14))) for _ in range(2))
+        assert S.ratio(x, y) == pytest.approx(2 * S.lcs(x, y) / (len(x) + len(y)))

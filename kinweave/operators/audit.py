@@ -48,6 +48,7 @@ def checks(records: DataFrame, truth: DataFrame, labelled: DataFrame) -> DataFra
         "invalid_truth_targets": truth.join(targets, truth["t"] == targets["id"], "left_anti"),
         "cross_country_pairs": pairs.where("qc != tc or qc = '' or tc = ''"),
         "shared_targets": truth.groupBy("t").count().where("count > 1"),
+        "repeated_ids": records.groupBy("split", "id").count().where("count > 1"),
     }
     out = None
     for name, rows in found.items():

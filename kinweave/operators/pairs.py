@@ -17,10 +17,12 @@ FEATURES = SIMILARITIES + PLAIN + MIXED + RETRIEVAL
 
 
 def joined(cands: DataFrame, records: DataFrame) -> DataFrame:
-    """Candidates with the fields of both sides, as q_* and t_*."""
+    """Candidates with the fields of both sides, as q_* and t_*. A candidate whose query or target is no record fails."""
     cols = ("source", "country", "name", "address", "latin_name", "latin_address")
     side = lambda p, on: records.select(F.col("id").alias(on), *(F.col(c).alias(f"{p}_{c}") for c in cols))
-    return cands.join(side("q", "q"), "q").join(side("t", "t"), "t")
+    rows = cands.join(side("q", "q"), "q", "left").join(side("t", "t"), "t", "left")
+    unknown = F.raise_error(F.concat(F.lit("no record of a candidate: "), F.col("q"), F.lit(", "), F.col("t")))
+    return rows.withColumn("q", F.when(F.col("q_source").isNull() | F.col("t_source").isNull(), unknown).otherwise(F.col("q")))
 
 
 def _length_ratio(a: Column, b: Column) -> Column:

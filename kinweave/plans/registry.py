@@ -195,7 +195,8 @@ _SIMILARITY = "SELECT *, least(name_ratio, addr_ratio) AS name_addr_min, name_ra
 _CHECKS = """SELECT (SELECT count(*) FROM uni WHERE q NOT IN (SELECT q FROM lab)) AS missing_truth_rows, (SELECT count(*) FROM lab WHERE q NOT IN (SELECT q FROM uni)) AS invalid_truth_queries,
   (SELECT count(*) FROM {truth} WHERE t NOT IN (SELECT id FROM rec WHERE source IN (2, 3))) AS invalid_truth_targets,
   (SELECT count(*) FROM {truth} JOIN rec a ON a.id = q JOIN rec b ON b.id = t WHERE a.country != b.country OR a.country = '' OR b.country = '') AS cross_country_pairs,
-  (SELECT count(*) FROM (SELECT t FROM {truth} GROUP BY t HAVING count(*) > 1)) AS shared_targets"""
+  (SELECT count(*) FROM (SELECT t FROM {truth} GROUP BY t HAVING count(*) > 1)) AS shared_targets,
+  (SELECT count(*) FROM (SELECT split, id FROM rec GROUP BY ALL HAVING count(*) > 1)) AS repeated_ids"""
 _NUM = "substr({x}, 4)::BIGINT"
 _FAULTY_LABELS = f"""lab AS (SELECT q FROM uni WHERE {_NUM.format(x="q")} % 50 != 0 UNION ALL SELECT 'S1-none'),
 bad AS (SELECT q, t FROM truth UNION SELECT q, 'S2-x' || q FROM uni WHERE {_NUM.format(x="q")} % 7 = 0 UNION SELECT q, (SELECT min(id) FROM rec WHERE source IN (2, 3)) FROM uni WHERE {_NUM.format(x="q")} % 11 = 0)"""

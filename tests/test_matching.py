@@ -208,3 +208,9 @@ def test_order_of_results(spark, tmp_path):
     export.joined_file(spark, str(tmp_path / "good"), str(tmp_path / "one.tsv"), ("source1_entity_id", "matched_entity_ids"))
     lines = (tmp_path / "one.tsv").read_text().splitlines()
     assert lines[1:] == [f"S1-{i:06d}\tx" for i in range(50)]
+
+
+def test_candidates_without_records_fail(spark, train):
+    bad = spark.createDataFrame([("S1-000001", "S2-nobody")], "q string, t string")
+    with pytest.raises(Exception, match="no record"):
+        pairs.joined(bad, train).collect()

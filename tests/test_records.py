@@ -82,9 +82,10 @@ def test_audit_finds_faults(spark, train):
     truth = spark.createDataFrame([("S1-000001", "S2-000001"), ("S1-000002", "S2-000001"), ("S1-000003", "S2-999999")], "q string, t string")
     labelled = spark.createDataFrame([("S1-000001",), ("S1-nobody",)], "q string")
     row = audit.checks(train, truth, labelled).head().asDict()
-    assert row == {"missing_truth_rows": 239, "invalid_truth_queries": 1, "invalid_truth_targets": 1, "cross_country_pairs": 1, "shared_targets": 1}
+    assert row == {"missing_truth_rows": 239, "invalid_truth_queries": 1, "invalid_truth_targets": 1, "cross_country_pairs": 1, "shared_targets": 1, "repeated_ids": 0}
     with pytest.raises(ValueError):
         audit.gate(audit.checks(train, truth, labelled), False)
+    assert audit.checks(train.unionByName(train.limit(3)), truth, labelled).head()["repeated_ids"] == 3
 
 
 def test_files(spark, tmp_path):

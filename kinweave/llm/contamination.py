@@ -309,8 +309,9 @@ def find_items(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
     An item stands in a text if some stretch of it is at most (1 - similarity)
     times the item's words away, counted in edits of lower-cased words of letters
     and digits; the best place is given, the first of equals. Null or wordless
-    texts and items find nothing; of equal items each gives its rows; repeated rows
-    give their rows again; null keys pass through; other columns are left out. Items come to the driver in blocks
+    texts and items find nothing; items with equal texts and different keys each
+    give their rows, and repeated items count once; repeated texts give their rows
+    again; null keys pass through; other columns are left out. Items come to the driver in blocks
     of a measured size and each block is one pass over the texts, without a shuffle.
     """
     kind, item_kind = df.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
@@ -337,11 +338,12 @@ def find_items(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
 
 
 def indexes(items: DataFrame, item_key: str, item_text: str, similarity: float, recall: float) -> list:
-    """One broadcast index for each block of items; a block's size is measured before it comes to the driver."""
-    size = items.agg(F.sum(F.coalesce(F.octet_length(item_text), F.lit(0)) + 64)).head()[0] or 0
+    """One broadcast index for each block of items; a block's size is measured before it comes to the driver. Repeated rows count once."""
+    items = items.select(F.col(item_key).alias("key"), F.col(item_text).alias("text")).distinct()
+    size = items.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).head()[0] or 0
     blocks, out = max(1, -(-int(size) // BLOCK_BYTES)), []
     for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64(item_text), F.lit(blocks)) == b).select(item_key, item_text).collect()
+        rows = items.where(F.pmod(F.xxhash64("key", "text"), F.lit(blocks)) == b).collect()
         out.append(items.sparkSession.sparkContext.broadcast(build(sorted(map(tuple, rows), key=str), similarity, recall)))
     return out
 

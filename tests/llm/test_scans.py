@@ -218,8 +218,14 @@ def _next(row, i, a, text):
 
 def test_items_in_odd_rows(spark, odd):
     items = spark.createDataFrame([(1, "quick brown fox"), (2, None), (3, ""), (4, "日本語のテキスト")], "item_id long, text string")
-    rows = contamination.find_items(odd, items).collect()
-    assert sorted((r["doc_id"], r["item_id"]) for r in rows) == [(1, 1), (1, 1), (6, 4), (8, 1)]
+    want = [(1, 1), (1, 1), (6, 4), (8, 1)]
+    assert sorted((r["doc_id"], r["item_id"]) for r in contamination.find_items(odd, items).collect()) == want
+    assert sorted((r["doc_id"], r["item_id"]) for r in contamination.find_items(odd, items.unionByName(items)).collect()) == want
+    block, contamination.BLOCK_BYTES = contamination.BLOCK_BYTES, 100
+    try:
+        assert sorted((r["doc_id"], r["item_id"]) for r in contamination.find_items(odd, items).collect()) == want
+    finally:
+        contamination.BLOCK_BYTES = block
     assert contamination.drop_contaminated(odd, items).count() == 6
     assert contamination.find_items(odd.limit(0), items).count() == 0
     assert contamination.find_items(odd, items.limit(0)).count() == 0

@@ -248,3 +248,25 @@ def test_long_texts_with_many_secrets_take_linear_time():
     assert time.process_time() - began < 20 and len(spans) >= 20_001
     assert [sum(k == j for _, _, k in spans) for j in range(3)] == plain_secrets(text)[0]
     assert all(e <= s2 or 2 in (k, k2) for (_, e, k), (s2, _, k2) in itertools.pairwise(spans))
+
+
+def test_added_spans_by_brute_force(docs):
+    """Every run of key characters is judged by itself; one that no base span touches and that reaches the threshold is a span."""
+    net = secrets.train()
+    texts = [r["text"] or "" for r in docs.select("text").collect()]
+    texts += [f[0].decode() + " é" for f in secrets.labelled_findings(60, 5)] + [f[0].decode() for f in secrets.long_findings(40, 6)] + ["é " * 30 + "password=" + "aZ3kQ9" * 4 + "x" * 60]
+    want = []
+    for text in texts:
+        data, own = text.encode(), []
+        base = [(m.start(), m.end(), 0) for m in secrets.ASSIGN.finditer(text) if len(m[2]) >= 6]
+        base += [(m.start(), m.end(), 1) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+        base += [(m.start(), m.end(), 2) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+        for m in re.finditer(r"[A-Za-z0-9+/_.=-]{16,}", text):
+            s = len(text[: m.start()].encode())
+            e = s + len(m[0])
+            seen = [(s, e)] if e - s <= 48 else [(x, x + 48) for x in [*range(s, e - 48, 24), e - 48]]
+            if max(net.score(np.stack([secrets.view(data, *w)]))[0] for w in seen) >= net.threshold and not any(m.start() < y and x < m.end() for x, y, _ in base):
+                own.append((m.start(), m.end(), 3))
+        want.append(sorted(base + own, key=lambda x: (x[0], x[2])))
+    assert secrets.scan_batch(pa.array(texts), net) == want
+    assert sum(k == 3 for spans in want for _, _, k in spans) > 30

@@ -35,7 +35,7 @@ LEAST_HASHES, FINGERPRINT_WORDS = 5, 2
 #: Texts of so few shingles meet by their least shingles, of which similar sets always share one.
 SHORT = 32
 #: Texts of a candidate class, and bytes of their sets, that a block of the exact comparison holds at most (a larger set makes a block of its own).
-TEXTS, SET_BYTES = 16_384, 32 << 20
+TEXTS, SET_BYTES = 2_048, 32 << 20
 #: A table of texts (a few longs each, 40 bytes or so) is broadcast up to this many rows, which are counted; beyond it is joined by a shuffle.
 BROADCAST_ROWS = 1 << 19
 #: Groups up to this size are compared pair by pair in one go, larger ones block by block.

@@ -78,18 +78,18 @@ def view_scores(queries: DataFrame, index: DataFrame, country_block: bool) -> Da
 
     A query has up to 24 keys, each with at most the index's cap of targets, so the
     rows of the join grow with the queries alone. Where many queries share a key,
-    the join is on plain tables, which Spark splits at a hot key. A query's own sum
-    of weights comes from its keys and the sizes of the index, before targets join.
+    the join is on plain tables, which Spark splits at a hot key. What the join
+    gives is dealt out by query once; all that follows, top_k too, stays there. A
+    key of n targets brings its weight n times, so the sum of a query's weights is
+    that of all its rows, each divided by n.
     """
     asked = record_keys(queries, country_block).withColumnRenamed("id", "q")
-    sizes = index.groupBy("key").agg(F.first("n").alias("n"), F.first("total").alias("total"))
-    weighed = asked.join(sizes, "key").withColumn("w", F.log(1 + F.col("total") / F.col("n"))).select("q", "view", "key", "w")
-    own = weighed.groupBy("q", "view").agg(F.sum("w").alias("all_w"), F.collect_list(F.struct("key", "w")).alias("keys"))
-    told = own.select("q", "view", F.greatest("all_w", F.lit(1e-9)).alias("all_w"), F.explode("keys").alias("k")).select("q", "view", "all_w", "k.key", "k.w")
-    got = told.join(index.select("key", "t"), "key").groupBy("q", "t", "view").agg(F.sum("w").alias("w"), F.first("all_w").alias("all_w"))
-    # Pairs stay where they are: the next aggregate is by query and target, too.
-    part = got.select("q", "t", "view", F.round(F.col("w") / F.col("all_w"), 6).alias("s"))
-    wide = part.groupBy("q", "t").agg(*(F.coalesce(F.max(F.when(F.col("view") == v, F.col("s"))), F.lit(0.0)).alias(f"e{v}") for v in range(3)))
+    w = F.log(1 + F.col("total") / F.col("n"))
+    found = asked.join(index, "key").select("q", "t", "view", w.alias("w"), (w / F.col("n")).alias("part")).repartition("q")
+    of_view = lambda c, v: F.sum(F.when(F.col("view") == v, F.col(c)))
+    own = found.groupBy("q").agg(*(F.greatest(of_view("part", v), F.lit(1e-9)).alias(f"all{v}") for v in range(3)))
+    got = found.groupBy("q", "t").agg(*(of_view("w", v).alias(f"w{v}") for v in range(3))).join(own, "q")
+    wide = got.select("q", "t", *(F.coalesce(F.round(F.col(f"w{v}") / F.col(f"all{v}"), 6), F.lit(0.0)).alias(f"e{v}") for v in range(3)))
     mixed = F.round(sum((F.col(f"e{v}") * SHARES[v] for v in range(1, 3)), F.col("e0") * SHARES[0]), 6)
     return wide.select("q", "t", F.col("e0").alias("s0"), F.col("e1").alias("s1"), mixed.alias("s2"))
 

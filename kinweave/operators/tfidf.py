@@ -125,6 +125,8 @@ def block_hits(records: DataFrame, view: int, k: int, max_features: int, country
     vocab, stored = index or target_vectors(targets, view, max_features, sample)
     asked = vectors(term_counts(queries, view), vocab)
     n_q, n_t = (max(1, -(-df.count() // size)) for df, size in ((queries, QUERY_BLOCK), (stored if index else targets, TARGET_BLOCK)))
+    # Small tables are cut finer, to give every core something.
+    n_q = max(n_q, -(-records.sparkSession.sparkContext.defaultParallelism // n_t))
     country = F.col("country") if country_block else F.lit("")
     block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))

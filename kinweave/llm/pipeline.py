@@ -16,9 +16,15 @@ from kinweave.llm import bpe, contamination, langid, secrets, simhash, tables
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _begin(spark: SparkSession) -> None:
+    """Before each stage: modest batches to Python, and heaps without the garbage of the stage before."""
+    tables.modest_batches(spark)
+    tables.settle(spark)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in no language (null texts, texts without a letter); lang becomes the predicted language."""
-    tables.modest_batches(spark)
+    _begin(spark)
     model = langid.train(docs.where(langid.fold() != 1))
     told = docs.select(*COLUMNS, langid.prediction(model, spark)("text").alias("_p"))
     kept = told.where("_p.lang_pred != 'und'")
@@ -31,26 +37,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Classes are of texts, so a shared or null id merges nothing; of rows with the
     same id and text the least by source, language and length stays, nulls first.
     """
-    tables.modest_batches(spark)
+    _begin(spark)
     rows = docs.select("doc_id", "source", "lang", "n_chars", "text")
     return simhash.one_of_each_class(rows).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents in which a benchmark item stands; rows with null texts or ids and repeated rows as in drop_contaminated."""
-    tables.modest_batches(spark)
+    _begin(spark)
     return contamination.drop_contaminated(docs.select(*COLUMNS), tables.read(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks secrets in the texts; keeps every document, null and empty texts as they are."""
-    tables.modest_batches(spark)
+    _begin(spark)
     return secrets.redact(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with digests of the ids and of what they decode to; a null text has no ids, every row stays."""
-    tables.modest_batches(spark)
+    _begin(spark)
     return bpe.digests(docs, *bpe.public_vocabulary(), ids=True)
 
 

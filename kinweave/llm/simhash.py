@@ -353,7 +353,9 @@ def _named(prints: DataFrame, least: DataFrame, edges: DataFrame, key: str, n: i
     ids = linked.groupBy("root").agg(F.min("least").alias("id"))
     named = linked.join(ids, "root").select("v", F.col("id").alias("component_id"), F.lit(True).alias("linked"))
     told = least.join(named, "v", "left").select("v", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("least")).alias("component_id"))
-    return prints.join(tables.cut(told, n), "v").select(F.col("_key").alias(key), "v", "component_id")
+    told = tables.cut(told, n)
+    tables.settle(prints.sparkSession)
+    return prints.join(told, "v").select(F.col("_key").alias(key), "v", "component_id")
 
 
 def classes(prints: DataFrame, key: str = "doc_id", radius: int = RADIUS, bands: int = BANDS) -> DataFrame:
@@ -450,6 +452,7 @@ def _text_classes(df: DataFrame, key: str, text: str, k: int, similarity: float,
     n = once.count()
     keyed = once.select(F.explode("ks").alias("k"), "v", "p")
     near_by = components(link_edges(keyed, radius, n), most=n * bands)
+    tables.settle(df.sparkSession)
     candidates = tables.cut(near_by.join(once, "v").select(F.col("root").alias("k"), "v", "p", F.col("first.t").alias("t")), n)
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -497,6 +500,7 @@ def one_of_each_class(df: DataFrame, key: str = "doc_id", text: str = "text", k:
     texts = tables.cut(prints.join(several, "v").select("t", "_first", "_first_t", F.lit(True).alias("_several")).distinct(), n)
     rows = df.select(F.struct(*df.columns).alias("_row"), F.col(key).alias("_key"), text_digest(F.col(text)).alias("t"))
     found = _known(rows, texts, texts.count(), "left")
+    tables.settle(df.sparkSession)
     alone = found.where("_several is null").select("_row.*")
     chosen = found.where("_several and t = _first_t and _key <=> _first")
     rest = F.min(F.struct(*(F.col("_row").getField(c).alias(c) for c in df.columns))).alias("_row")

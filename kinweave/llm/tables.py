@@ -7,6 +7,7 @@ import tempfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 #: Rows of a few longs in a file of a cut table whose size is known.
@@ -59,3 +60,17 @@ def release() -> None:
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:
         trim(0)
+
+
+def settle(spark: SparkSession) -> None:
+    """Has the executors collect garbage, after which their JVMs give heap that isn't used back to the system.
+
+    Between the jobs of a long run, whose shuffles leave heaps at their largest; takes
+    about half a second. On one machine there is one JVM, which is asked directly.
+    """
+    sc = spark.sparkContext
+    if sc.master.startswith("local[") or sc.master == "local":
+        spark._jvm.java.lang.System.gc()
+        return
+    n = 2 * sc._jsc.sc().getExecutorMemoryStatus().size()
+    spark.range(0, n, 1, n).select(F.expr("reflect('java.lang.System', 'gc')")).collect()

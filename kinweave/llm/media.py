@@ -293,6 +293,7 @@ def find_copies(queries: DataFrame, images: DataFrame, key: str, image: str = "i
     # Of equal images the features are equal: the aggregate keeps one of them.
     indexed = features(told, "k", "image").groupBy("k.h", "k.sha").agg(F.min("k.id").alias("match_id"), F.count("*").alias("copies"), F.first("features").alias("features"))
     indexed = tables.cut(indexed.select(F.xxhash64("h", "sha").alias("image"), "match_id", "copies", "features"))
+    tables.settle(images.sparkSession)
     asked = features(queries.where(queries[key].isNotNull()).select(F.col(key).alias("query_id"), image), "query_id", image, True)
 
     def by_key(df: DataFrame, keys: Column, *names: str) -> DataFrame:

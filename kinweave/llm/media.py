@@ -45,7 +45,7 @@ RADIUS, INLIERS = 15, 4
 OFF, TRIED = 3.0, 600
 #: Points are compared by the mean of a square of this many pixels around them, and as many more on each side.
 SOFT = 1
-IMAGES_AT_ONCE, PIXELS_AT_ONCE, CORNERS_AT_ONCE = 64, 1 << 21, 4096
+IMAGES_AT_ONCE, PIXELS_AT_ONCE, CORNERS_AT_ONCE = 32, 1 << 21, 1024
 _HEADER = re.compile(rb"^(P[56])(?:\s+|#[^\n]*\n)+(\d+)(?:\s+|#[^\n]*\n)+(\d+)(?:\s+|#[^\n]*\n)+(\d+)\s")
 
 _GRID = np.mgrid[-PATCH : PATCH + 1, -PATCH : PATCH + 1]

@@ -311,7 +311,10 @@ def remove_duplicate_passages(df: DataFrame, key: str = "doc_id", text: str = "t
     docs = df.select(df[key].alias("key"), F.coalesce(df[text], F.lit("")).alias("text"))
     told = F.coalesce(F.col("key").cast("string"), F.lit("\0"))
     docs = docs.withColumn("k", F.xxhash64("text", told)).withColumn("d", F.hash("text", told).bitwiseAND(F.lit(0x7FFFFFFF)).cast("long"))
-    marks = stretch_index(docs, window, gram).repartition("k", "d").groupBy("k", "d").agg(F.collect_list(F.struct("s", "n", "check")).alias("marks"))
+    # Cut here, the long second half needn't be done again if an executor is lost, and begins with small heaps.
+    index = tables.cut(stretch_index(docs, window, gram))
+    tables.settle(df.sparkSession)
+    marks = index.repartition("k", "d").groupBy("k", "d").agg(F.collect_list(F.struct("s", "n", "check")).alias("marks"))
     found = docs.repartition("k", "d").join(marks.hint("shuffle_hash"), ["k", "d"], "left")
     done = found.join(single_windows(found, window, gram), ["k", "d"], "left")
 

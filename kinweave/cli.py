@@ -121,16 +121,14 @@ class Run:
         return self.truth.join(self.universe(part).select("q"), "q", "left_semi")
 
     def index(self, split: str = "train"):
-        """The stored index of a split's targets: postings by key, or of each view vocabulary and vectors."""
+        """The stored index of a split's targets: postings by key, or of each view vocabulary and texts."""
         if self.s.engine == "lexical":
             return self.stored("index", f"postings_{split}", lambda: lexical.postings(self.targets(split), self.s.country_block, self.s.cap).sortWithinPartitions("key"))
         if self.s.engine == "tfidf":
             out = []
             for view in range(len(lexical.VIEWS)):
-                # The vocabulary first, so the vectors are made from the stored one.
-                counts = tfidf.term_counts(self.targets(split), view)
-                vocab = self.stored("index", f"vocabulary_{view}_{split}", lambda c=counts: tfidf.vocabulary(c, self.targets(split), self.s.max_features, self.s.vocabulary_sample))
-                out.append((vocab, self.stored("index", f"vectors_{view}_{split}", lambda c=counts, v=vocab: tfidf.vectors(c, v))))
+                vocab = self.stored("index", f"vocabulary_{view}_{split}", lambda v=view: tfidf.vocabulary(self.targets(split), v, self.s.max_features, self.s.vocabulary_sample))
+                out.append((vocab, self.stored("index", f"texts_{view}_{split}", lambda v=view: tfidf.texts(self.targets(split), v))))
             return out
         raise ValueError(f"no engine named {self.s.engine}")
 

@@ -5,10 +5,13 @@ Latin spelling, and word grams of one and two of both together. The vocabulary i
 the most frequent terms of the targets, weights are (1 + ln tf) idf with
 idf = ln((1 + n) / (1 + df)) + 1, and vectors have length one.
 
-Queries and targets are cut into blocks of a bounded size. Every pair of blocks of a
-country is a task of its own that gives each query's best targets in the block, by a
-sparse product; the best of the blocks are the best of all. A frequent term is a
-column of a block like any other, so no join is on terms and none of them is hot.
+Equal texts of a country are one row. Queries and targets are cut into blocks of a
+bounded size, and every pair of blocks of a country is a task of its own that gets
+the texts, which are a tenth of the vectors, and makes the vectors slice by slice.
+Terms that most pairs share are columns of a dense product in single precision, the
+others lists of postings; what comes near a query's best k so far is worked out again
+in double precision, so the result is that of all pairs. The best of the blocks are
+the best of all. No join is on terms and none of them is hot.
 """
 
 from __future__ import annotations
@@ -20,8 +23,16 @@ from pyspark.sql import functions as F
 
 from kinweave.operators.lexical import VIEWS, merge_views
 
-#: Queries and targets in a block (some 50 MB of vectors each at most), and how much of a pair of blocks is multiplied at once.
-QUERY_BLOCK, TARGET_BLOCK, QUERIES_AT_ONCE, ENTRIES_AT_ONCE = 1 << 15, 1 << 15, 64, 1 << 17
+#: Different texts of queries and of targets in a block, how many queries are multiplied at once, and how many entries of vectors are compared exactly at once.
+QUERY_BLOCK, TARGET_BLOCK, QUERIES_AT_ONCE, ENTRIES_AT_ONCE = 1 << 13, 1 << 18, 64, 1 << 20
+#: Targets of a block that are vectors at the same time (some 100 MB with all that is made of them), and texts that are cut into grams at once.
+TARGETS_AT_ONCE, TEXTS_AT_ONCE = 1 << 14, 1 << 12
+#: How many terms may be dense, and what a dense term costs a pair against one that both share in a list.
+HEADS, DENSE_COST = (0, 32, 64, 128, 256, 384, 512, 768, 1024), 1 / 200
+#: Bound of the relative error of a score in single precision: all products are positive, and there are at most 1,024 dense ones.
+SINGLE = 1.5e-4
+#: Between the texts of records with the same id; no gram across it is in a vocabulary.
+BETWEEN = ("\n", "\n", " \n\n ")
 
 
 def _char_grams(x: Column) -> Column:
@@ -39,108 +50,227 @@ def _word_grams(x: Column) -> Column:
     return F.concat(words, two)
 
 
-def term_counts(records: DataFrame, view: int) -> DataFrame:
-    """(id, country, term, tf) of one view."""
+def texts(records: DataFrame, view: int) -> DataFrame:
+    """(id, country, text) of one view; what records of the same id and country say stands in one text, cut by BETWEEN."""
     both = F.concat_ws(" ", F.col("latin_name"), F.col("latin_address"))
     text = (F.concat_ws(" ", F.col("name"), F.col("latin_name")), F.concat_ws(" ", F.col("address"), F.col("latin_address")), both)[view]
-    terms = _word_grams(text) if view == 2 else _char_grams(text)
-    return records.select("id", "country", F.explode(terms).alias("term")).groupBy("id", "country", "term").agg(F.count("*").alias("tf"))
+    return records.select("id", "country", text.alias("text")).groupBy("id", "country").agg(F.array_join(F.array_sort(F.collect_list("text")), BETWEEN[view]).alias("text"))
 
 
-def vocabulary(counts: DataFrame, targets: DataFrame, max_features: int, sample: int | None = None) -> DataFrame:
+def vocabulary(targets: DataFrame, view: int, max_features: int, sample: int | None = None) -> DataFrame:
     """(term, df, idf) of the most frequent terms, ties by term; of the first ``sample`` targets by hash, or of all."""
     if sample:
         chosen = targets.orderBy("h", "id").limit(sample).select("id")
-        counts = counts.join(chosen, "id")
         n = chosen.agg(F.count("*").alias("n"))
+        targets = targets.join(chosen.distinct(), "id", "left_semi")
     else:
         n = targets.agg(F.count("*").alias("n"))
-    top = counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df")).orderBy(F.desc("total"), "term").limit(max_features)
+    # Equal texts are cut once. A term comes once for each place and once more for each text that has it.
+    rows = texts(targets, view).groupBy("text").agg(F.count("*").alias("m"))
+    grams = F.flatten(F.transform(F.split("text", BETWEEN[view]), _word_grams if view == 2 else _char_grams))
+    told = lambda found, first: F.transform(found, lambda g: F.struct(g.alias("term"), F.lit(first).alias("first")))
+    rows = rows.select("m", grams.alias("grams")).select("m", F.explode(F.concat(told(F.col("grams"), False), told(F.array_distinct("grams"), True))).alias("g"))
+    of = lambda first: F.sum(F.when(F.col("g.first") == F.lit(first), F.col("m")))
+    top = rows.groupBy("g.term").agg(of(False).alias("total"), of(True).alias("df")).orderBy(F.desc("total"), "term").limit(max_features)
     return top.crossJoin(F.broadcast(n)).select("term", "df", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
-def vectors(counts: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(id, country, v): vectors of length one over the vocabulary, as lists of (hash of the term, weight)."""
-    raw = counts.join(vocab, "term").select("id", "country", F.xxhash64("term").alias("term"), ((1 + F.log("tf")) * F.col("idf")).alias("w"))
-    rows = raw.groupBy("id", "country").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.collect_list(F.struct("term", "w")).alias("v"))
-    return rows.select("id", "country", F.transform("v", lambda x: F.struct(x["term"].alias("term"), (x["w"] / F.col("norm")).alias("w"))).alias("v"))
-
-
-def _flat(table: pa.Table) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, lengths, terms and weights of a block of vectors, by id."""
-    table = table.sort_by("key").combine_chunks()
-    v = table.column("vector").combine_chunks()
-    inner = v.flatten()
-    return table.column("key").to_pylist(), v.value_lengths().to_numpy(), inner.field("term").to_numpy(), inner.field("w").to_numpy()
-
-
-def _runs(entries: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
-    """Entries, sorted by owner, in runs of about ENTRIES_AT_ONCE; no owner is cut."""
-    cuts = np.unique(np.searchsorted(owner, owner[ENTRIES_AT_ONCE::ENTRIES_AT_ONCE], "left"))
-    return [r for r in np.split(entries, cuts) if len(r)]
-
-
-def _best_of_block(k: int):
-    """A function of a block of queries and one of targets: (q, t, s) of each query's k best, s rounded to six places, ties by t."""
+class _Terms:
+    """The terms of a vocabulary as a tree of their characters or words, and vectors of texts by it."""
+
+    def __init__(self, terms: list[str], idf: np.ndarray, words: bool):
+        self.idf, self.words = idf, words
+        cut = [t.split(" ") if words else t for t in terms]
+        self.names = {x: i for i, x in enumerate(sorted({x for t in cut for x in t}))}
+        self.width = max(1, len(self.names))
+        longest = max(map(len, cut), default=0)
+        grid = np.array([[*map(self.names.get, t), *[-1] * (longest - len(t))] for t in cut], np.int64).reshape(len(cut), longest)
+        size, at = (grid >= 0).sum(axis=1), grid[:, 0] if longest else np.zeros(0, np.int64)
+        at, nodes = at.copy(), self.width
+        #: For each length: the codes of nodes (above * width + the next one), a table of them if it is small, and the term that ends there.
+        self.levels: list[tuple[np.ndarray, np.ndarray | None, np.ndarray]] = []
+        for n in range(longest):
+            codes, table = np.zeros(0, np.int64), None
+            if n:
+                on = np.flatnonzero(size > n)
+                above, (codes, at[on]) = nodes, np.unique(at[on] * self.width + grid[on, n], return_inverse=True)
+                nodes = len(codes)
+                if above * self.width <= 1 << 24:
+                    table = np.full(above * self.width, -1, np.int32)
+                    table[codes] = np.arange(nodes)
+            ends = np.full(nodes, -1, np.int64)
+            own = np.flatnonzero(size == n + 1)
+            ends[at[own]] = own
+            self.levels.append((codes, table, ends))
+        if not words:
+            self.points = np.full(0x110000, -1, np.int64)
+            self.points[[ord(c) for c in self.names]] = list(self.names.values())
+
+    def _tokens(self, some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """What the texts are made of, by number (-1: in no term), and whose it is."""
+        if self.words:
+            lists = [[self.names.get(w, -1) for w in x.split(" ") if len(w) >= 2] for x in some]
+            return np.array([w for x in lists for w in x], np.int64), np.repeat(np.arange(len(some)), [len(x) for x in lists])
+        found = self.points[np.frombuffer("".join(some).encode("utf-32-le"), "<u4")]
+        return found, np.repeat(np.arange(len(some)), [len(x) for x in some])
+
+    def _some(self, some: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        token, owner = self._tokens(some)
+        node, keys = token, []
+        for n, (codes, table, ends) in enumerate(self.levels):
+            if n:
+                if len(token) <= n:
+                    break
+                code = np.where((node[:-1] >= 0) & (token[n:] >= 0) & (owner[n:] == owner[:-n]), node[:-1] * self.width + token[n:], -1)
+                if table is not None:
+                    node = np.where(code >= 0, table[code], -1)
+                else:
+                    place = np.minimum(np.searchsorted(codes, code), len(codes) - 1)
+                    node = np.where((code >= 0) & (codes[place] == code), place, -1)
+            on = np.flatnonzero(node >= 0)
+            term = ends[node[on]]
+            keys.append((owner[on] * len(self.idf) + term)[term >= 0])
+        key, tf = np.unique(np.concatenate(keys), return_counts=True) if keys else (np.zeros(0, np.int64),) * 2
+        own, term = np.divmod(key, max(1, len(self.idf)))
+        w = (1 + np.log(tf)) * self.idf[term]
+        return np.bincount(own, minlength=len(some)), term, w / np.sqrt(np.bincount(own, w * w, len(some)))[own]
+
+    def vectors(self, some: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each text's vector starts and the last one ends, terms by number, and weights."""
+        parts = [self._some(some[i : i + TEXTS_AT_ONCE]) for i in range(0, len(some), TEXTS_AT_ONCE)]
+        size, term, w = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return np.append(0, np.cumsum(size)), term, w
+
+
+def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each, one after the other."""
+    return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+
+
+class _Slice:
+    """Some targets as a dense block of frequent terms and postings of the others, for the queries of a block."""
+
+    def __init__(self, of: tuple, asked: np.ndarray, n_asked: int):
+        """asked: how many queries have a term."""
+        (self.start, self.term, self.w), n = of, len(of[0]) - 1
+        self.n, v = n, len(asked)
+        shared = asked * np.bincount(self.term, minlength=v)
+        order = np.argsort(-shared, kind="stable")
+        rest = shared.sum() - np.append(0, np.cumsum(shared[order]))
+        heads = [h for h in HEADS if h < len(rest)]
+        self.head = order[: min(heads, key=lambda h: h * DENSE_COST + rest[h] / max(1, n * n_asked))]
+        column = np.full(v, -1, np.int64)
+        column[self.head] = np.arange(len(self.head))
+        owner, at = np.repeat(np.arange(n), np.diff(self.start)), column[self.term]
+        self.dense = np.zeros((len(self.head), n), np.float32)
+        self.dense[at[at >= 0], owner[at >= 0]] = self.w[at >= 0]
+        tail = np.flatnonzero((at < 0) & (asked[self.term] > 0))
+        tail = tail[np.argsort(self.term[tail], kind="stable")]
+        self.listed, self.weight = owner[tail], self.w[tail]
+        self.ends = np.cumsum(np.bincount(self.term[tail], minlength=v))
+        self.sizes = np.bincount(self.term[tail], minlength=v)
+
+    def scores(self, wide: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Of each query (a row of wide; its terms and weights) and target, in single precision."""
+        out = wide[:, self.head].astype(np.float32) @ self.dense
+        for row, (term, w) in zip(out, vectors, strict=True):
+            on = np.flatnonzero(self.sizes[term])
+            if len(on):
+                runs = [(e - n, e, x) for e, n, x in zip(self.ends[term[on]].tolist(), self.sizes[term[on]].tolist(), w[on].tolist(), strict=True)]
+                row += np.bincount(np.concatenate([self.listed[a:b] for a, b, _ in runs]), np.concatenate([self.weight[a:b] * x for a, b, x in runs]), self.n)
+        return out
+
+    def exact(self, wide: np.ndarray, rows: np.ndarray, columns: np.ndarray, most: int) -> np.ndarray:
+        """Scores of pairs that share a term, in double precision and rounded; about ``most`` entries at once."""
+        size, out = np.diff(self.start)[columns], np.zeros(len(rows))
+        ends = np.cumsum(size)
+        lo = 0
+        while lo < len(rows):
+            hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - size[lo] + most, "right")))
+            n = size[lo:hi]
+            at = _places(self.start[columns[lo:hi]], n)
+            out[lo:hi] = np.add.reduceat(wide[np.repeat(rows[lo:hi], n), self.term[at]] * self.w[at], np.cumsum(n) - n)
+            lo = hi
+        return np.round(out, 6)
+
+
+def _best_of_block(k: int, terms: list[str], idf: np.ndarray, words: bool):
+    """A function of a block of queries and one of targets (ids, text): (q, t, s) of each query's k best, s rounded to six places, ties by t."""
+    at_once, most, slices = QUERIES_AT_ONCE, ENTRIES_AT_ONCE, TARGETS_AT_ONCE
 
     def best(asked: pa.Table, stored: pa.Table) -> pa.Table:
         out: list[tuple[str, str, float]] = []
-        if asked.num_rows and stored.num_rows:
-            (qs, q_sizes, q_terms, q_w), (ts, t_sizes, t_terms, t_w) = _flat(asked), _flat(stored)
-            q_ends = np.cumsum(q_sizes)
-            owner = np.repeat(np.arange(len(ts)), t_sizes)
-            for lo in range(0, len(qs), QUERIES_AT_ONCE):
-                hi = min(lo + QUERIES_AT_ONCE, len(qs))
-                part = slice(q_ends[lo] - q_sizes[lo], q_ends[hi - 1])
-                terms, column = np.unique(q_terms[part], return_inverse=True)
-                if not len(terms):
-                    continue
-                dense = np.zeros((len(terms), hi - lo))
-                dense[column, np.repeat(np.arange(hi - lo), q_sizes[lo:hi])] = q_w[part]
-                at = np.minimum(np.searchsorted(terms, t_terms), len(terms) - 1)
-                shared = np.flatnonzero(terms[at] == t_terms)
-                for cut in _runs(shared, owner[shared]):
-                    own = owner[cut]
-                    first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-                    scores = np.round(np.add.reduceat(dense[at[cut]] * t_w[cut, None], first, axis=0), 6)
-                    for j in range(hi - lo):
-                        s = scores[:, j]
-                        limit = max(np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else 0, 1e-9)
-                        found = np.flatnonzero(s >= limit)
-                        # Targets stand by id, so a stable sort breaks ties by it.
-                        for i in found[np.argsort(-s[found], kind="stable")][:k]:
-                            out.append((qs[lo + j], ts[own[first[i]]], float(s[i])))
+        if asked.num_rows and stored.num_rows and len(terms):
+            known = _Terms(terms, idf, words)
+            start, term, w = known.vectors(asked.column("text").to_pylist())
+            n, many = asked.num_rows, np.bincount(term, minlength=len(terms))
+            top, hits = np.zeros((n, k)), [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
+            wide = np.zeros((min(at_once, n), len(terms)))
+            for first in range(0, stored.num_rows, slices):
+                targets = _Slice(known.vectors(stored.column("text").slice(first, slices).to_pylist()), many, n)
+                found = [hits]
+                for lo in range(0, n, at_once):
+                    hi = min(lo + at_once, n)
+                    vectors = [(term[start[i] : start[i + 1]], w[start[i] : start[i + 1]]) for i in range(lo, hi)]
+                    at = (np.repeat(np.arange(hi - lo), np.diff(start[lo : hi + 1])), term[start[lo] : start[hi]])
+                    wide[at] = w[start[lo] : start[hi]]
+                    scores = targets.scores(wide[: hi - lo], vectors)
+                    least = top[lo:hi].min(axis=1)
+                    if targets.n > k:
+                        # Who has no k targets yet has them after this slice, or takes all of it.
+                        for j in np.flatnonzero(least == 0):
+                            least[j] = np.partition(scores[j], targets.n - k)[targets.n - k] * (1 - SINGLE)
+                    rows, columns = np.nonzero(scores >= np.maximum(least * (1 - SINGLE) - 1e-6, 1e-7)[:, None].astype(np.float32))
+                    s = targets.exact(wide, rows, columns, most)
+                    wide[at] = 0
+                    on = s > 0
+                    rows, columns, s = rows[on], columns[on], s[on]
+                    found.append([rows + lo, columns + first, s])
+                    for j, own in zip(np.unique(rows), np.split(s, np.flatnonzero(np.diff(rows)) + 1), strict=False):
+                        both = np.append(top[lo + j], own)
+                        top[lo + j] = np.partition(both, len(both) - k)[len(both) - k :]
+                hits = [np.concatenate(x) for x in zip(*found, strict=True)]
+                on = hits[2] >= top.min(axis=1)[hits[0]]
+                hits = [x[on] for x in hits]
+            order = np.argsort(hits[0], kind="stable")
+            rows, columns, s = (x[order] for x in hits)
+            sets = dict(zip(used := np.unique(columns), stored.column("ids").take(pa.array(used)).to_pylist(), strict=True))
+            ids = asked.column("ids")
+            for i in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(rows)) + 1) if len(rows) else []:
+                ranked = sorted((-x, t) for x, c in zip(s[i].tolist(), columns[i].tolist(), strict=True) for t in sets[c])[:k]
+                out += [(q, t, -x) for q in ids[int(rows[i[0]])].as_py() for x, t in ranked]
         columns = list(zip(*out, strict=True)) or [()] * 3
         return pa.table({"q": pa.array(columns[0], pa.string()), "t": pa.array(columns[1], pa.string()), "s": pa.array(columns[2], pa.float64())})
 
     return best
 
 
-def block_hits(records: DataFrame, view: int, k: int, max_features: int, country_block: bool, sample: int | None = None, index: DataFrame | None = None) -> DataFrame:
+def block_hits(records: DataFrame, view: int, k: int, max_features: int, country_block: bool, sample: int | None = None, index: tuple | None = None) -> DataFrame:
     """(q, t, s): of each query the k best targets of every block, with their cosine rounded to six places.
 
-    index: stored target_vectors and their vocabulary, else they are made here.
+    index: stored vocabulary and texts of the targets, else they are made here. The
+    vocabulary comes to the driver, which sends it along with the tasks.
     """
     queries, targets = records.where("source = 1"), records.where("source in (2, 3)")
-    vocab, stored = index or target_vectors(targets, view, max_features, sample)
-    asked = vectors(term_counts(queries, view), vocab)
+    vocab, stored = index or (vocabulary(targets, view, max_features, sample), texts(targets, view))
+    terms = vocab.select("term", "idf").toArrow()
     n_q, n_t = (max(1, -(-df.count() // size)) for df, size in ((queries, QUERY_BLOCK), (stored if index else targets, TARGET_BLOCK)))
     # Small tables are cut finer, to give every core something.
     n_q = max(n_q, -(-records.sparkSession.sparkContext.defaultParallelism // n_t))
     country = F.col("country") if country_block else F.lit("")
-    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    block = lambda n: F.pmod(F.xxhash64("text"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = asked.select(F.col("id").alias("key"), F.col("v").alias("vector"), country.alias("c"), block(n_q).alias("a"), every(n_t).alias("b"))
-    right = stored.select(F.col("id").alias("key"), F.col("v").alias("vector"), country.alias("c"), block(n_t).alias("b"), every(n_q).alias("a"))
-    pair = ["c", "a", "b"]
-    return left.groupBy(*pair).cogroup(right.groupBy(*pair)).applyInArrow(_best_of_block(k), "q string, t string, s double")
-
-
-def target_vectors(targets: DataFrame, view: int, max_features: int, sample: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """The index of a view: vocabulary (term, df, idf), and the targets' vectors."""
-    counts = term_counts(targets, view)
-    vocab = vocabulary(counts, targets, max_features, sample)
-    return vocab, vectors(counts, vocab)
+    # All ids of an equal query; of equal targets the first k can be among the best.
+    asked = texts(queries, view).groupBy(country.alias("c"), "text").agg(F.collect_list("id").alias("ids"))
+    same = Window.partitionBy("c", "text").orderBy("id")
+    few = stored.select("id", country.alias("c"), "text").withColumn("n", F.row_number().over(same)).where(F.col("n") <= k).groupBy("c", "text").agg(F.collect_list("id").alias("ids"))
+    left = asked.select("ids", "text", "c", block(n_q).alias("a"), every(n_t).alias("b"))
+    right = few.select("ids", "text", "c", block(n_t).alias("b"), every(n_q).alias("a"))
+    # A block is little to read and much to do, so partitions go by blocks; with several for each of them few meet in one.
+    pair, parts = ["c", "a", "b"], max(8 * n_q * n_t, records.sparkSession.sparkContext.defaultParallelism)
+    dealt = lambda df: df.repartition(parts, *pair).groupBy(*pair)
+    best = _best_of_block(k, terms.column("term").to_pylist(), terms.column("idf").to_numpy(), view == 2)
+    return dealt(left).cogroup(dealt(right)).applyInArrow(best, "q string, t string, s double")
 
 
 def top_of_view(records: DataFrame, view: int, k: int, max_features: int, country_block: bool = True, sample: int | None = None) -> DataFrame:
@@ -150,9 +280,9 @@ def top_of_view(records: DataFrame, view: int, k: int, max_features: int, countr
 
 
 def candidates(records: DataFrame, k: int, max_features: int, country_block: bool = True, sample: int | None = None, index: list | None = None) -> DataFrame:
-    """Union of the best k of each view, as ``lexical.candidates``. index: of each view what target_vectors gives."""
+    """Union of the best k of each view, as ``lexical.candidates``. index: of each view the vocabulary and texts of the targets."""
     long = None
     for v in range(len(VIEWS)):
         one = block_hits(records, v, k, max_features, country_block, sample, index and index[v]).withColumn("view", F.lit(v))
         long = one if long is None else long.unionByName(one)
-    return merge_views(long, k)
+    return merge_views(long.repartition("q"), k)

@@ -258,7 +258,7 @@ _BY_DATA = {
     ),
     "lexical_candidates": (lambda d: d.candidates, _after(select="SELECT * FROM cand")),
     "tfidf_vocab": (
-        lambda d: tfidf.vocabulary(tfidf.term_counts(d.targets, 0), d.targets, FEATURES).select("term", "df", F.round("idf", 9).alias("idf")),
+        lambda d: tfidf.vocabulary(d.targets, 0, FEATURES).select("term", "df", F.round("idf", 9).alias("idf")),
         O.with_records(_tfidf(0), select="SELECT term, df, round(idf, 9) AS idf FROM vocab0"),
     ),
     "tfidf_name_topk": (lambda d: tfidf.top_of_view(d.records, 0, TOP_K, FEATURES), _topk(0)),

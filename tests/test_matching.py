@@ -214,3 +214,52 @@ def test_candidates_without_records_fail(spark, train):
     bad = spark.createDataFrame([("S1-000001", "S2-nobody")], "q string, t string")
     with pytest.raises(Exception, match="no record"):
         pairs.joined(bad, train).collect()
+
+
+def test_blocks_get_texts_once(spark, train, monkeypatch):
+    """Tasks get each different text once, not vectors, which are ten times as large; all its records are in the result."""
+    rows = train.withColumn("id", F.concat("id", F.lit("-a"))).unionByName(train.withColumn("id", F.concat("id", F.lit("-b"))))
+
+    def told(*_):
+        def size(asked, stored):
+            import pyarrow as pa
+
+            return pa.table({"q": [""], "t": [str(asked.num_rows + stored.num_rows)], "s": [float(asked.nbytes + stored.nbytes)]})
+
+        return size
+
+    made = tfidf._best_of_block
+    for n_q in (1, 4):
+        with monkeypatch.context() as m:
+            m.setattr(tfidf, "QUERY_BLOCK", 480 // n_q)
+            m.setattr(tfidf, "_best_of_block", told)
+            got = tfidf.block_hits(rows, 0, 5, 300, False).agg(F.sum(F.col("t").cast("long")).alias("n"), F.sum("s").alias("bytes")).head()
+        n_q = max(n_q, spark.sparkContext.defaultParallelism)
+        text = F.concat_ws(" ", "name", "latin_name")
+        asked, stored = (train.where(x).select(text.alias("x"), F.octet_length(text).alias("n")).distinct().agg(F.count("*"), F.sum("n")).head() for x in ("source = 1", "source != 1"))
+        assert got["n"] == asked[0] + n_q * stored[0] and got["bytes"] < 10 * n_q * (asked[1] + stored[1])
+    assert tfidf._best_of_block is made
+    found = lambda df: {(r["q"], r["t"]): r["s"] for r in tfidf.top_of_view(df, 0, 1000, 300).collect()}
+    hits, once = found(rows.where("source = 1").unionByName(train.where("source != 1"))), found(train)
+    assert hits == {(f"{q}-{a}", t): s for (q, t), s in once.items() for a in "ab"}
+    hits = found(rows)
+    assert set(hits) == {(f"{q}-{a}", f"{t}-{b}") for q, t in once for a in "ab" for b in "ab"} and all(hits[q, t] == hits[f"{q[:-1]}a", f"{t[:-1]}a"] for q, t in hits)
+
+
+def test_vectors_of_odd_texts(spark):
+    """Repeated ids, letters beyond the basic plane, many letters, ties at the cut, empty texts: by definition."""
+    wide = "".join(chr(0x4E00 + 7 * i) for i in range(60)) + "\U00020000\U00020001\U00020000\U00020001"
+    said = [("1", 1, "abcd"), ("1", 1, "dabc"), ("2", 1, wide), ("3", 1, ""), ("4", 1, "ab")]
+    said += [(f"t{i}", 2, "abcd abcd") for i in range(9)] + [("u", 2, "abcd"), ("u", 2, "dabc"), ("w", 3, wide[30:]), ("x", 3, "")]
+    rows = spark.createDataFrame([(i, s, "c", x) for i, s, x in said], "id string, source int, country string, name string").withColumns({c: F.col("name") for c in ("latin_name", "address", "latin_address")})
+    counts, targets = collections.defaultdict(collections.Counter), [i for i, s, _ in said if s > 1]
+    for i, _, x in said:
+        counts[i].update(f"{x} {x}"[j : j + n] for n in (3, 4) for j in range(len(f"{x} {x}") - n + 1))
+    df = collections.Counter(w for t in set(targets) for w in counts[t])
+    weight = {i: {w: (1 + np.log(n)) * (np.log((1 + len(targets)) / (1 + df[w])) + 1) for w, n in c.items() if w in df} for i, c in counts.items()}
+    norm = {i: np.sqrt(sum(x * x for x in v.values())) for i, v in weight.items()}
+    want = []
+    for q in "1234":
+        scores = [(-round(sum(x * weight[t].get(w, 0) for w, x in weight[q].items()) / (norm[q] * norm[t] or 1), 6), t) for t in set(targets)]
+        want += [(q, t, k + 1) for k, (s, t) in enumerate(sorted(x for x in scores if x[0] < 0)[:4])]
+    assert sorted((r["q"], r["t"], r["rank"]) for r in tfidf.top_of_view(rows, 0, 4, 60_000).collect()) == sorted(want)

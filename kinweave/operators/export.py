@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -12,6 +12,14 @@ def id_lists(universe: DataFrame, pairs: DataFrame, column: str) -> DataFrame:
     return universe.select("q").join(lists, "q", "left").select(F.col("q").alias("source1_entity_id"), F.coalesce(column, F.lit("")).alias(column))
 
 
+def both_lists(universe: DataFrame, scored: DataFrame, chosen: Column) -> DataFrame:
+    """(source1_entity_id, matched_entity_ids, candidate_entity_ids): the lists of id_lists of the chosen pairs and of all, from one pass over them; one row for each query."""
+    rows = universe.select("q", F.lit(None).cast("string").alias("t"), F.lit(False).alias("_in")).unionByName(scored.select("q", "t", chosen.alias("_in")))
+    listed = lambda t, name: F.array_join(F.array_sort(F.collect_set(t)), ",").alias(name)
+    rows = rows.groupBy("q").agg(F.bool_or(F.col("t").isNull()).alias("_asked"), listed(F.when(F.col("_in"), F.col("t")), "matched_entity_ids"), listed(F.col("t"), "candidate_entity_ids"))
+    return rows.where("_asked").select(F.col("q").alias("source1_entity_id"), "matched_entity_ids", "candidate_entity_ids")
+
+
 def write_tsv(rows: DataFrame, path: str) -> None:
     """A folder of tab-separated parts, in the order of the ids within and across parts."""
     rows.orderBy("source1_entity_id").write.mode("overwrite").option("sep", "\t").option("header", True).option("emptyValue", "").option("lineSep", "\n").csv(path)
@@ -43,30 +51,45 @@ def joined_file(spark: SparkSession, path: str, target: str, header: tuple[str,
     return target
 
 
-def _exploded(rows: DataFrame, column: str) -> DataFrame:
+def sides(rows: DataFrame, kind: int | Column, column: str | None = None) -> DataFrame:
+    """What ``counted`` takes, (q, kind, ids), from rows of the universe (kind 0; q), or from lists of matches (1) or candidates (2)."""
+    kind = F.lit(kind) if isinstance(kind, int) else kind
+    if column is None:
+        return rows.select("q", kind.alias("kind"), F.expr("cast(array() as array<string>)").alias("ids"))
     ids = F.filter(F.transform(F.split(column, ","), lambda x: F.trim(x)), lambda x: x != "")
-    return rows.select(F.col("source1_entity_id").alias("q"), ids.alias("ids"))
+    return rows.select(F.col("source1_entity_id").alias("q"), kind.alias("kind"), ids.alias("ids"))
+
+
+def counted(rows: DataFrame, targets: DataFrame) -> DataFrame:
+    """One row of fault counts from (q, kind, ids): every query of the universe, list of matches and list of candidates.
+
+    All rows of a query meet in one group, and each count is a sum over the groups, so
+    the lists are made once. The sums go along with the ids, which are looked up once each.
+    """
+    size = lambda c: F.size(c).cast("long")
+    lists = lambda kind: F.collect_list(F.when(F.col("kind") == kind, F.coalesce("ids", F.array())))
+    repeated = F.count_if((F.col("kind") > 0) & (F.size("ids") != F.size(F.array_distinct("ids"))))
+    own = rows.groupBy("q").agg(F.count_if(F.col("kind") == 0).alias("u"), lists(1).alias("m"), lists(2).alias("c"), repeated.alias("repeated"))
+    u, m, c, alone = F.col("u"), size("m"), size("c"), F.col("q").isNull()
+    # A row of matches goes with every row of candidates of its query.
+    beyond = F.aggregate("m", F.lit(0).cast("long"), lambda n, x: n + F.when((F.size("c") == 0) | alone, (F.size(x) > 0).cast("long")).otherwise(size(F.filter("c", lambda y: F.size(F.array_except(x, y)) > 0))))
+    none = F.lit(0).cast("long")
+    counts = {
+        "missing_queries": F.when((m == 0) | alone, u).otherwise(none),
+        "unknown_queries": F.when((u == 0) | alone, m).otherwise(none),
+        "one_sided_queries": F.when((m == 0) | (c == 0) | alone, m + c).otherwise(none),
+        "repeated_queries": ((m > 1) | (c > 1)).cast("long"),
+        "repeated_ids": F.col("repeated"),
+        "beyond_candidates": beyond,
+    }
+    told = F.array(F.struct(F.lit(None).cast("string").alias("t"), *(x.alias(k) for k, x in counts.items())))
+    ids = F.transform(F.array_distinct(F.flatten(F.concat("m", "c"))), lambda t: F.struct(t.alias("t"), *(none.alias(k) for k in counts)))
+    by_id = own.select(F.explode(F.concat(told, ids)).alias("x")).select("x.*").groupBy("t").agg(*(F.sum(k).alias(k) for k in counts))
+    known = targets.select(F.col("id").alias("t"), F.lit(True).alias("known")).distinct()
+    unknown = F.count_if(F.col("t").isNotNull() & F.col("known").isNull()).alias("unknown_targets")
+    return by_id.join(known, "t", "left").agg(*(F.coalesce(F.sum(k), none).alias(k) for k in counts), unknown)
 
 
 def violations(universe: DataFrame, matching: DataFrame, candidate: DataFrame, targets: DataFrame) -> DataFrame:
     """One row of fault counts, all 0 for valid results: coverage, repeated queries, repeated ids, matches beyond candidates, unknown targets."""
-    m, c = _exploded(matching, "matched_entity_ids"), _exploded(candidate, "candidate_entity_ids")
-    both = m.withColumnRenamed("ids", "m").join(c.withColumnRenamed("ids", "c"), "q", "full_outer")
-    none = F.expr("cast(array() as array<string>)")
-    beyond = F.size(F.array_except(F.coalesce("m", none), F.coalesce("c", none))) > 0
-    repeated = lambda ids: F.size(ids) != F.size(F.array_distinct(ids))
-    known = targets.select(F.col("id").alias("t"))
-    parts = {
-        "missing_queries": universe.select("q").join(m, "q", "left_anti").agg(F.count("*")),
-        "unknown_queries": m.join(universe.select("q"), "q", "left_anti").agg(F.count("*")),
-        "one_sided_queries": both.agg(F.count_if(F.col("m").isNull() | F.col("c").isNull())),
-        "repeated_queries": m.groupBy("q").count().where("count > 1").select("q").union(c.groupBy("q").count().where("count > 1").select("q")).distinct().agg(F.count("*")),
-        "repeated_ids": m.unionByName(c).agg(F.count_if(repeated(F.col("ids")))),
-        "beyond_candidates": both.agg(F.count_if(beyond)),
-        "unknown_targets": c.unionByName(m).select(F.explode("ids").alias("t")).distinct().join(known, "t", "left_anti").agg(F.count("*")),
-    }
-    out = None
-    for name, one in parts.items():
-        one = one.toDF(name)
-        out = one if out is None else out.crossJoin(one)  # single rows
-    return out
+    return counted(sides(universe, 0).unionByName(sides(matching, 1, "matched_entity_ids")).unionByName(sides(candidate, 2, "candidate_entity_ids")), targets)

@@ -263,3 +263,19 @@ def test_vectors_of_odd_texts(spark):
         scores = [(-round(sum(x * weight[t].get(w, 0) for w, x in weight[q].items()) / (norm[q] * norm[t] or 1), 6), t) for t in set(targets)]
         want += [(q, t, k + 1) for k, (s, t) in enumerate(sorted(x for x in scores if x[0] < 0)[:4])]
     assert sorted((r["q"], r["t"], r["rank"]) for r in tfidf.top_of_view(rows, 0, 4, 60_000).collect()) == sorted(want)
+
+
+def test_faults_are_counted_in_one_pass(spark, sf, train, cands):
+    """The candidates come once into the plan of the checks; repeated lists of a query count by pairs of matches and candidates."""
+    retrieved = lambda name: registry.queries()[name](spark, sf)._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression")
+    assert retrieved("validate_outputs") == retrieved("validate_faulty_outputs") == retrieved("lexical_candidates") > 0
+    lists = lambda rows, c: spark.createDataFrame(rows, f"source1_entity_id string, {c}_entity_ids string")
+    uni, targets = spark.createDataFrame([(x,) for x in "abcdd"], "q string"), spark.createDataFrame([(f"t{i}",) for i in range(4)], "id string")
+    m = lists([("a", "t1, t2"), ("a", "t1"), ("b", "t9,t9"), ("x", ""), ("y", "t3")], "matched")
+    c = lists([("a", "t1"), ("a", "t3"), ("c", "t8"), ("b", "t9")], "candidate")
+    row = export.violations(uni, m, c, targets).head().asDict()
+    assert row == {"missing_queries": 3, "unknown_queries": 2, "one_sided_queries": 3, "repeated_queries": 1, "repeated_ids": 1, "beyond_candidates": 4, "unknown_targets": 2}
+    some = train.where("source = 1").select(F.col("id").alias("q"))
+    both = export.both_lists(some, cands.withColumn("p", F.col("s_name")), F.col("p") > 0.5)
+    for column, pairs_ in (("matched_entity_ids", cands.where("s_name > 0.5")), ("candidate_entity_ids", cands)):
+        assert sorted(map(tuple, both.select("source1_entity_id", column).collect())) == sorted(map(tuple, export.id_lists(some, pairs_, column).collect()))

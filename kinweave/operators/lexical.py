@@ -8,6 +8,8 @@ bounds the rows that a query can make in the join with the postings.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from kinweave.functions import text as X
 
 VIEWS = ("name", "address", "combined")
 SHARES = (0.4, 0.3, 0.3)
+#: Queries and targets in a block, each with up to 24 keys.
+QUERY_BLOCK, TARGET_BLOCK = 1 << 14, 1 << 18
 
 
 def _longest(words: Column, n: int) -> Column:
@@ -89,8 +93,9 @@ def view_scores(queries: DataFrame, index: DataFrame, country_block: bool) -> Da
     of_view = lambda c, v: F.sum(F.when(F.col("view") == v, F.col(c)))
     own = found.groupBy("q").agg(*(F.greatest(of_view("part", v), F.lit(1e-9)).alias(f"all{v}") for v in range(3)))
     got = found.groupBy("q", "t").agg(*(of_view("w", v).alias(f"w{v}") for v in range(3))).join(own, "q")
-    wide = got.select("q", "t", *(F.coalesce(F.round(F.col(f"w{v}") / F.col(f"all{v}"), 6), F.lit(0.0)).alias(f"e{v}") for v in range(3)))
-    mixed = F.round(sum((F.col(f"e{v}") * SHARES[v] for v in range(1, 3)), F.col("e0") * SHARES[0]), 6)
+    half_up = lambda x: F.floor(x * 1e6 + 0.5) / 1e6  # noqa: E731  as _half_up, and as the SQL twin rounds
+    wide = got.select("q", "t", *(F.coalesce(half_up(F.col(f"w{v}") / F.col(f"all{v}")), F.lit(0.0)).alias(f"e{v}") for v in range(3)))
+    mixed = half_up(sum((F.col(f"e{v}") * SHARES[v] for v in range(1, 3)), F.col("e0") * SHARES[0]))
     return wide.select("q", "t", F.col("e0").alias("s0"), F.col("e1").alias("s1"), mixed.alias("s2"))
 
 
@@ -108,8 +113,72 @@ def merge_views(long: DataFrame, k: int) -> DataFrame:
     return hits.groupBy("q", "t").agg(*picks)
 
 
+def _half_up(x: np.ndarray) -> np.ndarray:
+    return np.floor(x * 1e6 + 0.5) / 1e6
+
+
+def _best_of_block(k: int):
+    """A function of a block of queries (q, keys with view and weight) and one of targets (t, keys): (q, view, t, s) of each query's k best of each view, ties by t."""
+
+    def best(asked: pa.Table, stored: pa.Table) -> pa.Table:
+        out: list[tuple[str, int, str, float]] = []
+        if asked.num_rows and stored.num_rows:
+            stored = stored.sort_by("t")
+            ts, lists = stored.column("t").to_pylist(), stored.column("keys").combine_chunks()
+            keys = lists.flatten().to_numpy()
+            order = np.argsort(keys, kind="stable")
+            keys, owner = keys[order], np.repeat(np.arange(len(ts)), lists.value_lengths().to_numpy())[order]
+            lists = asked.column("keys").combine_chunks()
+            inner, ends = lists.flatten(), np.cumsum(lists.value_lengths().to_numpy())
+            view, w = inner.field("view").to_numpy(), inner.field("w").to_numpy()
+            low, high = (np.searchsorted(keys, inner.field("key").to_numpy(), side).tolist() for side in ("left", "right"))
+            got, place = np.zeros((3, len(ts))), np.zeros(len(ts), np.int64)
+            for q, lo, hi in zip(asked.column("q").to_pylist(), [0, *ends[:-1].tolist()], ends.tolist(), strict=True):
+                found = [owner[low[i] : high[i]] for i in range(lo, hi)]
+                sizes = [len(x) for x in found]
+                if not sum(sizes):
+                    continue
+                at, all_w = np.concatenate(found), np.maximum(np.bincount(view[lo:hi], w[lo:hi], 3), 1e-9)
+                np.add.at(got, (np.repeat(view[lo:hi], sizes), at), np.repeat(w[lo:hi], sizes))
+                # Each target once: where its last entry stands.
+                number = np.arange(len(at))
+                place[at] = number
+                at = at[place[at] == number]
+                e = _half_up(got[:, at] / all_w[:, None])
+                got[:, at] = 0
+                for v, s in enumerate((e[0], e[1], _half_up(e[0] * SHARES[0] + e[1] * SHARES[1] + e[2] * SHARES[2]))):
+                    least = max(np.partition(s, len(s) - k)[len(s) - k] if len(s) > k else 0, 1e-9)
+                    on = np.flatnonzero(s >= least)
+                    for i in on[np.lexsort((at[on], -s[on]))][:k].tolist():
+                        out.append((q, v, ts[at[i]], float(s[i])))
+        columns = list(zip(*out, strict=True)) or [()] * 4
+        return pa.table({n: pa.array(c, kind) for n, c, kind in zip(("q", "view", "t", "s"), columns, (pa.string(), pa.int32(), pa.string(), pa.float64()), strict=True)})
+
+    return best
+
+
 def candidates(records: DataFrame, k: int, country_block: bool = True, cap: int = 2048, index: DataFrame | None = None) -> DataFrame:
-    """Candidates of all queries (source 1) among all targets (sources 2 and 3), or those of a stored index."""
-    if index is None:
-        index = postings(records.where("source in (2, 3)"), country_block, cap)
-    return top_k(view_scores(records.where("source = 1"), index, country_block), k)
+    """Candidates of all queries (source 1) among all targets (sources 2 and 3), or those of a stored index.
+
+    The scores of ``view_scores`` and its best k, without its join: a query has
+    thousands of rows there. Queries and targets are cut into blocks; each pair of
+    them is a task that gets the keys of both, by their 64-bit hashes, and looks up
+    the ones in the others.
+    """
+    queries, targets = records.where("source = 1"), records.where("source in (2, 3)")
+    n_q, n_t = (max(1, -(-df.count() // size)) for df, size in ((queries, QUERY_BLOCK), (targets if index is None else index.select("t").distinct(), TARGET_BLOCK)))
+    cores = records.sparkSession.sparkContext.defaultParallelism
+    n_q = max(n_q, -(-cores // n_t))
+    index = postings(targets, country_block, cap) if index is None else index
+    weights = index.groupBy("key").agg(F.log(1 + F.any_value("total") / F.any_value("n")).alias("w"))
+    asked = record_keys(queries, country_block).withColumnRenamed("id", "q").join(weights, "key")
+    code = F.xxhash64("key").alias("key")
+    asked = asked.groupBy("q").agg(F.collect_list(F.struct("view", code, "w")).alias("keys"))
+    stored = index.groupBy("t").agg(F.collect_list(code).alias("keys"))
+    block = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    dealt = lambda df: df.repartition(max(8 * n_q * n_t, cores), "a", "b").groupBy("a", "b")
+    left = dealt(asked.select("q", "keys", block("q", n_q).alias("a"), every(n_t).alias("b")))
+    right = dealt(stored.select("t", "keys", block("t", n_t).alias("b"), every(n_q).alias("a")))
+    long = left.cogroup(right).applyInArrow(_best_of_block(k), "q string, view int, t string, s double")
+    return merge_views(long.repartition("q"), k)

@@ -279,3 +279,14 @@ def test_faults_are_counted_in_one_pass(spark, sf, train, cands):
     both = export.both_lists(some, cands.withColumn("p", F.col("s_name")), F.col("p") > 0.5)
     for column, pairs_ in (("matched_entity_ids", cands.where("s_name > 0.5")), ("candidate_entity_ids", cands)):
         assert sorted(map(tuple, both.select("source1_entity_id", column).collect())) == sorted(map(tuple, export.id_lists(some, pairs_, column).collect()))
+
+
+def test_lexical_blocks_by_the_join(spark, train, monkeypatch):
+    """The candidates are those of the plain join, with one block and with many, but its rows, thousands for a query, don't come into the plan."""
+    want = sorted(map(tuple, lexical.top_k(lexical.view_scores(train.where("source = 1"), lexical.postings(train.where("source != 1"), True, 2048), True), 5).collect()))
+    for sizes in ((1 << 14, 1 << 18), (60, 100)):
+        for name, size in zip(("QUERY_BLOCK", "TARGET_BLOCK"), sizes, strict=True):
+            monkeypatch.setattr(lexical, name, size)
+        monkeypatch.setattr(lexical, "view_scores", None)
+        got = lexical.candidates(train, 5)
+        assert sorted(map(tuple, got.collect())) == want and "all0" not in got._jdf.queryExecution().optimizedPlan().toString()

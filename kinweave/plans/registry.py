@@ -63,14 +63,22 @@ def _trained(features: DataFrame, train) -> object:
         kept.unpersist()
 
 
+def _once(features: DataFrame) -> DataFrame:
+    """The features as a table in the cluster's checkpoint folder, which training and scoring read; without such a folder as they are."""
+    spark = features.sparkSession
+    there = spark.conf.get("spark.checkpoint.dir", None) or not spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty()
+    return features.checkpoint() if there else features
+
+
 def _gbt(d: Data) -> DataFrame:
     trees = _trained(d.features, lambda f: M.train(f, P.FEATURES, SMALL))
     return M.score(d.features, trees, P.FEATURES).select("q", "t", "y", "p")
 
 
 def _stack(d: Data) -> DataFrame:
-    first, second = _trained(d.features, lambda f: M.train_stack(f, SMALL))
-    return M.score_stack(d.features, first, second).select("q", "t", "y", "p", "p2")
+    features = _once(d.features)
+    first, second = _trained(features, lambda f: M.train_stack(f, SMALL))
+    return M.score_stack(features, first, second).select("q", "t", "y", "p", "p2")
 
 
 def _loco(d: Data) -> DataFrame:

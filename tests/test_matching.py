@@ -290,3 +290,9 @@ def test_lexical_blocks_by_the_join(spark, train, monkeypatch):
         monkeypatch.setattr(lexical, "view_scores", None)
         got = lexical.candidates(train, 5)
         assert sorted(map(tuple, got.collect())) == want and "all0" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_features_are_made_once(spark, sf):
+    """Training and scoring of the stack read the same stored features; nothing is retrieved again for the scores."""
+    plan = registry.queries()["stack_scores"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in plan and "Relation" not in plan

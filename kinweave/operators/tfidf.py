@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 from kinweave.operators.lexical import VIEWS, merge_views
 
 #: Different texts of queries and of targets in a block, how many queries are multiplied at once, and how many entries of vectors are compared exactly at once.
-QUERY_BLOCK, TARGET_BLOCK, QUERIES_AT_ONCE, ENTRIES_AT_ONCE = 1 << 13, 1 << 18, 64, 1 << 20
-#: Targets of a block that are vectors at the same time (some 100 MB with all that is made of them), and texts that are cut into grams at once.
-TARGETS_AT_ONCE, TEXTS_AT_ONCE = 1 << 14, 1 << 12
+QUERY_BLOCK, TARGET_BLOCK, QUERIES_AT_ONCE, ENTRIES_AT_ONCE = 1 << 14, 1 << 17, 64, 1 << 20
+#: Targets of a block that are vectors at the same time (some 200 MB with all that is made of them), and texts that are cut into grams at once.
+TARGETS_AT_ONCE, TEXTS_AT_ONCE = 1 << 15, 1 << 12
 #: How many terms may be dense, and what a dense term costs a pair against one that both share in a list.
-HEADS, DENSE_COST = (0, 32, 64, 128, 256, 384, 512, 768, 1024), 1 / 200
-#: Bound of the relative error of a score in single precision: all products are positive, and there are at most 1,024 dense ones.
-SINGLE = 1.5e-4
+HEADS, DENSE_COST = (0, 32, 64, 128, 192, 256, 384, 512, 768, 1024), 1 / 200
+#: Bound of the relative error of a score in single precision, for each term of a query and a few more: all products are positive, and only those of shared terms are rounded.
+SINGLE, MORE = 2.0**-23, 16
 #: Between the texts of records with the same id; no gram across it is in a vocabulary.
 BETWEEN = ("\n", "\n", " \n\n ")
 
@@ -147,6 +147,18 @@ def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
 
 
+class _Room:
+    """Memory that is used again: what is taken anew for each batch comes from the system page by page, which takes longer than the arithmetic in it."""
+
+    def __init__(self):
+        self.held: dict[str, np.ndarray] = {}
+
+    def of(self, name: str, n: int, kind: type) -> np.ndarray:
+        if name not in self.held or len(self.held[name]) < n:
+            self.held[name] = np.empty(n + n // 4, kind)
+        return self.held[name][:n]
+
+
 class _Slice:
     """Some targets as a dense block of frequent terms and postings of the others, for the queries of a block."""
 
@@ -159,25 +171,32 @@ class _Slice:
         rest = shared.sum() - np.append(0, np.cumsum(shared[order]))
         heads = [h for h in HEADS if h < len(rest)]
         self.head = order[: min(heads, key=lambda h: h * DENSE_COST + rest[h] / max(1, n * n_asked))]
-        column = np.full(v, -1, np.int64)
+        column = np.full(v, -1, np.int32)
         column[self.head] = np.arange(len(self.head))
-        owner, at = np.repeat(np.arange(n), np.diff(self.start)), column[self.term]
+        owner, at = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start)), column[self.term]
         self.dense = np.zeros((len(self.head), n), np.float32)
         self.dense[at[at >= 0], owner[at >= 0]] = self.w[at >= 0]
         tail = np.flatnonzero((at < 0) & (asked[self.term] > 0))
         tail = tail[np.argsort(self.term[tail], kind="stable")]
-        self.listed, self.weight = owner[tail], self.w[tail]
-        self.ends = np.cumsum(np.bincount(self.term[tail], minlength=v))
+        self.listed, self.weight = owner[tail], self.w[tail].astype(np.float32)
         self.sizes = np.bincount(self.term[tail], minlength=v)
+        self.ends = np.cumsum(self.sizes)
 
-    def scores(self, wide: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-        """Of each query (a row of wide; its terms and weights) and target, in single precision."""
-        out = wide[:, self.head].astype(np.float32) @ self.dense
+    def scores(self, wide: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], room: _Room) -> np.ndarray:
+        """Of each query (a row of wide; its terms and weights) and target, in single precision; they stand in the room until the next call."""
+        out = room.of("scores", len(vectors) * self.n, np.float32).reshape(len(vectors), self.n)
+        np.matmul(wide[:, self.head].astype(np.float32), self.dense, out=out)
         for row, (term, w) in zip(out, vectors, strict=True):
-            on = np.flatnonzero(self.sizes[term])
-            if len(on):
-                runs = [(e - n, e, x) for e, n, x in zip(self.ends[term[on]].tolist(), self.sizes[term[on]].tolist(), w[on].tolist(), strict=True)]
-                row += np.bincount(np.concatenate([self.listed[a:b] for a, b, _ in runs]), np.concatenate([self.weight[a:b] * x for a, b, x in runs]), self.n)
+            size = self.sizes[term]
+            on = np.flatnonzero(size)
+            size, to = size[on], 0
+            many = int(size.sum())
+            at, x = room.of("at", many, np.int64), room.of("x", many, np.float32)
+            for e, n, y in zip(self.ends[term[on]].tolist(), size.tolist(), w[on].tolist(), strict=True):
+                at[to : to + n] = self.listed[e - n : e]
+                np.multiply(self.weight[e - n : e], y, out=x[to : to + n])
+                to += n
+            np.add.at(row, at, x)
         return out
 
     def exact(self, wide: np.ndarray, rows: np.ndarray, columns: np.ndarray, most: int) -> np.ndarray:
@@ -201,9 +220,10 @@ def _best_of_block(k: int, terms: list[str], idf: np.ndarray, words: bool):
     def best(asked: pa.Table, stored: pa.Table) -> pa.Table:
         out: list[tuple[str, str, float]] = []
         if asked.num_rows and stored.num_rows and len(terms):
-            known = _Terms(terms, idf, words)
+            known, room = _Terms(terms, idf, words), _Room()
             start, term, w = known.vectors(asked.column("text").to_pylist())
             n, many = asked.num_rows, np.bincount(term, minlength=len(terms))
+            close = 1 - (np.diff(start) + MORE) * SINGLE
             top, hits = np.zeros((n, k)), [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
             wide = np.zeros((min(at_once, n), len(terms)))
             for first in range(0, stored.num_rows, slices):
@@ -214,13 +234,15 @@ def _best_of_block(k: int, terms: list[str], idf: np.ndarray, words: bool):
                     vectors = [(term[start[i] : start[i + 1]], w[start[i] : start[i + 1]]) for i in range(lo, hi)]
                     at = (np.repeat(np.arange(hi - lo), np.diff(start[lo : hi + 1])), term[start[lo] : start[hi]])
                     wide[at] = w[start[lo] : start[hi]]
-                    scores = targets.scores(wide[: hi - lo], vectors)
+                    scores = targets.scores(wide[: hi - lo], vectors, room)
                     least = top[lo:hi].min(axis=1)
                     if targets.n > k:
                         # Who has no k targets yet has them after this slice, or takes all of it.
                         for j in np.flatnonzero(least == 0):
-                            least[j] = np.partition(scores[j], targets.n - k)[targets.n - k] * (1 - SINGLE)
-                    rows, columns = np.nonzero(scores >= np.maximum(least * (1 - SINGLE) - 1e-6, 1e-7)[:, None].astype(np.float32))
+                            least[j] = np.partition(scores[j], targets.n - k)[targets.n - k] * close[lo + j]
+                    near = room.of("near", scores.size, np.bool_)
+                    np.greater_equal(scores, np.maximum(least * close[lo:hi] - 1e-6, 1e-7)[:, None].astype(np.float32), out=near.reshape(scores.shape))
+                    rows, columns = np.divmod(np.flatnonzero(near), targets.n)
                     s = targets.exact(wide, rows, columns, most)
                     wide[at] = 0
                     on = s > 0
@@ -266,8 +288,8 @@ def block_hits(records: DataFrame, view: int, k: int, max_features: int, country
     few = stored.select("id", country.alias("c"), "text").withColumn("n", F.row_number().over(same)).where(F.col("n") <= k).groupBy("c", "text").agg(F.collect_list("id").alias("ids"))
     left = asked.select("ids", "text", "c", block(n_q).alias("a"), every(n_t).alias("b"))
     right = few.select("ids", "text", "c", block(n_t).alias("b"), every(n_q).alias("a"))
-    # A block is little to read and much to do, so partitions go by blocks; with several for each of them few meet in one.
-    pair, parts = ["c", "a", "b"], max(8 * n_q * n_t, records.sparkSession.sparkContext.defaultParallelism)
+    # A block is little to read and much to do, so partitions go by blocks; with many for each of them few meet in one.
+    pair, parts = ["c", "a", "b"], max(16 * n_q * n_t, records.sparkSession.sparkContext.defaultParallelism)
     dealt = lambda df: df.repartition(parts, *pair).groupBy(*pair)
     best = _best_of_block(k, terms.column("term").to_pylist(), terms.column("idf").to_numpy(), view == 2)
     return dealt(left).cogroup(dealt(right)).applyInArrow(best, "q string, t string, s double")

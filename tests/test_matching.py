@@ -296,3 +296,28 @@ def test_features_are_made_once(spark, sf):
     """Training and scoring of the stack read the same stored features; nothing is retrieved again for the scores."""
     plan = registry.queries()["stack_scores"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" not in plan and "Relation" not in plan
+
+
+def test_scores_take_no_new_memory():
+    """Batches of queries are scored in the same memory, dense terms and lists alike; each score is as near the exact one as its query's terms allow."""
+    rng = np.random.default_rng(5)
+    n, v, size = 3000, 2000, 30
+    start = np.arange(0, n * size + 1, size)
+    # Some terms are in most texts, most in few.
+    often = 1 / np.arange(1, v + 1)
+    often /= often.sum()
+    term = np.concatenate([np.sort(rng.choice(v, size, False, often)) for _ in range(n)])
+    w = rng.random(n * size)
+    w /= np.repeat(np.sqrt(np.add.reduceat(w * w, start[:-1])), size)
+    made, room = tfidf._Slice((start, term, w), np.bincount(term, minlength=v), n), tfidf._Room()
+    assert 0 < len(made.head) < v and made.sizes.sum() > 0
+    told = []
+    for lo in (0, 8):
+        wide, own = np.zeros((8, v)), [slice(start[lo + i], start[lo + i + 1]) for i in range(8)]
+        for row, x in zip(wide, own, strict=True):
+            row[term[x]] = w[x]
+        got = made.scores(wide, [(term[x], w[x]) for x in own], room)
+        want = np.add.reduceat(wide[:, term] * w, start[:-1], axis=1)
+        assert (np.abs(got - want) <= want * (size + tfidf.MORE) * tfidf.SINGLE).all() and (got[want == 0] == 0).all()
+        told.append((got, {k: id(x) for k, x in room.held.items()}))
+    assert np.shares_memory(told[0][0], told[1][0]) and told[0][1]["scores"] == told[1][1]["scores"]

@@ -16,44 +16,84 @@ the best of all. No join is on terms and none of them is hot.
 
 from __future__ import annotations
 
+import collections
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinweave.operators.lexical import VIEWS, merge_views
 
-#: Different texts of queries and of targets in a block, how many queries are multiplied at once, and how many entries of vectors are compared exactly at once.
-QUERY_BLOCK, TARGET_BLOCK, QUERIES_AT_ONCE, ENTRIES_AT_ONCE = 1 << 14, 1 << 17, 64, 1 << 20
+#: Records of queries and of targets in a block, how many queries are multiplied at once, and how many entries of vectors are compared exactly at once.
+QUERY_BLOCK, TARGET_BLOCK, QUERIES_AT_ONCE, ENTRIES_AT_ONCE = 1 << 14, 1 << 17, 384, 1 << 15
+#: Smaller blocks are made for so many tasks a core, down to so many records; so many countries are cut at most.
+TASKS, LEAST_BLOCK, MOST_CUT = 3, 1 << 13, 1 << 16
 #: Targets of a block that are vectors at the same time (some 200 MB with all that is made of them), and texts that are cut into grams at once.
 TARGETS_AT_ONCE, TEXTS_AT_ONCE = 1 << 15, 1 << 12
 #: How many terms may be dense, and what a dense term costs a pair against one that both share in a list.
 HEADS, DENSE_COST = (0, 32, 64, 128, 192, 256, 384, 512, 768, 1024), 1 / 200
+#: Columns of targets that a dense product works on at once, and queries whose whole vectors stand as rows at once.
+COLUMNS_AT_ONCE, ROWS_AT_ONCE = 1 << 13, 64
 #: Bound of the relative error of a score in single precision, for each term of a query and a few more: all products are positive, and only those of shared terms are rounded.
 SINGLE, MORE = 2.0**-23, 16
 #: Between the texts of records with the same id; no gram across it is in a vocabulary.
 BETWEEN = ("\n", "\n", " \n\n ")
-
-
-def _char_grams(x: Column) -> Column:
-    def grams(n: int) -> Column:
-        count = F.length(x) - (n - 1)
-        return F.when(count > 0, F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.substring(x, i, n))).otherwise(F.expr("cast(array() as array<string>)"))
-
-    return F.concat(grams(3), grams(4))
-
-
-def _word_grams(x: Column) -> Column:
-    words = F.filter(F.split(x, " "), lambda w: F.length(w) >= 2)
-    n = F.size(words)
-    two = F.when(n > 1, F.transform(F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0))), lambda i: F.concat(F.get(words, i), F.lit(" "), F.get(words, i + 1)))).otherwise(F.expr("cast(array() as array<string>)"))
-    return F.concat(words, two)
+#: What the text of a view is made of.
+COLUMNS = (("name", "latin_name"), ("address", "latin_address"), ("latin_name", "latin_address"))
+
+
+def _char_counts(some: list[str], m: np.ndarray) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """Grams of three and of four of texts that come m times each: terms, how often each comes, and in how many texts."""
+    joined = "".join(some)
+    letters, code = np.unique(np.frombuffer(joined.encode("utf-32-le"), "<u4"), return_inverse=True)
+    owner = np.repeat(np.arange(len(some)), [len(x) for x in some])
+    if len(code) < 3:
+        return
+    base, cut = len(letters), np.append(0, np.cumsum(letters[code] == ord("\n")))
+    three = (code[:-2].astype(np.int64) * base + code[1:-1]) * base + code[2:]
+    if base**4 >= 1 << 62:
+        three = np.unique(three, return_inverse=True)[1]
+    for n, key in ((3, three), (4, three[:-1] * base + code[3:])):
+        on = np.flatnonzero((owner[: len(key)] == owner[n - 1 :]) & (cut[n:] == cut[:-n]))
+        _, first, term = np.unique(key[on], return_index=True, return_inverse=True)
+        own, width = owner[on], len(some)
+        once = np.unique(term * width + own)
+        counts = (np.bincount(t, m[o], len(first)).astype(np.int64) for t, o in ((term, own), (once // width, once % width)))
+        yield [joined[i : i + n] for i in on[first].tolist()], *counts
+
+
+def _word_counts(some: list[str], m: np.ndarray) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
+    """The same for grams of one and of two words."""
+    total, texts_of = collections.Counter(), collections.Counter()
+    for x, n in zip(some, m.tolist(), strict=True):
+        grams = []
+        for part in x.split(BETWEEN[2]):
+            words = [y for y in part.split(" ") if len(y) >= 2]
+            grams += words + [f"{y} {z}" for y, z in zip(words, words[1:], strict=False)]
+        for g in grams:
+            total[g] += n
+        for g in set(grams):
+            texts_of[g] += n
+    yield list(total), np.array(list(total.values()), np.int64), np.array([texts_of[g] for g in total], np.int64)
+
+
+def _counts(view: int):
+    """A function of batches of (text, m), which come m times each: (term, total, df) of each batch."""
+    counted = _word_counts if view == 2 else _char_counts
+
+    def of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for term, total, df in counted(b.column("text").to_pylist(), b.column("m").to_numpy()):
+                yield pa.RecordBatch.from_arrays([pa.array(term, pa.string()), pa.array(total), pa.array(df)], ["term", "total", "df"])
+
+    return of
 
 
 def texts(records: DataFrame, view: int) -> DataFrame:
     """(id, country, text) of one view; what records of the same id and country say stands in one text, cut by BETWEEN."""
-    both = F.concat_ws(" ", F.col("latin_name"), F.col("latin_address"))
-    text = (F.concat_ws(" ", F.col("name"), F.col("latin_name")), F.concat_ws(" ", F.col("address"), F.col("latin_address")), both)[view]
+    text = F.concat_ws(" ", *COLUMNS[view])
     return records.select("id", "country", text.alias("text")).groupBy("id", "country").agg(F.array_join(F.array_sort(F.collect_list("text")), BETWEEN[view]).alias("text"))
 
 
@@ -65,13 +105,10 @@ def vocabulary(targets: DataFrame, view: int, max_features: int, sample: int | N
         targets = targets.join(chosen.distinct(), "id", "left_semi")
     else:
         n = targets.agg(F.count("*").alias("n"))
-    # Equal texts are cut once. A term comes once for each place and once more for each text that has it.
+    # Equal texts are cut once, and terms are counted by batches of texts before they are rows.
     rows = texts(targets, view).groupBy("text").agg(F.count("*").alias("m"))
-    grams = F.flatten(F.transform(F.split("text", BETWEEN[view]), _word_grams if view == 2 else _char_grams))
-    told = lambda found, first: F.transform(found, lambda g: F.struct(g.alias("term"), F.lit(first).alias("first")))
-    rows = rows.select("m", grams.alias("grams")).select("m", F.explode(F.concat(told(F.col("grams"), False), told(F.array_distinct("grams"), True))).alias("g"))
-    of = lambda first: F.sum(F.when(F.col("g.first") == F.lit(first), F.col("m")))
-    top = rows.groupBy("g.term").agg(of(False).alias("total"), of(True).alias("df")).orderBy(F.desc("total"), "term").limit(max_features)
+    found = rows.mapInArrow(_counts(view), "term string, total long, df long")
+    top = found.groupBy("term").agg(F.sum("total").alias("total"), F.sum("df").alias("df")).orderBy(F.desc("total"), "term").limit(max_features)
     return top.crossJoin(F.broadcast(n)).select("term", "df", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
@@ -171,9 +208,9 @@ class _Slice:
         rest = shared.sum() - np.append(0, np.cumsum(shared[order]))
         heads = [h for h in HEADS if h < len(rest)]
         self.head = order[: min(heads, key=lambda h: h * DENSE_COST + rest[h] / max(1, n * n_asked))]
-        column = np.full(v, -1, np.int32)
-        column[self.head] = np.arange(len(self.head))
-        owner, at = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start)), column[self.term]
+        self.column = np.full(v, -1, np.int32)
+        self.column[self.head] = np.arange(len(self.head))
+        owner, at = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start)), self.column[self.term]
         self.dense = np.zeros((len(self.head), n), np.float32)
         self.dense[at[at >= 0], owner[at >= 0]] = self.w[at >= 0]
         tail = np.flatnonzero((at < 0) & (asked[self.term] > 0))
@@ -184,8 +221,13 @@ class _Slice:
 
     def scores(self, wide: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], room: _Room) -> np.ndarray:
         """Of each query (a row of wide; its terms and weights) and target, in single precision; they stand in the room until the next call."""
+        return self.products(wide[:, self.head].astype(np.float32), vectors, room)
+
+    def products(self, heads: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], room: _Room) -> np.ndarray:
+        """Scores, by the queries' weights of the dense terms."""
         out = room.of("scores", len(vectors) * self.n, np.float32).reshape(len(vectors), self.n)
-        np.matmul(wide[:, self.head].astype(np.float32), self.dense, out=out)
+        for lo in range(0, self.n, COLUMNS_AT_ONCE):
+            np.matmul(heads, self.dense[:, lo : lo + COLUMNS_AT_ONCE], out=out[:, lo : lo + COLUMNS_AT_ONCE])
         for row, (term, w) in zip(out, vectors, strict=True):
             size = self.sizes[term]
             on = np.flatnonzero(size)
@@ -215,7 +257,11 @@ class _Slice:
 
 def _best_of_block(k: int, terms: list[str], idf: np.ndarray, words: bool):
     """A function of a block of queries and one of targets (ids, text): (q, t, s) of each query's k best, s rounded to six places, ties by t."""
-    at_once, most, slices = QUERIES_AT_ONCE, ENTRIES_AT_ONCE, TARGETS_AT_ONCE
+    rows_at_once, most, slices = min(ROWS_AT_ONCE, QUERIES_AT_ONCE), ENTRIES_AT_ONCE, TARGETS_AT_ONCE
+    at_once = QUERIES_AT_ONCE // rows_at_once * rows_at_once
+    if words:
+        # Vectors are short, and few terms are dense.
+        at_once, slices = rows_at_once, 2 * slices
 
     def best(asked: pa.Table, stored: pa.Table) -> pa.Table:
         out: list[tuple[str, str, float]] = []
@@ -225,29 +271,41 @@ def _best_of_block(k: int, terms: list[str], idf: np.ndarray, words: bool):
             n, many = asked.num_rows, np.bincount(term, minlength=len(terms))
             close = 1 - (np.diff(start) + MORE) * SINGLE
             top, hits = np.zeros((n, k)), [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
-            wide = np.zeros((min(at_once, n), len(terms)))
+            wide = np.zeros((min(rows_at_once, n), len(terms)))
             for first in range(0, stored.num_rows, slices):
                 targets = _Slice(known.vectors(stored.column("text").slice(first, slices).to_pylist()), many, n)
                 found = [hits]
-                for lo in range(0, n, at_once):
-                    hi = min(lo + at_once, n)
-                    vectors = [(term[start[i] : start[i + 1]], w[start[i] : start[i + 1]]) for i in range(lo, hi)]
+                for lo in range(0, n, rows_at_once):
+                    hi = min(lo + rows_at_once, n)
+                    if lo % at_once == 0:
+                        end = min(lo + at_once, n)
+                        own, column = np.repeat(np.arange(end - lo), np.diff(start[lo : end + 1])), targets.column[term[start[lo] : start[end]]]
+                        heads = np.zeros((end - lo, len(targets.head)), np.float32)
+                        heads[own[column >= 0], column[column >= 0]] = w[start[lo] : start[end]][column >= 0]
+                        all_scores = targets.products(heads, [(term[start[i] : start[i + 1]], w[start[i] : start[i + 1]]) for i in range(lo, end)], room)
+                    scores = all_scores[lo % at_once :][: hi - lo]
                     at = (np.repeat(np.arange(hi - lo), np.diff(start[lo : hi + 1])), term[start[lo] : start[hi]])
                     wide[at] = w[start[lo] : start[hi]]
-                    scores = targets.scores(wide[: hi - lo], vectors, room)
                     least = top[lo:hi].min(axis=1)
                     if targets.n > k:
                         # Who has no k targets yet has them after this slice, or takes all of it.
-                        for j in np.flatnonzero(least == 0):
-                            least[j] = np.partition(scores[j], targets.n - k)[targets.n - k] * close[lo + j]
+                        # So many bests of parts of the slice as k are enough to know a bound.
+                        new, deep = np.flatnonzero(least == 0), max(1, targets.n // (32 * k))
+                        parts = targets.n // deep
+                        if len(new):
+                            bests = scores[:, : deep * parts].reshape(hi - lo, deep, parts).max(axis=1)[new]
+                            least[new] = np.partition(bests, parts - k, axis=1)[:, parts - k] * close[lo + new]
                     near = room.of("near", scores.size, np.bool_)
                     np.greater_equal(scores, np.maximum(least * close[lo:hi] - 1e-6, 1e-7)[:, None].astype(np.float32), out=near.reshape(scores.shape))
                     rows, columns = np.divmod(np.flatnonzero(near), targets.n)
                     s = targets.exact(wide, rows, columns, most)
                     wide[at] = 0
-                    on = s > 0
+                    # A k-th best in single precision may be a little above the one that it becomes by rounding.
+                    on = (s > 0) & (s >= least[rows] - 1e-6)
                     rows, columns, s = rows[on], columns[on], s[on]
                     found.append([rows + lo, columns + first, s])
+                    on = s > top[lo:hi].min(axis=1)[rows]
+                    rows, s = rows[on], s[on]
                     for j, own in zip(np.unique(rows), np.split(s, np.flatnonzero(np.diff(rows)) + 1), strict=False):
                         both = np.append(top[lo + j], own)
                         top[lo + j] = np.partition(both, len(both) - k)[len(both) - k :]
@@ -267,6 +325,40 @@ def _best_of_block(k: int, terms: list[str], idf: np.ndarray, words: bool):
     return best
 
 
+def _cuts(queries: DataFrame, targets: DataFrame, country: Column) -> list[tuple[str, int, int]]:
+    """Countries that are cut, with the number of blocks of queries and of targets: no block is too large, every core has some, and a country has its share of them."""
+    size = lambda df, n: df.groupBy(country.alias("c")).agg(F.count("*").alias(n))
+    both = size(queries, "q").join(size(targets, "t"), "c")
+    rows = both.orderBy(F.desc(F.greatest(F.col("q") / QUERY_BLOCK, F.col("t") / TARGET_BLOCK)), "c").limit(MOST_CUT).collect()
+    cores, pairs, out = queries.sparkSession.sparkContext.defaultParallelism, sum(r["q"] * r["t"] for r in rows), []
+    for c, q, t in rows:
+        share, n_q, n_t = cores * q * t / pairs, -(-q // QUERY_BLOCK), -(-t // TARGET_BLOCK)
+        while n_q * n_t < TASKS * share and max(q / n_q, t / n_t) > LEAST_BLOCK:
+            n_q, n_t = (n_q + 1, n_t) if q / n_q >= t / n_t else (n_q, n_t + 1)
+        # Small tables are cut finer still.
+        n_q = max(n_q, -int(-share // n_t))
+        if n_q * n_t > 1:
+            out.append((c, n_q, n_t))
+    return out
+
+
+def _pair_places(spark: SparkSession, cuts: list[tuple[str, int, int]], parts: int) -> list[tuple[str, int, int, int]]:
+    """(country, block of queries, block of targets, place) of every pair of blocks: hashes of country and place differ, so that each has a task of its own."""
+    tries = spark.createDataFrame([(c, 64 + 8 * n_q * n_t) for c, n_q, n_t in cuts], "c string, n int")
+    told = tries.select("c", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("place")).select("c", "place", F.pmod(F.hash("c", "place"), F.lit(parts)).alias("part"))
+    found, taken, out = collections.defaultdict(list), set(), []
+    for c, place, part in sorted(map(tuple, told.collect())):
+        found[c].append((place, part))
+    for c, n_q, n_t in cuts:
+        free, other = [], []
+        for place, part in found[c]:
+            (other if part in taken or len(free) == n_q * n_t else free).append(place)
+            if free and free[-1] == place:
+                taken.add(part)
+        out += [(c, i // n_t, i % n_t, place) for i, place in enumerate((free + other)[: n_q * n_t])]
+    return out
+
+
 def block_hits(records: DataFrame, view: int, k: int, max_features: int, country_block: bool, sample: int | None = None, index: tuple | None = None) -> DataFrame:
     """(q, t, s): of each query the k best targets of every block, with their cosine rounded to six places.
 
@@ -276,34 +368,42 @@ def block_hits(records: DataFrame, view: int, k: int, max_features: int, country
     queries, targets = records.where("source = 1"), records.where("source in (2, 3)")
     vocab, stored = index or (vocabulary(targets, view, max_features, sample), texts(targets, view))
     terms = vocab.select("term", "idf").toArrow()
-    n_q, n_t = (max(1, -(-df.count() // size)) for df, size in ((queries, QUERY_BLOCK), (stored if index else targets, TARGET_BLOCK)))
-    # Small tables are cut finer, to give every core something.
-    n_q = max(n_q, -(-records.sparkSession.sparkContext.defaultParallelism // n_t))
     country = F.col("country") if country_block else F.lit("")
-    block = lambda n: F.pmod(F.xxhash64("text"), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    spark, cuts = records.sparkSession, _cuts(queries, stored if index else targets, country)
+    parts = max(2 * sum(n_q * n_t for _, n_q, n_t in cuts), spark.sparkContext.defaultParallelism)
+    sizes = F.broadcast(spark.createDataFrame(cuts, "c string, n_q int, n_t int"))
+    places = F.broadcast(spark.createDataFrame(_pair_places(spark, cuts, parts), "c string, a int, b int, place int"))
+    block = lambda n: F.pmod(F.xxhash64("text"), F.coalesce(n, F.lit(1))).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.coalesce(n, F.lit(1)) - 1))
     # All ids of an equal query; of equal targets the first k can be among the best.
     asked = texts(queries, view).groupBy(country.alias("c"), "text").agg(F.collect_list("id").alias("ids"))
     same = Window.partitionBy("c", "text").orderBy("id")
     few = stored.select("id", country.alias("c"), "text").withColumn("n", F.row_number().over(same)).where(F.col("n") <= k).groupBy("c", "text").agg(F.collect_list("id").alias("ids"))
-    left = asked.select("ids", "text", "c", block(n_q).alias("a"), every(n_t).alias("b"))
-    right = few.select("ids", "text", "c", block(n_t).alias("b"), every(n_q).alias("a"))
-    # A block is little to read and much to do, so partitions go by blocks; with many for each of them few meet in one.
-    pair, parts = ["c", "a", "b"], max(16 * n_q * n_t, records.sparkSession.sparkContext.defaultParallelism)
-    dealt = lambda df: df.repartition(parts, *pair).groupBy(*pair)
+    left = asked.join(sizes, "c", "left").select("ids", "text", "c", block("n_q").alias("a"), every("n_t").alias("b"))
+    right = few.join(sizes, "c", "left").select("ids", "text", "c", block("n_t").alias("b"), every("n_q").alias("a"))
+    # A block is little to read and much to do, so partitions go by blocks.
+    pair = ["c", "place"]
+    dealt = lambda df: df.join(places, ["c", "a", "b"], "left").select("ids", "text", "c", F.coalesce("place", F.lit(0)).alias("place")).repartition(parts, *pair).groupBy(*pair)
     best = _best_of_block(k, terms.column("term").to_pylist(), terms.column("idf").to_numpy(), view == 2)
     return dealt(left).cogroup(dealt(right)).applyInArrow(best, "q string, t string, s double")
 
 
+def _once(records: DataFrame, *columns: str) -> DataFrame:
+    """The records' columns as a table in the cluster's checkpoint folder, as they are read again and again; without such a folder as they are."""
+    spark, narrow = records.sparkSession, records.select("id", "source", "country", *columns, *(c for c in records.columns if c == "h"))
+    there = spark.conf.get("spark.checkpoint.dir", None) or not spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty()
+    return narrow.checkpoint() if there else narrow
+
+
 def top_of_view(records: DataFrame, view: int, k: int, max_features: int, country_block: bool = True, sample: int | None = None) -> DataFrame:
     """(q, t, s, rank) of the best k targets of each query."""
-    best = Window.partitionBy("q").orderBy(F.desc("s"), "t")
+    records, best = _once(records, *COLUMNS[view]), Window.partitionBy("q").orderBy(F.desc("s"), "t")
     return block_hits(records, view, k, max_features, country_block, sample).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
 def candidates(records: DataFrame, k: int, max_features: int, country_block: bool = True, sample: int | None = None, index: list | None = None) -> DataFrame:
     """Union of the best k of each view, as ``lexical.candidates``. index: of each view the vocabulary and texts of the targets."""
-    long = None
+    long, records = None, records if index else _once(records, *COLUMNS[0], *COLUMNS[1])
     for v in range(len(VIEWS)):
         one = block_hits(records, v, k, max_features, country_block, sample, index and index[v]).withColumn("view", F.lit(v))
         long = one if long is None else long.unionByName(one)

@@ -321,3 +321,52 @@ def test_scores_take_no_new_memory():
         assert (np.abs(got - want) <= want * (size + tfidf.MORE) * tfidf.SINGLE).all() and (got[want == 0] == 0).all()
         told.append((got, {k: id(x) for k, x in room.held.items()}))
     assert np.shares_memory(told[0][0], told[1][0]) and told[0][1]["scores"] == told[1][1]["scores"]
+
+
+def test_terms_are_counted_before_they_are_rows(spark, monkeypatch):
+    """Vocabularies by definition, of odd texts too; what is exploded or shuffled is not a row for each place of a term."""
+    wide = "".join(chr(0x3400 + i) for i in range(26_000)) + "".join(chr(0x20000 + i) for i in range(14_000))
+    said = [("a", "abcab cab ab"), ("a", "cabab"), ("b", "abcab cab ab"), ("c", "abcab cab ab"), ("d", ""), ("e", "x"), ("f", "ab a ab a bc  ab"), ("g", wide), ("h", "\U00020000\U00020001" * 3)]
+    rows = spark.createDataFrame([(i, 2, "c", x) for i, x in said], "id string, source int, country string, name string").withColumns({c: F.col("name") for c in ("latin_name", "address", "latin_address")})
+    for view in (0, 2):
+        counts = collections.defaultdict(collections.Counter)
+        for i, x in said:
+            text = f"{x} {x}"
+            w = [y for y in text.split(" ") if len(y) > 1]
+            counts[i].update(w + [f"{y} {z}" for y, z in itertools.pairwise(w)] if view == 2 else [text[j : j + n] for n in (3, 4) for j in range(len(text) - n + 1)])
+        total, df = collections.Counter(), collections.Counter()
+        for c in counts.values():
+            total.update(c)
+            df.update(set(c))
+        want = [(t, df[t], pytest.approx(np.log(10 / (1 + df[t])) + 1)) for t in sorted(total, key=lambda t: (-total[t], t))]
+        for most in (7, 1 << 20):
+            got = tfidf.vocabulary(rows, view, most)
+            assert sorted(map(tuple, got.collect())) == sorted(want[:most]) and "Generate" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_countries_are_cut_by_their_share(spark, train, monkeypatch):
+    """A country gets blocks by its share of the pairs, so that targets aren't made vectors again for a few queries; every pair of blocks has a task of its own."""
+    rows = train.withColumn("country", F.when(F.substring("id", -1, 1) == "0", "small").otherwise("large"))
+
+    def told(*_):
+        def size(asked, stored):
+            import pyarrow as pa
+            from pyspark import TaskContext
+
+            part = str(TaskContext.get().partitionId())
+            return pa.table({"q": [asked.column("c")[0].as_py()], "t": [part], "s": [float(stored.num_rows)]}) if asked.num_rows and stored.num_rows else pa.table({"q": pa.array([], pa.string()), "t": pa.array([], pa.string()), "s": pa.array([], pa.float64())})
+
+        return size
+
+    with monkeypatch.context() as m:
+        m.setattr(tfidf, "_best_of_block", told)
+        blocks = tfidf.block_hits(rows, 0, 5, 300, True).collect()
+        cores = spark.sparkContext.defaultParallelism
+        of = collections.Counter(r["q"] for r in blocks)
+        assert of["small"] == 1 and cores <= of["large"] + 1 <= cores + 1 and len({r["t"] for r in blocks if r["q"] == "large"}) == of["large"]
+        m.setattr(tfidf, "LEAST_BLOCK", 20)
+        cuts = {c: (n_q, n_t) for c, n_q, n_t in tfidf._cuts(rows.where("source = 1"), rows.where("source != 1"), F.col("country"))}
+        q, t = rows.where("source = 1 and country = 'large'").count(), rows.where("source != 1 and country = 'large'").count()
+        n_q, n_t = cuts["large"]
+        assert n_q > 1 and n_t > 1 and n_q * n_t >= min(2 * cores, (q / 20) * (t / 20)) and q / n_q < 2 * t / n_t < 8 * q / n_q
+    assert tfidf._cuts(rows.where("source = 7"), rows, F.col("country")) == [] and tfidf.top_of_view(rows.where("source != 1"), 0, 5, 300).count() == 0

@@ -370,3 +370,13 @@ def test_countries_are_cut_by_their_share(spark, train, monkeypatch):
         n_q, n_t = cuts["large"]
         assert n_q > 1 and n_t > 1 and n_q * n_t >= min(2 * cores, (q / 20) * (t / 20)) and q / n_q < 2 * t / n_t < 8 * q / n_q
     assert tfidf._cuts(rows.where("source = 7"), rows, F.col("country")) == [] and tfidf.top_of_view(rows.where("source != 1"), 0, 5, 300).count() == 0
+
+
+def test_products_of_many_queries_by_parts_of_slices(spark, train, monkeypatch):
+    """Batches of other sizes than the rows that stand whole at once, and slices of few targets, give the same."""
+    found = lambda: sorted(map(tuple, tfidf.top_of_view(train, 0, 3, 300).collect()))
+    want = found()
+    for sizes in ((7, 3, 200), (64, 64, 16)):
+        for name, size in zip(("QUERIES_AT_ONCE", "ROWS_AT_ONCE", "TARGETS_AT_ONCE"), sizes, strict=True):
+            monkeypatch.setattr(tfidf, name, size)
+        assert found() == want

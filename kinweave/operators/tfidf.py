@@ -33,9 +33,13 @@ TASKS, LEAST_BLOCK, MOST_CUT = 3, 1 << 13, 1 << 16
 #: Targets of a block that are vectors at the same time (some 200 MB with all that is made of them), and texts that are cut into grams at once.
 TARGETS_AT_ONCE, TEXTS_AT_ONCE = 1 << 15, 1 << 12
 #: How many terms may be dense, and what a dense term costs a pair against one that both share in a list.
-HEADS, DENSE_COST = (0, 32, 64, 128, 192, 256, 384, 512, 768, 1024), 1 / 200
-#: Columns of targets that a dense product works on at once, and queries whose whole vectors stand as rows at once.
-COLUMNS_AT_ONCE, ROWS_AT_ONCE = 1 << 13, 64
+HEADS, DENSE_COST = (0, 32, 64, 128, 192, 256, 384, 512, 768, 1024), 1 / 300
+#: Frequent terms are replaced by directions from so many on, if these leave so much of the targets' squares and if a pair costs so much of what it does otherwise.
+LEAST_TURNED, LEFT, WORTH = 256, 0.02, 0.85
+#: For a first bound so many times k of a query's likely best are worked out.
+FIRST = 2
+#: Columns of targets that a dense product works on at once, queries whose whole vectors stand as rows at once, and queries whose lists are copied at once.
+COLUMNS_AT_ONCE, ROWS_AT_ONCE, LISTS_AT_ONCE = 1 << 13, 64, 4
 #: Bound of the relative error of a score in single precision, for each term of a query and a few more: all products are positive, and only those of shared terms are rounded.
 SINGLE, MORE = 2.0**-23, 16
 #: Between the texts of records with the same id; no gram across it is in a vocabulary.
@@ -44,24 +48,37 @@ BETWEEN = ("\n", "\n", " \n\n ")
 COLUMNS = (("name", "latin_name"), ("address", "latin_address"), ("latin_name", "latin_address"))
 
 
+def _numbers(key: np.ndarray, most: int) -> tuple[np.ndarray, int]:
+    """Numbers 0, 1, ... of the different values below ``most``, and how many there are; by a table if it is small, as sorting takes longer."""
+    if most > 1 << 22:
+        values, number = np.unique(key, return_inverse=True)
+        return number, len(values)
+    seen = np.zeros(most, np.bool_)
+    seen[key] = True
+    table = np.cumsum(seen, dtype=np.int64)
+    return table[key] - 1, int(table[-1])
+
+
 def _char_counts(some: list[str], m: np.ndarray) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
     """Grams of three and of four of texts that come m times each: terms, how often each comes, and in how many texts."""
     joined = "".join(some)
-    letters, code = np.unique(np.frombuffer(joined.encode("utf-32-le"), "<u4"), return_inverse=True)
+    letter = np.frombuffer(joined.encode("utf-32-le"), "<u4")
     owner = np.repeat(np.arange(len(some)), [len(x) for x in some])
-    if len(code) < 3:
+    if len(letter) < 3:
         return
-    base, cut = len(letters), np.append(0, np.cumsum(letters[code] == ord("\n")))
-    three = (code[:-2].astype(np.int64) * base + code[1:-1]) * base + code[2:]
-    if base**4 >= 1 << 62:
-        three = np.unique(three, return_inverse=True)[1]
-    for n, key in ((3, three), (4, three[:-1] * base + code[3:])):
+    code, base = _numbers(letter, 0x110000)
+    cut = np.append(0, np.cumsum(letter == ord("\n")))
+    two, pairs = _numbers(code[:-1] * base + code[1:], base**2)
+    three, threes = _numbers(two[:-1] * base + code[2:], pairs * base)
+    for n, key, most in ((3, three, threes), (4, three[:-1] * base + code[3:], threes * base)):
         on = np.flatnonzero((owner[: len(key)] == owner[n - 1 :]) & (cut[n:] == cut[:-n]))
-        _, first, term = np.unique(key[on], return_index=True, return_inverse=True)
-        own, width = owner[on], len(some)
-        once = np.unique(term * width + own)
-        counts = (np.bincount(t, m[o], len(first)).astype(np.int64) for t, o in ((term, own), (once // width, once % width)))
-        yield [joined[i : i + n] for i in on[first].tolist()], *counts
+        term, many = _numbers(key[on], most)
+        own, place = owner[on], np.zeros(many, np.int64)
+        place[term] = on
+        once = np.sort(own * many + term)
+        once = once[np.append(True, once[1:] != once[:-1])] if len(once) else once
+        counts = (np.bincount(t, m[o], many).astype(np.int64) for t, o in ((term, own), (once % max(1, many), once // max(1, many))))
+        yield [joined[i : i + n] for i in place.tolist()], *counts
 
 
 def _word_counts(some: list[str], m: np.ndarray) -> Iterator[tuple[list[str], np.ndarray, np.ndarray]]:
@@ -184,6 +201,14 @@ def _places(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
 
 
+def _numbered(of: tuple, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors by other numbers of terms; what has none is left out."""
+    start, term, w = of
+    term = number[term]
+    on = term >= 0
+    return np.append(0, np.cumsum(on))[start], term[on], w[on]
+
+
 class _Room:
     """Memory that is used again: what is taken anew for each batch comes from the system page by page, which takes longer than the arithmetic in it."""
 
@@ -196,49 +221,125 @@ class _Room:
         return self.held[name][:n]
 
 
+def _above(scores: np.ndarray, bound: np.ndarray, room: _Room) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of scores that reach their row's bound. They are few, so eight places are looked at together."""
+    near = room.of("near", -(-scores.size // 8) * 8, np.bool_)
+    near[scores.size :] = False
+    np.greater_equal(scores, bound[:, None], out=near[: scores.size].reshape(scores.shape))
+    eight = np.flatnonzero(near.view(np.uint64))
+    which, one = np.nonzero(near.reshape(-1, 8)[eight])
+    return np.divmod(8 * eight[which] + one, scores.shape[1])
+
+
+def _by_use(term: np.ndarray, asked: np.ndarray, n: int, n_asked: int) -> tuple[np.ndarray, np.ndarray]:
+    """Terms by the pairs of a query and one of n targets that share them, and for each number of first ones how many of the others a pair shares."""
+    shared = asked * np.bincount(term, minlength=len(asked))
+    order = np.argsort(-shared, kind="stable")
+    return order, (shared.sum() - np.append(0, np.cumsum(shared[order]))) / max(1, n * n_asked)
+
+
+def _heads(rest: np.ndarray) -> tuple[float, int]:
+    """What a pair costs, in entries of lists, with as many dense terms as are best."""
+    return min((h * DENSE_COST + rest[h], h) for h in HEADS if h < len(rest))
+
+
+def _axes(of: tuple, asked: np.ndarray, n_asked: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """Frequent terms, and directions (terms x directions, orthonormal) in which targets have nearly all of their weight of these; none if that is not less to do.
+
+    Grams of the same words come together, so that there are far fewer directions than terms.
+    """
+    (start, term, w), n = of, min(len(of[0]) - 1, TEXTS_AT_ONCE)
+    order, rest = _by_use(term, asked, len(start) - 1, n_asked)
+    tried = [h for h in HEADS if LEAST_TURNED <= h < len(rest)]
+    if min(n, n_asked) < 2 * LEAST_TURNED or not tried:
+        return None
+    column = np.full(len(asked), -1)
+    column[order[: tried[-1]]] = np.arange(tried[-1])
+    at, owner = column[term[: start[n]]], np.repeat(np.arange(n), np.diff(start[: n + 1]))
+    dense = np.zeros((tried[-1], n), np.float32)
+    dense[at[at >= 0], owner[at >= 0]] = w[: start[n]][at >= 0]
+    both, found = (dense @ dense.T).astype(np.float64) / n, []
+    for h in tried:
+        left = np.cumsum(np.maximum(np.linalg.eigvalsh(both[:h, :h]), 0))
+        many = h - int(np.searchsorted(left, LEFT, "right"))
+        found.append(((many + 1) * DENSE_COST + rest[h], h, many))
+    cost, h, many = min(found)
+    if many == 0 or cost > WORTH * _heads(rest)[0]:
+        return None
+    return order[:h], np.ascontiguousarray(np.linalg.eigh(both[:h, :h])[1][:, h - many :], np.float32)
+
+
 class _Slice:
-    """Some targets as a dense block of frequent terms and postings of the others, for the queries of a block."""
+    """Some targets as a dense block of frequent terms and postings of the others, for the queries of a block.
 
-    def __init__(self, of: tuple, asked: np.ndarray, n_asked: int):
+    With axes the dense block has directions instead of terms, and the length of what
+    is left of a target beyond them: products of lengths bound those of what is left,
+    so that scores are bounds from above, but for ``margin``.
+    """
+
+    def __init__(self, of: tuple, asked: np.ndarray, n_asked: int, axes: tuple | None = None):
         """asked: how many queries have a term."""
         (self.start, self.term, self.w), n = of, len(of[0]) - 1
-        self.n, v = n, len(asked)
-        shared = asked * np.bincount(self.term, minlength=v)
-        order = np.argsort(-shared, kind="stable")
-        rest = shared.sum() - np.append(0, np.cumsum(shared[order]))
-        heads = [h for h in HEADS if h < len(rest)]
-        self.head = order[: min(heads, key=lambda h: h * DENSE_COST + rest[h] / max(1, n * n_asked))]
+        self.n, v, self.axes, self.margin, self.kind = n, len(asked), None, 0.0, np.uint16 if n <= 1 << 16 else np.int32
+        if axes:
+            self.head, self.axes = axes
+            self.margin = (sum(self.axes.shape) + MORE) * SINGLE
+        else:
+            order, rest = _by_use(self.term, asked, n, n_asked)
+            self.head = order[: _heads(rest)[1]]
         self.column = np.full(v, -1, np.int32)
         self.column[self.head] = np.arange(len(self.head))
-        owner, at = np.repeat(np.arange(n, dtype=np.int32), np.diff(self.start)), self.column[self.term]
-        self.dense = np.zeros((len(self.head), n), np.float32)
-        self.dense[at[at >= 0], owner[at >= 0]] = self.w[at >= 0]
+        at = self.column[self.term]
+        self.dense = np.empty((self.axes.shape[1] + 1 if axes else len(self.head), n), np.float32)
+        for lo in range(0, n, COLUMNS_AT_ONCE):
+            hi = min(lo + COLUMNS_AT_ONCE, n)
+            self.dense[:, lo:hi] = self.turned(self.rows(lo, hi, self.start, self.term, self.w)).T
         tail = np.flatnonzero((at < 0) & (asked[self.term] > 0))
-        tail = tail[np.argsort(self.term[tail], kind="stable")]
-        self.listed, self.weight = owner[tail], self.w[tail].astype(np.float32)
+        owner = np.repeat(np.arange(n), np.diff(self.start))[tail]
+        by_term = np.argsort(self.term[tail] * n + owner)
         self.sizes = np.bincount(self.term[tail], minlength=v)
-        self.ends = np.cumsum(self.sizes)
+        ends = np.append(0, np.cumsum(self.sizes))
+        #: Of each term the targets that have it and their weights, as bytes: so all lists of a query are copied at once.
+        self.listed, self.weight = (pa.Array.from_buffers(pa.large_binary(), v, [None, pa.py_buffer(ends * x.itemsize), pa.py_buffer(x)]) for x in (owner[by_term].astype(self.kind), self.w[tail[by_term]].astype(np.float32)))
+
+    def rows(self, lo: int, hi: int, start: np.ndarray, term: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Weights of the frequent terms in vectors from lo to hi, a row for each."""
+        out, some = np.zeros((hi - lo, len(self.head)), np.float32), slice(start[lo], start[hi])
+        own, column = np.repeat(np.arange(hi - lo), np.diff(start[lo : hi + 1])), self.column[term[some]]
+        out[own[column >= 0], column[column >= 0]] = w[some][column >= 0]
+        return out
+
+    def turned(self, rows: np.ndarray) -> np.ndarray:
+        """Rows of weights by the axes, with the length of what is left; without axes as they are."""
+        if self.axes is None:
+            return rows
+        out = np.empty((len(rows), self.axes.shape[1] + 1), np.float32)
+        along, square = np.matmul(rows, self.axes, out=out[:, :-1]), np.einsum("ij,ij->i", rows, rows)
+        # What single precision may lose of a square is added.
+        out[:, -1] = np.where(square > 0, np.sqrt(np.maximum(square - np.einsum("ij,ij->i", along, along), 0) + self.margin), 0)
+        return out
 
     def scores(self, wide: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], room: _Room) -> np.ndarray:
         """Of each query (a row of wide; its terms and weights) and target, in single precision; they stand in the room until the next call."""
-        return self.products(wide[:, self.head].astype(np.float32), vectors, room)
+        return self.products(self.turned(wide[:, self.head].astype(np.float32)), vectors, room)
 
     def products(self, heads: np.ndarray, vectors: list[tuple[np.ndarray, np.ndarray]], room: _Room) -> np.ndarray:
-        """Scores, by the queries' weights of the dense terms."""
+        """Scores, by the queries' turned weights of the frequent terms."""
         out = room.of("scores", len(vectors) * self.n, np.float32).reshape(len(vectors), self.n)
         for lo in range(0, self.n, COLUMNS_AT_ONCE):
             np.matmul(heads, self.dense[:, lo : lo + COLUMNS_AT_ONCE], out=out[:, lo : lo + COLUMNS_AT_ONCE])
-        for row, (term, w) in zip(out, vectors, strict=True):
-            size = self.sizes[term]
-            on = np.flatnonzero(size)
-            size, to = size[on], 0
+        for lo in range(0, len(vectors), LISTS_AT_ONCE):
+            term, w = (np.concatenate(x) for x in zip(*vectors[lo : lo + LISTS_AT_ONCE], strict=True))
+            size, which = self.sizes[term], pa.array(term)
             many = int(size.sum())
-            at, x = room.of("at", many, np.int64), room.of("x", many, np.float32)
-            for e, n, y in zip(self.ends[term[on]].tolist(), size.tolist(), w[on].tolist(), strict=True):
-                at[to : to + n] = self.listed[e - n : e]
-                np.multiply(self.weight[e - n : e], y, out=x[to : to + n])
-                to += n
-            np.add.at(row, at, x)
+            if many:
+                at, x = (np.frombuffer(lists.take(which).buffers()[2], kind, many) for lists, kind in ((self.listed, self.kind), (self.weight, np.float32)))
+                to, y = room.of("at", many, np.int64), np.repeat(w.astype(np.float32), size)
+                to[:] = at
+                y *= x
+                ends = np.append(0, np.cumsum(size))[np.cumsum([0, *(len(v[0]) for v in vectors[lo : lo + LISTS_AT_ONCE])])].tolist()
+                for row, i, j in zip(out[lo : lo + LISTS_AT_ONCE], ends, ends[1:], strict=False):
+                    np.add.at(row, to[i:j], y[i:j])
         return out
 
     def exact(self, wide: np.ndarray, rows: np.ndarray, columns: np.ndarray, most: int) -> np.ndarray:
@@ -250,7 +351,7 @@ class _Slice:
             hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] - size[lo] + most, "right")))
             n = size[lo:hi]
             at = _places(self.start[columns[lo:hi]], n)
-            out[lo:hi] = np.add.reduceat(wide[np.repeat(rows[lo:hi], n), self.term[at]] * self.w[at], np.cumsum(n) - n)
+            out[lo:hi] = np.add.reduceat(wide.reshape(-1).take(np.repeat(rows[lo:hi] * wide.shape[1], n) + self.term[at]) * self.w[at], np.cumsum(n) - n)
             lo = hi
         return np.round(out, 6)
 
@@ -268,20 +369,25 @@ def _best_of_block(k: int, terms: list[str], idf: np.ndarray, words: bool):
         if asked.num_rows and stored.num_rows and len(terms):
             known, room = _Terms(terms, idf, words), _Room()
             start, term, w = known.vectors(asked.column("text").to_pylist())
-            n, many = asked.num_rows, np.bincount(term, minlength=len(terms))
+            axes: tuple | None = None
+            # Terms of queries are numbered anew, the most frequent first, so that what is looked up most stands together; others of targets add nothing.
+            n, many, number = asked.num_rows, np.bincount(term, minlength=len(terms)), np.full(len(terms), -1)
+            used = np.argsort(-many, kind="stable")[: np.count_nonzero(many)]
+            number[used] = np.arange(len(used))
+            many, term = many[used], number[term]
             close = 1 - (np.diff(start) + MORE) * SINGLE
             top, hits = np.zeros((n, k)), [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
-            wide = np.zeros((min(rows_at_once, n), len(terms)))
+            wide = np.zeros((min(rows_at_once, n), len(many)))
             for first in range(0, stored.num_rows, slices):
-                targets = _Slice(known.vectors(stored.column("text").slice(first, slices).to_pylist()), many, n)
+                made = _numbered(known.vectors(stored.column("text").slice(first, slices).to_pylist()), number)
+                axes = axes if first else _axes(made, many, n)
+                targets = _Slice(made, many, n, axes)
                 found = [hits]
                 for lo in range(0, n, rows_at_once):
                     hi = min(lo + rows_at_once, n)
                     if lo % at_once == 0:
                         end = min(lo + at_once, n)
-                        own, column = np.repeat(np.arange(end - lo), np.diff(start[lo : end + 1])), targets.column[term[start[lo] : start[end]]]
-                        heads = np.zeros((end - lo, len(targets.head)), np.float32)
-                        heads[own[column >= 0], column[column >= 0]] = w[start[lo] : start[end]][column >= 0]
+                        heads = targets.turned(targets.rows(lo, end, start, term, w))
                         all_scores = targets.products(heads, [(term[start[i] : start[i + 1]], w[start[i] : start[i + 1]]) for i in range(lo, end)], room)
                     scores = all_scores[lo % at_once :][: hi - lo]
                     at = (np.repeat(np.arange(hi - lo), np.diff(start[lo : hi + 1])), term[start[lo] : start[hi]])
@@ -289,15 +395,18 @@ def _best_of_block(k: int, terms: list[str], idf: np.ndarray, words: bool):
                     least = top[lo:hi].min(axis=1)
                     if targets.n > k:
                         # Who has no k targets yet has them after this slice, or takes all of it.
-                        # So many bests of parts of the slice as k are enough to know a bound.
-                        new, deep = np.flatnonzero(least == 0), max(1, targets.n // (32 * k))
+                        # The exact scores of some of the best, as many as parts of the slice at least, give a bound.
+                        new, deep = np.flatnonzero(least == 0), max(1, targets.n // (32 * FIRST * k))
                         parts = targets.n // deep
                         if len(new):
                             bests = scores[:, : deep * parts].reshape(hi - lo, deep, parts).max(axis=1)[new]
-                            least[new] = np.partition(bests, parts - k, axis=1)[:, parts - k] * close[lo + new]
-                    near = room.of("near", scores.size, np.bool_)
-                    np.greater_equal(scores, np.maximum(least * close[lo:hi] - 1e-6, 1e-7)[:, None].astype(np.float32), out=near.reshape(scores.shape))
-                    rows, columns = np.divmod(np.flatnonzero(near), targets.n)
+                            high = np.maximum(np.partition(bests, parts - min(parts, FIRST * k), axis=1)[:, parts - min(parts, FIRST * k)], 1e-7)
+                            rows, columns = _above(scores[new], high, room)
+                            s = targets.exact(wide, new[rows], columns, most)
+                            order, size = np.lexsort((-s, rows)), np.bincount(rows, minlength=len(new))
+                            enough = np.flatnonzero(size >= k)
+                            least[new[enough]] = np.maximum(s[order[(np.cumsum(size) - size)[enough] + k - 1]] - 1e-6, 0)
+                    rows, columns = _above(scores, np.maximum(least * close[lo:hi] - targets.margin - 1e-6, 1e-7).astype(np.float32), room)
                     s = targets.exact(wide, rows, columns, most)
                     wide[at] = 0
                     # A k-th best in single precision may be a little above the one that it becomes by rounding.

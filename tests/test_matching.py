@@ -380,3 +380,42 @@ def test_products_of_many_queries_by_parts_of_slices(spark, train, monkeypatch):
         for name, size in zip(("QUERIES_AT_ONCE", "ROWS_AT_ONCE", "TARGETS_AT_ONCE"), sizes, strict=True):
             monkeypatch.setattr(tfidf, name, size)
         assert found() == want
+
+
+def test_frequent_terms_by_directions(train, monkeypatch):
+    """Frequent terms that come together are few directions; scores by them are bounds from above, and what is found is the same."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(7)
+    # A word has eight terms of its own; rare terms stand alone.
+    n, words, rare = 900, 40, 600
+    of = [np.concatenate([(8 * rng.choice(words, 6, False)[:, None] + np.arange(8)).ravel(), 8 * words + rng.choice(rare, 5, False)]) for _ in range(n)]
+    start, term, v = np.append(0, np.cumsum([len(x) for x in of])), np.concatenate(of), 8 * words + rare
+    w = rng.random(v)[term] + 0.5
+    w /= np.repeat(np.sqrt(np.add.reduceat(w * w, start[:-1])), np.diff(start))
+    asked = np.bincount(term, minlength=v)
+    head, axes = tfidf._axes((start, term, w), asked, n)
+    assert len(head) >= tfidf.LEAST_TURNED and axes.shape[1] <= words
+    made, room = tfidf._Slice((start, term, w), asked, n, (head, axes)), tfidf._Room()
+    assert len(made.dense) == axes.shape[1] + 1 and made.sizes[head].sum() == 0
+    some = [slice(start[i], start[i + 1]) for i in range(50)]
+    wide = np.zeros((50, v))
+    for row, x in zip(wide, some, strict=True):
+        row[term[x]] = w[x]
+    over = made.scores(wide, [(term[x], w[x]) for x in some], room) - np.add.reduceat(wide[:, term] * w, start[:-1], axis=1)
+    assert over.min() > -made.margin and np.median(over) < 2 * tfidf.LEFT
+    # The same of real texts, with directions and without, and slices of few targets.
+    vocab, texts = tfidf.vocabulary(train.where("source != 1"), 0, 2000).toArrow(), tfidf.texts(train, 0).toArrow()
+    ids, said, told, found = texts.column("id").to_pylist(), texts.column("text"), [], []
+    tables = [said.filter(pa.array([i.startswith("S1") == x for i in ids])) for x in (True, False)]
+    asked_, stored = (pa.table({"ids": [[f"{i:06d}"] for i in range(len(x))], "text": x}) for x in tables)
+    turned = tfidf._axes
+    monkeypatch.setattr(tfidf, "_axes", lambda *x: told.append(turned(*x)) or told[-1])
+    monkeypatch.setattr(tfidf, "WORTH", 10)
+    for least, at_once in ((1 << 20, 1 << 15), (32, 1 << 15), (32, 150)):
+        monkeypatch.setattr(tfidf, "LEAST_TURNED", least)
+        monkeypatch.setattr(tfidf, "TARGETS_AT_ONCE", at_once)
+        got = tfidf._best_of_block(5, vocab.column("term").to_pylist(), vocab.column("idf").to_numpy(), False)(asked_, stored)
+        found.append(sorted(zip(*(c.to_pylist() for c in got.columns), strict=True)))
+    assert told[0] is None and all(x is not None and x[1].shape[1] < x[1].shape[0] for x in told[1:])
+    assert found[0] and found[0] == found[1] == found[2]

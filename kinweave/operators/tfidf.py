@@ -456,7 +456,8 @@ def _pair_places(spark: SparkSession, cuts: list[tuple[str, int, int]], parts: i
     tries = spark.createDataFrame([(c, 64 + 8 * n_q * n_t) for c, n_q, n_t in cuts], "c string, n int")
     told = tries.select("c", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("place")).select("c", "place", F.pmod(F.hash("c", "place"), F.lit(parts)).alias("part"))
     found, taken, out = collections.defaultdict(list), set(), []
-    for c, place, part in sorted(map(tuple, told.collect())):
+    # Partitions are worked on in their order, and the first countries are the largest: theirs come first, so that no large task begins last.
+    for c, part, place in sorted((c, part, place) for c, place, part in told.collect()):
         found[c].append((place, part))
     for c, n_q, n_t in cuts:
         free, other = [], []

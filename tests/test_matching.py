@@ -419,3 +419,13 @@ def test_frequent_terms_by_directions(train, monkeypatch):
         found.append(sorted(zip(*(c.to_pylist() for c in got.columns), strict=True)))
     assert told[0] is None and all(x is not None and x[1].shape[1] < x[1].shape[0] for x in told[1:])
     assert found[0] and found[0] == found[1] == found[2]
+
+
+def test_large_countries_come_first(spark):
+    """Blocks of the first countries, which are the largest, have the first tasks, and each has one of its own."""
+    cuts = [("large", 3, 4), ("small", 2, 2)]
+    places = tfidf._pair_places(spark, cuts, 32)
+    of = spark.createDataFrame(places, "c string, a int, b int, place int").select("c", "a", "b", F.pmod(F.hash("c", "place"), F.lit(32)).alias("part")).collect()
+    parts = {c: sorted(r["part"] for r in of if r["c"] == c) for c, *_ in cuts}
+    assert len({(r["c"], r["a"], r["b"]) for r in of}) == len({r["part"] for r in of}) == 16
+    assert parts["large"][-1] < parts["small"][0]

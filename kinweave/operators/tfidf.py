@@ -8,9 +8,10 @@ idf = ln((1 + n) / (1 + df)) + 1, and vectors have length one.
 Equal texts of a country are one row. Queries and targets are cut into blocks of a
 bounded size, and every pair of blocks of a country is a task of its own that gets
 the texts, which are a tenth of the vectors, and makes the vectors slice by slice.
-Terms that most pairs share are columns of a dense product in single precision, the
-others lists of postings; what comes near a query's best k so far is worked out again
-in double precision, so the result is that of all pairs. The best of the blocks are
+Terms that most pairs share are columns of a dense product in single precision, or the
+few directions that hold nearly all of their weight, the others lists of postings; what
+may come near a query's best k so far is worked out again in double precision, so the
+result is that of all pairs. The best of the blocks are
 the best of all. No join is on terms and none of them is hot.
 """
 

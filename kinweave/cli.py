@@ -160,7 +160,7 @@ class Run:
             else:
                 first, second = [model.train(rows, pairs.FEATURES, self.trees())], None
             rows.unpersist()
-            model.save(first, second, path)
+            model.save(self.spark, first, second, path)
             told = json.dumps({"first": len(first), "two_stage": second is not None, "features": self.keys["pairs"], "trained": time.strftime("%Y-%m-%dT%H:%M:%S")})
             files.put_text(self.spark, f"{path}/done.json", told)
         return json.loads(told)
@@ -170,7 +170,7 @@ class Run:
             told = self.fit()
             if told["features"] != self.keys["pairs"]:
                 raise ValueError("the models were trained on other features")
-            first, second = model.load(self.folder("models", "models"), told["first"], told["two_stage"])
+            first, second = model.load(self.spark, self.folder("models", "models"), told["first"], told["two_stage"])
             rows = self.features(part)
             if second is not None:
                 return model.score_stack(rows, first, second).select("q", "t", "y", F.col("p2").alias("p"))

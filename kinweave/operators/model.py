@@ -7,12 +7,13 @@ from dataclasses import dataclass
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinweave.functions import text as X
-from kinweave.operators import decide, metrics
+from kinweave.operators import decide, metrics, trees
 from kinweave.operators import pairs as P
+from kinweave.sources import files
 
 CONTEXT = ("p", "p_max", "p_gap", "p_rank", "p_sum")
 
@@ -50,38 +51,45 @@ def fold(s: Settings):
     return F.pmod(X.entity_hash(F.col("q"), s.seed + 1), F.lit(s.folds)).cast("int")
 
 
-def train_stack(df: DataFrame, s: Settings) -> tuple[list, GBTClassificationModel]:
+def train_stack(df: DataFrame, s: Settings) -> tuple[list[trees.Trees], trees.Trees]:
     """One model for each fold of entities, and the second stage on their scores of the rows they didn't see."""
     rows, models, held = df.withColumn("_fold", fold(s)), [], None
     for k in range(s.folds):
         fit, rest = rows.where(F.col("_fold") != k), rows.where(F.col("_fold") == k)
         if rest.isEmpty():
             raise ValueError(f"fold {k} has no rows")
-        models.append(train(fit, P.FEATURES, s))
-        part = score(rest, models[-1], P.FEATURES).withColumn("p", F.col("p").cast("float").cast("double"))
+        models.append(trees.train(fit, P.FEATURES, s))
+        part = trees.score(rest, models[-1:], ["p"]).withColumn("p", F.col("p").cast("float").cast("double"))
         held = part if held is None else held.unionByName(part)
-    return models, train(P.context(held), P.FEATURES + CONTEXT, s)
+    return models, trees.train(P.context(held), P.FEATURES + CONTEXT, s)
 
 
-def score_stack(df: DataFrame, models: list, second: GBTClassificationModel) -> DataFrame:
+def score_stack(df: DataFrame, models: list[trees.Trees], second: trees.Trees) -> DataFrame:
     """Mean of the first-stage scores, their context, and the second stage's p."""
-    for i, m in enumerate(models):
-        df = score(df, m, P.FEATURES, f"_p{i}")
-    mean = sum((F.col(f"_p{i}") for i in range(1, len(models))), F.col("_p0")) / len(models)
-    return score(P.context(df.withColumn("p", mean)), second, P.FEATURES + CONTEXT, "p2").drop(*(f"_p{i}" for i in range(len(models))))
+    own = [f"_p{i}" for i in range(len(models))]
+    mean = sum(map(F.col, own[1:]), F.col(own[0])) / len(own)
+    rows = trees.score(df, models, own).withColumn("p", mean).drop(*own)
+    return trees.score(P.context(rows), [second], ["p2"])
 
 
-def save(models: list[GBTClassificationModel], second: GBTClassificationModel | None, path: str) -> None:
+def save(spark: SparkSession, models: list, second: trees.Trees | None, path: str) -> None:
     """Writes the models of one or two stages below a folder."""
     for i, m in enumerate(models):
-        m.write().overwrite().save(f"{path}/first_{i}")
+        if isinstance(m, trees.Trees):
+            files.put_text(spark, f"{path}/first_{i}", m.text())
+        else:
+            m.write().overwrite().save(f"{path}/first_{i}")
     if second is not None:
-        second.write().overwrite().save(f"{path}/second")
+        files.put_text(spark, f"{path}/second", second.text())
 
 
-def load(path: str, first: int, two_stage: bool) -> tuple[list[GBTClassificationModel], GBTClassificationModel | None]:
+def load(spark: SparkSession, path: str, first: int, two_stage: bool) -> tuple[list, trees.Trees | None]:
     """What save has written; first: how many models the first stage has."""
-    return [GBTClassificationModel.load(f"{path}/first_{i}") for i in range(first)], GBTClassificationModel.load(f"{path}/second") if two_stage else None
+    places = [f"{path}/first_{i}" for i in range(first)]
+    if not two_stage:
+        return [GBTClassificationModel.load(p) for p in places], None
+    *models, second = (trees.Trees.of(files.get_text(spark, p)) for p in [*places, f"{path}/second"])
+    return models, second
 
 
 def transfer(features: dict[str, DataFrame], universes: dict[str, DataFrame], truth: DataFrame, s: Settings) -> DataFrame | None:

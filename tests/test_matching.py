@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from kinweave.operators import decide, export, lexical, metrics, model, pairs, tfidf
+from kinweave.operators import decide, export, lexical, metrics, model, pairs, tfidf, trees
 from kinweave.plans import registry
 from kinweave.sources import records as R
 
@@ -429,3 +429,53 @@ def test_large_countries_come_first(spark):
     parts = {c: sorted(r["part"] for r in of if r["c"] == c) for c, *_ in cuts}
     assert len({(r["c"], r["a"], r["b"]) for r in of}) == len({r["part"] for r in of}) == 16
     assert parts["large"][-1] < parts["small"][0]
+
+
+def test_stack_takes_all_rounds(spark, sf, monkeypatch):
+    """The registered query trains with the operator's own settings: 300 rounds, depth 5, 40 rows of a leaf."""
+    told, train = [], model.train_stack
+    monkeypatch.setattr(model, "train_stack", lambda f, s: told.append((s, train(f, s))) or told[0][1])
+    assert registry.queries()["stack_scores"](spark, sf).count() > 0
+    (s, (first, second)), = told
+    assert s == model.Settings(rounds=300, depth=5, least_rows=40, seed=registry.SEED)
+    assert len(first) == 3 and all(m.feature.shape == (300, 31) and m.leaf.shape == (300, 32) for m in (*first, second))
+    assert all(np.abs(m.leaf).max(axis=1).all() for m in (*first, second))
+
+
+def test_trees_by_spark(spark):
+    """The trees of one job are those of Spark's GBTClassifier where each value has a bin, and the same from any number of tasks."""
+    rng = np.random.default_rng(1)
+    a, b, c = rng.integers(0, 20, 2000) / 7, rng.integers(-5, 15, 2000) * 1.0, rng.integers(0, 2, 2000) * 1.0
+    y = (a + c * np.sin(b) + rng.normal(0, 0.7, 2000) > 1.6).astype(int)
+    rows = spark.createDataFrame([(float(u), float(v), float(w), int(x)) for u, v, w, x in zip(a, b, c, y, strict=True)], "a double, b double, c double, y int").cache()
+    columns, s = ("a", "b", "c"), model.Settings(rounds=12, depth=3, least_rows=10, columns="1.0")
+    made = trees.train(rows.repartition(5), columns, s)
+    both = model.score(trees.score(rows, [made], ["ours"]), model.train(rows, columns, s), columns).select("ours", "p").toPandas()
+    assert (both.ours - both.p).abs().max() < 1e-6 and both.p.std() > 0.1
+    one = trees.Trees.of(trees.train(rows.coalesce(1), columns, s).text())
+    assert all(np.array_equal(getattr(one, k), getattr(made, k)) for k in ("feature", "threshold", "leaf"))
+    with pytest.raises(ValueError):
+        trees.train(rows.where("y = 1"), columns, s)
+
+
+class Alone:
+    """A stage of one task."""
+
+    first = True
+
+    def total(self, x):
+        return np.ascontiguousarray(x, np.float64)
+
+    tell = total
+
+
+def test_bins_beside_a_frequent_value():
+    """A frequent value has a bin of its own at either end, few values have one each, and the rest is cut evenly."""
+    rng = np.random.default_rng(2)
+    rare = rng.random(1000)
+    x = np.stack([np.r_[np.zeros(9000), rare + 1], np.r_[rare - 2, np.full(9000, 1.0)], np.arange(10000) % 5 - 2.0, np.zeros(10000), rng.permutation(10000)]).astype(np.float32)
+    edges = trees._edges(Alone(), x)
+    sizes = [np.bincount(np.searchsorted(e, k, "left"), minlength=len(e) + 1) for e, k in zip(edges, trees._keys(x), strict=True)]
+    assert [len(n) for n in sizes] == [32, 32, 5, 1, 32]
+    assert sizes[0][0] == 9000 and sizes[0][1:].max() <= 63 and sizes[1][-1] == 9000 and sizes[1][:-1].max() <= 63
+    assert set(sizes[2]) == {2000} and set(sizes[4]) <= {312, 313}

@@ -150,3 +150,16 @@ def test_similarities_in_one_crossing(spark):
     for _ in range(300):
         x, y = ("".join(r.choice("ab ") for _ in range(r.randrange(1, 14))) for _ in range(2))
         assert S.ratio(x, y) == pytest.approx(2 * S.lcs(x, y) / (len(x) + len(y)))
+
+
+def test_ratios_of_many_pairs(monkeypatch):
+    """Many pairs at once give what each gives alone: any lengths and letters, and small tables."""
+    r = random.Random(3)
+    some = lambda n, letters: "".join(r.choice(letters) for _ in range(r.randint(0, n)))
+    pairs = [(some(n, x), some(n, x)) for n, x in ((8, "ab "), (70, "abcdef "), (200, "abcd日本語字𝒳 "), (1300, "ab c")) for _ in range(20)]
+    pairs += [(a, a[:9] + b + a[12:]) for a, b in pairs]
+    want = [S.ratio(*p) for p in pairs]
+    assert S.ratios(pairs).tolist() == want and S.ratios([]).tolist() == []
+    monkeypatch.setattr(S, "TOGETHER", 7)
+    monkeypatch.setattr(S, "TABLE", 300)
+    assert S.ratios(pairs).tolist() == want
